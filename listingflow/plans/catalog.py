@@ -120,3 +120,171 @@ def q_legal_phrase(spark, sf_dir):
 @query("amenities")
 def q_amenities(spark, sf_dir):
     return V.text_view(spark, sf_dir).select("id", T.amenities("description").alias("amenityLocation"))
+
+
+# ------------------------------------------------------------------ frontier and joins
+from ..operators import frontier as FR  # noqa: E402
+from ..operators import stats as S  # noqa: E402
+from ..operators import store as ST  # noqa: E402
+from ..sources import registry as R  # noqa: E402
+
+NOW = "2024-06-01 00:00:00"   # the job's "now", a parameter (never the wall clock)
+PAGES_CAP = 3                 # pages per search URL in the frontier queries
+FRONTIER_BATCH = 2            # result pages per batch in the frontier queries
+
+
+def _now():
+    return F.lit(NOW).cast("timestamp_ntz")
+
+
+def _registry(spark, sf_dir):
+    return R.registry_from_suppliers(
+        read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]))
+
+
+def _state(spark, sf_dir):
+    return R.state_from_suppliers(read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"]))
+
+
+@query("pagination_urls")
+def q_pagination_urls(spark, sf_dir):
+    return FR.page_urls(_registry(spark, sf_dir), PAGES_CAP, FRONTIER_BATCH)
+
+
+@query("frontier_batches")
+def q_frontier_batches(spark, sf_dir):
+    urls = FR.page_urls(_registry(spark, sf_dir), PAGES_CAP, FRONTIER_BATCH)
+    return (urls.groupBy("name", "batch")
+            .agg(F.count(F.lit(1)).alias("n_urls"), F.min("page").alias("first_page"),
+                 F.max("page").alias("last_page")))
+
+
+@query("enabled_sites")
+def q_enabled_sites(spark, sf_dir):
+    en = FR.enabled_sites(_registry(spark, sf_dir), _state(spark, sf_dir))
+    return en.select("name", "base_url", F.size("search_urls").alias("n_search_urls"))
+
+
+@query("site_lookup")
+def q_site_lookup(spark, sf_dir):
+    return ST.site_lookup(_state(spark, sf_dir), F.col("name") == "Supplier#000000007")
+
+
+@query("state_seed")
+def q_state_seed(spark, sf_dir):
+    return ST.state_seed(_state(spark, sf_dir), _registry(spark, sf_dir), _now())
+
+
+@query("state_upsert")
+def q_state_upsert(spark, sf_dir):
+    sup = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
+    changes = sup.filter(F.col("s_suppkey") % 5 == 0).select(
+        F.col("s_name").alias("name"), (F.col("s_suppkey") % 10 == 0).alias("enabled"))
+    return ST.state_upsert(_state(spark, sf_dir), changes, _now())
+
+
+@query("state_toggle")
+def q_state_toggle(spark, sf_dir):
+    sup = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
+    names = (sup.filter(F.col("s_suppkey") % 7 == 0).select(F.col("s_name").alias("name"))
+             .unionByName(sup.filter(F.col("s_suppkey") % 7 == 0)
+                          .select(F.concat(F.lit("unknown-"), F.col("s_name")).alias("name"))))
+    return ST.state_toggle(_state(spark, sf_dir), names, True, _now())
+
+
+def _candidates(spark, sf_dir):
+    v = V.text_view(spark, sf_dir).select("id", F.col("link").alias("url"))
+    return v.unionByName(v.filter(F.col("id") % 5 == 0))
+
+
+def _store(spark, sf_dir):
+    return V.listing_view(spark, sf_dir).filter(F.col("id") % 2 == 1)
+
+
+@query("new_links")
+def q_new_links(spark, sf_dir):
+    return FR.new_links(_candidates(spark, sf_dir).select("url"), _store(spark, sf_dir))
+
+
+@query("known_links")
+def q_known_links(spark, sf_dir):
+    return FR.known_links(_candidates(spark, sf_dir).select("url"), _store(spark, sf_dir))
+
+
+@query("url_page_join")
+def q_url_page_join(spark, sf_dir):
+    pages = read_pages(spark, sf_dir)
+    frontier = FR.page_urls(
+        pages.select(F.col("page_id").cast("string").alias("name"), F.array("url").alias("search_urls")), 2, 20)
+    return (FR.frontier_with_pages(frontier.select("url", "page"), pages)
+            .select("url", "page", "page_id", F.length("html").alias("html_chars")))
+
+
+def _updates(spark, sf_dir):
+    return V.listing_updates_view(spark, sf_dir).withColumn("id", F.col("id") + 100000000)
+
+
+@query("append_unique")
+def q_append_unique(spark, sf_dir):
+    batch = V.listing_view(spark, sf_dir).filter(F.col("id") % 3 == 0).unionByName(_updates(spark, sf_dir))
+    return ST.append_unique(_store(spark, sf_dir), batch).select("id", "link", "status")
+
+
+@query("upsert_latest")
+def q_upsert_latest(spark, sf_dir):
+    return ST.upsert(V.listing_view(spark, sf_dir), _updates(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ statistics
+def _docs(spark, sf_dir, cols=("doc_id", "source")):
+    return read_table(spark, sf_dir, "documents", list(cols))
+
+
+@query("count_by_source")
+def q_count_by_source(spark, sf_dir):
+    return S.count_by(_docs(spark, sf_dir), "source")
+
+
+@query("count_filtered")
+def q_count_filtered(spark, sf_dir):
+    return S.count_where(_docs(spark, sf_dir), F.col("source") == "src3")
+
+
+@query("total_count")
+def q_total_count(spark, sf_dir):
+    return S.total_count(_docs(spark, sf_dir))
+
+
+@query("union_sources")
+def q_union_sources(spark, sf_dir):
+    docs = _docs(spark, sf_dir, ("doc_id", "lang", "source"))
+    parts = [docs.filter(F.col("lang") == lang) for lang in ("en", "de", "fr", "es")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _feed(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
+    return S.crawl_events(ev)
+
+
+@query("session_stats")
+def q_session_stats(spark, sf_dir):
+    return S.session_stats(_feed(spark, sf_dir))
+
+
+@query("recent_sessions")
+def q_recent_sessions(spark, sf_dir):
+    return S.recent_sessions(S.completed_sessions(S.session_stats(_feed(spark, sf_dir))), 10)
+
+
+@query("progress_by_source")
+def q_progress_by_source(spark, sf_dir):
+    return S.progress(_feed(spark, sf_dir))
+
+
+@query("event_counts")
+def q_event_counts(spark, sf_dir):
+    return S.event_counts(_feed(spark, sf_dir))

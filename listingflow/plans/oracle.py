@@ -112,3 +112,150 @@ SELECT id, price, area, {D.unit_price('price', 'area')} AS unit_price FROM pa"""
 oracle("type_class", _tv + f"SELECT id, {D.classify_type('description')} AS type FROM v_text")
 oracle("legal_phrase", _tv + f"SELECT id, {D.legal_phrase('description')} AS legal FROM v_text")
 oracle("amenities", _tv + f"SELECT id, {D.amenities('description')} AS amenityLocation FROM v_text")
+
+# ------------------------------------------------------------------ frontier, joins, store
+_NOW = "TIMESTAMP '2024-06-01 00:00:00'"
+_REG = """
+reg AS (
+  SELECT s_name AS name, 'https://site' || CAST(s_suppkey AS VARCHAR) || '.example' AS base_url,
+         CAST(s_nationkey % 3 + 1 AS INTEGER) AS n_urls, s_acctbal >= 0 AS enabled
+  FROM supplier),
+st AS (
+  SELECT s_name AS name, s_suppkey % 3 <> 0 AS enabled, TIMESTAMP '2024-01-01 00:00:00' AS updated_at
+  FROM supplier WHERE s_suppkey % 4 <> 0)"""
+_URLS = _REG + """,
+su AS (SELECT name, base_url, unnest(generate_series(1, n_urls)) AS i FROM reg),
+su2 AS (SELECT name, base_url || '/search/' || CAST(i AS VARCHAR)
+               || CASE WHEN i % 2 = 0 THEN '?sort=new' ELSE '' END AS search_url FROM su),
+pg AS (SELECT name, search_url, unnest(generate_series(1, 3)) AS page FROM su2),
+urls AS (
+  SELECT name, search_url, CAST(page AS INTEGER) AS page, CAST(floor((page - 1) / 2) AS INTEGER) AS batch,
+         CASE WHEN page = 1 THEN search_url
+              ELSE search_url || CASE WHEN contains(search_url, '?') THEN '&' ELSE '?' END || 'p=' || CAST(page AS VARCHAR)
+         END AS url
+  FROM pg)"""
+
+oracle("pagination_urls", "WITH " + _URLS + "\nSELECT name, search_url, page, batch, url FROM urls")
+oracle("frontier_batches", "WITH " + _URLS + """
+SELECT name, batch, CAST(count(*) AS BIGINT) AS n_urls, min(page) AS first_page, max(page) AS last_page
+FROM urls GROUP BY name, batch""")
+oracle("enabled_sites", "WITH " + _REG + """
+SELECT r.name, r.base_url, r.n_urls AS n_search_urls FROM reg r JOIN st s ON r.name = s.name WHERE s.enabled""")
+oracle("site_lookup", "WITH " + _REG + "\nSELECT name, enabled, updated_at FROM st WHERE name = 'Supplier#000000007'")
+oracle("state_seed", "WITH " + _REG + f"""
+SELECT name, enabled, updated_at FROM st
+UNION ALL
+SELECT r.name, COALESCE(r.enabled, true) AS enabled, {_NOW} AS updated_at
+FROM reg r WHERE NOT EXISTS (SELECT 1 FROM st s WHERE s.name = r.name)""")
+oracle("state_upsert", "WITH " + _REG + f""",
+ch AS (SELECT s_name AS name, s_suppkey % 10 = 0 AS enabled FROM supplier WHERE s_suppkey % 5 = 0)
+SELECT COALESCE(s.name, c.name) AS name,
+       CASE WHEN c.name IS NOT NULL THEN c.enabled ELSE s.enabled END AS enabled,
+       CASE WHEN c.name IS NOT NULL THEN {_NOW} ELSE s.updated_at END AS updated_at
+FROM st s FULL OUTER JOIN ch c ON s.name = c.name""")
+oracle("state_toggle", "WITH " + _REG + f""",
+nm AS (SELECT s_name AS name FROM supplier WHERE s_suppkey % 7 = 0
+       UNION ALL SELECT 'unknown-' || s_name FROM supplier WHERE s_suppkey % 7 = 0),
+hits AS (SELECT DISTINCT name FROM nm)
+SELECT s.name,
+       CASE WHEN h.name IS NOT NULL THEN true ELSE s.enabled END AS enabled,
+       CASE WHEN h.name IS NOT NULL THEN {_NOW} ELSE s.updated_at END AS updated_at,
+       h.name IS NOT NULL AS changed
+FROM st s LEFT JOIN hits h ON s.name = h.name""")
+
+_LINKS = with_views("v_text", "v_listing") + """,
+cand AS (SELECT link AS url FROM v_text UNION ALL SELECT link FROM v_text WHERE id % 5 = 0),
+c AS (SELECT DISTINCT url FROM cand),
+store AS (SELECT * FROM v_listing WHERE id % 2 = 1)
+"""
+oracle("new_links", _LINKS + "SELECT url FROM c WHERE NOT EXISTS (SELECT 1 FROM store s WHERE s.link = c.url)")
+oracle("known_links", _LINKS + "SELECT url FROM c WHERE EXISTS (SELECT 1 FROM store s WHERE s.link = c.url)")
+
+oracle("url_page_join", """
+WITH f AS (
+  SELECT url AS su, unnest(generate_series(1, 2)) AS page FROM pages),
+fu AS (
+  SELECT CAST(page AS INTEGER) AS page,
+         CASE WHEN page = 1 THEN su ELSE su || CASE WHEN contains(su, '?') THEN '&' ELSE '?' END || 'p=' || CAST(page AS VARCHAR) END AS url
+  FROM f)
+SELECT fu.url, fu.page, p.page_id, length(p.html) AS html_chars FROM fu JOIN pages p ON p.url = fu.url""")
+
+_UPD = ("WITH " + ",\n".join(f"{n} AS ({duck_view_sql(n)})" for n in ("v_listing", "v_listing_updates")) + """,
+upd AS (SELECT id + 100000000 AS id, link, title, price, area, bedroom, legal, source, crawled_at FROM v_listing_updates)
+""")
+oracle("append_unique", _UPD + """,
+store AS (SELECT * FROM v_listing WHERE id % 2 = 1),
+batch AS (SELECT * FROM v_listing WHERE id % 3 = 0 UNION ALL SELECT * FROM upd),
+known AS (SELECT DISTINCT link FROM store),
+first AS (SELECT link, min(id) AS first_id FROM batch GROUP BY link)
+SELECT b.id, b.link,
+       CASE WHEN k.link IS NOT NULL OR b.id <> f.first_id THEN 'duplicate' ELSE 'inserted' END AS status
+FROM batch b LEFT JOIN known k ON b.link = k.link JOIN first f ON b.link = f.link""")
+oracle("upsert_latest", _UPD + """,
+latest AS (
+  SELECT link, arg_max(id, crawled_at) AS id, arg_max(title, crawled_at) AS title, arg_max(price, crawled_at) AS price,
+         arg_max(area, crawled_at) AS area, arg_max(bedroom, crawled_at) AS bedroom, arg_max(legal, crawled_at) AS legal,
+         arg_max(source, crawled_at) AS source, max(crawled_at) AS crawled_at
+  FROM upd GROUP BY link)
+SELECT s.* FROM v_listing s WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.link = s.link)
+UNION ALL
+SELECT COALESCE(s.id, l.id) AS id, l.link, l.title, l.price, l.area, l.bedroom, l.legal, l.source, l.crawled_at
+FROM latest l LEFT JOIN v_listing s ON s.link = l.link""")
+
+# ------------------------------------------------------------------ statistics
+oracle("count_by_source", "SELECT source, CAST(count(*) AS BIGINT) AS count FROM documents GROUP BY source")
+oracle("count_filtered", "SELECT CAST(count(*) AS BIGINT) AS count FROM documents WHERE source = 'src3'")
+oracle("total_count", "SELECT CAST(count(*) AS BIGINT) AS count FROM documents")
+oracle("union_sources", " UNION ALL ".join(
+    f"SELECT doc_id, lang, source FROM documents WHERE lang = '{x}'" for x in ("en", "de", "fr", "es")))
+
+_FEED = """
+feed AS (
+  SELECT event_id, ts, 'src' || CAST(user_id AS VARCHAR) AS source,
+         'src' || CAST(user_id AS VARCHAR) || '/' || strftime(ts, '%Y-%m-%d') AS session_id,
+         CASE event_type WHEN 'signup' THEN 'crawl_started' WHEN 'view' THEN 'property_extracted'
+              WHEN 'click' THEN 'property_enriched' WHEN 'purchase' THEN 'crawl_completed'
+              WHEN 'error' THEN 'crawl_failed' END AS event
+  FROM events)"""
+_SESS = "WITH " + _FEED + """,
+g AS (
+  SELECT source, session_id, min(ts) AS start_time,
+         max(CASE WHEN event IN ('crawl_completed', 'crawl_failed') THEN ts END) AS end_time,
+         CAST(count_if(event = 'crawl_started') AS BIGINT) AS total_pages,
+         CAST(count_if(event = 'property_extracted') AS BIGINT) AS successful_items,
+         CAST(count_if(event = 'crawl_failed') AS BIGINT) AS failed_items,
+         CAST(count_if(event = 'property_enriched') AS BIGINT) AS duplicate_items,
+         max(CAST(event = 'crawl_completed' AS INTEGER)) AS _done,
+         max(CAST(event = 'crawl_failed' AS INTEGER)) AS _failed
+  FROM feed GROUP BY source, session_id),
+sess AS (
+  SELECT session_id, source, start_time, end_time, total_pages,
+         successful_items + failed_items + duplicate_items AS total_items,
+         successful_items, failed_items, duplicate_items,
+         CASE WHEN _done = 1 THEN 'completed' WHEN _failed = 1 THEN 'failed' ELSE 'running' END AS status,
+         CASE WHEN _failed = 1 THEN 'crawl failed' END AS error_message
+  FROM g)
+"""
+oracle("session_stats", _SESS + "SELECT * FROM sess")
+oracle("recent_sessions", _SESS + """SELECT * FROM sess WHERE status = 'completed'
+ORDER BY start_time DESC, source, session_id LIMIT 10""")
+oracle("progress_by_source", "WITH " + _FEED + """,
+f AS (
+  SELECT source,
+         max(CASE WHEN event = 'crawl_started' THEN ts END) AS start_time,
+         max(CASE WHEN event IN ('crawl_completed', 'crawl_failed') THEN ts END) AS end_time,
+         arg_max(CASE WHEN event IN ('crawl_started', 'crawl_completed', 'crawl_failed') THEN event END,
+                 CASE WHEN event IN ('crawl_started', 'crawl_completed', 'crawl_failed') THEN (ts, event_id) END) AS _last,
+         CAST(count_if(event = 'property_extracted') AS BIGINT) AS total_items
+  FROM feed GROUP BY source),
+s AS (
+  SELECT feed.source,
+         CAST(count_if(event = 'property_extracted' AND (f.start_time IS NULL OR feed.ts > f.start_time)) AS BIGINT)
+           AS processed_items
+  FROM feed JOIN f ON feed.source = f.source GROUP BY feed.source)
+SELECT f.source,
+       CASE _last WHEN 'crawl_started' THEN 'running' WHEN 'crawl_completed' THEN 'completed'
+                  WHEN 'crawl_failed' THEN 'failed' ELSE 'idle' END AS status,
+       s.processed_items, f.total_items, f.start_time, f.end_time
+FROM f JOIN s ON f.source = s.source""")
+oracle("event_counts", "WITH " + _FEED + "\nSELECT source, event, CAST(count(*) AS BIGINT) AS count FROM feed GROUP BY source, event")
