@@ -54,24 +54,36 @@ def _price_fallback(t: Column) -> Column:
     return F.coalesce(*cands)
 
 
+def price_key(x) -> Column:
+    """The text extract_price works on: lower-cased, ',' read as '.' (null for null/empty)."""
+    s = _c(x)
+    return F.when(s.isNull() | (s == ""), F.lit(None).cast("string")).otherwise(
+        F.regexp_replace(F.lower(s), ",", "."))
+
+
 def extract_price(x) -> Column:
     """SCL-2: Vietnamese price text -> VND as double (compat mode, quirks Q2 kept)."""
-    s = _c(x)
-    t = F.regexp_replace(F.lower(s), ",", ".")
+    return price_from_key(price_key(x))
+
+
+def price_from_key(key) -> Column:
+    t = _c(key)
     total = None
     for pattern, mult in P.PRICE_SUM_PARTS:
         part = F.coalesce(_extract(t, pattern, 1).try_cast("double") * F.lit(mult), F.lit(0.0))
         total = part if total is None else total + part
     out = F.when(total > 0, total).otherwise(_price_fallback(t))
-    return F.when(s.isNull() | (s == ""), F.lit(None).cast("double")).otherwise(out)
+    return F.when(t.isNull(), F.lit(None).cast("double")).otherwise(out)
 
 
 def extract_area(x) -> Column:
     """SCL-3: area in m² from text, first of four unit patterns."""
-    s = _c(x)
-    t = F.regexp_replace(F.lower(s), ",", ".")
-    out = F.coalesce(*[_extract(t, p, 1).try_cast("double") for p in P.AREA_PATTERNS])
-    return F.when(s.isNull() | (s == ""), F.lit(None).cast("double")).otherwise(out)
+    return area_from_key(price_key(x))
+
+
+def area_from_key(key) -> Column:
+    t = _c(key)
+    return F.coalesce(*[_extract(t, p, 1).try_cast("double") for p in P.AREA_PATTERNS])
 
 
 def extract_phone(x) -> Column:
@@ -93,23 +105,36 @@ def mask_phone(x) -> Column:
                  F.substring(p, -2, 2)))
 
 
-def _count_from(x, patterns) -> Column:
+def lower_key(x) -> Column:
+    """Lower-cased text, null for null/empty: the input of the room counters."""
     s = _c(x)
-    t = F.lower(s)
+    return F.when(s.isNull() | (s == ""), F.lit(None).cast("string")).otherwise(F.lower(s))
+
+
+def _count_from_key(key, patterns) -> Column:
+    t = _c(key)
     stripped = py_strip(t)
     cands = [_extract(t, p, 1).try_cast("int") for p in patterns]
     cands.append(F.when(stripped.rlike("^[0-9]+$"), stripped.try_cast("int")))
-    return F.when(s.isNull() | (s == ""), F.lit(None).cast("int")).otherwise(F.coalesce(*cands))
+    return F.coalesce(*cands)
+
+
+def rooms_from_key(key) -> Column:
+    return _count_from_key(key, P.ROOM_PATTERNS)
+
+
+def bathrooms_from_key(key) -> Column:
+    return _count_from_key(key, P.BATH_PATTERNS)
 
 
 def extract_rooms(x) -> Column:
     """SCL-5: bedroom count."""
-    return _count_from(x, P.ROOM_PATTERNS)
+    return rooms_from_key(lower_key(x))
 
 
 def extract_bathrooms(x) -> Column:
     """SCL-6: bathroom count (bare 'phòng' is tried first, quirk Q4 kept)."""
-    return _count_from(x, P.BATH_PATTERNS)
+    return bathrooms_from_key(lower_key(x))
 
 
 _DATE_FORMATS = {"dmy": "d{sep}M{sep}yyyy", "ymd": "yyyy{sep}M{sep}d"}
@@ -177,21 +202,38 @@ def format_date(x) -> Column:
     return F.date_format(_c(x), "dd/MM/yyyy")
 
 
-def extract_frontage(x) -> Column:
-    """SCL-8: frontage in metres: a plain number, or a number followed by 'm' (not m²/m2)."""
+def frontage_key(x) -> Column:
+    """Stripped, lower-cased text with ',' as '.', the input of extract_frontage."""
     c = _c(x)
-    s = c.cast("string")
-    t = F.regexp_replace(F.lower(py_strip(s)), ",", ".")
+    return F.regexp_replace(F.lower(py_strip(c.cast("string"))), ",", ".")
+
+
+def frontage_from_key(key) -> Column:
+    t = _c(key)
     plain = F.when(t.rlike(P.FRONTAGE_NUMBER), t.try_cast("double"))
-    out = F.coalesce(plain, _extract(t, P.FRONTAGE_METRES, 1).try_cast("double"))
-    return F.when(c.isNull(), F.lit(None).cast("double")).otherwise(out)
+    return F.coalesce(plain, _extract(t, P.FRONTAGE_METRES, 1).try_cast("double"))
 
 
-def extract_city(x) -> Column:
-    """SCL-9: canonical city from an address (text after the last comma)."""
+def extract_frontage(x) -> Column:
+    """SCL-8: frontage in metres: a plain number, or a number followed by 'm' (not m²/m2)."""
+    return frontage_from_key(frontage_key(x))
+
+
+def city_key(x) -> Column:
+    """Last comma part of an address, stripped, administrative prefix removed."""
     s = _c(x)
     part = py_strip(F.regexp_extract(s, "[^,]*$", 0))
     part = F.regexp_replace(part, "(?iu)" + P.CITY_PREFIX, "")
+    return F.when(s.isNull() | (s == ""), F.lit(None).cast("string")).otherwise(part)
+
+
+def extract_city(x) -> Column:
+    """SCL-9: canonical city from an address (text after the last comma)."""
+    return city_from_key(city_key(x))
+
+
+def city_from_key(key) -> Column:
+    part = _c(key)
     low = F.lower(part)
     chain = None
     for key, value in P.CITY_MAPPING:
@@ -199,7 +241,7 @@ def extract_city(x) -> Column:
         chain = F.when(cond, F.lit(value)) if chain is None else chain.when(cond, F.lit(value))
     rest = py_strip(F.regexp_replace(py_strip(part), "(?iu)" + P.CITY_COUNTRY_SUFFIX, ""))
     out = chain.otherwise(F.nullif(rest, F.lit("")))
-    return F.when(s.isNull() | (s == ""), F.lit(None).cast("string")).otherwise(out)
+    return F.when(part.isNull(), F.lit(None).cast("string")).otherwise(out)
 
 
 def is_valid_url(x) -> Column:
@@ -264,3 +306,24 @@ def amenities(x) -> Column:
 def response_array(x) -> Column:
     """SCL-12: outermost [...] of a model reply (fences ignored) as JSON text."""
     return _extract(_c(x), r"(?s)\[.*\]", 0)
+
+
+# ------------------------------------------------------------------ two-step application
+# (key builder, value-from-key builder) per normaliser.  Applying them as two projections lets
+# Catalyst keep the key in its own projection (it is read many times by the second), which keeps
+# every generated method well under the JVM's 64 KB limit.
+KEYED = {
+    "price": (price_key, price_from_key),
+    "area": (price_key, area_from_key),
+    "rooms": (lower_key, rooms_from_key),
+    "bathrooms": (lower_key, bathrooms_from_key),
+    "frontage": (frontage_key, frontage_from_key),
+    "city": (city_key, city_from_key),
+}
+
+
+def apply_keyed(df, specs, keep=()):
+    """``specs``: list of ``(kind, source column, output name)``; returns ``keep`` + outputs."""
+    keep = list(keep)
+    k = df.select(*keep, *[KEYED[kind][0](F.col(src)).alias("_k_" + out) for kind, src, out in specs])
+    return k.select(*keep, *[KEYED[kind][1](F.col("_k_" + out)).alias(out) for kind, src, out in specs])

@@ -65,27 +65,27 @@ def q_phone_masked(spark, sf_dir):
 
 @query("price")
 def q_price(spark, sf_dir):
-    return V.text_view(spark, sf_dir).select("id", T.extract_price("price_text").alias("price"))
+    return T.apply_keyed(V.text_view(spark, sf_dir), [("price", "price_text", "price")], ["id"])
 
 
 @query("area")
 def q_area(spark, sf_dir):
-    return V.text_view(spark, sf_dir).select("id", T.extract_area("area_text").alias("area"))
+    return T.apply_keyed(V.text_view(spark, sf_dir), [("area", "area_text", "area")], ["id"])
 
 
 @query("rooms")
 def q_rooms(spark, sf_dir):
-    return V.text_view(spark, sf_dir).select("id", T.extract_rooms("rooms_text").alias("bedroom"))
+    return T.apply_keyed(V.text_view(spark, sf_dir), [("rooms", "rooms_text", "bedroom")], ["id"])
 
 
 @query("bathrooms")
 def q_bathrooms(spark, sf_dir):
-    return V.text_view(spark, sf_dir).select("id", T.extract_bathrooms("bath_text").alias("bathroom"))
+    return T.apply_keyed(V.text_view(spark, sf_dir), [("bathrooms", "bath_text", "bathroom")], ["id"])
 
 
 @query("frontage")
 def q_frontage(spark, sf_dir):
-    return V.text_view(spark, sf_dir).select("id", T.extract_frontage("frontage_text").alias("frontage"))
+    return T.apply_keyed(V.text_view(spark, sf_dir), [("frontage", "frontage_text", "frontage")], ["id"])
 
 
 @query("posted_date")
@@ -97,13 +97,13 @@ def q_posted_date(spark, sf_dir):
 
 @query("city")
 def q_city(spark, sf_dir):
-    return V.text_view(spark, sf_dir).select("id", T.extract_city("address_text").alias("city"))
+    return T.apply_keyed(V.text_view(spark, sf_dir), [("city", "address_text", "city")], ["id"])
 
 
 @query("unit_price")
 def q_unit_price(spark, sf_dir):
-    v = V.text_view(spark, sf_dir).select(
-        "id", T.extract_price("price_text").alias("price"), T.extract_area("area_text").alias("area"))
+    v = T.apply_keyed(V.text_view(spark, sf_dir),
+                      [("price", "price_text", "price"), ("area", "area_text", "area")], ["id"])
     return v.select("id", "price", "area", T.unit_price("price", "area").alias("unit_price"))
 
 
@@ -288,3 +288,99 @@ def q_progress_by_source(spark, sf_dir):
 @query("event_counts")
 def q_event_counts(spark, sf_dir):
     return S.event_counts(_feed(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ typed listing, validation
+from ..operators import enrich as EN  # noqa: E402
+from ..operators import listing as LS  # noqa: E402
+
+
+def _raw_from_text(spark, sf_dir):
+    """The text view as raw extracted fields (what PRJ-6 yields for a page)."""
+    v = V.text_view(spark, sf_dir)
+    return v.select(
+        "id", "link", F.col("description").alias("title"), F.col("address_text").alias("address"),
+        "description", "price_text", "area_text", F.col("rooms_text").alias("bedroom_text"),
+        F.col("bath_text").alias("bathroom_text"), "frontage_text", "date_text",
+        F.concat(F.lit("site"), (F.col("id") % 6).cast("string")).alias("source"),
+        F.col("as_of").alias("crawled_at"))
+
+
+def _typed(spark, sf_dir):
+    return LS.normalise(_raw_from_text(spark, sf_dir))
+
+
+@query("normalise_listing")
+def q_normalise_listing(spark, sf_dir):
+    return _typed(spark, sf_dir)
+
+
+@query("validate_split")
+def q_validate_split(spark, sf_dir):
+    v = V.listing_view(spark, sf_dir).withColumn("unit_price", T.unit_price("price", "area"))
+    e = LS.with_errors(v)
+    return e.select("id", (F.size("errors") == 0).alias("valid"), F.array_join("errors", ",").alias("errors"))
+
+
+@query("conform_schema")
+def q_conform_schema(spark, sf_dir):
+    v = (V.listing_view(spark, sf_dir)
+         .withColumn("numberphone", F.lit(None).cast("string"))     # misspelt name (Q1) is mapped
+         .withColumn("extra_note", F.lit("x"))                        # unknown column is dropped
+         .withColumn("id", LS.listing_id("link"))                     # PRJ-11 deterministic id
+         .withColumn("updated_at", F.col("crawled_at")))              # PRJ-12 stamps
+    return LS.conform(v)
+
+
+# ------------------------------------------------------------------ enrichment
+def _missing_str(df):
+    return F.array_join(EN.missing_fields(df), ",")
+
+
+@query("missing_fields")
+def q_missing_fields(spark, sf_dir):
+    t = _typed(spark, sf_dir)
+    m = EN.missing_fields(t)
+    return t.select("id", F.array_join(m, ",").alias("missing"), F.size(m).alias("n_missing"))
+
+
+@query("enrich_batches")
+def q_enrich_batches(spark, sf_dir):
+    b = EN.with_batches(_typed(spark, sf_dir))
+    r = EN.batch_requests(b)
+    return r.select("source", "batch", "n_records", "missing")
+
+
+@query("request_text")
+def q_request_text(spark, sf_dir):
+    b = EN.with_batches(_typed(spark, sf_dir))
+    return EN.batch_requests(b).select("source", "batch", "request")
+
+
+@query("response_parse")
+def q_response_parse(spark, sf_dir):
+    items = EN.parse_replies(V.response_view(spark, sf_dir), "text", keep=["id"])
+    return items.select("id", "pos", "item_id",
+                        F.map_contains_key("item", "legal").alias("has_legal"),
+                        F.element_at("item", F.lit("legal")).alias("legal"),
+                        F.element_at("item", F.lit("type")).alias("type"))
+
+
+@query("type_map")
+def q_type_map(spark, sf_dir):
+    items = EN.parse_replies(V.response_view(spark, sf_dir), "text", keep=["id"])
+    raw = F.element_at("item", F.lit("type"))
+    return items.select("id", raw.alias("type_raw"), T.map_property_type(raw).alias("type"))
+
+
+@query("response_merge")
+def q_response_merge(spark, sf_dir):
+    items = EN.parse_replies(V.response_wide_view(spark, sf_dir), "text", keep=["id"])
+    latest = EN.latest_reply_per_id(items.withColumnRenamed("id", "resp_id"), ["resp_id", "pos"])
+    return EN.merge_replies(_typed(spark, sf_dir), latest)
+
+
+@query("enrich_hook")
+def q_enrich_hook(spark, sf_dir):
+    out = EN.enrich(_typed(spark, sf_dir), EN.rule_based_enricher())
+    return out.select("id", "type", "legal", "amenityLocation", "enriched")

@@ -259,3 +259,173 @@ SELECT f.source,
        s.processed_items, f.total_items, f.start_time, f.end_time
 FROM f JOIN s ON f.source = s.source""")
 oracle("event_counts", "WITH " + _FEED + "\nSELECT source, event, CAST(count(*) AS BIGINT) AS count FROM feed GROUP BY source, event")
+
+# ------------------------------------------------------------------ typed listing, validation
+from ..functions import patterns as PT  # noqa: E402
+from ..operators.enrich import DEFAULT_TEMPLATE  # noqa: E402
+
+_TYPED = with_views("v_text") + f""",
+raw AS (
+  SELECT id, link, description AS title, address_text AS address, description, price_text, area_text,
+         rooms_text AS bedroom_text, bath_text AS bathroom_text, frontage_text, date_text,
+         'site' || CAST(id % 6 AS VARCHAR) AS source, as_of AS crawled_at
+  FROM v_text),
+t0 AS (
+  SELECT CAST(id AS VARCHAR) AS id,
+         NULLIF({D.clean_text('title')}, '') AS title,
+         NULLIF({D.clean_text('address')}, '') AS address,
+         {D.extract_city('address')} AS city,
+         CAST(NULL AS VARCHAR) AS seller, CAST(NULL AS VARCHAR) AS numberPhone,
+         {D.extract_price('price_text')} AS price,
+         {D.extract_area('area_text')} AS area,
+         link,
+         {D.posted_date('date_text', 'crawled_at')} AS postedDate,
+         {D.extract_rooms('bedroom_text')} AS bedroom,
+         {D.extract_bathrooms('bathroom_text')} AS bathroom,
+         CAST(NULL AS VARCHAR) AS legal,
+         {D.extract_frontage('frontage_text')} AS frontage,
+         NULLIF({D.clean_text('description')}, '') AS description,
+         CAST(NULL AS VARCHAR) AS amenityLocation, CAST(NULL AS VARCHAR) AS type,
+         source, crawled_at, crawled_at AS updated_at
+  FROM raw),
+typed AS (SELECT *, {D.unit_price('price', 'area')} AS unit_price FROM t0)
+"""
+oracle("normalise_listing", _TYPED + "SELECT * FROM typed")
+
+oracle("validate_split", with_views("v_listing") + f""",
+v AS (SELECT *, {D.unit_price('price', 'area')} AS unit_price FROM v_listing),
+e AS (
+  SELECT id, concat_ws(',',
+           CASE WHEN area < 0 THEN 'area' END, CASE WHEN unit_price < 0 THEN 'unit_price' END,
+           CASE WHEN bedroom < 0 THEN 'bedroom' END,
+           CASE WHEN link IS NULL OR NOT starts_with(link, 'http') THEN 'link' END) AS errors
+  FROM v)
+SELECT id, errors = '' AS valid, errors FROM e""")
+
+oracle("conform_schema", with_views("v_listing") + """
+SELECT sha256(link) AS id, title, CAST(NULL AS VARCHAR) AS address, CAST(NULL AS VARCHAR) AS city,
+       CAST(NULL AS VARCHAR) AS seller, CAST(NULL AS VARCHAR) AS numberPhone, price, area,
+       CAST(NULL AS DOUBLE) AS unit_price, link, CAST(NULL AS DATE) AS postedDate, bedroom,
+       CAST(NULL AS INTEGER) AS bathroom, legal, CAST(NULL AS DOUBLE) AS frontage,
+       CAST(NULL AS VARCHAR) AS description, CAST(NULL AS VARCHAR) AS amenityLocation,
+       CAST(NULL AS VARCHAR) AS type, source, crawled_at, crawled_at AS updated_at
+FROM v_listing""")
+
+# ------------------------------------------------------------------ enrichment
+_STR = {"title", "address", "seller", "legal", "description", "link", "city", "amenityLocation", "type"}
+_NUM = {"price", "area", "unit_price", "bedroom", "bathroom", "frontage"}
+
+
+def _missing_cond(f: str) -> str:
+    if f in _STR:
+        return f"({f} IS NULL OR {f} = '')"
+    if f in _NUM:
+        return f"({f} IS NULL OR {f} = 0)"
+    return f"({f} IS NULL)"
+
+
+_MISSING = "concat_ws(',', " + ", ".join(f"CASE WHEN {_missing_cond(f)} THEN '{f}' END" for f in PT.ENRICH_FIELDS) + ")"
+_N_MISSING = "(" + " + ".join(f"CASE WHEN {_missing_cond(f)} THEN 1 ELSE 0 END" for f in PT.ENRICH_FIELDS) + ")"
+
+oracle("missing_fields", _TYPED + f"SELECT id, {_MISSING} AS missing, CAST({_N_MISSING} AS INTEGER) AS n_missing FROM typed")
+
+
+def _fmt(f: str) -> str:
+    if f in ("price", "area", "unit_price", "frontage"):
+        v = f"CAST(CAST({f} AS DECIMAL(38,2)) AS VARCHAR)"
+    elif f == "postedDate":
+        v = f"strftime({f}, '%Y-%m-%d')"
+    else:
+        v = f"CAST({f} AS VARCHAR)"
+    return f"'{f}: ' || COALESCE({v}, 'None')"
+
+
+_BLOCK = ("concat_ws(chr(10), CAST(pos AS VARCHAR) || '. ID: ' || id, "
+          + ", ".join(_fmt(f) for f in PT.ENRICH_FIELDS) + ")")
+_BATCHED = _TYPED + f""",
+b AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY link, id) - 1 AS rk FROM typed),
+b2 AS (SELECT *, CAST(floor(rk / {PT.ENRICH_BATCH}) AS BIGINT) AS batch,
+              CAST(rk % {PT.ENRICH_BATCH} + 1 AS INTEGER) AS pos, {_MISSING} AS miss FROM b),
+m AS (SELECT source, batch, unnest(string_split(miss, ',')) AS f FROM b2 WHERE miss <> ''),
+ma AS (SELECT source, batch, string_agg(DISTINCT f, ', ' ORDER BY f) AS missing FROM m GROUP BY source, batch),
+c AS (SELECT source, batch, CAST(count(*) AS BIGINT) AS n_records, string_agg({_BLOCK}, chr(10) ORDER BY pos) AS body
+      FROM b2 GROUP BY source, batch),
+req AS (SELECT c.source, c.batch, c.n_records, COALESCE(ma.missing, '') AS missing, c.body
+        FROM c LEFT JOIN ma ON c.source = ma.source AND c.batch = ma.batch)
+"""
+oracle("enrich_batches", _BATCHED + "SELECT source, batch, n_records, missing FROM req")
+oracle("request_text", _BATCHED + f"""
+SELECT source, batch, concat_ws(chr(10), replace({D.q(DEFAULT_TEMPLATE)}, '{{missing}}', missing), body) AS request
+FROM req""")
+
+_ITEMS = """
+x AS (SELECT id, CAST(json_extract({arr}, '$[*]') AS JSON[]) AS items FROM {view}),
+y AS (SELECT id, unnest(items) AS item, unnest(generate_series(1, len(items))) AS pos FROM x),
+items AS (SELECT id, CAST(pos AS INTEGER) AS pos, json_extract_string(item, '$.id') AS item_id, item
+          FROM y WHERE json_exists(item, '$.id'))
+"""
+_R1 = with_views("v_response") + "," + _ITEMS.format(arr=D.response_array("text"), view="v_response")
+oracle("response_parse", _R1 + """
+SELECT id, pos, item_id, json_exists(item, '$.legal') AS has_legal,
+       json_extract_string(item, '$.legal') AS legal, json_extract_string(item, '$.type') AS type
+FROM items""")
+oracle("type_map", _R1 + f"""
+, tm AS (SELECT id, json_extract_string(item, '$.type') AS type_raw FROM items)
+SELECT id, type_raw, {D.map_property_type('type_raw')} AS type FROM tm""")
+
+
+def _norm_value(f: str, v: str) -> str:
+    if f in ("title", "address", "seller", "legal", "description", "link", "amenityLocation"):
+        return D.clean_text(v)
+    if f == "area":
+        return D.extract_area(v)
+    if f in ("price", "unit_price"):
+        return D.extract_price(v)
+    if f == "bedroom":
+        return D.extract_rooms(v)
+    if f == "bathroom":
+        return D.extract_bathrooms(v)
+    if f == "frontage":
+        return D.extract_frontage(v)
+    if f == "postedDate":
+        return D.posted_date(v, "t.crawled_at")
+    if f == "city":
+        return D.extract_city(v)
+    if f == "type":
+        return D.map_property_type(v)
+    raise ValueError(f)
+
+
+_LISTING_COLS = ["id", "title", "address", "city", "seller", "numberPhone", "price", "area", "unit_price",
+                 "link", "postedDate", "bedroom", "bathroom", "legal", "frontage", "description",
+                 "amenityLocation", "type", "source", "crawled_at", "updated_at"]
+_TYPES = {"price": "DOUBLE", "area": "DOUBLE", "unit_price": "DOUBLE", "frontage": "DOUBLE",
+          "bedroom": "INTEGER", "bathroom": "INTEGER", "postedDate": "DATE"}
+
+
+def _merged_col(f: str) -> str:
+    if f not in PT.ENRICH_FIELDS:
+        return f"t.{f}"
+    v = f"json_extract_string(r.item, '$.{f}')"
+    new = f"CAST({_norm_value(f, v)} AS {_TYPES.get(f, 'VARCHAR')})"
+    return f"CASE WHEN r.item IS NOT NULL AND json_exists(r.item, '$.{f}') THEN {new} ELSE t.{f} END AS {f}"
+
+
+_R2 = _TYPED.replace("WITH v_text AS", "WITH v_response_wide AS (" + duck_view_sql("v_response_wide") + "),\nv_text AS", 1)
+oracle("response_merge", _R2 + "," + _ITEMS.format(arr=D.response_array("text"), view="v_response_wide") + f""",
+latest AS (SELECT item_id, arg_max(item, (id, pos)) AS item FROM items GROUP BY item_id),
+mg AS (
+  SELECT {', '.join(_merged_col(f) for f in _LISTING_COLS)}, r.item IS NOT NULL AS enriched
+  FROM typed t LEFT JOIN latest r ON t.id = r.item_id)
+SELECT {', '.join(c for c in _LISTING_COLS if c != 'unit_price')}, enriched,
+       CASE WHEN (unit_price IS NULL OR unit_price = 0) AND price IS NOT NULL AND price <> 0
+                 AND area IS NOT NULL AND area <> 0
+            THEN floor(price / area * 100 + 0.5) / 100 ELSE unit_price END AS unit_price
+FROM mg""")
+
+oracle("enrich_hook", _TYPED + f"""
+SELECT id, {D.classify_type("concat_ws(' ', title, description)")} AS type,
+       {D.clean_text(D.legal_phrase('description'))} AS legal,
+       {D.clean_text(D.amenities('description'))} AS amenityLocation,
+       true AS enriched
+FROM typed""")

@@ -94,6 +94,22 @@ SELECT o_orderkey AS id,
 FROM {orders}
 """
 
+# Wider model replies: more fields, numbers, nulls and text around the fenced array
+V_RESPONSE_WIDE = """
+SELECT o_orderkey AS id,
+  concat('Kết quả:', chr(10), '```json', chr(10), '[{{"id":"', cast(o_orderkey AS string), '"',
+    CASE o_orderkey % 4
+      WHEN 0 THEN ',"price":"2,5 tỷ","area":"80 m2"'
+      WHEN 1 THEN ',"price":null,"area":75,"unit_price":0'
+      WHEN 2 THEN ',"bedroom":"3 PN","bathroom":2,"frontage":"5,5m"'
+      ELSE ',"postedDate":"12/05/2024","city":"Quận 3, TP.HCM","title":"  Nhà  đẹp ★ "' END,
+    CASE o_orderkey % 3 WHEN 0 THEN ',"legal":"sổ hồng"' WHEN 1 THEN ',"legal":null' ELSE '' END,
+    ',"type":"', CASE o_orderkey % 3 WHEN 0 THEN 'Căn hộ' WHEN 1 THEN 'nhà' ELSE 'khác' END, '"}}]',
+    chr(10), '```') AS text
+FROM {orders}
+WHERE o_orderkey % 7 <> 0
+"""
+
 # Re-crawl copies for upsert tests: every third listing again, price + 1, one day later
 V_LISTING_UPDATES = """
 SELECT id, link, title, price + 1 AS price, area, bedroom, legal, source,
@@ -102,7 +118,8 @@ FROM ({listing}) l
 WHERE id % 3 = 0
 """
 
-VIEWS = {"v_text": V_TEXT, "v_listing": V_LISTING, "v_response": V_RESPONSE}
+VIEWS = {"v_text": V_TEXT, "v_listing": V_LISTING, "v_response": V_RESPONSE,
+         "v_response_wide": V_RESPONSE_WIDE}
 
 
 def text_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,6 +141,11 @@ def response_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(V_RESPONSE, orders=orders)
 
 
+def response_wide_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey"])
+    return spark.sql(V_RESPONSE_WIDE, orders=orders)
+
+
 def duck_view_sql(name: str) -> str:
     """The same view text for DuckDB, reading the pre-registered table names."""
     if name == "v_listing_updates":
