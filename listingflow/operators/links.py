@@ -24,7 +24,7 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*@)?([^/?#:]*)"
 
 # HTML entities decoded in extracted text ('&amp;' last).
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
-            ("&nbsp;", " "), ("&amp;", "&")]
+            ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&")]
 
 
 def decode_entities(c: Column) -> Column:

@@ -384,3 +384,79 @@ def q_response_merge(spark, sf_dir):
 def q_enrich_hook(spark, sf_dir):
     out = EN.enrich(_typed(spark, sf_dir), EN.rule_based_enricher())
     return out.select("id", "type", "legal", "amenityLocation", "enriched")
+
+
+# ------------------------------------------------------------------ rule-driven extraction
+from ..operators import extract as EX  # noqa: E402
+
+RULED_SOURCES = ("example.com", "example.org")   # sources registered with the generic rules
+
+
+def _pages_with_source(spark, sf_dir):
+    pages = read_pages(spark, sf_dir)
+    suffix = F.regexp_extract(L.host_of("url"), r"([a-z0-9-]+\.[a-z]+)$", 1)
+    return pages.withColumn("source", suffix)
+
+
+def _generic_ruleset(source="generic"):
+    return EX.RuleSet(EX.generic_rules(source))
+
+
+@query("page_text_rules")
+def q_page_text_rules(spark, sf_dir):
+    pages = read_pages(spark, sf_dir).withColumn("source", F.lit("generic"))
+    d = EX.parse_detail_pages(pages, _generic_ruleset())
+    return d.select("page_id", "title", F.col("seller").alias("footer"), F.col("address").alias("ad_text"),
+                    F.md5("description").alias("article_md5"), F.md5("phone_text").alias("page_text_md5"))
+
+
+@query("rule_dispatch")
+def q_rule_dispatch(spark, sf_dir):
+    rules = EX.RuleSet()
+    for src in RULED_SOURCES:                       # UDF-1: register a rule set per source
+        rules = rules.register(src, EX.generic_rules(src))
+    disp = EX.dispatch(_pages_with_source(spark, sf_dir), rules.to_df(spark))
+    parsed = EX.parse_detail_pages(disp.filter("has_rules"), rules).select(
+        "page_id", "source", F.lit(True).alias("has_rules"), "title")
+    rejected = disp.filter(~F.col("has_rules")).select(
+        "page_id", "source", "has_rules", F.lit(None).cast("string").alias("title"))
+    return parsed.unionByName(rejected)
+
+
+@query("page_links_rules")
+def q_page_links_rules(spark, sf_dir):
+    pages = read_pages(spark, sf_dir).withColumn("source", F.lit("generic"))
+    links = EX.parse_list_pages(pages, _generic_ruleset())
+    return links.select("page_id", "pos", L.absolute_url(F.col("href"), F.col("url")).alias("url"), "title")
+
+
+@query("spec_map_lookup")
+def q_spec_map_lookup(spark, sf_dir):
+    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_size"])
+    k, s = F.col("p_partkey"), F.col("p_size")
+
+    def e(key, val):
+        return F.struct(F.lit("specs").alias("map"), F.lit(key).alias("k"), val.cast("string").alias("v"))
+    entries = F.filter(F.array(
+        e("Mức giá", F.concat(s.cast("string"), F.lit(" triệu"))),
+        e("Diện tích", F.concat((k % 300 + 20).cast("string"), F.lit(" m²"))),
+        e("Phòng ngủ", F.concat((s % 5 + 1).cast("string"), F.lit(" PN"))),
+        e("Số phòng ngủ", F.when(k % 3 == 0, F.lit("")).otherwise(F.concat((s % 4 + 1).cast("string"), F.lit(" phòng ngủ")))),
+        F.when(k % 2 == 0, e("Mặt tiền (m)", F.concat((s % 10 + 2).cast("string"), F.lit("m")))),
+        e("Pháp lý", F.col("p_brand")),
+        F.when(k % 4 == 0, e("Diện tích", F.concat((s + 30).cast("string"), F.lit(" m2")))),
+    ), lambda x: x.isNotNull())
+    m = part.select("p_partkey", entries.alias("spec_entries"))
+    raw = m.select(
+        "p_partkey",
+        EX.spec_value(F.col("spec_entries"), "specs", "Mức giá").alias("price_text"),
+        EX.spec_value(F.col("spec_entries"), "specs", "Diện tích").alias("area_text"),
+        F.coalesce(F.nullif(EX.spec_value(F.col("spec_entries"), "specs", "Số phòng ngủ"), F.lit("")),
+                   EX.spec_value(F.col("spec_entries"), "specs", "Phòng ngủ")).alias("bedroom_text"),
+        EX.spec_first_containing(F.col("spec_entries"), "specs", "Mặt tiền").alias("frontage_text"),
+        EX.spec_first_containing(F.col("spec_entries"), "specs", "Pháp lý").alias("legal_text"))
+    typed = T.apply_keyed(raw, [("price", "price_text", "price"), ("area", "area_text", "area"),
+                                ("rooms", "bedroom_text", "bedroom"), ("frontage", "frontage_text", "frontage")],
+                          ["p_partkey", "legal_text"])
+    return typed.select("p_partkey", "price", "area", "bedroom", "frontage",
+                        T.clean_text("legal_text").alias("legal"))

@@ -429,3 +429,77 @@ SELECT id, {D.classify_type("concat_ws(' ', title, description)")} AS type,
        {D.clean_text(D.amenities('description'))} AS amenityLocation,
        true AS enriched
 FROM typed""")
+
+# ------------------------------------------------------------------ rule-driven extraction
+from ..functions.regex import WS as _WS  # noqa: E402
+
+
+def _inner(tag_re: str) -> str:
+    return f"regexp_extract(html, {D.q('(?is)' + tag_re + '(.*?)</' + tag_re.split('[')[0].lstrip('<') + '>')}, 1)"
+
+
+def _strip_join_text(frag: str) -> str:
+    """get_text(strip=True): text nodes stripped and joined without separator."""
+    no_tags = f"regexp_replace({frag}, {D.q(_WS + '*<[^>]*>' + _WS + '*')}, '', 'g')"
+    return D.py_strip(decode_entities(no_tags))
+
+
+def _page_text(html: str) -> str:
+    t = f"regexp_replace({html}, {D.q('(?is)<!DOCTYPE[^>]*>')}, '', 'g')"
+    t = f"regexp_replace({t}, {D.q('(?s)<!--.*?-->')}, '', 'g')"
+    t = f"regexp_replace({t}, {D.q('(?is)<script[^>]*>.*?</script>')}, '', 'g')"
+    t = f"regexp_replace({t}, {D.q('(?is)<style[^>]*>.*?</style>')}, '', 'g')"
+    t = f"regexp_replace({t}, '<[^>]*>', '', 'g')"
+    return decode_entities(t)
+
+
+_H1 = f"NULLIF(regexp_extract(html, {D.q('(?is)<h1[^>]*>')} || '', 0), '')"
+_h1_text = _strip_join_text(f"regexp_extract(html, {D.q(L.H1)}, 1)")
+_footer = _strip_join_text(f"regexp_extract(html, {D.q('(?is)<footer[^>]*>(.*?)</footer>')}, 1)")
+_ad = _strip_join_text(f"regexp_extract(html, {D.q('(?is)<div class=\"ad\">(.*?)</div>')}, 1)")
+_article = _strip_join_text(f"regexp_extract(html, {D.q('(?is)<article[^>]*>(.*?)</article>')}, 1)")
+oracle("page_text_rules", f"""
+SELECT page_id,
+       CASE WHEN regexp_matches(html, {D.q('(?is)<h1[^>]*>')}) THEN {_h1_text} END AS title,
+       CASE WHEN regexp_matches(html, {D.q('(?is)<footer[^>]*>')}) THEN {_footer} END AS footer,
+       CASE WHEN regexp_matches(html, {D.q('(?is)<div class="ad">')}) THEN {_ad} END AS ad_text,
+       md5({_article}) AS article_md5,
+       md5({_page_text('html')}) AS page_text_md5
+FROM pages""")
+
+oracle("rule_dispatch", f"""
+WITH p AS (
+  SELECT page_id, html,
+         regexp_extract({host_of('url')}, {D.q('([a-z0-9-]+[.][a-z]+)$')}, 1) AS source
+  FROM pages)
+SELECT page_id, source, source IN ('example.com', 'example.org') AS has_rules,
+       CASE WHEN source IN ('example.com', 'example.org') AND regexp_matches(html, {D.q('(?is)<h1[^>]*>')})
+            THEN {_h1_text} END AS title
+FROM p""")
+
+_nav = f"regexp_extract(html, {D.q('(?is)<nav[^>]*>(.*?)</nav>')}, 1)"
+oracle("page_links_rules", f"""
+WITH x AS (
+  SELECT page_id, url AS _base, regexp_extract_all({_nav}, {D.q('(?is)<li[^>]*>.*?</li>')}, 0) AS arr FROM pages),
+li AS (SELECT page_id, _base, unnest(arr) AS li, unnest(generate_series(1, len(arr))) AS pos FROM x),
+a AS (SELECT page_id, _base, pos, regexp_extract(li, {D.q(L.ANCHOR)}, 0) AS a FROM li)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) AS INTEGER) AS pos,
+       {absolute_url(decode_entities(_href), '_base')} AS url,
+       COALESCE({_title_attr}, {_strip_join_text(f"regexp_extract(a, {D.q(L.ANCHOR_INNER)}, 1)")}) AS title
+FROM a WHERE {_href} <> ''""")
+
+oracle("spec_map_lookup", f"""
+WITH raw AS (
+  SELECT p_partkey,
+         CAST(p_size AS VARCHAR) || ' triệu' AS price_text,
+         CASE WHEN p_partkey % 4 = 0 THEN CAST(p_size + 30 AS VARCHAR) || ' m2'
+              ELSE CAST(p_partkey % 300 + 20 AS VARCHAR) || ' m²' END AS area_text,
+         CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size % 5 + 1 AS VARCHAR) || ' PN'
+              ELSE CAST(p_size % 4 + 1 AS VARCHAR) || ' phòng ngủ' END AS bedroom_text,
+         CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size % 10 + 2 AS VARCHAR) || 'm' END AS frontage_text,
+         p_brand AS legal_text
+  FROM part)
+SELECT p_partkey, {D.extract_price('price_text')} AS price, {D.extract_area('area_text')} AS area,
+       {D.extract_rooms('bedroom_text')} AS bedroom, {D.extract_frontage('frontage_text')} AS frontage,
+       {D.clean_text('legal_text')} AS legal
+FROM raw""")
