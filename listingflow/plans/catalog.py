@@ -460,3 +460,53 @@ def q_spec_map_lookup(spark, sf_dir):
                           ["p_partkey", "legal_text"])
     return typed.select("p_partkey", "price", "area", "bedroom", "frontage",
                         T.clean_text("legal_text").alias("legal"))
+
+
+# ------------------------------------------------------------------ streaming (STR-1…6)
+from ..sources.tables import table_path  # noqa: E402
+from ..streaming import jobs as J  # noqa: E402
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    root = J.run_dir(spark, "ingest")
+    out = J.ingest(spark, table_path(sf_dir, "pages"), _generic_ruleset(), F.lit("generic"), _now(), root)
+    return spark.read.parquet(out).select(
+        "id", "title", "address", "city", "seller", "link", "source",
+        F.md5("description").alias("description_md5"))
+
+
+def _event_links(df):
+    return df.select("event_id", "ts", F.concat(F.lit("https://listing.example/"),
+                                                F.get_json_object("props", "$.k")).alias("link"))
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    root = J.run_dir(spark, "dedup")
+    path = table_path(sf_dir, "events")
+    stream = _event_links(J.file_stream(spark, path))
+    store = _event_links(read_table(spark, sf_dir, "events", ["event_id", "ts", "props"])).filter(
+        F.regexp_extract("link", "([0-9]+)$", 1).cast("int") < 10)
+    out = J.dedup_links(stream, store, root)
+    return J.read_all_batches(spark, out).select("link")
+
+
+@query("stream_progress")
+def q_stream_progress(spark, sf_dir):
+    root = J.run_dir(spark, "progress")
+    out = J.progress(J.event_feed(spark, table_path(sf_dir, "events")), root)
+    return J.latest_batch(spark, out)
+
+
+@query("stream_route")
+def q_stream_route(spark, sf_dir):
+    root = J.run_dir(spark, "route")
+    outs = J.route(J.event_feed(spark, table_path(sf_dir, "events")), J.default_routes(), root)
+    parts = [J.read_all_batches(spark, outs["listings"]).agg(F.count(F.lit(1)).alias("rows")).withColumn("sink", F.lit("listings")),
+             J.read_all_batches(spark, outs["sessions"]).agg(F.count(F.lit(1)).alias("rows")).withColumn("sink", F.lit("sessions")),
+             J.read_all_batches(spark, outs["log"]).agg(F.sum("count").cast("bigint").alias("rows")).withColumn("sink", F.lit("log"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("sink", "rows")

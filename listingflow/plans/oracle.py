@@ -503,3 +503,41 @@ SELECT p_partkey, {D.extract_price('price_text')} AS price, {D.extract_area('are
        {D.extract_rooms('bedroom_text')} AS bedroom, {D.extract_frontage('frontage_text')} AS frontage,
        {D.clean_text('legal_text')} AS legal
 FROM raw""")
+
+# ------------------------------------------------------------------ streaming
+oracle("stream_ingest", f"""
+WITH r AS (
+  SELECT url,
+         CASE WHEN regexp_matches(html, {D.q('(?is)<h1[^>]*>')}) THEN {_h1_text} END AS title_raw,
+         CASE WHEN regexp_matches(html, {D.q('(?is)<div class="ad">')}) THEN {_ad} END AS address_raw,
+         CASE WHEN regexp_matches(html, {D.q('(?is)<footer[^>]*>')}) THEN {_footer} END AS seller_raw,
+         {_article} AS desc_raw
+  FROM pages)
+SELECT sha256(url) AS id, NULLIF({D.clean_text('title_raw')}, '') AS title,
+       NULLIF({D.clean_text('address_raw')}, '') AS address, {D.extract_city('address_raw')} AS city,
+       NULLIF({D.clean_text('seller_raw')}, '') AS seller, url AS link, 'generic' AS source,
+       md5(NULLIF({D.clean_text('desc_raw')}, '')) AS description_md5
+FROM r""")
+
+oracle("stream_dedup", """
+WITH l AS (SELECT 'https://listing.example/' || json_extract_string(props, '$.k') AS link,
+                  CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+SELECT DISTINCT link FROM l
+WHERE link NOT IN (SELECT link FROM l WHERE k < 10)""")
+
+oracle("stream_progress", "WITH " + _FEED + """
+SELECT source,
+       CASE arg_max(CASE WHEN event IN ('crawl_started', 'crawl_completed', 'crawl_failed') THEN event END,
+                    CASE WHEN event IN ('crawl_started', 'crawl_completed', 'crawl_failed') THEN (ts, event_id) END)
+            WHEN 'crawl_started' THEN 'running' WHEN 'crawl_completed' THEN 'completed'
+            WHEN 'crawl_failed' THEN 'failed' ELSE 'idle' END AS status,
+       max(CASE WHEN event = 'crawl_started' THEN ts END) AS start_time,
+       max(CASE WHEN event IN ('crawl_completed', 'crawl_failed') THEN ts END) AS end_time,
+       CAST(count_if(event = 'property_extracted') AS BIGINT) AS total_items,
+       CAST(count(*) AS BIGINT) AS n_events
+FROM feed GROUP BY source""")
+
+oracle("stream_route", "WITH " + _FEED + """
+SELECT 'listings' AS sink, CAST(count_if(event = 'property_enriched') AS BIGINT) AS rows FROM feed
+UNION ALL SELECT 'sessions', CAST(count_if(event = 'crawl_completed') AS BIGINT) FROM feed
+UNION ALL SELECT 'log', CAST(count_if(event NOT IN ('property_enriched', 'crawl_completed')) AS BIGINT) FROM feed""")
