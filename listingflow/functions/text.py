@@ -91,9 +91,8 @@ def extract_phone(x) -> Column:
     s = _c(x)
     t = F.regexp_replace(s, r"[\t\n\x{0B}\f\r \p{Z}\x{85}\x{1C}-\x{1F}\-.]", "")
     raw = F.coalesce(*[_extract(t, p, 1) for p in P.PHONE_PATTERNS])
-    norm = (F.when(raw.startswith("+84"), F.concat(F.lit("0"), F.substring(raw, 4, 100)))
-            .when(raw.startswith("84"), F.concat(F.lit("0"), F.substring(raw, 3, 100)))
-            .otherwise(raw))
+    # '+84…' and '84…' become '0…' (a match of the first pattern already starts with '0')
+    norm = F.regexp_replace(raw, r"^(?:\+84|84)", "0")
     return F.when(s.isNull() | (s == ""), F.lit(None).cast("string")).otherwise(norm)
 
 

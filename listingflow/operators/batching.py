@@ -12,7 +12,8 @@ the rank is computed without any per-group shuffle:
    each partition's starting offset per group by a window over that small table;
 4. the offsets are joined back (AQE broadcasts them when they are small, checked at runtime).
 
-Steps 3 and 4 read the numbered rows twice.  Two reads of a range shuffle are not guaranteed to
+The input is persisted while the range shuffle samples and reads it (sampling is a job of its
+own), then released.  Steps 3 and 4 read the numbered rows twice.  Two reads of a range shuffle are not guaranteed to
 agree (each exchange samples its own bounds), so the numbered rows are written once with a
 reliable ``checkpoint()`` to the shared folder named by ``spark.checkpoint.dir`` and both reads
 use that copy.  This also cuts the lineage, so a lost executor does not recompute the sort.
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +38,9 @@ def rank_within(df: DataFrame, group: str, order_cols: Sequence[str], out: str =
     # An explicit partition count: AQE never coalesces it, so both reads of this shuffle
     # (counts and rows) see the same partition ids.
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = df.repartitionByRange(n, *keys)
+    # range partitioning samples its input in a separate job: keep the input for the shuffle
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    parts = src.repartitionByRange(n, *keys)
     numbered = (parts.sortWithinPartitions(*keys)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
@@ -44,6 +48,7 @@ def rank_within(df: DataFrame, group: str, order_cols: Sequence[str], out: str =
     numbered = numbered.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
     ensure_checkpoint_dir(df.sparkSession)
     numbered = numbered.checkpoint(eager=True)
+    src.unpersist()
     counts = (numbered.groupBy("_pid", group)
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")))
     w = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -20,14 +20,27 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: Iterable[str] | None = None, where: Column | str | None = None) -> DataFrame:
-    """SRC-3: scan a table; ``columns`` prunes, ``where`` is pushed down to parquet."""
+               columns: Iterable[str] | None = None, where: Column | str | None = None,
+               spread_out: bool = False) -> DataFrame:
+    """SRC-3: scan a table; ``columns`` prunes, ``where`` is pushed down to parquet.
+    ``spread_out`` is for CPU-heavy consumers (regex typing, HTML parsing): see ``spread``."""
     df = spark.read.parquet(table_path(sf_dir, name))
     if where is not None:
         df = df.filter(where)
     if columns:
         df = df.select(*columns)
-    return df
+    return spread(df) if spread_out else df
+
+
+def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
+    """Give a CPU-heavy stage enough tasks.  A scan yields one task per file split; a few large
+    files with one row group each (or a small table) give fewer tasks than cores, and a
+    regex-heavy projection then runs on a handful of cores.  Only in that case the rows are
+    spread round-robin over ``min_tasks`` partitions (default: twice the default
+    parallelism); a scan that already has enough splits is returned unchanged, so on a large
+    input this adds no shuffle.  Call it right after a scan (counting splits needs no job)."""
+    n = min_tasks or 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = TABLES) -> None:
@@ -37,5 +50,6 @@ def register_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = TAB
 
 
 def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-2: stored page snapshots ``(page_id, url, html)``; everything counts as fetched."""
-    return read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    """SRC-2: stored page snapshots ``(page_id, url, html)``; everything counts as fetched.
+    Parsing is CPU-bound, so the scan is spread over enough tasks (no-op on split inputs)."""
+    return read_table(spark, sf_dir, "pages", ["page_id", "url", "html"], spread_out=True)

@@ -123,7 +123,7 @@ VIEWS = {"v_text": V_TEXT, "v_listing": V_LISTING, "v_response": V_RESPONSE,
 
 
 def text_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"], spread_out=True)
     return spark.sql(V_TEXT, orders=orders)
 
 
@@ -142,7 +142,7 @@ def response_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def response_wide_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders", ["o_orderkey"])
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey"], spread_out=True)
     return spark.sql(V_RESPONSE_WIDE, orders=orders)
 
 
