@@ -7,6 +7,9 @@ including its first-match-wins orders; see ``patterns.py`` for the fixed values.
 
 from __future__ import annotations
 
+import functools
+
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +21,24 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def by_name(fn):
+    """Memoise a Column builder called with column *names*: the expression only names its
+    inputs, so it can be reused by every DataFrame of the same SparkContext.  Building the big
+    normalisers costs hundreds of JVM calls; this makes repeated query construction cheap."""
+    cache = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args):
+        if args and all(isinstance(a, str) for a in args):
+            key = (id(SparkContext._active_spark_context), args)
+            col = cache.get(key)
+            if col is None:
+                col = cache[key] = fn(*args)
+            return col
+        return fn(*args)
+    return wrapper
+
+
 def _extract(s: Column, pattern: str, group: int = 1) -> Column:
     """First match's group, null when there is no match (Spark gives '')."""
     return F.nullif(F.regexp_extract(s, pattern, group), F.lit(""))
@@ -32,6 +53,7 @@ def py_strip(x) -> Column:
     return F.regexp_replace(_c(x), STRIP, "")
 
 
+@by_name
 def clean_text(x) -> Column:
     """SCL-1: null/empty -> null; collapse whitespace; drop characters outside word chars,
     whitespace and the kept punctuation; trim.  May return ''."""
@@ -47,13 +69,16 @@ def _price_fallback(t: Column) -> Column:
         g1 = _extract(t, pattern, 1).try_cast("double")
         if groups == 2:
             g2 = _extract(t, pattern, 2).try_cast("double")
-            val = g1 + F.when(g2 < 10, g2 / 10.0).otherwise(g2 / 100.0)
+            # same division as "b/10 if b < 10 else b/100", with b read in always-evaluated
+            # positions so its code is generated once
+            val = g1 + g2 / F.when(g2 < 10, F.lit(10.0)).otherwise(F.lit(100.0))
         else:
             val = g1
         cands.append(val * F.lit(mult))
     return F.coalesce(*cands)
 
 
+@by_name
 def price_key(x) -> Column:
     """The text extract_price works on: lower-cased, ',' read as '.' (null for null/empty)."""
     s = _c(x)
@@ -61,11 +86,13 @@ def price_key(x) -> Column:
         F.regexp_replace(F.lower(s), ",", "."))
 
 
+@by_name
 def extract_price(x) -> Column:
     """SCL-2: Vietnamese price text -> VND as double (compat mode, quirks Q2 kept)."""
     return price_from_key(price_key(x))
 
 
+@by_name
 def price_from_key(key) -> Column:
     t = _c(key)
     total = None
@@ -76,16 +103,19 @@ def price_from_key(key) -> Column:
     return F.when(t.isNull(), F.lit(None).cast("double")).otherwise(out)
 
 
+@by_name
 def extract_area(x) -> Column:
     """SCL-3: area in m² from text, first of four unit patterns."""
     return area_from_key(price_key(x))
 
 
+@by_name
 def area_from_key(key) -> Column:
     t = _c(key)
     return F.coalesce(*[_extract(t, p, 1).try_cast("double") for p in P.AREA_PATTERNS])
 
 
+@by_name
 def extract_phone(x) -> Column:
     """SCL-4: Vietnamese phone number normalised to a leading 0 (personal data)."""
     s = _c(x)
@@ -96,6 +126,7 @@ def extract_phone(x) -> Column:
     return F.when(s.isNull() | (s == ""), F.lit(None).cast("string")).otherwise(norm)
 
 
+@by_name
 def mask_phone(x) -> Column:
     """Masked form of a phone number: first 3 and last 2 digits kept."""
     p = _c(x)
@@ -104,6 +135,7 @@ def mask_phone(x) -> Column:
                  F.substring(p, -2, 2)))
 
 
+@by_name
 def lower_key(x) -> Column:
     """Lower-cased text, null for null/empty: the input of the room counters."""
     s = _c(x)
@@ -118,19 +150,23 @@ def _count_from_key(key, patterns) -> Column:
     return F.coalesce(*cands)
 
 
+@by_name
 def rooms_from_key(key) -> Column:
     return _count_from_key(key, P.ROOM_PATTERNS)
 
 
+@by_name
 def bathrooms_from_key(key) -> Column:
     return _count_from_key(key, P.BATH_PATTERNS)
 
 
+@by_name
 def extract_rooms(x) -> Column:
     """SCL-5: bedroom count."""
     return rooms_from_key(lower_key(x))
 
 
+@by_name
 def extract_bathrooms(x) -> Column:
     """SCL-6: bathroom count (bare 'phòng' is tried first, quirk Q4 kept)."""
     return bathrooms_from_key(lower_key(x))
@@ -139,21 +175,30 @@ def extract_bathrooms(x) -> Column:
 _DATE_FORMATS = {"dmy": "d{sep}M{sep}yyyy", "ymd": "yyyy{sep}M{sep}d"}
 
 
+@by_name
 def date_key(x) -> Column:
     """The text parse_date works on: lower-cased, then clean_text (null for null/empty)."""
     return clean_text(F.lower(_c(x)))
 
 
-def parse_date_key(key, as_of) -> Column:
-    """SCL-7 on a ``date_key`` column.  Each date shape is matched whole and parsed with a
-    strict format, so an impossible calendar date falls through to the next shape."""
+@by_name
+def date_abs_key(key) -> Column:
+    """The absolute part of SCL-7 on a ``date_key``: each date shape is matched whole and
+    parsed with a strict format, so an impossible calendar date falls through to the next."""
     t = _c(key)
-    now = _c(as_of)
     cands = []
     for pattern, order in P.DATE_PATTERNS:
         sep = "/" if "/" in pattern else "-"
         whole = F.regexp_extract(t, pattern, 0)
         cands.append(F.try_to_timestamp(whole, F.lit(_DATE_FORMATS[order].format(sep=sep))))
+    return F.coalesce(*cands).cast("timestamp_ntz")
+
+
+@by_name
+def date_rel_key(key) -> Column:
+    """The relative part of SCL-7 on a ``date_key``: a day-time interval to count back from the
+    snapshot time, or null when the text names no relative date."""
+    t = _c(key)
     days = _extract(t, P.DATE_DAYS_AGO, 1).try_cast("int")
     hours = _extract(t, P.DATE_HOURS_AGO, 1).try_cast("int")
     minutes = _extract(t, P.DATE_MINUTES_AGO, 1).try_cast("int")
@@ -165,19 +210,28 @@ def parse_date_key(key, as_of) -> Column:
             cond = c if cond is None else (cond | c)
         return cond
 
-    relative = (
-        F.when(has_any(P.DATE_TODAY), now)
-        .when(has_any(P.DATE_YESTERDAY), now - F.make_dt_interval(F.lit(1)))
-        .when(t.contains(P.DATE_WEEK_WORDS[0]) & t.contains(P.DATE_WEEK_WORDS[1]),
-              now - F.make_dt_interval(F.lit(7)))
-        .when(days.isNotNull(), now - F.make_dt_interval(days))
-        .when(hours.isNotNull(), now - F.make_dt_interval(F.lit(0), hours))
-        .when(minutes.isNotNull(), now - F.make_dt_interval(F.lit(0), F.lit(0), minutes))
-    )
-    out = F.coalesce(*cands, relative.cast("timestamp_ntz"))
+    return (F.when(has_any(P.DATE_TODAY), F.make_dt_interval(F.lit(0)))
+            .when(has_any(P.DATE_YESTERDAY), F.make_dt_interval(F.lit(1)))
+            .when(t.contains(P.DATE_WEEK_WORDS[0]) & t.contains(P.DATE_WEEK_WORDS[1]), F.make_dt_interval(F.lit(7)))
+            .when(days.isNotNull(), F.make_dt_interval(days))
+            .when(hours.isNotNull(), F.make_dt_interval(F.lit(0), hours))
+            .when(minutes.isNotNull(), F.make_dt_interval(F.lit(0), F.lit(0), minutes)))
+
+
+def apply_date_parts(abs_ts, rel, as_of) -> Column:
+    """Absolute date if any, else ``as_of`` minus the relative interval (each read once)."""
+    return F.coalesce(_c(abs_ts), (_c(as_of) - _c(rel)).cast("timestamp_ntz"))
+
+
+@by_name
+def parse_date_key(key, as_of) -> Column:
+    """SCL-7 on a ``date_key`` column: absolute shapes first, then relative phrases."""
+    t = _c(key)
+    out = apply_date_parts(date_abs_key(t), date_rel_key(t), as_of)
     return F.when(t.isNull(), F.lit(None).cast("timestamp_ntz")).otherwise(out)
 
 
+@by_name
 def parse_date(x, as_of) -> Column:
     """SCL-7: date text -> timestamp; relative phrases count back from ``as_of``.
 
@@ -187,11 +241,13 @@ def parse_date(x, as_of) -> Column:
     return parse_date_key(date_key(x), as_of)
 
 
+@by_name
 def posted_date(x, as_of) -> Column:
     """PRJ-15: parsed date cut to midnight, as a ``date``."""
     return F.to_date(parse_date(x, as_of))
 
 
+@by_name
 def posted_date_key(key, as_of) -> Column:
     return F.to_date(parse_date_key(key, as_of))
 
@@ -201,23 +257,27 @@ def format_date(x) -> Column:
     return F.date_format(_c(x), "dd/MM/yyyy")
 
 
+@by_name
 def frontage_key(x) -> Column:
     """Stripped, lower-cased text with ',' as '.', the input of extract_frontage."""
     c = _c(x)
     return F.regexp_replace(F.lower(py_strip(c.cast("string"))), ",", ".")
 
 
+@by_name
 def frontage_from_key(key) -> Column:
     t = _c(key)
     plain = F.when(t.rlike(P.FRONTAGE_NUMBER), t.try_cast("double"))
     return F.coalesce(plain, _extract(t, P.FRONTAGE_METRES, 1).try_cast("double"))
 
 
+@by_name
 def extract_frontage(x) -> Column:
     """SCL-8: frontage in metres: a plain number, or a number followed by 'm' (not m²/m2)."""
     return frontage_from_key(frontage_key(x))
 
 
+@by_name
 def city_key(x) -> Column:
     """Last comma part of an address, stripped, administrative prefix removed."""
     s = _c(x)
@@ -226,11 +286,13 @@ def city_key(x) -> Column:
     return F.when(s.isNull() | (s == ""), F.lit(None).cast("string")).otherwise(part)
 
 
+@by_name
 def extract_city(x) -> Column:
     """SCL-9: canonical city from an address (text after the last comma)."""
     return city_from_key(city_key(x))
 
 
+@by_name
 def city_from_key(key) -> Column:
     part = _c(key)
     low = F.lower(part)
@@ -243,6 +305,7 @@ def city_from_key(key) -> Column:
     return F.when(part.isNull(), F.lit(None).cast("string")).otherwise(out)
 
 
+@by_name
 def is_valid_url(x) -> Column:
     """FLT-7: URL shape test (scheme, domain/localhost/IP, port, path)."""
     s = _c(x)
@@ -259,12 +322,14 @@ def contains_ci(x, needle: str) -> Column:
     return F.lower(_c(x)).contains(needle.lower())
 
 
+@by_name
 def unit_price(price, area) -> Column:
     """PRJ-14: round(price / area, 2) when both are positive; half-up rounding."""
     p, a = _c(price), _c(area)
     return F.when((p > 0) & (a > 0), F.floor(p / a * 100 + 0.5) / 100)
 
 
+@by_name
 def map_property_type(x) -> Column:
     """SCL-10: exact type, else first allowed type contained either way, else the default."""
     s = _c(x)
@@ -276,6 +341,7 @@ def map_property_type(x) -> Column:
     return F.when(s.isNull() | (s == ""), F.lit(None).cast("string")).otherwise(out)
 
 
+@by_name
 def classify_type(x) -> Column:
     """ENR-8: property type from keywords in free text, first rule that matches."""
     t = F.lower(_c(x))
@@ -289,12 +355,14 @@ def classify_type(x) -> Column:
     return chain
 
 
+@by_name
 def legal_phrase(x) -> Column:
     """ENR-9: the first legal-document phrase, verbatim, or null."""
     pat = "(?iu)(" + "|".join(P.LEGAL_PHRASES) + ")"
     return _extract(_c(x), pat, 1)
 
 
+@by_name
 def amenities(x) -> Column:
     """ENR-10: nearby-amenity phrases found in the text, verbatim, in rule order."""
     s = _c(x)
@@ -324,5 +392,5 @@ KEYED = {
 def apply_keyed(df, specs, keep=()):
     """``specs``: list of ``(kind, source column, output name)``; returns ``keep`` + outputs."""
     keep = list(keep)
-    k = df.select(*keep, *[KEYED[kind][0](F.col(src)).alias("_k_" + out) for kind, src, out in specs])
-    return k.select(*keep, *[KEYED[kind][1](F.col("_k_" + out)).alias(out) for kind, src, out in specs])
+    k = df.select(*keep, *[KEYED[kind][0](src).alias("_k_" + out) for kind, src, out in specs])
+    return k.select(*keep, *[KEYED[kind][1]("_k_" + out).alias(out) for kind, src, out in specs])

@@ -112,7 +112,8 @@ def latest_reply_per_id(items: DataFrame, order: Sequence[str] = ("pos",)) -> Da
 
 # Per-field normalisation of reply values (the reference's update rules), as
 # (key expression on the raw value, final expression on the key).
-_IDENT = (lambda v: v)
+def _IDENT(v):
+    return F.col(v) if isinstance(v, str) else v
 
 
 def _value_rule(field: str):
@@ -137,33 +138,60 @@ def _value_rule(field: str):
     raise ValueError(field)
 
 
-def merge_replies(listing: DataFrame, replies: DataFrame, as_of: str = "crawled_at",
-                  fields: Sequence[str] = P.ENRICH_FIELDS) -> DataFrame:
-    """ENR-5/6 + JOIN-4: left join on id; a field whose key is present in the reply is replaced
-    by its normalised value (a JSON null clears it); absent keys keep the old value; the unit
-    price is recomputed when still empty.  Adds ``enriched``.  Row-wise: one bad value cannot
-    abort a batch (fixes Q10).
-
-    Two projections (value keys, then typed values) keep each codegen method compact."""
-    r = replies.select(F.col("item_id").alias("_rid"), F.col("item").alias("_m"))
-    j = listing.join(r, F.col("id").cast("string") == F.col("_rid"), "left")
-    m = F.col("_m")
+def _values(listing: DataFrame, cols):
+    out = []
+    for c in cols:
+        k = "_k_" + c
+        if c == "postedDate":
+            out += [X.date_abs_key(k).alias("_va_" + c), X.date_rel_key(k).alias("_vr_" + c)]
+        else:
+            out.append(_value_rule(c)[1](k).cast(listing.schema[c].dataType).alias("_v_" + c))
+    return out
+
+
+def _value_names(cols):
+    return [n for c in cols for n in (["_va_" + c, "_vr_" + c] if c == "postedDate" else ["_v_" + c])]
+
+
+def merge_reply_items(listing: DataFrame, items: DataFrame, order: Sequence[str] = (), as_of: str = "crawled_at",
+                      fields: Sequence[str] = P.ENRICH_FIELDS) -> DataFrame:
+    """ENR-5/6 + JOIN-4 + AGG-8 on parsed reply objects ``(item_id, *order, item)``.
+
+    The last object per id wins (``max_by`` over ``order``, combined map-side).  Reply values
+    are normalised on the reply side, in two code-generation stages split by that
+    aggregation's shuffle (the price before it, the other fields after it), so the listing side
+    only evaluates a cheap CASE per field after the left join.  A present key replaces the
+    field (a JSON null clears it), an absent key keeps it, the unit price is recomputed when
+    still empty, and ``enriched`` marks replied rows.  Row-wise: one bad value cannot abort a
+    batch (fixes Q10).  A relative posted date is applied to the listing's ``as_of``."""
     merge_cols = [c for c in listing.columns if c in fields]
-    keyed = j.select(
-        *listing.columns, m.isNotNull().alias("_hit"),
-        *[(m.isNotNull() & F.map_contains_key(m, c)).alias("_p_" + c) for c in merge_cols],
+    m = F.col("item")
+    ordering = F.struct(*[F.col(c) for c in order]) if order else F.struct(F.lit(0))
+    keyed = items.select(
+        "item_id", ordering.alias("_ord"),
+        *[F.map_contains_key(m, c).alias("_p_" + c) for c in merge_cols],
         *[_value_rule(c)[0](F.element_at(m, F.lit(c))).alias("_k_" + c) for c in merge_cols])
+    first = [c for c in merge_cols if c == "price"]
+    rest = [c for c in merge_cols if c not in first]
+    flags = ["_p_" + c for c in merge_cols]
+    carried = flags + _value_names(first) + ["_k_" + c for c in rest]
+    stage1 = keyed.select("item_id", "_ord", *flags, *_values(listing, first), *[F.col("_k_" + c) for c in rest])
+    latest = (stage1.groupBy("item_id")
+              .agg(F.max_by(F.struct(*carried), F.col("_ord")).alias("_r"))
+              .select(F.col("item_id").alias("_rid"), *[F.col("_r." + n).alias(n) for n in carried]))
+    typed = latest.select("_rid", *flags, *_value_names(first), *_values(listing, rest))
+    j = listing.join(typed, F.col("id").cast("string") == F.col("_rid"), "left")
     out = []
     for c in listing.columns:
         if c in merge_cols:
-            key_fn, final_fn = _value_rule(c)
-            k = F.col("_k_" + c)
-            new = (X.posted_date_key(k, F.col(as_of)) if c == "postedDate" else final_fn(k))
-            new = new.cast(listing.schema[c].dataType)
+            if c == "postedDate":
+                new = F.to_date(X.apply_date_parts(F.col("_va_" + c), F.col("_vr_" + c), F.col(as_of)))
+            else:
+                new = F.col("_v_" + c)
             out.append(F.when(F.col("_p_" + c), new).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
-    merged = keyed.select(*out, F.col("_hit").alias("enriched"))
+    merged = j.select(*out, F.col("_rid").isNotNull().alias("enriched"))
     if {"unit_price", "price", "area"} <= set(listing.columns):
         up, p, a = F.col("unit_price"), F.col("price"), F.col("area")
         recompute = ((up.isNull() | (up == 0)) & p.isNotNull() & (p != 0) & a.isNotNull() & (a != 0))
@@ -172,6 +200,12 @@ def merge_replies(listing: DataFrame, replies: DataFrame, as_of: str = "crawled_
     return merged
 
 
+def merge_replies(listing: DataFrame, replies: DataFrame, as_of: str = "crawled_at",
+                  fields: Sequence[str] = P.ENRICH_FIELDS) -> DataFrame:
+    """ENR-5: merge replies that are already one per id ``(item_id, item)``."""
+    return merge_reply_items(listing, replies.select("item_id", "item"), (), as_of, fields)
+
+
 # ------------------------------------------------------------------ enricher hook (ENR-7, UDF-5)
 ENRICHER_SCHEMA = "batch_key string, text string"
 
@@ -199,8 +233,7 @@ def enrich(listing: DataFrame, enricher: Enricher, group: str = "source",
     req = req.repartition("batch_key").sortWithinPartitions("batch_key", "id")
     replies = req.mapInPandas(enricher, ENRICHER_SCHEMA)
     items = parse_replies(replies, "text", keep=["batch_key"])
-    latest = latest_reply_per_id(items, ["batch_key", "pos"])
-    return merge_replies(listing, latest, as_of)
+    return merge_reply_items(listing, items, ["batch_key", "pos"], as_of)
 
 
 def rule_based_enricher(batch_size: int = P.ENRICH_BATCH) -> Enricher:

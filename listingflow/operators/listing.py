@@ -88,16 +88,16 @@ def normalise(raw: DataFrame, keep_phone: bool = False) -> DataFrame:
     )
     typed = keys.select(
         "id", "title", "address",
-        X.city_from_key(F.col("_city")).alias("city"),
+        X.city_from_key("_city").alias("city"),
         "seller", "numberPhone",
-        X.price_from_key(F.col("_price")).alias("price"),
-        X.area_from_key(F.col("_area")).alias("area"),
+        X.price_from_key("_price").alias("price"),
+        X.area_from_key("_area").alias("area"),
         "link",
-        X.posted_date_key(F.col("_date"), F.col("crawled_at")).alias("postedDate"),
-        X.rooms_from_key(F.col("_rooms")).alias("bedroom"),
-        X.bathrooms_from_key(F.col("_baths")).alias("bathroom"),
+        X.posted_date_key("_date", "crawled_at").alias("postedDate"),
+        X.rooms_from_key("_rooms").alias("bedroom"),
+        X.bathrooms_from_key("_baths").alias("bathroom"),
         F.col("legal_text").alias("legal"),
-        X.frontage_from_key(F.col("_front")).alias("frontage"),
+        X.frontage_from_key("_front").alias("frontage"),
         "description",
         F.lit(None).cast("string").alias("amenityLocation"),
         F.lit(None).cast("string").alias("type"),

@@ -378,8 +378,7 @@ def q_type_map(spark, sf_dir):
 @query("response_merge")
 def q_response_merge(spark, sf_dir):
     items = EN.parse_replies(V.response_wide_view(spark, sf_dir), "text", keep=["id"])
-    latest = EN.latest_reply_per_id(items.withColumnRenamed("id", "resp_id"), ["resp_id", "pos"])
-    return EN.merge_replies(_typed(spark, sf_dir), latest)
+    return EN.merge_reply_items(_typed(spark, sf_dir), items.withColumnRenamed("id", "resp_id"), ["resp_id", "pos"])
 
 
 @query("enrich_hook")
