@@ -223,7 +223,8 @@ def enrich(listing: DataFrame, enricher: Enricher, group: str = "source",
     batch is sent, with the batch's missing fields; an enricher answers only what is missing.
     """
     miss = listing.withColumn("_missing", missing_fields(listing))
-    batched = batch_ids(miss, group, ["link", "id"], size)
+    batched = batch_ids(miss, group, ["link", "id"], size)      # checkpointed: computed once
+    base = batched.select(*listing.columns)                       # the merge reuses those rows
     req = batched.select(
         F.concat_ws("/", F.col(group), F.col("batch").cast("string")).alias("batch_key"),
         F.col("id").cast("string").alias("id"),
@@ -233,7 +234,7 @@ def enrich(listing: DataFrame, enricher: Enricher, group: str = "source",
     req = req.repartition("batch_key").sortWithinPartitions("batch_key", "id")
     replies = req.mapInPandas(enricher, ENRICHER_SCHEMA)
     items = parse_replies(replies, "text", keep=["batch_key"])
-    return merge_reply_items(listing, items, ["batch_key", "pos"], as_of)
+    return merge_reply_items(base, items, ["batch_key", "pos"], as_of)
 
 
 def rule_based_enricher(batch_size: int = P.ENRICH_BATCH) -> Enricher:
@@ -267,14 +268,24 @@ def rule_based_enricher(batch_size: int = P.ENRICH_BATCH) -> Enricher:
         return out
 
     def fn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # rows arrive sorted by batch_key: cut a reply whenever the key changes or the
+        # batch is full (the end of each Arrow batch flushes, STR-2)
         for pdf in frames:
-            keys, texts = [], []
-            for key, grp in pdf.groupby("batch_key", sort=False):
-                rows = grp.to_dict("records")
-                for i in range(0, len(rows), batch_size):
-                    chunk = rows[i:i + batch_size]
-                    keys.append(key)
-                    texts.append("```json\n" + json.dumps([answer(r) for r in chunk], ensure_ascii=False) + "\n```")
+            keys, texts, chunk, cur = [], [], [], None
+            cols = list(pdf.columns)
+
+            def flush():
+                if chunk:
+                    keys.append(cur)
+                    texts.append("```json\n" + json.dumps(chunk, ensure_ascii=False) + "\n```")
+
+            for values in zip(*(pdf[c].tolist() for c in cols)):
+                row = dict(zip(cols, values))
+                if row["batch_key"] != cur or len(chunk) >= batch_size:
+                    flush()
+                    chunk, cur = [], row["batch_key"]
+                chunk.append(answer(row))
+            flush()
             yield pd.DataFrame({"batch_key": keys, "text": texts})
 
     return fn
