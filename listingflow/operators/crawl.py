@@ -31,7 +31,7 @@ def crawl(list_pages: DataFrame, detail_pages: DataFrame, store: DataFrame, rule
     known = store.select("link").distinct()
     new = cand.join(known, "link", "left_anti")                              # JOIN-2
     dup = cand.join(known, "link", "left_semi")                              # JOIN-3
-    snap = detail_pages.select(F.col("url").alias("link"), "page_id", "html")
+    snap = LS.successful(detail_pages).select(F.col("url").alias("link"), "page_id", "html")  # FLT-1
     fetched = new.join(snap, "link", "inner")                               # JOIN-7
     raw = EX.parse_detail_pages(
         fetched.select("page_id", F.col("link").alias("url"), "source", "html"), rules)

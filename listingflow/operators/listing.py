@@ -61,6 +61,16 @@ def _col_or_null(df: DataFrame, name: str, typ: str = "string") -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(typ)
 
 
+def successful(snapshots: DataFrame) -> DataFrame:
+    """FLT-1: keep successfully fetched snapshots (all of them when there is no flag)."""
+    return snapshots.filter(F.col("success")) if "success" in snapshots.columns else snapshots
+
+
+def zero_as_null(df: DataFrame, cols=("price", "area", "unit_price", "frontage")) -> DataFrame:
+    """PRJ-13: the falsy → null coercion some sites apply (``value if value else None``)."""
+    return df.withColumns({c: F.nullif(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in cols if c in df.columns})
+
+
 def normalise(raw: DataFrame, keep_phone: bool = False) -> DataFrame:
     """PRJ-6 output → typed listing (SCL-1…9, PRJ-12…15).  ``crawled_at`` is the ``as_of``
     for relative dates.  Empty strings become null, as in the reference's field assignment.

@@ -79,6 +79,11 @@ def recent_sessions(stats: DataFrame, k: int = 10) -> DataFrame:
     return stats.orderBy(F.col("start_time").desc(), F.col("source"), F.col("session_id")).limit(k)
 
 
+def progress_for(feed: DataFrame, source: str | None = None) -> DataFrame:
+    """AGG-7: progress of one source (filter pushed to the feed) or of all sources."""
+    return progress(feed if source is None else feed.filter(F.col("source") == source))
+
+
 def progress(feed: DataFrame) -> DataFrame:
     """AGG-4: per-source progress, the fold of the reference's observer as aggregates.
 

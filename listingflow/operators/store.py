@@ -74,6 +74,12 @@ def write_snapshot(df: DataFrame, root: str, partition_by: str = "source",
     return path
 
 
+def append_rows(df: DataFrame, path: str) -> str:
+    """SNK-2: append documents to a named table directory (new files only, never rewrites)."""
+    df.write.mode("append").parquet(path)
+    return path
+
+
 def duplicate_keys(df: DataFrame, key: str = "link") -> DataFrame:
     """SNK-9 uniqueness assertion: keys stored more than once (should be empty)."""
     return df.groupBy(key).count().filter(F.col("count") > 1)

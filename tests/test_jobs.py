@@ -109,3 +109,23 @@ def test_muaban_page_via_crawl_rules(spark):
     pages = _pages(spark, [(7, "https://muaban.net/a/7", "muaban.net", MUABAN)])
     raw = EX.parse_detail_pages(pages, EX.RuleSet(EX.site_rules()))
     assert raw.select("price_text").first()[0] == "1,8 tỷ"
+
+
+def test_small_operators(spark, tmp_path):
+    from listingflow.operators import stats as S
+    snaps = spark.createDataFrame([(1, True), (2, False)], "page_id long, success boolean")
+    assert [r[0] for r in LS.successful(snaps).collect()] == [1]
+    z = LS.zero_as_null(spark.createDataFrame([(0.0, 5.0)], "price double, area double")).first()
+    assert (z["price"], z["area"]) == (None, 5.0)
+    feed = S.crawl_events(spark.read.parquet(SF + "/events.parquet"))
+    one = S.progress_for(feed, "src7").collect()
+    assert len(one) == 1 and one[0]["source"] == "src7"
+    path = str(tmp_path / "docs")
+    ST.append_rows(spark.createDataFrame([(1,)], "a int"), path)
+    ST.append_rows(spark.createDataFrame([(2,)], "a int"), path)
+    assert sorted(r[0] for r in spark.read.parquet(path).collect()) == [1, 2]
+    snap = ST.write_snapshot(QUERIES["normalise_listing"](spark, SF), str(tmp_path / "store"))
+    back = spark.read.parquet(snap)
+    assert back.count() == QUERIES["normalise_listing"](spark, SF).count()
+    plan = back.filter(F.col("source") == "site1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source" in plan
