@@ -511,3 +511,26 @@ def q_stream_route(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("sink", "rows")
+
+
+# ------------------------------------------------------------------ the full crawl (§3 entry 1)
+from ..operators import crawl as CR  # noqa: E402
+
+
+@query("crawl_stats")
+def q_crawl_stats(spark, sf_dir):
+    """Result pages → links → known-link anti join → detail snapshots → parse → type → validate
+    → per-source statistics.  Derived from ``pages``: a page's detail snapshot is keyed by its
+    first nav link (one snapshot per link: the smallest page id), the store knows every second
+    nav link."""
+    pages = read_pages(spark, sf_dir).withColumn("source", F.lit("generic"))
+    rules = _generic_ruleset()
+    nav = EX.parse_list_pages(pages, rules).select(
+        "page_id", "pos", L.absolute_url(F.col("href"), F.col("url")).alias("link"))
+    first = (nav.filter(F.col("pos") == 1).groupBy("link").agg(F.min("page_id").alias("page_id")))
+    details = (pages.join(first, "page_id", "inner")
+               .select("page_id", F.col("link").alias("url"), "source", "html"))
+    store = nav.filter(F.col("pos") == 2).select("link")
+    out = CR.crawl(pages, details, store, rules, _now())
+    return out["stats"].select("source", "total_pages", "successful_items", "failed_items", "duplicate_items",
+                               "not_fetched_items", "total_items", "status")

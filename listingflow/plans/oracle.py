@@ -541,3 +541,31 @@ oracle("stream_route", "WITH " + _FEED + """
 SELECT 'listings' AS sink, CAST(count_if(event = 'property_enriched') AS BIGINT) AS rows FROM feed
 UNION ALL SELECT 'sessions', CAST(count_if(event = 'crawl_completed') AS BIGINT) FROM feed
 UNION ALL SELECT 'log', CAST(count_if(event NOT IN ('property_enriched', 'crawl_completed')) AS BIGINT) FROM feed""")
+
+# ------------------------------------------------------------------ the full crawl
+oracle("crawl_stats", f"""
+WITH x AS (
+  SELECT page_id, url AS _base, regexp_extract_all({_nav}, {D.q('(?is)<li[^>]*>.*?</li>')}, 0) AS arr FROM pages),
+li AS (SELECT page_id, _base, unnest(arr) AS li, unnest(generate_series(1, len(arr))) AS pos FROM x),
+a AS (SELECT page_id, _base, pos, regexp_extract(li, {D.q(L.ANCHOR)}, 0) AS a FROM li),
+nav AS (
+  SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS pos,
+         {absolute_url(decode_entities(_href), '_base')} AS link
+  FROM a WHERE {_href} <> ''),
+cand AS (SELECT DISTINCT link FROM nav),
+known AS (SELECT DISTINCT link FROM nav WHERE pos = 2),
+snap AS (SELECT DISTINCT link FROM nav WHERE pos = 1),
+o AS (
+  SELECT c.link,
+         CASE WHEN k.link IS NOT NULL THEN 'duplicate'
+              WHEN s.link IS NOT NULL THEN 'success' ELSE 'not_fetched' END AS outcome
+  FROM cand c LEFT JOIN known k ON c.link = k.link LEFT JOIN snap s ON c.link = s.link)
+SELECT 'generic' AS source,
+       (SELECT CAST(count(*) AS BIGINT) FROM pages) AS total_pages,
+       CAST(count_if(outcome = 'success') AS BIGINT) AS successful_items,
+       CAST(0 AS BIGINT) AS failed_items,
+       CAST(count_if(outcome = 'duplicate') AS BIGINT) AS duplicate_items,
+       CAST(count_if(outcome = 'not_fetched') AS BIGINT) AS not_fetched_items,
+       CAST(count_if(outcome IN ('success', 'duplicate')) AS BIGINT) AS total_items,
+       'completed' AS status
+FROM o""")
