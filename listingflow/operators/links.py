@@ -22,14 +22,15 @@ H1 = r"(?is)<h1[^>]*>(.*?)</h1>"
 ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*@)?([^/?#:]*)"
 
-# HTML entities decoded in extracted text ('&amp;' last).
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
-            ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&")]
+# HTML entities decoded in extracted text, as (pattern, character).  These legacy
+# names decode with or without the ';' (as an HTML parser does); '&amp' goes last.
+ENTITIES = [("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;?", "'"), ("&#[xX]27;?", "'"),
+            ("&nbsp;?", "\u00a0"), ("&copy;?", "\u00a9"), ("&middot;?", "\u00b7"), ("&amp;?", "&")]
 
 
 def decode_entities(c: Column) -> Column:
-    for k, v in ENTITIES:
-        c = F.replace(c, F.lit(k), F.lit(v))
+    for pattern, char in ENTITIES:
+        c = F.regexp_replace(c, pattern, char)
     return c
 
 

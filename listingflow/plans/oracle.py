@@ -24,8 +24,8 @@ def with_views(*names: str) -> str:
 
 
 def decode_entities(s: str) -> str:
-    for k, v in L.ENTITIES:
-        s = f"replace({s}, {D.q(k)}, {D.q(v)})"
+    for pattern, char in L.ENTITIES:
+        s = f"regexp_replace({s}, {D.q(pattern)}, {D.q(char)}, 'g')"
     return s
 
 

@@ -177,3 +177,12 @@ def test_keyed_equals_inline(spark):
     inline = [r[0] for r in df.select(T.extract_price("s")).collect()]
     keyed = [r[0] for r in T.apply_keyed(df, [("price", "s", "p")]).collect()]
     assert inline == keyed
+
+
+def test_entities_match_html_parser(spark):
+    from listingflow.functions import html as H
+    from listingflow.operators.links import decode_entities
+    samples = ["a &amp; b", "x&amp", "&amp;amp;", "&copy; 2024 &middot; y", "&quot;q&quot", "&lt;b&gt;", "&amplt;",
+               "&am", "A&nbsp;B"]
+    got = eval_rows(spark, "s string", [(s,) for s in samples], decode_entities(F.col("s")))
+    assert [g[0] for g in got] == [H.parse(s).text() for s in samples]
