@@ -123,7 +123,9 @@ def test_clean_text(spark):
     assert [g[0] for g in got] == [e for _, e in CLEAN]
 
 
-def test_clean_text_idempotent(spark):
+def test_clean_text_second_pass(spark):
+    # Not idempotent in the reference either: deleting a character between two spaces leaves a
+    # double space that a second pass collapses.  A second pass does nothing else.
     from hypothesis import given, settings, strategies as st
     samples = []
 
@@ -136,7 +138,8 @@ def test_clean_text_idempotent(spark):
     df = spark.createDataFrame([(s,) for s in samples], "s string")
     once = df.select(T.clean_text("s").alias("c"))
     twice = once.select("c", T.clean_text("c").alias("cc"))
-    bad = twice.filter(F.col("c").isNotNull() & (F.col("c") != "") & ~F.col("cc").eqNullSafe(F.col("c")))
+    collapsed = F.regexp_replace("c", " +", " ")
+    bad = twice.filter(F.col("c").isNotNull() & (F.col("c") != "") & ~F.col("cc").eqNullSafe(collapsed))
     assert bad.count() == 0
 
 
