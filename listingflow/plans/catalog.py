@@ -14,8 +14,17 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import links as L
+from ..operators import crawl as CR
+from ..operators import enrich as EN
+from ..operators import extract as EX
+from ..operators import frontier as FR
+from ..operators import listing as LS
+from ..operators import stats as S
+from ..operators import store as ST
+from ..sources import registry as R
+from ..streaming import jobs as J
 from ..sources import views as V
-from ..sources.tables import read_pages, read_table
+from ..sources.tables import read_pages, read_table, table_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: Dict[str, Builder] = {}
@@ -125,10 +134,6 @@ def q_amenities(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ frontier and joins
-from ..operators import frontier as FR  # noqa: E402
-from ..operators import stats as S  # noqa: E402
-from ..operators import store as ST  # noqa: E402
-from ..sources import registry as R  # noqa: E402
 
 NOW = "2024-06-01 00:00:00"   # the job's "now", a parameter (never the wall clock)
 PAGES_CAP = 3                 # pages per search URL in the frontier queries
@@ -293,8 +298,6 @@ def q_event_counts(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ typed listing, validation
-from ..operators import enrich as EN  # noqa: E402
-from ..operators import listing as LS  # noqa: E402
 
 
 def _raw_from_text(spark, sf_dir):
@@ -388,7 +391,6 @@ def q_enrich_hook(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ rule-driven extraction
-from ..operators import extract as EX  # noqa: E402
 
 RULED_SOURCES = ("example.com", "example.org")   # sources registered with the generic rules
 
@@ -464,8 +466,6 @@ def q_spec_map_lookup(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ streaming (STR-1…6)
-from ..sources.tables import table_path  # noqa: E402
-from ..streaming import jobs as J  # noqa: E402
 
 
 @query("stream_ingest")
@@ -514,7 +514,6 @@ def q_stream_route(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ the full crawl (§3 entry 1)
-from ..operators import crawl as CR  # noqa: E402
 
 
 @query("crawl_stats")

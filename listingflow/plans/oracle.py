@@ -11,6 +11,9 @@ from typing import Dict
 from ..operators import links as L
 from ..sources.views import duck_view_sql
 from . import duck as D
+from ..functions.regex import WS as _WS
+from ..operators.enrich import DEFAULT_TEMPLATE
+from ..functions import patterns as PT
 
 ORACLES: Dict[str, str] = {}
 
@@ -261,8 +264,6 @@ FROM f JOIN s ON f.source = s.source""")
 oracle("event_counts", "WITH " + _FEED + "\nSELECT source, event, CAST(count(*) AS BIGINT) AS count FROM feed GROUP BY source, event")
 
 # ------------------------------------------------------------------ typed listing, validation
-from ..functions import patterns as PT  # noqa: E402
-from ..operators.enrich import DEFAULT_TEMPLATE  # noqa: E402
 
 _TYPED = with_views("v_text") + f""",
 raw AS (
@@ -431,7 +432,6 @@ SELECT id, {D.classify_type("concat_ws(' ', title, description)")} AS type,
 FROM typed""")
 
 # ------------------------------------------------------------------ rule-driven extraction
-from ..functions.regex import WS as _WS  # noqa: E402
 
 
 def _inner(tag_re: str) -> str:
