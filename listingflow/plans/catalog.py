@@ -24,7 +24,7 @@ from ..operators import store as ST
 from ..sources import registry as R
 from ..streaming import jobs as J
 from ..sources import views as V
-from ..sources.tables import read_pages, read_table, table_path
+from ..sources.tables import named_table, read_pages, read_table, register_tables, table_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: Dict[str, Builder] = {}
@@ -259,7 +259,8 @@ def q_count_filtered(spark, sf_dir):
 
 @query("total_count")
 def q_total_count(spark, sf_dir):
-    return S.total_count(_docs(spark, sf_dir))
+    (name,) = register_tables(spark, sf_dir, ["documents"], prefix="lf_")     # SRC-4
+    return S.total_count(named_table(spark, name))
 
 
 @query("union_sources")

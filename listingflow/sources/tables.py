@@ -43,10 +43,19 @@ def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = TABLES) -> None:
-    """SRC-4: named-table access through temp views (``spark.table(name)``)."""
+def register_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = TABLES,
+                    prefix: str = "") -> list:
+    """SRC-4: named-table access through session temp views (``spark.table(prefix + name)``)."""
+    out = []
     for name in names:
-        spark.read.parquet(table_path(sf_dir, name)).createOrReplaceTempView(name)
+        spark.read.parquet(table_path(sf_dir, name)).createOrReplaceTempView(prefix + name)
+        out.append(prefix + name)
+    return out
+
+
+def named_table(spark: SparkSession, name: str) -> DataFrame:
+    """SRC-4: the reference's ``get_collection(name)``."""
+    return spark.table(name)
 
 
 def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
