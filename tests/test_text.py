@@ -39,7 +39,9 @@ def test_price(spark):
 
 AREA = [("80 m²", 80.0), ("80,5m2", 80.5), ("100 mét vuông", 100.0), ("50 met vuong", 50.0),
         ("3 m 2", 3.0), ("Diện tích: 1.200 m2", 1.2), ("75", None), ("", None), (None, None),
-        ("120 M2", 120.0)]
+        ("120 M2", 120.0), ("Diện tích 45m2", 45.0), ("45 m2 đất", 45.0), ("DT: 5x20m", None),
+        ("1000m²", 1000.0), ("12.5 m²", 12.5), ("12,5 m²", 12.5), ("mét vuông 30", None),
+        ("60\u00a0m²", 60.0), ("khoảng 70m2, sổ đỏ", 70.0), ("3 tầng, 50 m²", 50.0)]
 
 
 def test_area(spark):
@@ -62,10 +64,12 @@ def test_phone(spark):
 
 ROOMS = [("3 phòng ngủ", 3), ("2PN", 2), ("4 bedroom", 4), ("4 bedrooms", None), ("1 bed", 1),
          ("5", 5), (" 6 ", 6), ("không rõ", None), ("2 phòng", 2), ("3pn+1", 3), ("Studio", None),
-         ("", None), (None, None)]
+         ("", None), (None, None), ("2 PN + 1", 2), ("3 phòng ngủ, 2 wc", 3), ("1 ngủ", 1), ("1ngủ", None),
+         ("10", 10), ("0", 0), ("abc 4", None), ("2 Phòng", 2), ("5 pnx", 5)]
 BATHS = [("2 WC", 2), ("3 phòng ngủ 2 wc", 3),       # Q4: bare 'phòng' first
          ("1 toilet", 1), ("2 bathrooms", None), ("2 phòng tắm", 2), ("4", 4), ("2wc", 2),
-         ("1 bathroom", 1), ("", None), (None, None)]
+         ("1 bathroom", 1), ("", None), (None, None), ("2 nhà vệ sinh", None), ("2 vệ sinh", 2),
+         ("3 tắm", 3), ("1 bath", 1), ("2 toilets", None), ("3 WC riêng", 3)]
 
 
 @pytest.mark.parametrize("fn,table", [(T.extract_rooms, ROOMS), (T.extract_bathrooms, BATHS)])
@@ -81,7 +85,11 @@ DATES = [("12/05/2024", dt.date(2024, 5, 12)), ("5-3-2024", dt.date(2024, 3, 5))
          ("2 tuần trước", dt.date(2024, 6, 8)),        # Q3: any 'tuần … trước' is one week
          ("3 ngày trước", dt.date(2024, 6, 12)), ("5 giờ trước", dt.date(2024, 6, 14)),
          ("30 phút trước", dt.date(2024, 6, 14)), ("Đăng ngày 01/01/2023 lúc 9h", dt.date(2023, 1, 1)),
-         ("1 tháng trước", None), ("", None), ("abc", None), (None, None)]
+         ("1 tháng trước", None), ("", None), ("abc", None), (None, None), ("1/1/2024", dt.date(2024, 1, 1)),
+         ("29/02/2023", None), ("2024/13/01", None), ("Today", dt.date(2024, 6, 15)),
+         ("yesterday 10:00", dt.date(2024, 6, 14)), ("3 tuần trước", dt.date(2024, 6, 8)),
+         ("10 ngày trước", dt.date(2024, 6, 5)), ("24 giờ trước", dt.date(2024, 6, 14)),
+         ("Ngày đăng: 15-06-2024", dt.date(2024, 6, 15)), ("2024-06-1", dt.date(2024, 6, 1))]
 
 
 def test_posted_date(spark):
@@ -93,7 +101,9 @@ def test_posted_date(spark):
 
 
 FRONT = [("5", 5.0), ("5,5", 5.5), ("mặt tiền 6m", 6.0), ("8m2", None), ("4.5 m", 4.5), (" 7 ", 7.0),
-         ("abc", None), ("12m²", None), ("1e2", 100.0), ("nan", None), (None, None)]
+         ("abc", None), ("12m²", None), ("1e2", 100.0), ("nan", None), (None, None), ("10", 10.0),
+         ("-3", -3.0), ("+2.5", 2.5), ("mặt tiền 4,5 m", 4.5), ("3.5m x 20m", 3.5), ("5 M", 5.0),
+         ("", None), (".5", 0.5), ("5.", 5.0)]
 
 
 def test_frontage(spark):
@@ -105,7 +115,11 @@ CITY = [("Quận 1, TP. Hồ Chí Minh", "Hồ Chí Minh"), ("Cầu Giấy, Thà
         ("Thủ Đức, TPHCM", "Hồ Chí Minh"), ("Dĩ An, Tỉnh Bình Dương", "Bình Dương"),
         ("Da Nang", "Đà Nẵng"), ("Huế", "Huế"), ("Phường 5, Đà Lạt, Lâm Đồng, Việt Nam", None),
         ("Nha Trang, Khánh Hòa", "Khánh Hòa"), ("Biên Hòa, Đồng Nai", "Đồng Nai"),
-        ("Q.3, tp. hồ chí minh", "Hồ Chí Minh"), ("", None), (None, None)]
+        ("Q.3, tp. hồ chí minh", "Hồ Chí Minh"), ("", None), (None, None), ("Hà Nội", "Hà Nội"),
+        ("Quận Hải Châu, Đà Nẵng", "Đà Nẵng"), ("Thành phố Cần Thơ", "Cần Thơ"),
+        ("Huyện Củ Chi, TP Hồ Chí Minh", "Hồ Chí Minh"), ("Vũng Tàu, Bà Rịa - Vũng Tàu", "Vũng Tàu"),
+        ("Sài Gòn", "Hồ Chí Minh"), ("Bình Thạnh, Hồ Chí Minh, Vietnam", None), ("Tỉnh Khánh Hòa", "Khánh Hòa"),
+        ("Phú Quốc, Kiên Giang VN", "Kiên Giang"), ("hue", "Huế"), ("Tp. Thủ Đức", "Thủ Đức")]
 
 
 def test_city(spark):
@@ -115,7 +129,10 @@ def test_city(spark):
 
 CLEAN = [("  Nhà  đẹp ★ ", "Nhà đẹp"), ("50m² (sổ hồng)", "50m² (sổ hồng)"), ("a\tb\nc", "a b c"),
          ("★", ""), ("", None), (None, None), ("Giá: 5 tỷ!!!", "Giá: 5 tỷ!!!"),
-         ("emoji 😀 x", "emoji  x"), ("a  b", "a b"), ("[x]{y}|z~`'\"", "[x]{y}|z~`'\"")]
+         ("emoji 😀 x", "emoji  x"), ("a  b", "a b"), ("[x]{y}|z~`'\"", "[x]{y}|z~`'\""),
+         ("Giá  1,5 tỷ/m²", "Giá 1,5 tỷ/m²"), ("«quote»", "quote"), ("tab\there", "tab here"),
+         ("line1\r\nline2", "line1 line2"), ("x — y", "x  y"), ("100%", "100%"), ("email@ex.com", "email@ex.com"),
+         ("₫5000", "5000"), ("ÁNH SÁNG", "ÁNH SÁNG"), ("\u00a0\u00a0a\u00a0", "a")]
 
 
 def test_clean_text(spark):
@@ -144,7 +161,8 @@ def test_clean_text_second_pass(spark):
 
 
 TYPES = [("Căn hộ", "căn hộ"), ("nhà", "nhà phố"), ("khác", "căn hộ"), ("", None), (None, None),
-         ("biệt thự sân vườn", "biệt thự"), ("Đất", "đất nền"), ("SHOPHOUSE", "shophouse")]
+         ("biệt thự sân vườn", "biệt thự"), ("Đất", "đất nền"), ("SHOPHOUSE", "shophouse"), ("Nhà phố", "nhà phố"),
+         ("căn hộ chung cư", "căn hộ"), ("đất", "đất nền"), ("kho", "kho xưởng"), ("Villa", "căn hộ"), ("hộ", "căn hộ")]
 
 
 def test_property_type(spark):
@@ -154,7 +172,10 @@ def test_property_type(spark):
 
 URLS = [("https://batdongsan.com.vn/ban", True), ("http://localhost:8080/x", True), ("ftp://x.com", False),
         ("https://192.168.1.1", True), ("https://example", False), ("http://a.b.c.com/p q", False),
-        ("", False), ("HTTPS://EXAMPLE.COM/", True)]
+        ("", False), ("HTTPS://EXAMPLE.COM/", True), ("http://a.co", True),
+        ("https://sub.domain.example.com/path?q=1", True), ("https://exa_mple.com", False), ("http://localhost", True),
+        ("https://1.2.3.4:8080/x", True), ("https://example.c", False), ("https://example.technology", False),
+        ("https://example.com.", True), ("example.com", False), ("https://example.com/path\n", True)]
 
 
 def test_url_valid(spark):
