@@ -29,6 +29,14 @@ PRICE = [
     ("Thỏa thuận", None),
     ("", None),
     (None, None),
+    ("Giá: 3,5 tỷ", 3_500_000_000.0),
+    ("1 tỷ 2", 1_000_000_000.0),
+    ("950tr", 950_000_000.0),
+    ("7.5 triệu/tháng", 7_500_000.0),
+    ("Liên hệ", None),
+    ("100 nghìn", 100_000.0),
+    ("2,5tr", 2_500_000.0),
+    ("15 ty", 15_000_000_000.0),
 ]
 
 
@@ -52,7 +60,9 @@ def test_area(spark):
 PHONE = [("Liên hệ 0912 345 678", "0912345678"), ("+84 912.345.678", "0912345678"),
          ("84-912-345-678", "0912345678"), ("no phone", None), ("", None), (None, None),
          ("Giá 10.000.000.000", "0000000000"),       # Q15: long prices look like phones
-         ("gọi 09123456789 ngay", "09123456789")]
+         ("gọi 09123456789 ngay", "09123456789"), ("0987.654.321", "0987654321"),
+         ("SĐT: 028 3822 1234", "02838221234"), ("12345", None), ("+84-28-3822-1234", "02838221234"),
+         ("849", None), ("0912 345 67", None)]
 
 
 def test_phone(spark):
