@@ -534,3 +534,10 @@ def q_crawl_stats(spark, sf_dir):
     out = CR.crawl(pages, details, store, rules, _now())
     return out["stats"].select("source", "total_pages", "successful_items", "failed_items", "duplicate_items",
                                "not_fetched_items", "total_items", "status")
+
+
+@query("stream_progress_fold")
+def q_stream_progress_fold(spark, sf_dir):
+    root = J.run_dir(spark, "progress-fold")
+    out = J.progress_fold(J.event_feed(spark, table_path(sf_dir, "events")), root)
+    return J.latest_batch(spark, out)

@@ -569,3 +569,24 @@ SELECT 'generic' AS source,
        CAST(count_if(outcome IN ('success', 'duplicate')) AS BIGINT) AS total_items,
        'completed' AS status
 FROM o""")
+
+oracle("stream_progress_fold", "WITH " + _FEED + """,
+f AS (
+  SELECT source,
+         max(CASE WHEN event = 'crawl_started' THEN ts END) AS start_time,
+         max(CASE WHEN event IN ('crawl_completed', 'crawl_failed') THEN ts END) AS end_time,
+         arg_max(CASE WHEN event IN ('crawl_started', 'crawl_completed', 'crawl_failed') THEN event END,
+                 CASE WHEN event IN ('crawl_started', 'crawl_completed', 'crawl_failed') THEN (ts, event_id) END) AS _last,
+         CAST(count_if(event = 'property_extracted') AS BIGINT) AS total_items,
+         CAST(count(*) AS BIGINT) AS n_events
+  FROM feed GROUP BY source),
+s AS (
+  SELECT feed.source,
+         CAST(count_if(event = 'property_extracted' AND (f.start_time IS NULL OR feed.ts > f.start_time)) AS BIGINT)
+           AS processed_items
+  FROM feed JOIN f ON feed.source = f.source GROUP BY feed.source)
+SELECT f.source,
+       CASE _last WHEN 'crawl_started' THEN 'running' WHEN 'crawl_completed' THEN 'completed'
+                  WHEN 'crawl_failed' THEN 'failed' ELSE 'idle' END AS status,
+       s.processed_items, f.total_items, f.start_time, f.end_time, f.n_events
+FROM f JOIN s ON f.source = s.source""")

@@ -119,6 +119,69 @@ def progress(feed: DataFrame, root: str) -> str:
     return out
 
 
+def progress_fold(feed: DataFrame, root: str) -> str:
+    """STR-4 exactly: the observer's per-source state machine (status, processed items since
+    the latest start, totals, start/end) folded over micro-batches in arrival order.
+
+    Each micro-batch is summarised per source with native aggregations (partial + final, so a
+    hot source is not one task); the summary is merged with the previous state table — one
+    row per source — and written to ``state/batch=<id>`` (a replay rewrites the same batch)."""
+    state = os.path.join(root, "state")
+    spark = feed.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        e = F.col("event")
+        life = F.when(e.isin("crawl_started", "crawl_completed", "crawl_failed"), e)
+        batch = batch.persist()
+        try:
+            summ = batch.groupBy("source").agg(
+                F.max(F.when(e == "crawl_started", F.col("ts"))).alias("b_start"),
+                F.max(F.when(e.isin("crawl_completed", "crawl_failed"), F.col("ts"))).alias("b_end"),
+                F.max_by(life, F.when(life.isNotNull(), F.struct("ts", "event_id"))).alias("b_last"),
+                F.count_if(e == "property_extracted").alias("b_views"),
+                F.count(F.lit(1)).alias("b_events"))
+            after = (batch.join(summ.select("source", "b_start"), "source")
+                     .groupBy("source")
+                     .agg(F.count_if((e == "property_extracted") &
+                                     (F.col("b_start").isNull() | (F.col("ts") > F.col("b_start")))).alias("b_after")))
+            summ = summ.join(after, "source")
+            prev = _previous_state(spark, state, batch_id)
+            j = prev.join(summ, "source", "full_outer") if prev is not None else summ
+            col = (lambda c: F.col(c)) if prev is not None else (lambda c: F.lit(None))
+            status = (F.when(F.col("b_last") == "crawl_started", F.lit("running"))
+                      .when(F.col("b_last") == "crawl_completed", F.lit("completed"))
+                      .when(F.col("b_last") == "crawl_failed", F.lit("failed"))
+                      .otherwise(F.coalesce(col("status"), F.lit("idle"))))
+            new = j.select(
+                "source", status.alias("status"),
+                F.when(F.col("b_start").isNotNull(), F.col("b_after"))
+                 .otherwise(F.coalesce(col("processed_items"), F.lit(0)) + F.coalesce(F.col("b_views"), F.lit(0)))
+                 .cast("bigint").alias("processed_items"),
+                (F.coalesce(col("total_items"), F.lit(0)) + F.coalesce(F.col("b_views"), F.lit(0))).cast("bigint").alias("total_items"),
+                F.coalesce(F.col("b_start"), col("start_time")).cast("timestamp_ntz").alias("start_time"),
+                F.coalesce(F.col("b_end"), col("end_time")).cast("timestamp_ntz").alias("end_time"),
+                (F.coalesce(col("n_events"), F.lit(0)) + F.coalesce(F.col("b_events"), F.lit(0))).cast("bigint").alias("n_events"))
+            new.write.mode("overwrite").parquet(os.path.join(state, f"batch={batch_id}"))
+        finally:
+            batch.unpersist()
+
+    _run(feed.writeStream.foreachBatch(write).option("checkpointLocation", os.path.join(root, "_ckpt")))
+    return state
+
+
+def _previous_state(spark: SparkSession, state: str, batch_id: int):
+    """The state table written by the newest earlier micro-batch, or None before the first."""
+    try:
+        all_batches = spark.read.parquet(state)
+    except Exception:  # noqa: BLE001 - no state written yet
+        return None
+    older = all_batches.filter(F.col("batch") < batch_id)
+    newest = older.agg(F.max("batch")).first()[0]
+    if newest is None:
+        return None
+    return older.filter(F.col("batch") == newest).drop("batch")
+
+
 def latest_batch(spark: SparkSession, out: str) -> DataFrame:
     """The output of the newest micro-batch of a complete-mode sink (``batch`` is a partition
     column, so the filter prunes to one directory)."""

@@ -42,3 +42,20 @@ def test_dedup_stream_across_files(spark, tmp_path):
     assert len(got) == len(set(got))                                         # each link once over all batches
     exp = {r[0] for r in ev.select(link).distinct().join(store, "link", "left_anti").collect()}
     assert set(got) == exp
+
+
+def test_progress_fold_over_batches_equals_batch(spark, tmp_path):
+    ev = spark.read.parquet(SF + "/events.parquet")
+    folder = str(tmp_path / "by_time")
+    cuts = ["2024-01-01", "2024-01-11", "2024-01-21", "2100-01-01"]
+    for i in range(3):                       # files arrive in event-time order: part0, part1, part2
+        ev.filter((F.col("ts") >= cuts[i]) & (F.col("ts") < cuts[i + 1])).coalesce(1).write.parquet(
+            os.path.join(folder, f"part{i}"))
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(folder, "part*"))
+    out = J.progress_fold(S.crawl_events(stream.select("event_id", "ts", "user_id", "event_type")),
+                          J.run_dir(spark, "test-fold"))
+    assert spark.read.parquet(out).select("batch").distinct().count() == 3
+    cols = ["source", "status", "processed_items", "total_items", "start_time", "end_time"]
+    got = sorted(map(tuple, J.latest_batch(spark, out).select(*cols).collect()))
+    exp = sorted(map(tuple, S.progress(S.crawl_events(ev)).select(*cols).collect()))
+    assert got == exp
