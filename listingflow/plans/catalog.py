@@ -150,7 +150,7 @@ def _registry(spark, sf_dir):
 
 
 def _state(spark, sf_dir):
-    return R.state_from_suppliers(read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"]))
+    return R.state_from_suppliers(read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"]))
 
 
 @query("pagination_urls")
@@ -184,28 +184,30 @@ def q_state_seed(spark, sf_dir):
 
 @query("state_upsert")
 def q_state_upsert(spark, sf_dir):
-    sup = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
-    changes = sup.filter(F.col("s_suppkey") % 5 == 0).select(
-        F.col("s_name").alias("name"), (F.col("s_suppkey") % 10 == 0).alias("enabled"))
+    sup = read_table(spark, sf_dir, "supplier", ["s_name", "s_acctbal"])
+    changes = sup.filter(F.col("s_acctbal") > 5000).select(
+        F.col("s_name").alias("name"), (F.col("s_acctbal") > 7500).alias("enabled"))
     return ST.state_upsert(_state(spark, sf_dir), changes, _now())
 
 
 @query("state_toggle")
 def q_state_toggle(spark, sf_dir):
-    sup = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
-    names = (sup.filter(F.col("s_suppkey") % 7 == 0).select(F.col("s_name").alias("name"))
-             .unionByName(sup.filter(F.col("s_suppkey") % 7 == 0)
-                          .select(F.concat(F.lit("unknown-"), F.col("s_name")).alias("name"))))
+    sup = read_table(spark, sf_dir, "supplier", ["s_name", "s_nationkey"])
+    picked = sup.filter(F.col("s_nationkey").isin(7, 20))          # nation 20 has no stored state
+    names = (picked.select(F.col("s_name").alias("name"))
+             .unionByName(picked.select(F.concat(F.lit("unknown-"), F.col("s_name")).alias("name"))))
     return ST.state_toggle(_state(spark, sf_dir), names, True, _now())
 
 
 def _candidates(spark, sf_dir):
-    v = V.text_view(spark, sf_dir).select("id", F.col("link").alias("url"))
-    return v.unionByName(v.filter(F.col("id") % 5 == 0))
+    """Candidate links: every listing, and the 1999 listings a second time (found twice)."""
+    v = V.text_view(spark, sf_dir).select("id", F.col("link").alias("url"), "as_of")
+    return v.unionByName(v.filter(F.year("as_of") == 1999)).select("id", "url")
 
 
 def _store(spark, sf_dir):
-    return V.listing_view(spark, sf_dir).filter(F.col("id") % 2 == 1)
+    """The known-link store: listings crawled before 1997."""
+    return V.listing_view(spark, sf_dir).filter(F.col("crawled_at") < F.lit("1997-01-01").cast("timestamp_ntz"))
 
 
 @query("new_links")
@@ -233,7 +235,8 @@ def _updates(spark, sf_dir):
 
 @query("append_unique")
 def q_append_unique(spark, sf_dir):
-    batch = V.listing_view(spark, sf_dir).filter(F.col("id") % 3 == 0).unionByName(_updates(spark, sf_dir))
+    batch = (V.listing_view(spark, sf_dir).filter(F.year("crawled_at") == 1998)
+             .unionByName(_updates(spark, sf_dir)))
     return ST.append_unique(_store(spark, sf_dir), batch).select("id", "link", "status")
 
 

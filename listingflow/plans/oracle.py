@@ -125,7 +125,7 @@ reg AS (
   FROM supplier),
 st AS (
   SELECT s_name AS name, s_suppkey % 3 <> 0 AS enabled, TIMESTAMP '2024-01-01 00:00:00' AS updated_at
-  FROM supplier WHERE s_suppkey % 4 <> 0)"""
+  FROM supplier WHERE s_nationkey <= 18)"""
 _URLS = _REG + """,
 su AS (SELECT name, base_url, unnest(generate_series(1, n_urls)) AS i FROM reg),
 su2 AS (SELECT name, base_url || '/search/' || CAST(i AS VARCHAR)
@@ -151,14 +151,14 @@ UNION ALL
 SELECT r.name, COALESCE(r.enabled, true) AS enabled, {_NOW} AS updated_at
 FROM reg r WHERE NOT EXISTS (SELECT 1 FROM st s WHERE s.name = r.name)""")
 oracle("state_upsert", "WITH " + _REG + f""",
-ch AS (SELECT s_name AS name, s_suppkey % 10 = 0 AS enabled FROM supplier WHERE s_suppkey % 5 = 0)
+ch AS (SELECT s_name AS name, s_acctbal > 7500 AS enabled FROM supplier WHERE s_acctbal > 5000)
 SELECT COALESCE(s.name, c.name) AS name,
        CASE WHEN c.name IS NOT NULL THEN c.enabled ELSE s.enabled END AS enabled,
        CASE WHEN c.name IS NOT NULL THEN {_NOW} ELSE s.updated_at END AS updated_at
 FROM st s FULL OUTER JOIN ch c ON s.name = c.name""")
 oracle("state_toggle", "WITH " + _REG + f""",
-nm AS (SELECT s_name AS name FROM supplier WHERE s_suppkey % 7 = 0
-       UNION ALL SELECT 'unknown-' || s_name FROM supplier WHERE s_suppkey % 7 = 0),
+nm AS (SELECT s_name AS name FROM supplier WHERE s_nationkey IN (7, 20)
+       UNION ALL SELECT 'unknown-' || s_name FROM supplier WHERE s_nationkey IN (7, 20)),
 hits AS (SELECT DISTINCT name FROM nm)
 SELECT s.name,
        CASE WHEN h.name IS NOT NULL THEN true ELSE s.enabled END AS enabled,
@@ -167,9 +167,9 @@ SELECT s.name,
 FROM st s LEFT JOIN hits h ON s.name = h.name""")
 
 _LINKS = with_views("v_text", "v_listing") + """,
-cand AS (SELECT link AS url FROM v_text UNION ALL SELECT link FROM v_text WHERE id % 5 = 0),
+cand AS (SELECT link AS url FROM v_text UNION ALL SELECT link FROM v_text WHERE year(as_of) = 1999),
 c AS (SELECT DISTINCT url FROM cand),
-store AS (SELECT * FROM v_listing WHERE id % 2 = 1)
+store AS (SELECT * FROM v_listing WHERE crawled_at < TIMESTAMP '1997-01-01 00:00:00')
 """
 oracle("new_links", _LINKS + "SELECT url FROM c WHERE NOT EXISTS (SELECT 1 FROM store s WHERE s.link = c.url)")
 oracle("known_links", _LINKS + "SELECT url FROM c WHERE EXISTS (SELECT 1 FROM store s WHERE s.link = c.url)")
@@ -187,8 +187,8 @@ _UPD = ("WITH " + ",\n".join(f"{n} AS ({duck_view_sql(n)})" for n in ("v_listing
 upd AS (SELECT id + 100000000 AS id, link, title, price, area, bedroom, legal, source, crawled_at FROM v_listing_updates)
 """)
 oracle("append_unique", _UPD + """,
-store AS (SELECT * FROM v_listing WHERE id % 2 = 1),
-batch AS (SELECT * FROM v_listing WHERE id % 3 = 0 UNION ALL SELECT * FROM upd),
+store AS (SELECT * FROM v_listing WHERE crawled_at < TIMESTAMP '1997-01-01 00:00:00'),
+batch AS (SELECT * FROM v_listing WHERE year(crawled_at) = 1998 UNION ALL SELECT * FROM upd),
 known AS (SELECT DISTINCT link FROM store),
 first AS (SELECT link, min(id) AS first_id FROM batch GROUP BY link)
 SELECT b.id, b.link,

@@ -66,9 +66,9 @@ def registry_from_suppliers(supplier: DataFrame) -> DataFrame:
                     F.lit(2).alias("delay")))
 
 
-def state_from_suppliers(supplier: DataFrame) -> DataFrame:
-    """Stored website state for three quarters of the suppliers (the rest are new sites)."""
-    return (supplier.filter(F.col("s_suppkey") % 4 != 0)
+def state_from_suppliers(supplier: DataFrame) -> DataFrame:  # needs s_suppkey, s_name, s_nationkey
+    """Stored website state for suppliers of nations 0-18 (the others are new sites)."""
+    return (supplier.filter(F.col("s_nationkey") <= 18)
             .select(F.col("s_name").alias("name"),
                     (F.col("s_suppkey") % 3 != 0).alias("enabled"),
                     F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("updated_at")))

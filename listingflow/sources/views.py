@@ -94,10 +94,12 @@ SELECT o_orderkey AS id,
 FROM {orders}
 """
 
-# Wider model replies: more fields, numbers, nulls and text around the fenced array
+# Wider model replies: more fields, numbers, nulls and text around the fenced array; every
+# seventh reply carries no JSON array at all (the enricher failed), so its listing passes through
 V_RESPONSE_WIDE = """
 SELECT o_orderkey AS id,
-  concat('Kết quả:', chr(10), '```json', chr(10), '[{{"id":"', cast(o_orderkey AS string), '"',
+  CASE WHEN o_orderkey % 7 = 0 THEN 'Xin lỗi, không có dữ liệu.'
+  ELSE concat('Kết quả:', chr(10), '```json', chr(10), '[{{"id":"', cast(o_orderkey AS string), '"',
     CASE o_orderkey % 4
       WHEN 0 THEN ',"price":"2,5 tỷ","area":"80 m2"'
       WHEN 1 THEN ',"price":null,"area":75,"unit_price":0'
@@ -105,17 +107,17 @@ SELECT o_orderkey AS id,
       ELSE ',"postedDate":"12/05/2024","city":"Quận 3, TP.HCM","title":"  Nhà  đẹp ★ "' END,
     CASE o_orderkey % 3 WHEN 0 THEN ',"legal":"sổ hồng"' WHEN 1 THEN ',"legal":null' ELSE '' END,
     ',"type":"', CASE o_orderkey % 3 WHEN 0 THEN 'Căn hộ' WHEN 1 THEN 'nhà' ELSE 'khác' END, '"}}]',
-    chr(10), '```') AS text
+    chr(10), '```') END AS text
 FROM {orders}
-WHERE o_orderkey % 7 <> 0
 """
 
-# Re-crawl copies for upsert tests: every third listing again, price + 1, one day later
+# Re-crawl copies for upsert tests: listings first crawled from 2000 on, again one day later
+# with price + 1
 V_LISTING_UPDATES = """
 SELECT id, link, title, price + 1 AS price, area, bedroom, legal, source,
        crawled_at + INTERVAL 1 DAY AS crawled_at
 FROM ({listing}) l
-WHERE id % 3 = 0
+WHERE year(crawled_at) >= 2000
 """
 
 VIEWS = {"v_text": V_TEXT, "v_listing": V_LISTING, "v_response": V_RESPONSE,
