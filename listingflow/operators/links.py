@@ -50,9 +50,13 @@ def absolute_url(href: Column, base: Column) -> Column:
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     base_dir = F.regexp_replace(F.regexp_replace(base, r"[?#].*$", ""), r"[^/]*$", "")
     has_path = F.regexp_replace(base, ORIGIN, "").startswith("/")
+    no_query = F.regexp_replace(base, r"[?#].*$", "")
+    no_frag = F.regexp_replace(base, r"#.*$", "")
     return (F.when(href.startswith("http"), href)
             .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
             .when(href.startswith("/"), F.concat(origin, href))
+            .when(href.startswith("?"), F.concat(no_query, href))
+            .when(href.startswith("#"), F.concat(no_frag, href))
             .when(has_path, F.concat(base_dir, href))
             .otherwise(F.concat(origin, F.lit("/"), href)))
 

@@ -49,6 +49,8 @@ def absolute_url(href: str, base: str) -> str:
     return (f"CASE WHEN starts_with({href}, 'http') THEN {href} "
             f"WHEN starts_with({href}, '//') THEN {scheme} || ':' || {href} "
             f"WHEN starts_with({href}, '/') THEN {origin} || {href} "
+            f"WHEN starts_with({href}, '?') THEN regexp_replace({base}, {D.q('[?#].*$')}, '') || {href} "
+            f"WHEN starts_with({href}, '#') THEN regexp_replace({base}, {D.q('#.*$')}, '') || {href} "
             f"WHEN {has_path} THEN {base_dir} || {href} "
             f"ELSE {origin} || '/' || {href} END")
 

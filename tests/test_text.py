@@ -220,3 +220,14 @@ def test_entities_match_html_parser(spark):
                "&am", "A&nbsp;B"]
     got = eval_rows(spark, "s string", [(s,) for s in samples], decode_entities(F.col("s")))
     assert [g[0] for g in got] == [H.parse(s).text() for s in samples]
+
+
+def test_absolute_url_matches_urljoin(spark):
+    from urllib.parse import urljoin
+    from listingflow.operators.links import absolute_url
+    cases = [("https://x.com", "tin/1"), ("https://x.com/a/b", "c"), ("https://x.com/a/b?q=1", "?p=2"),
+             ("https://x.com/a/b#top", "#f"), ("https://x.com/a/", "/root"), ("http://x.com/a", "//cdn.y.com/z"),
+             ("https://x.com/a", "https://other.com/q"), ("https://x.com/a/b.html?x=1", "c.html"),
+             ("https://batdongsan.com.vn", "/ban-nha/1")]
+    got = eval_rows(spark, "b string, h string", cases, absolute_url(F.col("h"), F.col("b")))
+    assert [g[0] for g in got] == [urljoin(b, h) if not h.startswith("http") else h for b, h in cases]
