@@ -129,3 +129,21 @@ def test_small_operators(spark, tmp_path):
     assert back.count() == QUERIES["normalise_listing"](spark, SF).count()
     plan = back.filter(F.col("source") == "site1")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source" in plan
+
+
+def test_readme_usage(spark, tmp_path):
+    from listingflow.operators import crawl, enrich, extract, store
+    src = "batdongsan.com.vn"
+    result_pages = _pages(spark, [(100, "https://batdongsan.com.vn/nha-dat-ban", src, LIST)])
+    detail_pages = _pages(spark, [(1, "https://batdongsan.com.vn/tin/1", src, BATDONGSAN),
+                                  (2, "https://batdongsan.com.vn/tin/2", src, BATDONGSAN)])
+    known = spark.createDataFrame([], LS.LISTING_SCHEMA)
+    rules = extract.RuleSet(extract.site_rules())
+    run_time = F.lit(NOW).cast("timestamp_ntz")
+    out = crawl.crawl(result_pages, detail_pages, known, rules, run_time)
+    filled = enrich.enrich(out["valid"], enrich.rule_based_enricher())
+    new_store = store.upsert(known, filled.drop("enriched"), key="link")
+    path = store.write_snapshot(new_store, str(tmp_path / "listings"))
+    back = spark.read.parquet(path)
+    assert back.count() == 2 and ST.duplicate_keys(back).count() == 0
+    assert {r["type"] for r in back.collect()} == {"nhà phố"}          # filled by the rule-based enricher
