@@ -226,7 +226,7 @@ def q_url_page_join(spark, sf_dir):
     frontier = FR.page_urls(
         pages.select(F.col("page_id").cast("string").alias("name"), F.array("url").alias("search_urls")), 2, 20)
     return (FR.frontier_with_pages(frontier.select("url", "page"), pages)
-            .select("url", "page", "page_id", F.length("html").alias("html_chars")))
+            .select("url", "page", "page_id", F.length("html").cast("bigint").alias("html_chars")))
 
 
 def _updates(spark, sf_dir):

@@ -183,7 +183,7 @@ fu AS (
   SELECT CAST(page AS INTEGER) AS page,
          CASE WHEN page = 1 THEN su ELSE su || CASE WHEN contains(su, '?') THEN '&' ELSE '?' END || 'p=' || CAST(page AS VARCHAR) END AS url
   FROM f)
-SELECT fu.url, fu.page, p.page_id, length(p.html) AS html_chars FROM fu JOIN pages p ON p.url = fu.url""")
+SELECT fu.url, fu.page, p.page_id, CAST(length(p.html) AS BIGINT) AS html_chars FROM fu JOIN pages p ON p.url = fu.url""")
 
 _UPD = ("WITH " + ",\n".join(f"{n} AS ({duck_view_sql(n)})" for n in ("v_listing", "v_listing_updates")) + """,
 upd AS (SELECT id + 100000000 AS id, link, title, price, area, bedroom, legal, source, crawled_at FROM v_listing_updates)
