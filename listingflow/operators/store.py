@@ -74,6 +74,20 @@ def write_snapshot(df: DataFrame, root: str, partition_by: str = "source",
     return path
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, sort: bool = True) -> str:
+    """Store a big join side as a catalog table bucketed (and sorted) by its join key.
+
+    Later joins on ``key`` read the table with its hash layout, so only the other, smaller side
+    is shuffled: the page snapshots for JOIN-7 (frontier ⋈ snapshots, which carries ``html``) and
+    the listing store for JOIN-2/3 (candidates ⋈ known links).  ``buckets`` should match the
+    shuffle partitions of the joins that read it."""
+    w = df.write.mode("overwrite").bucketBy(buckets, key)
+    if sort:
+        w = w.sortBy(key)
+    w.saveAsTable(table)
+    return table
+
+
 def append_rows(df: DataFrame, path: str) -> str:
     """SNK-2: append documents to a named table directory (new files only, never rewrites)."""
     df.write.mode("append").parquet(path)

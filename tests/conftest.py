@@ -9,8 +9,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from listingflow.session import get_spark
+    import tempfile
     s = get_spark("local[4]", 8, app_name="listingflow-tests",
-                  extra={"spark.driver.memory": "4g"})
+                  extra={"spark.driver.memory": "4g",
+                         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="listingflow-wh-")})
     yield s
     s.stop()
 

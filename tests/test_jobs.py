@@ -147,3 +147,24 @@ def test_readme_usage(spark, tmp_path):
     back = spark.read.parquet(path)
     assert back.count() == 2 and ST.duplicate_keys(back).count() == 0
     assert {r["type"] for r in back.collect()} == {"nhà phố"}          # filled by the rule-based enricher
+
+
+def test_bucketed_stores_avoid_shuffling_the_big_side(spark):
+    from listingflow.operators import frontier as FR
+    from listingflow.sources import views as V
+    pages = spark.read.parquet(SF + "/pages.parquet")
+    ST.write_bucketed(pages.select("url", "page_id", "html"), "lf_snapshots", "url", 8)
+    ST.write_bucketed(V.listing_view(spark, SF), "lf_store", "link", 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # force shuffle joins for the check
+    try:
+        frontier = pages.select("url", F.lit(1).alias("page"))
+        j = FR.frontier_with_pages(frontier, spark.table("lf_snapshots"))
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1                 # only the frontier moves
+        assert j.count() == pages.count()
+        cands = V.text_view(spark, SF).select(F.col("link").alias("url"))
+        n = FR.new_links(cands, spark.table("lf_store"))
+        plan = n._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1                 # only the candidates move
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
