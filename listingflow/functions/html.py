@@ -262,8 +262,8 @@ def _has(node: Node, groups) -> bool:
         if g and g[0] is None:                      # :has(> x ...) relative to the node
             rest = g[2:]
             comb = g[1]
-            cands = node.elements() if comb == ">" else list(node.iter())
-            if any(_matches(d, rest, node, anchor=node, first_comb=comb) for d in cands):
+            # the leftmost compound's relation to the node is checked when the match reaches it
+            if any(_matches(d, rest, node, anchor=node, first_comb=comb) for d in node.iter()):
                 return True
         elif any(_matches(d, g, node) for d in node.iter()):
             return True

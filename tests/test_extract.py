@@ -174,3 +174,10 @@ def test_malformed_html():
     doc = H.parse("<div><p>one<p>two</div><script>var t='</p>';</script><b>open")
     assert doc.text(strip=True) == "onetwoopen"
     assert H.select_one(doc, "p p").text() == "two"
+
+
+def test_has_relative_selectors():
+    doc = H.parse("<div id='a'><p><b>x</b></p></div><div id='b'><section><p><b>y</b></p></section></div>")
+    assert [n.attrs["id"] for n in H.select(doc, "div:has(> p b)")] == ["a"]
+    assert [n.attrs["id"] for n in H.select(doc, "div:has(p b)")] == ["a", "b"]
+    assert [n.attrs["id"] for n in H.select(doc, "div:has(> section)")] == ["b"]
