@@ -29,8 +29,9 @@ def by_name(fn):
 
     @functools.wraps(fn)
     def wrapper(*args):
-        if args and all(isinstance(a, str) for a in args):
-            key = (id(SparkContext._active_spark_context), args)
+        sc = SparkContext._active_spark_context
+        if sc is not None and args and all(isinstance(a, str) for a in args):
+            key = (sc.applicationId, args)
             col = cache.get(key)
             if col is None:
                 col = cache[key] = fn(*args)
