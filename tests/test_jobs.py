@@ -168,3 +168,21 @@ def test_bucketed_stores_avoid_shuffling_the_big_side(spark):
         assert plan.count("Exchange hashpartitioning") == 1                 # only the candidates move
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_default_registry_frontier(spark):
+    from listingflow.operators import frontier as FR
+    from listingflow.sources import registry as R
+    reg = R.default_registry(spark)
+    counts = {r["name"]: r["n_search_urls"] for r in FR.search_url_counts(reg).collect()}
+    assert counts["bds123.vn"] == 1 and sum(counts.values()) == 11
+    one = FR.page_urls(reg).collect()                                   # the default cap: one page
+    assert len(one) == 11 and all(r["url"] == r["search_url"] and r["batch"] == 0 for r in one)
+    urls = {(r["search_url"], r["page"]): (r["url"], r["batch"]) for r in FR.page_urls(reg, 3, 2).collect()}
+    assert urls[("https://bds123.vn/ban-nha.html", 3)] == ("https://bds123.vn/ban-nha.html?p=3", 1)
+    state = spark.createDataFrame([("mogi.vn", False, NOW), ("bds123.vn", True, NOW)],
+                                  "name string, enabled boolean, updated_at timestamp_ntz")
+    assert [r["name"] for r in FR.enabled_sites(reg, state).collect()] == ["bds123.vn"]
+    q = spark.createDataFrame([("a", "https://x.vn/s?q=1")], "name string, u string")
+    got = q.select(FR.pagination_url(F.col("u"), F.lit(2)).alias("v")).first()["v"]
+    assert got == "https://x.vn/s?q=1&p=2"
