@@ -544,3 +544,11 @@ def q_stream_progress_fold(spark, sf_dir):
     root = J.run_dir(spark, "progress-fold")
     out = J.progress_fold(J.event_feed(spark, table_path(sf_dir, "events")), root)
     return J.latest_batch(spark, out)
+
+
+@query("stream_enrich_upsert")
+def q_stream_enrich_upsert(spark, sf_dir):
+    root = J.run_dir(spark, "enrich-upsert")
+    out = J.ingest_enrich_upsert(spark, table_path(sf_dir, "pages"), _generic_ruleset(), F.lit("generic"), _now(),
+                                 EN.rule_based_enricher(), root)
+    return J.latest_batch(spark, out).select("id", "link", "title", "type", "legal", "amenityLocation", "source")

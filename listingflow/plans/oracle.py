@@ -592,3 +592,18 @@ SELECT f.source,
                   WHEN 'crawl_failed' THEN 'failed' ELSE 'idle' END AS status,
        s.processed_items, f.total_items, f.start_time, f.end_time, f.n_events
 FROM f JOIN s ON f.source = s.source""")
+
+oracle("stream_enrich_upsert", f"""
+WITH r AS (
+  SELECT url,
+         CASE WHEN regexp_matches(html, {D.q('(?is)<h1[^>]*>')}) THEN {_h1_text} END AS title_raw,
+         {_article} AS desc_raw
+  FROM pages),
+t AS (
+  SELECT sha256(url) AS id, url AS link, NULLIF({D.clean_text('title_raw')}, '') AS title,
+         NULLIF({D.clean_text('desc_raw')}, '') AS description
+  FROM r)
+SELECT id, link, title, {D.classify_type("concat_ws(' ', title, description)")} AS type,
+       {D.clean_text(D.legal_phrase('description'))} AS legal,
+       {D.clean_text(D.amenities('description'))} AS amenityLocation, 'generic' AS source
+FROM t""")

@@ -59,3 +59,26 @@ def test_progress_fold_over_batches_equals_batch(spark, tmp_path):
     got = sorted(map(tuple, J.latest_batch(spark, out).select(*cols).collect()))
     exp = sorted(map(tuple, S.progress(S.crawl_events(ev)).select(*cols).collect()))
     assert got == exp
+
+
+def test_enrich_upsert_stream_over_two_batches(spark, tmp_path):
+    import datetime as dt
+    from listingflow.operators import enrich as EN
+    from listingflow.operators import extract as EX
+    from test_extract import BATDONGSAN
+    src = "batdongsan.com.vn"
+    updated = BATDONGSAN.replace("12 tỷ 500 triệu", "13 tỷ")
+    folder = str(tmp_path / "pages")
+    rows0 = [(1, "https://batdongsan.com.vn/tin/1", BATDONGSAN), (2, "https://batdongsan.com.vn/tin/2", BATDONGSAN)]
+    rows1 = [(3, "https://batdongsan.com.vn/tin/1", updated)]
+    for i, rows in enumerate([rows0, rows1]):
+        spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(
+            os.path.join(folder, f"part{i}"))
+    out = J.ingest_enrich_upsert(spark, os.path.join(folder, "part*"), EX.RuleSet(EX.site_rules()), F.lit(src),
+                                 F.lit(dt.datetime(2024, 6, 15)).cast("timestamp_ntz"), EN.rule_based_enricher(),
+                                 J.run_dir(spark, "test-upsert"), max_files_per_trigger=1)
+    assert spark.read.parquet(out).select("batch").distinct().count() == 2
+    store = {r["link"][-1]: r for r in J.latest_batch(spark, out).collect()}
+    assert sorted(store) == ["1", "2"]
+    assert store["1"]["price"] == 13e9 and store["2"]["price"] == 12.5e9   # the later page replaced the fields
+    assert store["1"]["type"] == "nhà phố"                                 # filled by the enricher
