@@ -237,6 +237,24 @@ def enrich(listing: DataFrame, enricher: Enricher, group: str = "source",
     return merge_reply_items(base, items, ["batch_key", "pos"], as_of)
 
 
+REQUEST_ENRICHER_SCHEMA = "batch_key string, text string"
+
+
+def enrich_requests(listing: DataFrame, enricher: Enricher, group: str = "source", size: int = P.ENRICH_BATCH,
+                    template: str = DEFAULT_TEMPLATE, as_of: str = "crawled_at") -> DataFrame:
+    """ENR-3 → ENR-7 as the reference does it: one request text per batch of ``size`` records
+    (``batch_requests``), handed to ``enricher`` — a ``mapInPandas`` function over
+    ``(batch_key, request)`` rows that yields ``(batch_key, text)`` replies (e.g. a model call) —
+    then the replies are parsed and merged.  Each request row is one bounded batch."""
+    batched = batch_ids(listing, group, ["link", "id"], size)          # checkpointed: computed once
+    base = batched.select(*listing.columns)
+    req = batch_requests(batched, group, template).select(
+        F.concat_ws("/", F.col(group), F.col("batch").cast("string")).alias("batch_key"), "request")
+    replies = req.mapInPandas(enricher, REQUEST_ENRICHER_SCHEMA)
+    items = parse_replies(replies, "text", keep=["batch_key"])
+    return merge_reply_items(base, items, ["batch_key", "pos"], as_of)
+
+
 def rule_based_enricher(batch_size: int = P.ENRICH_BATCH) -> Enricher:
     """A deterministic enricher with no network: property type from keywords (ENR-8), legal
     phrase (ENR-9) and amenity phrases (ENR-10), asked only for the missing fields."""

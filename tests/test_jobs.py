@@ -186,3 +186,23 @@ def test_default_registry_frontier(spark):
     q = spark.createDataFrame([("a", "https://x.vn/s?q=1")], "name string, u string")
     got = q.select(FR.pagination_url(F.col("u"), F.lit(2)).alias("v")).first()["v"]
     assert got == "https://x.vn/s?q=1&p=2"
+
+
+def test_enrich_requests_prompt_per_batch(spark):
+    import json
+    import re
+    import pandas as pd
+    typed = QUERIES["normalise_listing"](spark, SF)
+
+    def answer_prompts(frames):                      # an enricher that reads the prompt text
+        for pdf in frames:
+            texts = []
+            for req in pdf["request"]:
+                ids = re.findall(r"^\d+\. ID: (\S+)$", req, flags=re.M)
+                assert 1 <= len(ids) <= 10 and "Missing fields:" in req
+                texts.append("```json\n" + json.dumps([{"id": i, "type": "Căn hộ"} for i in ids]) + "\n```")
+            yield pd.DataFrame({"batch_key": pdf["batch_key"], "text": texts})
+
+    out = EN.enrich_requests(typed, answer_prompts)
+    assert out.count() == typed.count()
+    assert out.filter(~F.col("enriched") | (F.col("type") != "căn hộ")).count() == 0
