@@ -45,10 +45,6 @@ def _extract(s: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(s, pattern, group), F.lit(""))
 
 
-def _blank_to_null(s: Column) -> Column:
-    return F.when(s.isNull() | (s == ""), F.lit(None)).otherwise(s)
-
-
 def py_strip(x) -> Column:
     """Python ``str.strip()``: remove leading/trailing whitespace of any kind."""
     return F.regexp_replace(_c(x), STRIP, "")

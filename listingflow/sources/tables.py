@@ -39,8 +39,12 @@ def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
     spread round-robin over ``min_tasks`` partitions (default: twice the default
     parallelism); a scan that already has enough splits is returned unchanged, so on a large
     input this adds no shuffle.  Call it right after a scan (counting splits needs no job)."""
-    n = min_tasks or 2 * df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = min_tasks or 2 * df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session exposes no RDDs: leave as is
+        return df
+    return df.repartition(n) if splits < n else df
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = TABLES,
