@@ -53,9 +53,11 @@ def rank_within(df: DataFrame, group: str, order_cols: Sequence[str], out: str =
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")))
     w = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    ranked = numbered.join(offsets.select("_pid", group, "_first", "_before"), ["_pid", group], "inner")
+    o = offsets.select(F.col("_pid").alias("_opid"), F.col(group).alias("_ogroup"), "_first", "_before")
+    # null-safe on the group: rows whose group is null are numbered too, never dropped
+    ranked = numbered.join(o, (F.col("_pid") == F.col("_opid")) & F.col(group).eqNullSafe(F.col("_ogroup")), "inner")
     return (ranked.withColumn(out, F.col("_before") + F.col("_pos") - F.col("_first"))
-            .drop("_pid", "_mid", "_pos", "_first", "_before"))
+            .drop("_pid", "_mid", "_pos", "_first", "_before", "_opid", "_ogroup"))
 
 
 def batch_ids(df: DataFrame, group: str, order_cols: Sequence[str], size: int, out: str = "batch",

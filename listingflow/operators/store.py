@@ -34,9 +34,11 @@ def latest_per_key(df: DataFrame, key: str, order_cols: Sequence[str]) -> DataFr
 def append_unique(store: DataFrame, batch: DataFrame, key: str = "link") -> DataFrame:
     """SNK-1: each batch row with status 'inserted' or 'duplicate' (key already stored or
     repeated earlier in the batch by a smaller ``id``)."""
-    known = store.select(key).distinct().withColumn("_known", F.lit(True))
-    first = batch.groupBy(key).agg(F.min("id").alias("_first_id"))
-    j = (batch.join(known, key, "left").join(first, key, "inner"))
+    known = store.select(F.col(key).alias("_kkey")).distinct().withColumn("_known", F.lit(True))
+    first = batch.groupBy(F.col(key).alias("_fkey")).agg(F.min("id").alias("_first_id"))
+    # null-safe joins: a batch row with a null key is kept and labelled, never dropped
+    j = (batch.join(known, F.col(key).eqNullSafe(F.col("_kkey")), "left")
+         .join(first, F.col(key).eqNullSafe(F.col("_fkey")), "inner"))
     dup = F.coalesce(F.col("_known"), F.lit(False)) | (F.col("id") != F.col("_first_id"))
     return j.select(*batch.columns, F.when(dup, F.lit("duplicate")).otherwise(F.lit("inserted")).alias("status"))
 

@@ -195,7 +195,8 @@ known AS (SELECT DISTINCT link FROM store),
 first AS (SELECT link, min(id) AS first_id FROM batch GROUP BY link)
 SELECT b.id, b.link,
        CASE WHEN k.link IS NOT NULL OR b.id <> f.first_id THEN 'duplicate' ELSE 'inserted' END AS status
-FROM batch b LEFT JOIN known k ON b.link = k.link JOIN first f ON b.link = f.link""")
+FROM batch b LEFT JOIN known k ON b.link IS NOT DISTINCT FROM k.link
+JOIN first f ON b.link IS NOT DISTINCT FROM f.link""")
 oracle("upsert_latest", _UPD + """,
 latest AS (
   SELECT link, arg_max(id, crawled_at) AS id, arg_max(title, crawled_at) AS title, arg_max(price, crawled_at) AS price,

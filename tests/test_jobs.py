@@ -206,3 +206,13 @@ def test_enrich_requests_prompt_per_batch(spark):
     out = EN.enrich_requests(typed, answer_prompts)
     assert out.count() == typed.count()
     assert out.filter(~F.col("enriched") | (F.col("type") != "căn hộ")).count() == 0
+
+
+def test_null_keys_are_not_dropped(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (3, "s", "c")], "id long, source string, link string")
+    r = B.rank_within(df, "source", ["link", "id"], "rk")
+    assert sorted((x["id"], x["rk"]) for x in r.collect()) == [(1, 0), (2, 1), (3, 0)]
+    store = spark.createDataFrame([(9, None)], "id long, link string")
+    batch = spark.createDataFrame([(1, None), (2, None), (3, "x")], "id long, link string")
+    got = sorted((x["id"], x["status"]) for x in ST.append_unique(store, batch).collect())
+    assert got == [(1, "duplicate"), (2, "duplicate"), (3, "inserted")]
