@@ -104,12 +104,14 @@ def progress(feed: DataFrame) -> DataFrame:
               .when(F.col("_last") == "crawl_completed", F.lit("completed"))
               .when(F.col("_last") == "crawl_failed", F.lit("failed"))
               .otherwise(F.lit("idle")))
-    since = (feed.join(first.select("source", "start_time"), "source", "inner")
-             .groupBy("source")
+    starts = first.select(F.col("source").alias("_s"), F.col("start_time").alias("_start"))
+    since = (feed.join(starts, F.col("source").eqNullSafe(F.col("_s")), "inner")
+             .groupBy(F.col("source").alias("_s"))
              .agg(F.count_if((e == "property_extracted") &
-                             (F.col("start_time").isNull() | (F.col("ts") > F.col("start_time"))))
+                             (F.col("_start").isNull() | (F.col("ts") > F.col("_start"))))
                   .cast("bigint").alias("processed_items")))
-    return (first.join(since, "source", "inner")
+    # null-safe joins: events without a source form their own group instead of vanishing
+    return (first.join(since, F.col("source").eqNullSafe(F.col("_s")), "inner")
             .select("source", status.alias("status"), "processed_items", "total_items",
                     "start_time", "end_time"))
 

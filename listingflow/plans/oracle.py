@@ -258,12 +258,12 @@ s AS (
   SELECT feed.source,
          CAST(count_if(event = 'property_extracted' AND (f.start_time IS NULL OR feed.ts > f.start_time)) AS BIGINT)
            AS processed_items
-  FROM feed JOIN f ON feed.source = f.source GROUP BY feed.source)
+  FROM feed JOIN f ON feed.source IS NOT DISTINCT FROM f.source GROUP BY feed.source)
 SELECT f.source,
        CASE _last WHEN 'crawl_started' THEN 'running' WHEN 'crawl_completed' THEN 'completed'
                   WHEN 'crawl_failed' THEN 'failed' ELSE 'idle' END AS status,
        s.processed_items, f.total_items, f.start_time, f.end_time
-FROM f JOIN s ON f.source = s.source""")
+FROM f JOIN s ON f.source IS NOT DISTINCT FROM s.source""")
 oracle("event_counts", "WITH " + _FEED + "\nSELECT source, event, CAST(count(*) AS BIGINT) AS count FROM feed GROUP BY source, event")
 
 # ------------------------------------------------------------------ typed listing, validation
