@@ -164,13 +164,19 @@ def progress_fold(feed: DataFrame, root: str) -> str:
                 F.max_by(life, F.when(life.isNotNull(), F.struct("ts", "event_id"))).alias("b_last"),
                 F.count_if(e == "property_extracted").alias("b_views"),
                 F.count(F.lit(1)).alias("b_events"))
-            after = (batch.join(summ.select("source", "b_start"), "source")
-                     .groupBy("source")
+            starts = summ.select(F.col("source").alias("_s"), "b_start")
+            after = (batch.join(starts, F.col("source").eqNullSafe(F.col("_s")))
+                     .groupBy("_s")
                      .agg(F.count_if((e == "property_extracted") &
                                      (F.col("b_start").isNull() | (F.col("ts") > F.col("b_start")))).alias("b_after")))
-            summ = summ.join(after, "source")
+            summ = summ.join(after, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
             prev = _previous_state(spark, state, batch_id)
-            j = prev.join(summ, "source", "full_outer") if prev is not None else summ
+            if prev is not None:          # null-safe: a null source keeps one state row
+                p = prev.withColumnRenamed("source", "_ps")
+                j = (p.join(summ, F.col("_ps").eqNullSafe(F.col("source")), "full_outer")
+                     .withColumn("source", F.coalesce(F.col("source"), F.col("_ps"))).drop("_ps"))
+            else:
+                j = summ
             col = (lambda c: F.col(c)) if prev is not None else (lambda c: F.lit(None))
             status = (F.when(F.col("b_last") == "crawl_started", F.lit("running"))
                       .when(F.col("b_last") == "crawl_completed", F.lit("completed"))
