@@ -64,7 +64,7 @@ def write_snapshot(df: DataFrame, root: str, partition_by: str = "source",
     parquet min/max skipping on the sorted columns.  Writing a new directory each time makes
     the job safe to retry and never overwrites a path that is being read.
     """
-    path = os.path.join(root, "snapshot-" + uuid.uuid4().hex)
+    path = os.path.join(root, "data", "snapshot-" + uuid.uuid4().hex)
     cols = [c for c in sort_within if c in df.columns]
     out = df.repartition(partition_by) if partition_by in df.columns else df
     if cols:
@@ -73,9 +73,22 @@ def write_snapshot(df: DataFrame, root: str, partition_by: str = "source",
     if partition_by in df.columns:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
+    # the pointer row is appended only after the snapshot's files are committed, so a reader
+    # of current_snapshot never sees a half-written table
+    spark = df.sparkSession
+    (spark.createDataFrame([(path,)], "path string")
+     .select(F.current_timestamp().alias("written_at"), "path")
+     .write.mode("append").parquet(os.path.join(root, "_pointer")))
     return path
 
 
+def current_snapshot(spark, root: str) -> DataFrame:
+    """The newest committed snapshot under ``root`` (the pointer table has one row per write)."""
+    ptr = spark.read.parquet(os.path.join(root, "_pointer"))
+    newest = ptr.orderBy(F.col("written_at").desc(), F.col("path").desc()).first()
+    return spark.read.parquet(newest["path"])
+
+
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, sort: bool = True) -> str:
     """Store a big join side as a catalog table bucketed (and sorted) by its join key.
 

@@ -216,3 +216,16 @@ def test_null_keys_are_not_dropped(spark):
     batch = spark.createDataFrame([(1, None), (2, None), (3, "x")], "id long, link string")
     got = sorted((x["id"], x["status"]) for x in ST.append_unique(store, batch).collect())
     assert got == [(1, "duplicate"), (2, "duplicate"), (3, "inserted")]
+
+
+def test_snapshot_pointer(spark, tmp_path):
+    import time
+    root = str(tmp_path / "store")
+    first = QUERIES["upsert_latest"](spark, SF)
+    ST.write_snapshot(first, root)
+    time.sleep(0.01)
+    second = first.filter(F.col("source") == "site1")
+    p2 = ST.write_snapshot(second, root)
+    cur = ST.current_snapshot(spark, root)
+    assert cur.count() == second.count()
+    assert all(f.startswith("file:" + p2) or f.startswith(p2) for f in cur.inputFiles())
