@@ -44,6 +44,29 @@ def host_of(url) -> Column:
     return F.lower(F.regexp_extract(u, HOST, 2))
 
 
+# Dot-segment removal (RFC 3986 §5.2.4) on the path (after the authority, before '?'/'#'), as
+# fixed regex passes: a segment other than '.'/'..' followed by '/..' collapses; DOT_PASSES
+# levels of nesting.
+SEGMENT = r"(?:[^/.?#][^/?#]*|\.[^/.?#][^/?#]*|\.\.[^/?#]+)"
+DOT_PASSES = 6
+DOT_RULES = (
+    [(r"/(?:\./)+", "/"), (r"/\.$", "/")]
+    + [("/" + SEGMENT + r"/\.\./", "/")] * DOT_PASSES
+    + [("/" + SEGMENT + r"/\.\.$", "/"), (r"^(?:/\.\.)+(?:/|$)", "/")]
+)
+AUTHORITY = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
+
+
+def remove_dot_segments(url: Column) -> Column:
+    head = F.regexp_extract(url, r"^([^?#]*)", 1)
+    tail = F.substring(url, F.length(head) + 1, 1 << 30)
+    auth = F.regexp_extract(head, AUTHORITY, 1)
+    path = F.substring(head, F.length(auth) + 1, 1 << 30)
+    for pattern, repl in DOT_RULES:
+        path = F.regexp_replace(path, pattern, repl)
+    return F.concat(auth, path, tail)
+
+
 def absolute_url(href: Column, base: Column) -> Column:
     """PRJ-4: resolve ``href`` against ``base`` unless it already starts with 'http'."""
     origin = F.regexp_extract(base, ORIGIN, 1)
@@ -52,13 +75,16 @@ def absolute_url(href: Column, base: Column) -> Column:
     has_path = F.regexp_replace(base, ORIGIN, "").startswith("/")
     no_query = F.regexp_replace(base, r"[?#].*$", "")
     no_frag = F.regexp_replace(base, r"#.*$", "")
+    joined = (F.when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
+              .when(href.startswith("/"), F.concat(origin, href))
+              .when(href.startswith("?"), F.concat(no_query, href))
+              .when(href.startswith("#"), F.concat(no_frag, href))
+              .when(has_path, F.concat(base_dir, href))
+              .otherwise(F.concat(origin, F.lit("/"), href)))
+    # every dot rule needs a '/.' in the URL: skip the passes for the usual URL without one
     return (F.when(href.startswith("http"), href)
-            .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-            .when(href.startswith("/"), F.concat(origin, href))
-            .when(href.startswith("?"), F.concat(no_query, href))
-            .when(href.startswith("#"), F.concat(no_frag, href))
-            .when(has_path, F.concat(base_dir, href))
-            .otherwise(F.concat(origin, F.lit("/"), href)))
+            .when(joined.contains("/."), remove_dot_segments(joined))
+            .otherwise(joined))
 
 
 def page_links(pages: DataFrame, base_col: str = "url") -> DataFrame:

@@ -40,19 +40,30 @@ def host_of(url: str) -> str:
     return f"lower(regexp_extract({url}, {D.q(L.HOST)}, 2))"
 
 
+def remove_dot_segments(url: str) -> str:
+    head = f"regexp_extract({url}, '^([^?#]*)', 1)"
+    tail = f"substr({url}, length({head}) + 1)"
+    auth = f"regexp_extract({head}, {D.q(L.AUTHORITY)}, 1)"
+    path = f"substr({head}, length({auth}) + 1)"
+    for pattern, repl in L.DOT_RULES:
+        path = f"regexp_replace({path}, {D.q(pattern)}, {D.q(repl)}, 'g')"
+    return f"({auth} || {path} || {tail})"
+
+
 def absolute_url(href: str, base: str) -> str:
     origin = f"regexp_extract({base}, {D.q(L.ORIGIN)}, 1)"
     scheme = f"regexp_extract({base}, {D.q('^([A-Za-z][A-Za-z0-9+.-]*):')}, 1)"
     base_dir = (f"regexp_replace(regexp_replace({base}, {D.q('[?#].*$')}, ''), "
                 f"{D.q('[^/]*$')}, '')")
     has_path = f"starts_with(regexp_replace({base}, {D.q(L.ORIGIN)}, ''), '/')"
-    return (f"CASE WHEN starts_with({href}, 'http') THEN {href} "
-            f"WHEN starts_with({href}, '//') THEN {scheme} || ':' || {href} "
+    joined = (f"CASE WHEN starts_with({href}, '//') THEN {scheme} || ':' || {href} "
             f"WHEN starts_with({href}, '/') THEN {origin} || {href} "
             f"WHEN starts_with({href}, '?') THEN regexp_replace({base}, {D.q('[?#].*$')}, '') || {href} "
             f"WHEN starts_with({href}, '#') THEN regexp_replace({base}, {D.q('#.*$')}, '') || {href} "
             f"WHEN {has_path} THEN {base_dir} || {href} "
             f"ELSE {origin} || '/' || {href} END")
+    return (f"CASE WHEN starts_with({href}, 'http') THEN {href} "
+            f"WHEN contains({joined}, '/.') THEN {remove_dot_segments(joined)} ELSE {joined} END")
 
 
 # ------------------------------------------------------------------ pages

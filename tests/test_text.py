@@ -228,6 +228,10 @@ def test_absolute_url_matches_urljoin(spark):
     cases = [("https://x.com", "tin/1"), ("https://x.com/a/b", "c"), ("https://x.com/a/b?q=1", "?p=2"),
              ("https://x.com/a/b#top", "#f"), ("https://x.com/a/", "/root"), ("http://x.com/a", "//cdn.y.com/z"),
              ("https://x.com/a", "https://other.com/q"), ("https://x.com/a/b.html?x=1", "c.html"),
-             ("https://batdongsan.com.vn", "/ban-nha/1")]
+             ("https://batdongsan.com.vn", "/ban-nha/1"), ("https://x.com/a/b/c", "../d"),
+             ("https://x.com/a/b/c", "../../d"), ("https://x.com/a/b/c", "../../../../d"),
+             ("https://x.com/a/b/c", "./d/./e"), ("https://x.com/a/b/", ".."), ("https://x.com/a/b/c", "g/.."),
+             ("https://x.com/a/b/c", "/x/../y"), ("https://x.com/a/b/c?q=1", "../d?x=../y"),
+             ("https://x.com/a/b/c", "..g"), ("https://x.com/a/b/c", "g../h")]
     got = eval_rows(spark, "b string, h string", cases, absolute_url(F.col("h"), F.col("b")))
     assert [g[0] for g in got] == [urljoin(b, h) if not h.startswith("http") else h for b, h in cases]
