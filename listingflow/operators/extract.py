@@ -25,6 +25,7 @@ list pages (``page_kind='list'``): ``item`` selector, ``link`` selector inside t
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict, namedtuple
 from typing import Dict, Iterable, Iterator, List, Sequence
 
@@ -270,7 +271,7 @@ def _sel_one(scope: H.Node, sel: str):
     return node
 
 
-_NTH = __import__("re").compile(r"^(.*)\[(\d+)\]$")
+_NTH = re.compile(r"^(.*)\[(\d+)\]$")
 
 
 def _nth(scope: H.Node, spec: str):
