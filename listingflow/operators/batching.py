@@ -33,7 +33,17 @@ from ..session import ensure_checkpoint_dir
 
 
 def rank_within(df: DataFrame, group: str, order_cols: Sequence[str], out: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, row_key: str | None = None) -> DataFrame:
+    """``row_number() - 1`` over ``(group order by order_cols)`` without a per-group shuffle.
+
+    With ``row_key`` (a unique column; use it when ``df`` is cheap to read again, e.g. a stored
+    table) only ``group``, ``order_cols`` and the key are numbered and checkpointed, and the
+    ranks are joined back on the key — a join on a unique key, so no hot partition."""
+    if row_key is not None:
+        cols = list(dict.fromkeys([group, *order_cols, row_key]))
+        ranks = rank_within(df.select(*cols), group, order_cols, out, num_partitions)
+        return df.join(ranks.select(F.col(row_key).alias("_rk"), out), F.col(row_key) == F.col("_rk"),
+                       "inner").drop("_rk")
     keys = [group, *order_cols]
     # An explicit partition count: AQE never coalesces it, so both reads of this shuffle
     # (counts and rows) see the same partition ids.
@@ -61,9 +71,9 @@ def rank_within(df: DataFrame, group: str, order_cols: Sequence[str], out: str =
 
 
 def batch_ids(df: DataFrame, group: str, order_cols: Sequence[str], size: int, out: str = "batch",
-              pos_out: str = "pos") -> DataFrame:
+              pos_out: str = "pos", row_key: str | None = None) -> DataFrame:
     """WIN-2: ``batch = rank // size`` and 1-based ``pos`` inside the batch, per ``group``."""
-    r = rank_within(df, group, order_cols, "_rank")
+    r = rank_within(df, group, order_cols, "_rank", row_key=row_key)
     return (r.withColumn(out, F.floor(F.col("_rank") / F.lit(size)).cast("bigint"))
             .withColumn(pos_out, (F.col("_rank") % F.lit(size) + 1).cast("int"))
             .drop("_rank"))

@@ -45,9 +45,10 @@ def missing_fields(df: DataFrame, fields: Sequence[str] = P.ENRICH_FIELDS) -> Co
 
 
 def with_batches(df: DataFrame, group: str = "source", order: Sequence[str] = ("link", "id"),
-                 size: int = P.ENRICH_BATCH) -> DataFrame:
-    """WIN-2/ENR-2: batches of ``size`` records per ``group`` (skew-safe ranking)."""
-    return batch_ids(df, group, list(order), size)
+                 size: int = P.ENRICH_BATCH, row_key: str | None = None) -> DataFrame:
+    """WIN-2/ENR-2: batches of ``size`` records per ``group`` (skew-safe ranking; with
+    ``row_key`` only the keys are numbered, for inputs that are cheap to read again)."""
+    return batch_ids(df, group, list(order), size, row_key=row_key)
 
 
 def _fmt(df: DataFrame, name: str) -> Column:
@@ -214,7 +215,7 @@ Enricher = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 def enrich(listing: DataFrame, enricher: Enricher, group: str = "source",
            size: int = P.ENRICH_BATCH, as_of: str = "crawled_at",
-           request_cols: Sequence[str] = ("title", "description")) -> DataFrame:
+           request_cols: Sequence[str] = ("title", "description"), row_key: str | None = None) -> DataFrame:
     """Run ``enricher`` over batches of records, then merge its replies.
 
     ``enricher`` is a ``mapInPandas`` function: it receives pandas frames with columns
@@ -223,7 +224,7 @@ def enrich(listing: DataFrame, enricher: Enricher, group: str = "source",
     batch is sent, with the batch's missing fields; an enricher answers only what is missing.
     """
     miss = listing.withColumn("_missing", missing_fields(listing))
-    batched = batch_ids(miss, group, ["link", "id"], size)      # checkpointed: computed once
+    batched = batch_ids(miss, group, ["link", "id"], size, row_key=row_key)   # checkpointed once
     base = batched.select(*listing.columns)                       # the merge reuses those rows
     req = batched.select(
         F.concat_ws("/", F.col(group), F.col("batch").cast("string")).alias("batch_key"),
@@ -241,12 +242,13 @@ REQUEST_ENRICHER_SCHEMA = "batch_key string, text string"
 
 
 def enrich_requests(listing: DataFrame, enricher: Enricher, group: str = "source", size: int = P.ENRICH_BATCH,
-                    template: str = DEFAULT_TEMPLATE, as_of: str = "crawled_at") -> DataFrame:
+                    template: str = DEFAULT_TEMPLATE, as_of: str = "crawled_at",
+                    row_key: str | None = None) -> DataFrame:
     """ENR-3 → ENR-7 as the reference does it: one request text per batch of ``size`` records
     (``batch_requests``), handed to ``enricher`` — a ``mapInPandas`` function over
     ``(batch_key, request)`` rows that yields ``(batch_key, text)`` replies (e.g. a model call) —
     then the replies are parsed and merged.  Each request row is one bounded batch."""
-    batched = batch_ids(listing, group, ["link", "id"], size)          # checkpointed: computed once
+    batched = batch_ids(listing, group, ["link", "id"], size, row_key=row_key)
     base = batched.select(*listing.columns)
     req = batch_requests(batched, group, template).select(
         F.concat_ws("/", F.col(group), F.col("batch").cast("string")).alias("batch_key"), "request")

@@ -230,3 +230,11 @@ def test_snapshot_pointer(spark, tmp_path):
     assert cur.count() == second.count()
     from urllib.parse import urlparse
     assert all(urlparse(f).path.startswith(p2) for f in cur.inputFiles())
+
+
+def test_rank_within_key_only_equals_full_rows(spark):
+    typed = QUERIES["normalise_listing"](spark, SF)
+    full = B.rank_within(typed, "source", ["link", "id"], "rk").select("id", "rk")
+    keyed = B.rank_within(typed, "source", ["link", "id"], "rk", row_key="id")
+    assert keyed.columns == typed.columns + ["rk"]
+    assert sorted(map(tuple, keyed.select("id", "rk").collect())) == sorted(map(tuple, full.collect()))
