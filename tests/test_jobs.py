@@ -238,3 +238,12 @@ def test_rank_within_key_only_equals_full_rows(spark):
     keyed = B.rank_within(typed, "source", ["link", "id"], "rk", row_key="id")
     assert keyed.columns == typed.columns + ["rk"]
     assert sorted(map(tuple, keyed.select("id", "rk").collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_keyed_operations_combine_map_side(spark):
+    """Latest-per-key, link dedup and per-source counts aggregate partially before the shuffle."""
+    for name, partial in [("upsert_latest", "partial_max_by"), ("new_links", "HashAggregate(keys=[url"),
+                          ("session_stats", "partial_count"), ("progress_by_source", "partial_max_by")]:
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert partial in plan, name
+        assert plan.index("Exchange") < plan.rindex(partial.split("(")[0]), name    # partial sits below a shuffle
