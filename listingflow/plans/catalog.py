@@ -552,3 +552,13 @@ def q_stream_enrich_upsert(spark, sf_dir):
     out = J.ingest_enrich_upsert(spark, table_path(sf_dir, "pages"), _generic_ruleset(), F.lit("generic"), _now(),
                                  EN.rule_based_enricher(), root)
     return J.latest_batch(spark, out).select("id", "link", "title", "type", "legal", "amenityLocation", "source")
+
+
+@query("stream_dedup_exact")
+def q_stream_dedup_exact(spark, sf_dir):
+    root = J.run_dir(spark, "dedup-exact")
+    stream = _event_links(J.file_stream(spark, table_path(sf_dir, "events")))
+    store = _event_links(read_table(spark, sf_dir, "events", ["event_id", "ts", "props"])).filter(
+        F.regexp_extract("link", "([0-9]+)$", 1).cast("int") < 10)
+    out = J.dedup_links_exact(stream, store, root)
+    return J.read_all_batches(spark, out).select("link")

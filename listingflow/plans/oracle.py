@@ -619,3 +619,5 @@ SELECT id, link, title, {D.classify_type("concat_ws(' ', title, description)")}
        {D.clean_text(D.legal_phrase('description'))} AS legal,
        {D.clean_text(D.amenities('description'))} AS amenityLocation, 'generic' AS source
 FROM t""")
+
+ORACLES["stream_dedup_exact"] = ORACLES["stream_dedup"]

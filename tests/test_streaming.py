@@ -82,3 +82,17 @@ def test_enrich_upsert_stream_over_two_batches(spark, tmp_path):
     assert sorted(store) == ["1", "2"]
     assert store["1"]["price"] == 13e9 and store["2"]["price"] == 12.5e9   # the later page replaced the fields
     assert store["1"]["type"] == "nhà phố"                                 # filled by the enricher
+
+
+def test_exact_dedup_across_batches(spark, tmp_path):
+    folder, ev = _split_events(spark, tmp_path)
+    link = F.concat(F.lit("https://listing.example/"), F.get_json_object("props", "$.k")).alias("link")
+    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+              .select("event_id", "ts", link))
+    store = ev.select(link).filter(F.regexp_extract("link", "([0-9]+)$", 1).cast("int") < 10)
+    out = J.dedup_links_exact(stream, store, J.run_dir(spark, "test-dedup-exact"))
+    # three micro-batches ran; a batch that finds no new link writes an empty directory
+    assert sorted(d for d in os.listdir(out) if d.startswith("batch=")) == ["batch=0", "batch=1", "batch=2"]
+    got = [r[0] for r in spark.read.parquet(out).select("link").collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {r[0] for r in ev.select(link).distinct().join(store, "link", "left_anti").collect()}
