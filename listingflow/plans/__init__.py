@@ -1,0 +1 @@
+"""The registered query catalogue and its DuckDB oracle SQL."""

@@ -1,0 +1 @@
+"""Readers for the given tables, the site registry and the derived test views."""
