@@ -247,3 +247,14 @@ def test_keyed_operations_combine_map_side(spark):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert partial in plan, name
         assert plan.index("Exchange") < plan.rindex(partial.split("(")[0]), name    # partial sits below a shuffle
+
+
+def test_conform_maps_aliases_and_drops_unknown(spark):
+    df = spark.createDataFrame([("https://x.vn/1", "0912345678", "12.5", "zz")],
+                               "link string, numberphone string, price string, extra string")
+    out = LS.conform(df.withColumn("id", LS.listing_id("link")))
+    assert out.columns == LS.LISTING_COLUMNS and "extra" not in out.columns
+    r = out.first()
+    assert r["numberPhone"] == "0912345678" and r["price"] == 12.5 and r["title"] is None
+    again = LS.conform(df.withColumn("id", LS.listing_id("link"))).first()["id"]
+    assert r["id"] == again and len(again) == 64                     # sha2 of the link, stable under retry
