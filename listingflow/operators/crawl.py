@@ -22,10 +22,11 @@ from .links import absolute_url
 
 
 def crawl(list_pages: DataFrame, detail_pages: DataFrame, store: DataFrame, rules: EX.RuleSet,
-          now: Column) -> Dict[str, DataFrame]:
+          now: Column, links: DataFrame | None = None) -> Dict[str, DataFrame]:
     """``list_pages``/``detail_pages``: ``(page_id, url, source, html)``; ``store``: has ``link``.
+    ``links`` may pass the result pages already parsed (``parse_list_pages`` output).
     Returns ``valid``, ``rejected`` listings, ``outcomes`` per candidate link and ``stats``."""
-    links = EX.parse_list_pages(list_pages, rules)
+    links = EX.parse_list_pages(list_pages, rules) if links is None else links
     cand = (links.select("source", absolute_url(F.col("href"), F.col("url")).alias("link"))
             .dropDuplicates(["link"]))                                       # SET-2 (fixes Q6)
     known = store.select("link").distinct()

@@ -24,6 +24,7 @@ from ..operators import store as ST
 from ..sources import registry as R
 from ..streaming import jobs as J
 from ..sources import views as V
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import named_table, read_pages, read_table, register_tables, table_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -528,13 +529,14 @@ def q_crawl_stats(spark, sf_dir):
     nav link."""
     pages = read_pages(spark, sf_dir).withColumn("source", F.lit("generic"))
     rules = _generic_ruleset()
-    nav = EX.parse_list_pages(pages, rules).select(
-        "page_id", "pos", L.absolute_url(F.col("href"), F.col("url")).alias("link"))
+    ensure_checkpoint_dir(spark)
+    parsed = EX.parse_list_pages(pages, rules).checkpoint(eager=True)     # parsed once, read three times
+    nav = parsed.select("page_id", "pos", L.absolute_url(F.col("href"), F.col("url")).alias("link"))
     first = (nav.filter(F.col("pos") == 1).groupBy("link").agg(F.min("page_id").alias("page_id")))
     details = (pages.join(first, "page_id", "inner")
                .select("page_id", F.col("link").alias("url"), "source", "html"))
     store = nav.filter(F.col("pos") == 2).select("link")
-    out = CR.crawl(pages, details, store, rules, _now())
+    out = CR.crawl(pages, details, store, rules, _now(), links=parsed)
     return out["stats"].select("source", "total_pages", "successful_items", "failed_items", "duplicate_items",
                                "not_fetched_items", "total_items", "status")
 
