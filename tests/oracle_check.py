@@ -50,10 +50,17 @@ def _rows(cols, rows):
     return sorted(out, key=lambda r: tuple((x is None, str(type(x)), str(x)) for x in r))
 
 
+# Spark type → DuckDB type, for the schema part of the comparison.
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+
+
 def compare(spark, con, name: str, builder, sql: str):
     t0 = time.time()
     sdf = builder(spark, SF_DIR)
     s_cols = sdf.columns
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     res = con.execute(sql)
@@ -61,6 +68,11 @@ def compare(spark, con, name: str, builder, sql: str):
     d_rows = res.fetchall()
     t2 = time.time()
     problems = []
+    d_types = {d[0]: str(d[1]) for d in res.description}
+    bad_types = {c: (s_types[c], d_types[c]) for c in s_types
+                 if c in d_types and d_types[c] != "None" and s_types[c] != d_types[c]}
+    if bad_types:
+        problems.append(f"types {bad_types}")
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns spark={s_cols} duck={d_cols}")
     if len(s_rows) != len(d_rows):
