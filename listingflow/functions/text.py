@@ -1,8 +1,11 @@
 """Text normalisation as native Spark Column expressions (no Python UDF).
 
 Every function takes a Column (or column name) and returns a Column, so a whole listing is
-typed inside one whole-stage-codegen projection.  Semantics follow the reference's helpers,
-including its first-match-wins orders; see ``patterns.py`` for the fixed values.
+typed by native expressions inside whole-stage codegen.  Heavy normalisers come in two halves,
+``*_key`` (the cleaned text a rule chain reads many times) and ``*_from_key``; applying them as
+two projections (``apply_keyed``) keeps Catalyst from inlining the key into every branch.
+Semantics follow the reference's helpers, including their first-match-wins orders; see
+``patterns.py`` for the fixed values.
 """
 
 from __future__ import annotations
