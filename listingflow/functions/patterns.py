@@ -93,7 +93,11 @@ DATE_HOURS_AGO = "([0-9]+)" + WS + "*giờ" + WS + "*trước"
 DATE_MINUTES_AGO = "([0-9]+)" + WS + "*phút" + WS + "*trước"
 
 # ---------------------------------------------------------------- fixed values: frontage
-FRONTAGE_NUMBER = "^[+-]?(?:[0-9]+(?:\\.[0-9]*)?|\\.[0-9]+)(?:e[+-]?[0-9]+)?$"
+# A plain decimal number as Python's float() reads it, digit-group underscores included
+# ('1_000.5'); 'nan'/'inf' are deliberately not numbers here.
+_DIGITS = "[0-9](?:_?[0-9])*"
+FRONTAGE_NUMBER = ("^[+-]?(?:" + _DIGITS + "(?:\\.(?:" + _DIGITS + ")?)?|\\." + _DIGITS + ")"
+                   "(?:e[+-]?" + _DIGITS + ")?$")
 FRONTAGE_METRES = NUM + WS + "*m(?:$|[^²2])"
 
 # ---------------------------------------------------------------- fixed values: city

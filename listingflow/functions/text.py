@@ -267,7 +267,7 @@ def frontage_key(x) -> Column:
 @by_name
 def frontage_from_key(key) -> Column:
     t = _c(key)
-    plain = F.when(t.rlike(P.FRONTAGE_NUMBER), t.try_cast("double"))
+    plain = F.when(t.rlike(P.FRONTAGE_NUMBER), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
     return F.coalesce(plain, _extract(t, P.FRONTAGE_METRES, 1).try_cast("double"))
 
 

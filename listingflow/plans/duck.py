@@ -125,7 +125,7 @@ def format_date(d: str) -> str:
 
 def extract_frontage(s: str) -> str:
     t = f"replace(lower({py_strip(f'CAST({s} AS VARCHAR)')}), ',', '.')"
-    plain = f"CASE WHEN regexp_matches({t}, {q(P.FRONTAGE_NUMBER)}) THEN TRY_CAST({t} AS DOUBLE) END"
+    plain = f"CASE WHEN regexp_matches({t}, {q(P.FRONTAGE_NUMBER)}) THEN TRY_CAST(replace({t}, '_', '') AS DOUBLE) END"
     out = f"COALESCE({plain}, TRY_CAST({ext(t, P.FRONTAGE_METRES)} AS DOUBLE))"
     return f"CASE WHEN {s} IS NULL THEN CAST(NULL AS DOUBLE) ELSE {out} END"
 

@@ -113,7 +113,8 @@ def test_posted_date(spark):
 FRONT = [("5", 5.0), ("5,5", 5.5), ("mặt tiền 6m", 6.0), ("8m2", None), ("4.5 m", 4.5), (" 7 ", 7.0),
          ("abc", None), ("12m²", None), ("1e2", 100.0), ("nan", None), (None, None), ("10", 10.0),
          ("-3", -3.0), ("+2.5", 2.5), ("mặt tiền 4,5 m", 4.5), ("3.5m x 20m", 3.5), ("5 M", 5.0),
-         ("", None), (".5", 0.5), ("5.", 5.0)]
+         ("", None), (".5", 0.5), ("5.", 5.0), ("1_000", 1000.0), ("1_000.5", 1000.5), ("1__0", None),
+         ("_1", None), ("2e1_0", 2e10), ("inf", None)]
 
 
 def test_frontage(spark):
