@@ -236,3 +236,15 @@ def test_absolute_url_matches_urljoin(spark):
              ("https://x.com/a/b/c", "..g"), ("https://x.com/a/b/c", "g../h")]
     got = eval_rows(spark, "b string, h string", cases, absolute_url(F.col("h"), F.col("b")))
     assert [g[0] for g in got] == [urljoin(b, h) if not h.startswith("http") else h for b, h in cases]
+
+
+def test_enrichment_rules_more(spark):
+    rows = [("Gần Bệnh viện, trường học và công viên",), ("Nhà xưởng cho thuê",), ("shophouse mặt tiền",),
+            ("căn hộ cao cấp view sông",), ("Hợp đồng mua bán công chứng, giấy tờ tay",), ("Villa nhà vườn lớn",)]
+    got = eval_rows(spark, "s string", rows, T.classify_type("s"), T.legal_phrase("s"), T.amenities("s"))
+    assert got == [(None, None, "trường học, Bệnh viện, công viên"),      # rule order, verbatim case
+                   ("kho xưởng", None, None),
+                   ("shophouse", None, None),
+                   ("căn hộ", None, None),
+                   (None, "Hợp đồng mua bán", None),                     # leftmost phrase wins
+                   ("biệt thự", None, None)]
