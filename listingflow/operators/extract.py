@@ -17,7 +17,8 @@ detail pages (``page_kind='detail'``), one value per field, rules tried by prior
   spec_block   items ``selector``; ``attr`` = "label_sel||value_sel" (``sel[i]`` = i-th match)
                feeds the label/value map named by ``field`` (PRJ-8)
   spec_key     value of key ``attr`` in map ``selector``; '' falls through (PRJ-9)
-  spec_contains  value of the first key containing ``attr`` ('ci:' prefix: any case) (PRJ-10)
+  spec_contains  value of the first key containing ``attr`` ('ci:' any case, 'first:' the first
+               matching entry's own value) (PRJ-10)
 list pages (``page_kind='list'``): ``item`` selector, ``link`` selector inside the item
   ('&' = the item, 'a >> b' = b inside the first a) with ``attr='href'``, ``title`` rules
   (attr / css with ``attr`` naming the scope 'link' or 'item'), ``require_title`` flag.
@@ -153,7 +154,7 @@ SITE_SPEC_KEYS = [
 SITE_SPEC_CONTAINS = [
     ("batdongsan.com.vn", "frontage_text", "specs", "Mặt tiền"),
     ("batdongsan.com.vn", "legal_text", "specs", "Pháp lý"),
-    ("batdongsan.com.vn", "date_text", "info", "ci:ngày đăng"),
+    ("batdongsan.com.vn", "date_text", "info", "ci:first:ngày đăng"),
 ]
 SITE_PARENT_TEXT = [("bds123.vn", "bedroom_text", "i.icon.bed"), ("bds123.vn", "bathroom_text", "i.icon.bath")]
 SITE_PAGE_TEXT = [("batdongsan.com.vn", "phone_text"), ("bds123.vn", "phone_text")]
@@ -407,16 +408,25 @@ def spec_value(entries: Column, map_name: str, key: str) -> Column:
 
 
 def spec_first_containing(entries: Column, map_name: str, phrase: str) -> Column:
-    """PRJ-10: value of the first key (in first-seen order) containing ``phrase``."""
-    ci = phrase.startswith("ci:")
-    p = phrase[3:] if ci else phrase
+    """PRJ-10: value of the first key (in first-seen order) containing ``phrase`` — the value
+    last stored under that key, as a dict lookup gives.  Prefixes: ``ci:`` any case; ``first:``
+    the value of the first matching entry itself (a loop that stops at the first match)."""
+    ci = first_entry = False
+    while phrase.startswith(("ci:", "first:")):
+        if phrase.startswith("ci:"):
+            ci, phrase = True, phrase[3:]
+        else:
+            first_entry, phrase = True, phrase[6:]
+    p = phrase.lower() if ci else phrase
 
     def has(e):
         k = F.lower(e["k"]) if ci else e["k"]
-        return (e["map"] == map_name) & k.contains(p.lower() if ci else p)
+        return (e["map"] == map_name) & k.contains(p)
 
-    first = F.try_element_at(F.filter(entries, has), F.lit(1))["k"]
-    hits = F.filter(entries, lambda e: (e["map"] == map_name) & (e["k"] == first))
+    head = F.try_element_at(F.filter(entries, has), F.lit(1))
+    if first_entry:
+        return head["v"]
+    hits = F.filter(entries, lambda e: (e["map"] == map_name) & (e["k"] == head["k"]))
     return F.try_element_at(hits, F.lit(-1))["v"]
 
 

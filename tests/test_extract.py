@@ -181,3 +181,14 @@ def test_has_relative_selectors():
     assert [n.attrs["id"] for n in H.select(doc, "div:has(> p b)")] == ["a"]
     assert [n.attrs["id"] for n in H.select(doc, "div:has(p b)")] == ["a", "b"]
     assert [n.attrs["id"] for n in H.select(doc, "div:has(> section)")] == ["b"]
+
+
+def test_spec_lookups_first_and_last(spark):
+    entries = [("specs", "Mặt tiền (m)", "4 m"), ("specs", "Mặt tiền (m)", "6 m"), ("info", "Ngày đăng", "01/06/2024"),
+               ("info", "NGÀY ĐĂNG", "02/06/2024"), ("info", "Ngày đăng", "03/06/2024")]
+    df = spark.createDataFrame([(entries,)], "e array<struct<map:string,k:string,v:string>>")
+    r = df.select(EX.spec_first_containing(F.col("e"), "specs", "Mặt tiền").alias("a"),
+                  EX.spec_first_containing(F.col("e"), "info", "ci:ngày đăng").alias("b"),
+                  EX.spec_first_containing(F.col("e"), "info", "ci:first:ngày đăng").alias("c"),
+                  EX.spec_value(F.col("e"), "specs", "Mặt tiền (m)").alias("d")).first()
+    assert (r["a"], r["b"], r["c"], r["d"]) == ("6 m", "03/06/2024", "01/06/2024", "6 m")
