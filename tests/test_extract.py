@@ -192,3 +192,20 @@ def test_spec_lookups_first_and_last(spark):
                   EX.spec_first_containing(F.col("e"), "info", "ci:first:ngày đăng").alias("c"),
                   EX.spec_value(F.col("e"), "specs", "Mặt tiền (m)").alias("d")).first()
     assert (r["a"], r["b"], r["c"], r["d"]) == ("6 m", "03/06/2024", "01/06/2024", "6 m")
+
+
+def test_selector_subset():
+    doc = H.parse("""<ul><li class="a x" data-k="alpha"><span class="label">L</span><span>1</span></li>
+    <li class="b" data-k="beta-2"><span>2</span></li><li id="z" class="c VIP-item" data-k="gamma x">3</li></ul>
+    <p>p1</p><div>d</div><p>p2</p>""")
+    ids = lambda sel: [n.text(strip=True) for n in H.select(doc, sel)]
+    assert ids("li[data-k^='al']") == ["L1"] and ids("li[data-k$='-2']") == ["2"]
+    assert ids("li[data-k*='mm']") == ["3"] and ids("li[data-k~='x']") == ["3"]
+    assert ids("li[data-k|='beta']") == ["2"] and ids("li[data-k]")[1:] == ["2", "3"]
+    assert ids("li span:not(.label)") == ["1", "2"] and ids("li:nth-child(2)") == ["2"]
+    assert ids("#z") == ["3"] and ids("li.a.x") == ["L1"] and ids("ul > li > span.label") == ["L"]
+    assert ids("p ~ p") == ["p2"] and ids("div + p") == ["p2"] and ids("li:class-re(vip)") == ["3"]
+    assert ids("p, li.b") == ["2", "p1", "p2"]                     # groups come back in document order
+    assert H.select_one(doc, "table") is None
+    with pytest.raises(ValueError):
+        H.compile_selector("li:first-of-type")
