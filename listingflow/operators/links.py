@@ -22,16 +22,60 @@ H1 = r"(?is)<h1[^>]*>(.*?)</h1>"
 ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*@)?([^/?#:]*)"
 
-# HTML entities decoded in extracted text, as (pattern, character).  These legacy
-# names decode with or without the ';' (as an HTML parser does); '&amp' goes last.
-ENTITIES = [("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;?", "'"), ("&#[xX]27;?", "'"),
-            ("&nbsp;?", "\u00a0"), ("&copy;?", "\u00a9"), ("&middot;?", "\u00b7"), ("&amp;?", "&")]
+# Named entities decoded natively (all are HTML legacy names, so the ';' is
+# optional), as (name, character).
+NAMED_ENTITIES = [("lt", "<"), ("gt", ">"), ("quot", '"'), ("nbsp", "\u00a0"), ("copy", "\u00a9"),
+                  ("middot", "\u00b7"), ("amp", "&")]
+# The HTML5 replacements for numeric references to 0x00, 0x0D and 0x80-0x9F.
+NUMERIC_REPLACEMENTS = {
+    0x00: "\ufffd", 0x0D: "\r", 0x80: "\u20ac", 0x81: "\x81", 0x82: "\u201a", 0x83: "\u0192",
+    0x84: "\u201e", 0x85: "\u2026", 0x86: "\u2020", 0x87: "\u2021", 0x88: "\u02c6", 0x89: "\u2030",
+    0x8A: "\u0160", 0x8B: "\u2039", 0x8C: "\u0152", 0x8D: "\x8d", 0x8E: "\u017d", 0x8F: "\x8f",
+    0x90: "\x90", 0x91: "\u2018", 0x92: "\u2019", 0x93: "\u201c", 0x94: "\u201d", 0x95: "\u2022",
+    0x96: "\u2013", 0x97: "\u2014", 0x98: "\u02dc", 0x99: "\u2122", 0x9A: "\u0161", 0x9B: "\u203a",
+    0x9C: "\u0153", 0x9D: "\x9d", 0x9E: "\u017e", 0x9F: "\u0178",
+}
+# Code points a numeric reference may not produce (they decode to nothing): C0/C1 controls other
+# than tab, newline, form feed and CR, U+FDD0-U+FDEF, and the last two code points of each plane.
+INVALID_RANGES = [(0x01, 0x08), (0x0B, 0x0B), (0x0E, 0x1F), (0x7F, 0x9F), (0xFDD0, 0xFDEF)]
+NUMERIC_REF = r"&#(?:[0-9]+|[xX][0-9a-fA-F]+);?"
+ENTITY_TOKEN = (NUMERIC_REF + "|&(?:" + "|".join(n for n, _ in NAMED_ENTITIES) + ");?|[^&]+|&")
+
+
+def _code_point_text(n: Column) -> Column:
+    """The character of code point ``n`` (UTF-16 units decoded natively)."""
+    def unit(v):
+        return F.lpad(F.hex(v), 4, "0")
+    v = n - 0x10000
+    pair = F.concat(unit(F.shiftright(v, 10) + 0xD800), unit(v.bitwiseAND(0x3FF) + 0xDC00))
+    return F.decode(F.unhex(F.when(n < 0x10000, unit(n)).otherwise(pair)), "UTF-16BE")
+
+
+def _decode_token(t: Column) -> Column:
+    hexd = F.nullif(F.regexp_extract(t, r"^&#[xX]([0-9a-fA-F]+)", 1), F.lit(""))
+    n = F.coalesce(F.conv(hexd, 16, 10), F.regexp_extract(t, r"^&#([0-9]+)", 1)).try_cast("bigint")
+    numeric = F.when(n.isin(*NUMERIC_REPLACEMENTS), F.element_at(
+        F.create_map(*[x for k, v in NUMERIC_REPLACEMENTS.items() for x in (F.lit(k), F.lit(v))]), n))
+    invalid = None
+    for lo, hi in INVALID_RANGES:
+        c = (n >= lo) & (n <= hi)
+        invalid = c if invalid is None else invalid | c
+    invalid = invalid | (n.bitwiseAND(0xFFFE) == 0xFFFE)
+    numeric = (F.when(n.isin(*NUMERIC_REPLACEMENTS), numeric)
+               .when(n.isNull() | (n > 0x10FFFF) | ((n >= 0xD800) & (n <= 0xDFFF)), F.lit("\ufffd"))
+               .when(invalid, F.lit(""))
+               .otherwise(_code_point_text(n)))
+    out = F.when(t.rlike("^" + NUMERIC_REF + "$"), numeric)
+    for name, char in NAMED_ENTITIES:
+        out = out.when(t.rlike("^&" + name + ";?$"), F.lit(char))
+    return out.otherwise(t)
 
 
 def decode_entities(c: Column) -> Column:
-    for pattern, char in ENTITIES:
-        c = F.regexp_replace(c, pattern, char)
-    return c
+    """HTML character references in extracted text, in one pass (so '&amp;#39;' stays '&#39;'):
+    every numeric reference as an HTML parser decodes it, and the named ones listed above."""
+    tokens = F.regexp_extract_all(c, F.lit(ENTITY_TOKEN), 0)
+    return F.when(c.contains("&"), F.array_join(F.transform(tokens, _decode_token), "")).otherwise(c)
 
 
 def node_text(fragment: Column) -> Column:

@@ -26,10 +26,27 @@ def with_views(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({duck_view_sql(n)})" for n in names) + "\n"
 
 
+def _decode_token_sql(t: str) -> str:
+    n = (f"(CASE WHEN regexp_matches({t}, '^&#[xX]') "
+         f"THEN TRY_CAST('0x' || regexp_extract({t}, '^&#[xX]([0-9a-fA-F]+)', 1) AS BIGINT) "
+         f"ELSE TRY_CAST(regexp_extract({t}, '^&#([0-9]+)', 1) AS BIGINT) END)")
+    table = " ".join(f"WHEN {k} THEN {D.q(v)}" for k, v in L.NUMERIC_REPLACEMENTS.items())
+    invalid = " OR ".join(f"({n} BETWEEN {lo} AND {hi})" for lo, hi in L.INVALID_RANGES)
+    invalid += f" OR ({n} % 65536 IN (65534, 65535))"
+    keys = ", ".join(str(k) for k in L.NUMERIC_REPLACEMENTS)
+    numeric = (f"CASE WHEN {n} IN ({keys}) THEN (CASE {n} {table} END) "
+               f"WHEN {n} IS NULL OR {n} > 1114111 OR ({n} BETWEEN 55296 AND 57343) THEN {D.q(chr(0xFFFD))} "
+               f"WHEN {invalid} THEN '' ELSE chr(CAST({n} AS INTEGER)) END")
+    named = " ".join(f"WHEN regexp_matches({t}, {D.q('^&' + name + ';?$')}) THEN {D.q(char)}"
+                     for name, char in L.NAMED_ENTITIES)
+    return (f"CASE WHEN regexp_matches({t}, {D.q('^' + L.NUMERIC_REF + '$')}) THEN {numeric} "
+            f"{named} ELSE {t} END")
+
+
 def decode_entities(s: str) -> str:
-    for pattern, char in L.ENTITIES:
-        s = f"regexp_replace({s}, {D.q(pattern)}, {D.q(char)}, 'g')"
-    return s
+    tokens = f"regexp_extract_all({s}, {D.q(L.ENTITY_TOKEN)}, 0)"
+    return (f"CASE WHEN contains({s}, '&') THEN array_to_string(list_transform({tokens}, "
+            f"lambda tok: {_decode_token_sql('tok')}), '') ELSE {s} END")
 
 
 def node_text(frag: str) -> str:

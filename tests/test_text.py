@@ -217,10 +217,17 @@ def test_keyed_equals_inline(spark):
 def test_entities_match_html_parser(spark):
     from listingflow.functions import html as H
     from listingflow.operators.links import decode_entities
+    import duckdb
+    from listingflow.plans.oracle import decode_entities as sql_decode
     samples = ["a &amp; b", "x&amp", "&amp;amp;", "&copy; 2024 &middot; y", "&quot;q&quot", "&lt;b&gt;", "&amplt;",
-               "&am", "A&nbsp;B"]
-    got = eval_rows(spark, "s string", [(s,) for s in samples], decode_entities(F.col("s")))
-    assert [g[0] for g in got] == [H.parse(s).text() for s in samples]
+               "&am", "A&nbsp;B", "it&#39;s", "&#x27;x", "dash &#8211; em&#8212;", "&#128512;", "&#x1F600",
+               "&#0;", "&#13;", "&#128;&#x9F;", "&#1;x", "&#xD800;", "&#1114112;", "&#99999999999999999999;",
+               "&#65535;", "&#xFDD0;", "&#38;lt;", "&amp;#39;", "&#", "&#x;", "&#abc", "plain", "",
+               "&#x41&#66;C", "&quotient;"]
+    got = [g[0] for g in eval_rows(spark, "s string", [(s,) for s in samples], decode_entities(F.col("s")))]
+    assert got == [H.parse(s).text() for s in samples]                  # as the HTML parser decodes them
+    con = duckdb.connect()
+    assert got == [con.execute(f"SELECT {sql_decode('s')} FROM (SELECT ? AS s)", [x]).fetchone()[0] for x in samples]
 
 
 def test_absolute_url_matches_urljoin(spark):
