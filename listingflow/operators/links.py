@@ -71,16 +71,23 @@ def _decode_token(t: Column) -> Column:
     return out.otherwise(t)
 
 
+def _decode_named(c: Column) -> Column:
+    for name, char in NAMED_ENTITIES:                     # '&amp' last: nothing is decoded twice
+        c = F.regexp_replace(c, "&" + name + ";?", char)
+    return c
+
+
 def decode_entities(c: Column) -> Column:
     """HTML character references in extracted text, in one pass (so '&amp;#39;' stays '&#39;'):
-    every numeric reference as an HTML parser decodes it, and the named ones listed above."""
-    tokens = F.regexp_extract_all(c, F.lit(ENTITY_TOKEN), 0)
-    return F.when(c.contains("&"), F.array_join(F.transform(tokens, _decode_token), "")).otherwise(c)
+    every numeric reference as an HTML parser decodes it, and the named ones listed above.
 
-
-def node_text(fragment: Column) -> Column:
-    """Text of an HTML fragment: tags dropped, entities decoded, stripped."""
-    return py_strip(decode_entities(F.regexp_replace(fragment, TAG, "")))
+    Text without '&#' takes the ordered named-entity replacements ('&amp' last, so no step can
+    create a reference a later step decodes: the same result as one pass); only text holding a
+    numeric reference is tokenised and decoded token by token."""
+    tokens = F.regexp_extract_all(c, F.lit(ENTITY_TOKEN), 0)
+    return (F.when(~c.contains("&"), c)
+            .when(~c.contains("&#"), _decode_named(c))
+            .otherwise(F.array_join(F.transform(tokens, _decode_token), "")))
 
 
 def host_of(url) -> Column:
@@ -134,31 +141,35 @@ def absolute_url(href: Column, base: Column) -> Column:
 def page_links(pages: DataFrame, base_col: str = "url") -> DataFrame:
     """PRJ-3/4/5 + FLT-2: one row per anchor with an href: ``(page_id, pos, url, title)``.
 
-    Title falls back from the ``title`` attribute to the anchor text (PRJ-5).
-    """
+    Title falls back from the ``title`` attribute to the anchor text (PRJ-5).  Raw fragments
+    are cut out first (``html`` is dropped there); entity decoding runs in the next projection
+    over those narrow string columns."""
     anchors = pages.select(
         "page_id", F.col(base_col).alias("_base"),
         F.posexplode(F.regexp_extract_all("html", F.lit(ANCHOR), 0)).alias("pos0", "a"))
-    href = F.regexp_extract("a", HREF, 1)
-    title = F.coalesce(
-        F.nullif(py_strip(decode_entities(F.regexp_extract("a", TITLE_ATTR, 1))), F.lit("")),
-        F.nullif(node_text(F.regexp_extract("a", ANCHOR_INNER, 1)), F.lit("")))
-    return (anchors
-            .filter(href != "")
-            .select("page_id", (F.col("pos0") + 1).alias("pos"),
-                    absolute_url(decode_entities(href), F.col("_base")).alias("url"),
-                    title.alias("title")))
+    raw = (anchors.select("page_id", "pos0", "_base",
+                          F.regexp_extract("a", HREF, 1).alias("_href"),
+                          F.regexp_extract("a", TITLE_ATTR, 1).alias("_tattr"),
+                          F.regexp_replace(F.regexp_extract("a", ANCHOR_INNER, 1), TAG, "").alias("_inner"))
+           .filter(F.col("_href") != ""))
+    dec = raw.select("page_id", "pos0", "_base", *[decode_entities(F.col(c)).alias(c)
+                                                   for c in ("_href", "_tattr", "_inner")])
+    title = F.coalesce(F.nullif(py_strip(F.col("_tattr")), F.lit("")),
+                       F.nullif(py_strip(F.col("_inner")), F.lit("")))
+    return dec.select("page_id", (F.col("pos0") + 1).alias("pos"),
+                      absolute_url(F.col("_href"), F.col("_base")).alias("url"), title.alias("title"))
 
 
 def page_summary(pages: DataFrame) -> DataFrame:
-    """Per page: host, cleaned h1 title, number of hrefs, link-validity (FLT-3 on the page)."""
-    title = clean_text(node_text(F.regexp_extract("html", H1, 1)))
-    return pages.select(
-        "page_id", "url",
-        host_of("url").alias("host"),
-        title.alias("title"),
-        F.size(F.regexp_extract_all("html", F.lit(HREF), 1)).alias("n_links"),
-    ).withColumn("valid", F.coalesce(F.col("title") != "", F.lit(False)) & starts_with_http("url"))
+    """Per page: host, cleaned h1 title, number of hrefs, link-validity (FLT-3 on the page).
+    The h1 fragment is cut out first, so decoding never sees the whole page row."""
+    raw = pages.select(
+        "page_id", "url", host_of("url").alias("host"),
+        F.regexp_replace(F.regexp_extract("html", H1, 1), TAG, "").alias("_h1"),
+        F.size(F.regexp_extract_all("html", F.lit(HREF), 1)).alias("n_links"))
+    title = clean_text(py_strip(decode_entities(F.col("_h1"))))
+    return (raw.select("page_id", "url", "host", title.alias("title"), "n_links")
+            .withColumn("valid", F.coalesce(F.col("title") != "", F.lit(False)) & starts_with_http("url")))
 
 
 def page_listing_stats(pages: DataFrame) -> DataFrame:

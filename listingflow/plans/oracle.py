@@ -45,8 +45,11 @@ def _decode_token_sql(t: str) -> str:
 
 def decode_entities(s: str) -> str:
     tokens = f"regexp_extract_all({s}, {D.q(L.ENTITY_TOKEN)}, 0)"
-    return (f"CASE WHEN contains({s}, '&') THEN array_to_string(list_transform({tokens}, "
-            f"lambda tok: {_decode_token_sql('tok')}), '') ELSE {s} END")
+    named = s
+    for name, char in L.NAMED_ENTITIES:
+        named = f"regexp_replace({named}, {D.q('&' + name + ';?')}, {D.q(char)}, 'g')"
+    return (f"CASE WHEN NOT contains({s}, '&') THEN {s} WHEN NOT contains({s}, '&#') THEN {named} "
+            f"ELSE array_to_string(list_transform({tokens}, lambda tok: {_decode_token_sql('tok')}), '') END")
 
 
 def node_text(frag: str) -> str:
