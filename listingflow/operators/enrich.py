@@ -40,8 +40,7 @@ def _is_missing(df: DataFrame, name: str) -> Column:
 
 def missing_fields(df: DataFrame, fields: Sequence[str] = P.ENRICH_FIELDS) -> Column:
     """ENR-1: the record's missing field names, in field order."""
-    return F.filter(F.array(*[F.when(_is_missing(df, f), F.lit(f)) for f in fields]),
-                    lambda x: x.isNotNull())
+    return F.array_compact(F.array(*[F.when(_is_missing(df, f), F.lit(f)) for f in fields]))
 
 
 def with_batches(df: DataFrame, group: str = "source", order: Sequence[str] = ("link", "id"),
@@ -86,7 +85,7 @@ def batch_requests(batched: DataFrame, group: str = "source", template: str = DE
         F.array_sort(F.collect_list(F.struct("pos", "_block"))).alias("_blocks"))
     missing = F.array_join("_miss", ", ")
     head = F.replace(F.lit(template), F.lit("{missing}"), missing)
-    body = F.array_join(F.transform("_blocks", lambda x: x["_block"]), "\n")
+    body = F.array_join(F.col("_blocks._block"), "\n")
     return g.select(group, "batch", "n_records", missing.alias("missing"),
                     F.concat_ws("\n", head, body).alias("request"))
 

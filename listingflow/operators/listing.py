@@ -132,8 +132,7 @@ def validation_errors(df: DataFrame) -> Column:
     def neg(c):
         return F.when(F.col(c) < 0, F.lit(c)) if c in df.columns else F.lit(None).cast("string")
     link_bad = F.when(F.col("link").isNull() | ~F.col("link").startswith("http"), F.lit("link"))
-    return F.filter(F.array(neg("area"), neg("unit_price"), neg("bedroom"), neg("bathroom"), link_bad),
-                    lambda x: x.isNotNull())
+    return F.array_compact(F.array(neg("area"), neg("unit_price"), neg("bedroom"), neg("bathroom"), link_bad))
 
 
 def with_errors(df: DataFrame) -> DataFrame:
