@@ -258,3 +258,10 @@ def test_conform_maps_aliases_and_drops_unknown(spark):
     assert r["numberPhone"] == "0912345678" and r["price"] == 12.5 and r["title"] is None
     again = LS.conform(df.withColumn("id", LS.listing_id("link"))).first()["id"]
     assert r["id"] == again and len(again) == 64                     # sha2 of the link, stable under retry
+
+
+def test_enrich_key_only_numbering_matches(spark):
+    typed = QUERIES["normalise_listing"](spark, SF)
+    a = EN.enrich(typed, EN.rule_based_enricher()).select("id", "type", "legal", "amenityLocation", "enriched")
+    b = EN.enrich(typed, EN.rule_based_enricher(), row_key="id").select("id", "type", "legal", "amenityLocation", "enriched")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
