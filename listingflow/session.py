@@ -7,7 +7,9 @@ caller's session.  ``get_spark`` is for tests, benchmarks and scripts.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -44,14 +46,35 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.  Only when it is
-    unset (local tests) do we create a scratch folder and register it.
+    On a cluster that setting must point at shared storage and is used as is.  Only a ``local``
+    master may leave it unset (tests): its executors share this machine's disk, so a scratch
+    folder is made and registered.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-    if not current:
-        current = tempfile.mkdtemp(prefix="listingflow-ckpt-")
+        context = spark.sparkContext
+        current = context.getCheckpointDir()
+        if not current:
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            current = tempfile.mkdtemp(prefix="listingflow-ckpt-")
+            context.setCheckpointDir(current)
         spark.conf.set("spark.checkpoint.dir", current)
-        spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so tasks can import it."""
+    context = spark.sparkContext
+    if getattr(context, "_listingflow_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="listingflow-zip-")), "listingflow.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._listingflow_shipped = True
