@@ -51,11 +51,13 @@ class Node:
 
     # -- text
     def _strings(self) -> Iterator[str]:
-        for c in self.children:
-            if c.tag is None:
-                yield c.data
-            elif c.tag not in NO_TEXT:
-                yield from c._strings()
+        stack = list(reversed(self.children))      # no recursion: pages may nest without end
+        while stack:
+            n = stack.pop()
+            if n.tag is None:
+                yield n.data
+            elif n.tag not in NO_TEXT:
+                stack.extend(reversed(n.children))
 
     def text(self, strip: bool = False) -> str:
         if strip:

@@ -161,7 +161,6 @@ AMENITY_PHRASES = ["trường học", "bệnh viện", "trung tâm thương mạ
 ENRICH_FIELDS = ["title", "address", "price", "area", "unit_price", "seller", "bedroom", "bathroom",
                  "frontage", "legal", "postedDate", "description", "link", "city",
                  "amenityLocation", "type"]
-LISTING_BATCH = 20
 ENRICH_BATCH = 10
 LINK_BATCH = 20
 PAGES_PER_SITE = 1

@@ -14,6 +14,5 @@ NOT_WORD = r"[^\p{L}\p{N}_]"
 END_WORD = r"(?:$|" + NOT_WORD + r")"
 # Python str.strip() on both ends.
 STRIP = r"^" + WS + r"+|" + WS + r"+$"
-DIG = r"[0-9]"
 NUM = r"([0-9]+(?:\.[0-9]+)?)"           # integer or decimal, '.' separator
 NUM_ANY_SEP = r"([0-9]+(?:[.,][0-9]+)?)"

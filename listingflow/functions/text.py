@@ -194,14 +194,21 @@ def date_abs_key(key) -> Column:
     return F.coalesce(*cands).cast("timestamp_ntz")
 
 
+#: Relative dates reach back at most this many days (a little less than 2,000 years, so the result is a valid date).
+MOST_DAYS_AGO = 700_000
+
+
 @by_name
 def date_rel_key(key) -> Column:
     """The relative part of SCL-7 on a ``date_key``: a day-time interval to count back from the
     snapshot time, or null when the text names no relative date."""
     t = _c(key)
-    days = _extract(t, P.DATE_DAYS_AGO, 1).try_cast("int")
-    hours = _extract(t, P.DATE_HOURS_AGO, 1).try_cast("int")
-    minutes = _extract(t, P.DATE_MINUTES_AGO, 1).try_cast("int")
+    # a count that would leave the calendar reads as no date at all
+    def ago(pattern, unit_days):
+        n = _extract(t, pattern, 1).try_cast("bigint")
+        return F.when(n <= MOST_DAYS_AGO * unit_days, n.try_cast("int"))
+
+    days, hours, minutes = ago(P.DATE_DAYS_AGO, 1), ago(P.DATE_HOURS_AGO, 24), ago(P.DATE_MINUTES_AGO, 24 * 60)
 
     def has_any(words):
         cond = None
@@ -326,7 +333,12 @@ def contains_ci(x, needle: str) -> Column:
 def unit_price(price, area) -> Column:
     """PRJ-14: round(price / area, 2) when both are positive; half-up rounding."""
     p, a = _c(price), _c(area)
-    return F.when((p > 0) & (a > 0), F.floor(p / a * 100 + 0.5) / 100)
+    return F.when((p > 0) & (a > 0), round_cents(p / a))
+
+
+def round_cents(x: Column) -> Column:
+    """Two decimals, half up; from 2^53 / 100 on a double has no cents and stays as it is."""
+    return F.when(x < float(2 ** 53 // 100), F.floor(x * 100 + 0.5) / 100).otherwise(x)
 
 
 @by_name

@@ -19,10 +19,18 @@ from pyspark.sql import types as T
 
 from ..functions import patterns as P
 from ..functions import text as X
+from ..session import ship_package
 from .batching import batch_ids
 
-DEFAULT_TEMPLATE = ("Fill in the missing fields of each listing below from its description. "
-                    "Missing fields: {missing}. Reply with a JSON array of objects with an \"id\".")
+DEFAULT_TEMPLATE = (
+    "Fill in the missing fields of each listing below from its description.\n"
+    "Missing fields: {missing}\n"
+    "Rules:\n"
+    "- price and unit_price in VND, area and frontage in metres, bedroom and bathroom as numbers\n"
+    "- type is one of: " + ", ".join(P.PROPERTY_TYPES) + "\n"
+    "- postedDate as dd/mm/yyyy; a field that the text does not give stays null\n"
+    "- leave fields that are not missing as they are\n"
+    "Reply with a JSON array of objects with an \"id\".")
 
 
 def _is_missing(df: DataFrame, name: str) -> Column:
@@ -56,7 +64,7 @@ def _fmt(df: DataFrame, name: str) -> Column:
     typ = df.schema[name].dataType
     c = F.col(name)
     if isinstance(typ, (T.DoubleType, T.FloatType)):
-        s = c.cast("decimal(38,2)").cast("string")
+        s = F.coalesce(c.try_cast("decimal(38,2)").cast("string"), c.cast("string"))
     elif isinstance(typ, T.DateType):
         s = F.date_format(c, "yyyy-MM-dd")
     else:
@@ -104,12 +112,6 @@ def parse_replies(replies: DataFrame, text_col: str = "text", keep: Sequence[str
                     F.element_at("item", F.lit("id")).alias("item_id"), "item"))
 
 
-def latest_reply_per_id(items: DataFrame, order: Sequence[str] = ("pos",)) -> DataFrame:
-    """AGG-8: the last object per id wins (``max_by``; combines map-side)."""
-    return (items.groupBy("item_id")
-            .agg(F.max_by("item", F.struct(*order)).alias("item")))
-
-
 # Per-field normalisation of reply values (the reference's update rules), as
 # (key expression on the raw value, final expression on the key).
 def _IDENT(v):
@@ -196,7 +198,7 @@ def merge_reply_items(listing: DataFrame, items: DataFrame, order: Sequence[str]
         up, p, a = F.col("unit_price"), F.col("price"), F.col("area")
         recompute = ((up.isNull() | (up == 0)) & p.isNotNull() & (p != 0) & a.isNotNull() & (a != 0))
         merged = merged.withColumn("unit_price",
-                                   F.when(recompute, F.floor(p / a * 100 + 0.5) / 100).otherwise(up))
+                                   F.when(recompute, X.round_cents(p / a)).otherwise(up))
     return merged
 
 
@@ -219,9 +221,11 @@ def enrich(listing: DataFrame, enricher: Enricher, group: str = "source",
 
     ``enricher`` is a ``mapInPandas`` function: it receives pandas frames with columns
     ``batch_key, id, missing`` and ``request_cols`` and yields ``(batch_key, text)`` replies
-    whose text holds a JSON array of objects with ``id``.  As in the reference every record of a
-    batch is sent, with the batch's missing fields; an enricher answers only what is missing.
+    whose text holds a JSON array of objects with ``id``.  Every record of a batch is sent with the
+    names of its own missing fields; an enricher answers only what is missing (``whole_batches``
+    gives it the batches whole).
     """
+    ship_package(listing.sparkSession)
     miss = listing.withColumn("_missing", missing_fields(listing))
     batched = batch_ids(miss, group, ["link", "id"], size, row_key=row_key)   # checkpointed once
     base = batched.select(*listing.columns)                       # the merge reuses those rows
@@ -256,6 +260,22 @@ def enrich_requests(listing: DataFrame, enricher: Enricher, group: str = "source
     return merge_reply_items(base, items, ["batch_key", "pos"], as_of)
 
 
+def whole_batches(frames: Iterator[pd.DataFrame], size: int) -> Iterator[tuple]:
+    """``(batch_key, rows)`` of whole batches from frames sorted by ``batch_key``: the open batch is
+    carried from frame to frame, so it is cut where its key changes, where it is full and at the
+    end of the input (STR-2), never where a frame happens to end."""
+    key, rows = None, []
+    for pdf in frames:
+        for row in pdf.to_dict("records"):
+            if rows and (row["batch_key"] != key or len(rows) >= size):
+                yield key, rows
+                rows = []
+            key = row["batch_key"]
+            rows.append(row)
+    if rows:
+        yield key, rows
+
+
 def rule_based_enricher(batch_size: int = P.ENRICH_BATCH) -> Enricher:
     """A deterministic enricher with no network: property type from keywords (ENR-8), legal
     phrase (ENR-9) and amenity phrases (ENR-10), asked only for the missing fields."""
@@ -287,24 +307,13 @@ def rule_based_enricher(batch_size: int = P.ENRICH_BATCH) -> Enricher:
         return out
 
     def fn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # rows arrive sorted by batch_key: cut a reply whenever the key changes or the
-        # batch is full (the end of each Arrow batch flushes, STR-2)
-        for pdf in frames:
-            keys, texts, chunk, cur = [], [], [], None
-            cols = list(pdf.columns)
-
-            def flush():
-                if chunk:
-                    keys.append(cur)
-                    texts.append("```json\n" + json.dumps(chunk, ensure_ascii=False) + "\n```")
-
-            for values in zip(*(pdf[c].tolist() for c in cols)):
-                row = dict(zip(cols, values))
-                if row["batch_key"] != cur or len(chunk) >= batch_size:
-                    flush()
-                    chunk, cur = [], row["batch_key"]
-                chunk.append(answer(row))
-            flush()
-            yield pd.DataFrame({"batch_key": keys, "text": texts})
+        keys, texts = [], []
+        for key, rows in whole_batches(frames, batch_size):
+            keys.append(key)
+            texts.append("```json\n" + json.dumps([answer(r) for r in rows], ensure_ascii=False) + "\n```")
+            if len(keys) == 500:
+                yield pd.DataFrame({"batch_key": keys, "text": texts})
+                keys, texts = [], []
+        yield pd.DataFrame({"batch_key": keys, "text": texts}, dtype=object)
 
     return fn

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import html as H
+from ..session import ship_package
 
 Rule = namedtuple("Rule", "source page_kind field priority kind selector attr")
 
@@ -351,7 +352,10 @@ def _links(doc: H.Node, rules: Sequence[Rule]):
     return out
 
 
-def _parser(rules_by_source: Dict[str, List[Rule]], page_kind: str):
+def _parser(rules_by_source: Dict[str, List[Rule]], page_kind: str, phone: bool = True):
+    if not phone:
+        rules_by_source = {s: [r for r in rs if r.field != "phone_text"] for s, rs in rules_by_source.items()}
+
     def fn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             rows = []
@@ -359,17 +363,23 @@ def _parser(rules_by_source: Dict[str, List[Rule]], page_kind: str):
                 rules = rules_by_source.get(source)
                 if rules is None:
                     continue
-                doc = H.parse(html)
+                row = {"page_id": page_id, "url": url, "source": source, "parse_error": None}
+                values, entries, links = {}, [], []
+                try:                          # a page that cannot be parsed fails alone
+                    doc = H.parse(html)
+                    if page_kind == "detail":
+                        values, entries = _detail(doc, url, rules)
+                    else:
+                        links = _links(doc, rules)
+                except Exception as e:  # noqa: BLE001 - whatever the page provokes is its own outcome
+                    row["parse_error"] = f"{type(e).__name__}: {e}"[:200]
                 if page_kind == "detail":
-                    values, entries = _detail(doc, url, rules)
-                    rows.append({"page_id": page_id, "url": url, "source": source,
-                                 **{f: values.get(f) for f in DETAIL_FIELDS},
+                    rows.append({**row, **{f: values.get(f) for f in DETAIL_FIELDS},
                                  "spec_entries": [{"map": m, "k": k, "v": v} for m, k, v in entries]})
                 else:
-                    rows.append({"page_id": page_id, "url": url, "source": source,
-                                 "links": [{"url": u, "title": t} for u, t in _links(doc, rules)]})
-            cols = (["page_id", "url", "source"] + DETAIL_FIELDS + ["spec_entries"] if page_kind == "detail"
-                    else ["page_id", "url", "source", "links"])
+                    rows.append({**row, "links": [{"url": u, "title": t} for u, t in links]})
+            cols = (["page_id", "url", "source"] + DETAIL_FIELDS + ["spec_entries", "parse_error"] if page_kind == "detail"
+                    else ["page_id", "url", "source", "links", "parse_error"])
             yield pd.DataFrame(rows, columns=cols)
     return fn
 
@@ -378,21 +388,31 @@ DETAIL_SCHEMA = T.StructType(
     [T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
      T.StructField("source", T.StringType())]
     + [T.StructField(f, T.StringType()) for f in DETAIL_FIELDS]
-    + [T.StructField("spec_entries", T.ArrayType(SPEC_ENTRY))])
+    + [T.StructField("spec_entries", T.ArrayType(SPEC_ENTRY)), T.StructField("parse_error", T.StringType())])
 LIST_SCHEMA = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
-                            T.StructField("source", T.StringType()), T.StructField("links", T.ArrayType(LINK))])
+                            T.StructField("source", T.StringType()), T.StructField("links", T.ArrayType(LINK)),
+                            T.StructField("parse_error", T.StringType())])
 
 
-def parse_detail_pages(pages: DataFrame, rules: RuleSet) -> DataFrame:
+def parse_detail_pages(pages: DataFrame, rules: RuleSet, keep_errors: bool = False, phone: bool = True) -> DataFrame:
     """PRJ-6: ``(page_id, url, source, html)`` → raw detail fields + spec entries, then the
-    spec lookups natively (PRJ-8/9/10).  Pages of sources without rules yield no row."""
+    spec lookups natively (PRJ-8/9/10).  Pages of sources without rules yield no row.
+
+    A page that cannot be parsed never ends the job: with ``keep_errors`` it yields a row with
+    null fields and its ``parse_error``, otherwise it is left out.  Without ``phone`` the text that
+    phone numbers are looked for in (the whole page) is not sent back."""
+    ship_package(pages.sparkSession)
     parsed = pages.select("page_id", "url", "source", "html").mapInPandas(
-        _parser(rules.by_source(), "detail"), DETAIL_SCHEMA)
+        _parser(rules.by_source(), "detail", phone), DETAIL_SCHEMA)
+    if not keep_errors:
+        parsed = parsed.filter(F.col("parse_error").isNull()).drop("parse_error")
     return resolve_specs(parsed, rules)
 
 
 def parse_list_pages(pages: DataFrame, rules: RuleSet) -> DataFrame:
-    """PRJ-3 with site rules: one row per link ``(page_id, source, pos, href, title)``."""
+    """PRJ-3 with site rules: one row per link ``(page_id, source, pos, href, title)``; a page
+    that cannot be parsed gives no link."""
+    ship_package(pages.sparkSession)
     parsed = pages.select("page_id", "url", "source", "html").mapInPandas(
         _parser(rules.by_source(), "list"), LIST_SCHEMA)
     return parsed.select("page_id", "url", "source", F.posexplode("links").alias("pos0", "l")).select(

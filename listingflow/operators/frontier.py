@@ -63,6 +63,7 @@ def known_links(candidates: DataFrame, store: DataFrame, key: str = "url", store
     return dedup_links(candidates, key).join(known, key, "left_semi")
 
 
-def frontier_with_pages(frontier: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """JOIN-7 (re-aimed fetch): frontier ⋈ stored snapshots on url, html kept for parsing."""
-    return frontier.join(snapshots.select("url", "page_id", "html"), "url", "inner")
+def frontier_with_pages(frontier: DataFrame, snapshots: DataFrame, columns=("page_id", "html")) -> DataFrame:
+    """JOIN-7 (re-aimed fetch): frontier ⋈ stored snapshots on url; ``html`` is carried through the
+    join only where ``columns`` names it (for parsing)."""
+    return frontier.join(snapshots.select("url", *columns), "url", "inner")

@@ -8,6 +8,8 @@ function here projects it away before any aggregation.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +22,13 @@ ANCHOR_INNER = r"(?is)<a\s[^>]*>(.*?)</a>"
 TAG = r"<[^>]*>"
 H1 = r"(?is)<h1[^>]*>(.*?)</h1>"
 ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*@)?([^/?#:]*)"
 
-# Named entities decoded natively (all are HTML legacy names, so the ';' is
-# optional), as (name, character).
-NAMED_ENTITIES = [("lt", "<"), ("gt", ">"), ("quot", '"'), ("nbsp", "\u00a0"), ("copy", "\u00a9"),
-                  ("middot", "\u00b7"), ("amp", "&")]
+# The standard table of named references (Python's ``html.entities``): names with their ';', and
+# the legacy names that also count without it.
+NAMED_ENTITIES = dict(html5)
+LEGACY_PREFIX = "^&(" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")"
 # The HTML5 replacements for numeric references to 0x00, 0x0D and 0x80-0x9F.
 NUMERIC_REPLACEMENTS = {
     0x00: "\ufffd", 0x0D: "\r", 0x80: "\u20ac", 0x81: "\x81", 0x82: "\u201a", 0x83: "\u0192",
@@ -39,7 +42,8 @@ NUMERIC_REPLACEMENTS = {
 # than tab, newline, form feed and CR, U+FDD0-U+FDEF, and the last two code points of each plane.
 INVALID_RANGES = [(0x01, 0x08), (0x0B, 0x0B), (0x0E, 0x1F), (0x7F, 0x9F), (0xFDD0, 0xFDEF)]
 NUMERIC_REF = r"&#(?:[0-9]+|[xX][0-9a-fA-F]+);?"
-ENTITY_TOKEN = (NUMERIC_REF + "|&(?:" + "|".join(n for n, _ in NAMED_ENTITIES) + ");?|[^&]+|&")
+NAMED_REF = r"&[^\t\n\f <&#;]{1,32};?"
+ENTITY_TOKEN = NUMERIC_REF + "|" + NAMED_REF + "|[^&]+|&"
 
 
 def _code_point_text(n: Column) -> Column:
@@ -65,28 +69,25 @@ def _decode_token(t: Column) -> Column:
                .when(n.isNull() | (n > 0x10FFFF) | ((n >= 0xD800) & (n <= 0xDFFF)), F.lit("\ufffd"))
                .when(invalid, F.lit(""))
                .otherwise(_code_point_text(n)))
-    out = F.when(t.rlike("^" + NUMERIC_REF + "$"), numeric)
-    for name, char in NAMED_ENTITIES:
-        out = out.when(t.rlike("^&" + name + ";?$"), F.lit(char))
-    return out.otherwise(t)
+    return (F.when(t.rlike("^" + NUMERIC_REF + "$"), numeric)
+            .when(t.startswith("&") & (F.length(t) > 2), _decode_named(t)).otherwise(t))
 
 
-def _decode_named(c: Column) -> Column:
-    for name, char in NAMED_ENTITIES:                     # '&amp' last: nothing is decoded twice
-        c = F.regexp_replace(c, "&" + name + ";?", char)
-    return c
+def _decode_named(t: Column) -> Column:
+    """A name of the table, else the longest legacy name it begins with, else as written."""
+    # one string literal that folds to a map once per query
+    table = F.str_to_map(F.lit("\x01".join(f"{n}\x02{c}" for n, c in sorted(NAMED_ENTITIES.items()))), F.lit("\x01"), F.lit("\x02"))
+    prefix = F.regexp_extract(t, LEGACY_PREFIX, 1)
+    return F.coalesce(F.try_element_at(table, F.substring(t, 2, 40)),
+                      F.concat(F.try_element_at(table, F.nullif(prefix, F.lit(""))), t.substr(F.length(prefix) + 2, F.lit(1 << 30))), t)
 
 
 def decode_entities(c: Column) -> Column:
     """HTML character references in extracted text, in one pass (so '&amp;#39;' stays '&#39;'):
-    every numeric reference as an HTML parser decodes it, and the named ones listed above.
-
-    Text without '&#' takes the ordered named-entity replacements ('&amp' last, so no step can
-    create a reference a later step decodes: the same result as one pass); only text holding a
-    numeric reference is tokenised and decoded token by token."""
+    every numeric and named reference as an HTML parser decodes it.  Only text holding an '&' is
+    tokenised and decoded token by token."""
     tokens = F.regexp_extract_all(c, F.lit(ENTITY_TOKEN), 0)
     return (F.when(~c.contains("&"), c)
-            .when(~c.contains("&#"), _decode_named(c))
             .otherwise(F.array_join(F.transform(tokens, _decode_token), "")))
 
 
@@ -95,31 +96,27 @@ def host_of(url) -> Column:
     return F.lower(F.regexp_extract(u, HOST, 2))
 
 
-# Dot-segment removal (RFC 3986 §5.2.4) on the path (after the authority, before '?'/'#'), as
-# fixed regex passes: a segment other than '.'/'..' followed by '/..' collapses; DOT_PASSES
-# levels of nesting.
-SEGMENT = r"(?:[^/.?#][^/?#]*|\.[^/.?#][^/?#]*|\.\.[^/?#]+)"
-DOT_PASSES = 6
-DOT_RULES = (
-    [(r"/(?:\./)+", "/"), (r"/\.$", "/")]
-    + [("/" + SEGMENT + r"/\.\./", "/")] * DOT_PASSES
-    + [("/" + SEGMENT + r"/\.\.$", "/"), (r"^(?:/\.\.)+(?:/|$)", "/")]
-)
 AUTHORITY = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 
 
 def remove_dot_segments(url: Column) -> Column:
+    """Dot-segment removal (RFC 3986 §5.2.4) on the path (after the authority, before '?'/'#'):
+    a fold over the path's segments, of any depth."""
     head = F.regexp_extract(url, r"^([^?#]*)", 1)
     tail = F.substring(url, F.length(head) + 1, 1 << 30)
     auth = F.regexp_extract(head, AUTHORITY, 1)
     path = F.substring(head, F.length(auth) + 1, 1 << 30)
-    for pattern, repl in DOT_RULES:
-        path = F.regexp_replace(path, pattern, repl)
-    return F.concat(auth, path, tail)
+    segments = F.split(path, "/")
+    kept = F.aggregate(
+        F.slice(segments, 2, F.greatest(F.size(segments) - 1, F.lit(0))), F.array().cast("array<string>"),
+        lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
+    closing = F.when(path.rlike(r"/\.\.?$"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.concat(auth, F.lit("/"), F.array_join(F.concat(kept, closing), "/"), tail)
 
 
 def absolute_url(href: Column, base: Column) -> Column:
-    """PRJ-4: resolve ``href`` against ``base`` unless it already starts with 'http'."""
+    """PRJ-4: resolve ``href`` against ``base`` unless it has a scheme of its own."""
     origin = F.regexp_extract(base, ORIGIN, 1)
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     base_dir = F.regexp_replace(F.regexp_replace(base, r"[?#].*$", ""), r"[^/]*$", "")
@@ -133,7 +130,7 @@ def absolute_url(href: Column, base: Column) -> Column:
               .when(has_path, F.concat(base_dir, href))
               .otherwise(F.concat(origin, F.lit("/"), href)))
     # every dot rule needs a '/.' in the URL: skip the passes for the usual URL without one
-    return (F.when(href.startswith("http"), href)
+    return (F.when(href.startswith("http") | href.rlike(SCHEME), href)
             .when(joined.contains("/."), remove_dot_segments(joined))
             .otherwise(joined))
 

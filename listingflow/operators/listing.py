@@ -71,13 +71,18 @@ def zero_as_null(df: DataFrame, cols=("price", "area", "unit_price", "frontage")
     return df.withColumns({c: F.nullif(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in cols if c in df.columns})
 
 
-def normalise(raw: DataFrame, keep_phone: bool = False) -> DataFrame:
+#: PRJ-13: sources whose listings read a zero as "not given".
+ZERO_AS_NULL_SOURCES = ("bds123.vn",)
+
+
+def normalise(raw: DataFrame, keep_phone: bool = False, keep: Tuple[str, ...] = ()) -> DataFrame:
     """PRJ-6 output → typed listing (SCL-1…9, PRJ-12…15).  ``crawled_at`` is the ``as_of``
     for relative dates.  Empty strings become null, as in the reference's field assignment.
 
     Three projections: per-field keys (lower-cased / cleaned text), then the typed fields from
     the keys, then the unit price.  Each key is read by many expressions of the next step, so
     Catalyst keeps the steps apart and every step stays a compact whole-stage-codegen method.
+    ``keep`` names further columns to carry through.
     """
     g = lambda n: _col_or_null(raw, n)
     keys = raw.select(
@@ -87,7 +92,7 @@ def normalise(raw: DataFrame, keep_phone: bool = False) -> DataFrame:
         _col_or_null(raw, "crawled_at", "timestamp_ntz").alias("crawled_at"),
         *[F.nullif(X.clean_text(g(c)), F.lit("")).alias(c)
           for c in ("title", "address", "seller", "description", "legal_text")],
-        X.city_key(g("address")).alias("_city"),
+        X.city_key(X.clean_text(g("address"))).alias("_city"),
         X.price_key(g("price_text")).alias("_price"),
         X.price_key(g("area_text")).alias("_area"),
         X.lower_key(g("bedroom_text")).alias("_rooms"),
@@ -95,6 +100,7 @@ def normalise(raw: DataFrame, keep_phone: bool = False) -> DataFrame:
         X.frontage_key(g("frontage_text")).alias("_front"),
         X.date_key(g("date_text")).alias("_date"),
         (X.extract_phone(g("phone_text")) if keep_phone else F.lit(None).cast("string")).alias("numberPhone"),
+        *keep,
     )
     typed = keys.select(
         "id", "title", "address",
@@ -113,20 +119,16 @@ def normalise(raw: DataFrame, keep_phone: bool = False) -> DataFrame:
         F.lit(None).cast("string").alias("type"),
         "source", "crawled_at",
         F.col("crawled_at").alias("updated_at"),
+        *keep,
     )
-    return typed.withColumn("unit_price", X.unit_price("price", "area")).select(*LISTING_COLUMNS)
+    typed = typed.withColumn("unit_price", X.unit_price("price", "area"))
+    drops_zero = F.coalesce(F.col("source").isin(*ZERO_AS_NULL_SOURCES), F.lit(False))
+    return (typed.withColumns({c: F.when(drops_zero, F.nullif(F.col(c), F.lit(0.0))).otherwise(F.col(c))
+                               for c in ("price", "area", "unit_price", "frontage")})
+            .select(*LISTING_COLUMNS, *keep))
 
 
 # ------------------------------------------------------------------ validation (FLT-3)
-VALIDATION_RULES: Tuple[Tuple[str, str], ...] = (
-    ("area", "area >= 0"),
-    ("unit_price", "unit_price >= 0"),
-    ("bedroom", "bedroom >= 0"),
-    ("bathroom", "bathroom >= 0"),
-    ("link", "link starts with http"),
-)
-
-
 def validation_errors(df: DataFrame) -> Column:
     """FLT-3: names of failed rules (nulls pass, except for ``link``)."""
     def neg(c):

@@ -9,9 +9,10 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -33,7 +34,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("LISTINGFLOW_DRIVER_MEMORY", "16g"))
+    conf.setdefault("spark.driver.memory", os.environ.get("LISTINGFLOW_DRIVER_MEMORY", "8g"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -63,6 +64,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a new folder under the shared checkpoint folder and read it back: several
+    outputs can then be taken from one evaluation, and it survives lost executors."""
+    path = os.path.join(ensure_checkpoint_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is at ``path``, on whatever file system it names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, so tasks can import it."""
     context = spark.sparkContext

@@ -32,19 +32,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return spread(df) if spread_out else df
 
 
-def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
-    """Give a CPU-heavy stage enough tasks.  A scan yields one task per file split; a few large
-    files with one row group each (or a small table) give fewer tasks than cores, and a
-    regex-heavy projection then runs on a handful of cores.  Only in that case the rows are
-    spread round-robin over ``min_tasks`` partitions (default: twice the default
-    parallelism); a scan that already has enough splits is returned unchanged, so on a large
-    input this adds no shuffle.  Call it right after a scan (counting splits needs no job)."""
-    try:
-        n = min_tasks or 2 * df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session exposes no RDDs: leave as is
-        return df
-    return df.repartition(n) if splits < n else df
+#: A scan of at most so many bytes (as the optimiser estimates it) is spread over more tasks.
+SPREAD_BYTES = 64 << 20
+SPREAD_TASKS = 16
+
+
+def spread(df: DataFrame, tasks: int = SPREAD_TASKS) -> DataFrame:
+    """Give a CPU-heavy stage over a small table enough tasks: one small file is one split, and a
+    regex-heavy projection would run on one core.  Only scans of at most ``SPREAD_BYTES`` are
+    spread round-robin; anything larger keeps its splits whatever the cluster's size, so at
+    scale no row moves."""
+    small = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SPREAD_BYTES
+    return df.repartition(tasks) if small else df
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = TABLES,
