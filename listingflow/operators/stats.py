@@ -1,8 +1,8 @@
 """Statistics: counts per source, crawl-session statistics, recent sessions, progress.
 
 AGG-1/2/6 counts, AGG-3 + SNK-4 session statistics, ORD-1 top-k, AGG-4/7 progress fold,
-STR-6 event counts.  All are hash aggregations with partial (map-side) combine, so a source
-holding a third of the events costs one partial row per task, not a hot task.
+STR-6 event counts.  All aggregations combine map-side (those with ``max_by`` over a struct sort
+first), so a source holding a third of the events costs one partial row per task, not a hot task.
 """
 
 from __future__ import annotations
@@ -18,6 +18,14 @@ EVENT_NAMES = {
     "purchase": "crawl_completed",
     "error": "crawl_failed",
 }
+# The same stand-ins read as labelled outcomes of a session's pages and links.
+OUTCOME_NAMES = {
+    "signup": "page_crawled",
+    "view": "property_extracted",
+    "click": "property_duplicate",
+    "purchase": "crawl_completed",
+    "error": "property_failed",
+}
 
 
 def count_by(df: DataFrame, key: str = "source") -> DataFrame:
@@ -35,10 +43,10 @@ def total_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("count"))
 
 
-def crawl_events(events: DataFrame) -> DataFrame:
+def crawl_events(events: DataFrame, names: dict = EVENT_NAMES) -> DataFrame:
     """SRC-6: the given ``events`` table as a crawl feed: ``(event_id, ts, source, session_id,
     event)``; one session per source and day."""
-    name = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in EVENT_NAMES.items()])
+    name = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in names.items()])
     source = F.concat(F.lit("src"), F.col("user_id").cast("string"))
     return events.select(
         "event_id", "ts", source.alias("source"),
@@ -47,16 +55,18 @@ def crawl_events(events: DataFrame) -> DataFrame:
 
 
 def session_stats(feed: DataFrame) -> DataFrame:
-    """AGG-3: per crawl session, counters that follow their definitions (fixes Q5):
-    total_items = successful + failed + duplicate.  Status: completed > failed > running."""
+    """AGG-3: per crawl session, counters of labelled outcomes that follow their definitions
+    (fixes Q5): pages fetched; listings extracted, failed, and already stored; total_items is the
+    sum of those three.  Start, completion, failure of the session and enrichment count as none
+    of them.  Status: completed > failed > running."""
     e = F.col("event")
     g = feed.groupBy("source", "session_id").agg(
         F.min("ts").alias("start_time"),
         F.max(F.when(e.isin("crawl_completed", "crawl_failed"), F.col("ts"))).alias("end_time"),
-        F.count_if(e == "crawl_started").cast("bigint").alias("total_pages"),
+        F.count_if(e == "page_crawled").cast("bigint").alias("total_pages"),
         F.count_if(e == "property_extracted").cast("bigint").alias("successful_items"),
-        F.count_if(e == "crawl_failed").cast("bigint").alias("failed_items"),
-        F.count_if(e == "property_enriched").cast("bigint").alias("duplicate_items"),
+        F.count_if(e == "property_failed").cast("bigint").alias("failed_items"),
+        F.count_if(e == "property_duplicate").cast("bigint").alias("duplicate_items"),
         F.max((e == "crawl_completed").cast("int")).alias("_done"),
         F.max((e == "crawl_failed").cast("int")).alias("_failed"),
     )
@@ -74,6 +84,11 @@ def completed_sessions(stats: DataFrame) -> DataFrame:
     return stats.filter(F.col("status") == "completed")
 
 
+def append_sessions(stats: DataFrame, path: str) -> None:
+    """SNK-4: append the statistics of completed sessions to the table at ``path``."""
+    completed_sessions(stats).write.mode("append").parquet(path)
+
+
 def recent_sessions(stats: DataFrame, k: int = 10) -> DataFrame:
     """ORD-1: the k latest sessions by start time (tie-broken), a TakeOrderedAndProject."""
     return stats.orderBy(F.col("start_time").desc(), F.col("source"), F.col("session_id")).limit(k)

@@ -19,12 +19,11 @@ from pyspark.sql import functions as F
 def latest_per_key(df: DataFrame, key: str, order_cols: Sequence[str]) -> DataFrame:
     """WIN-1: the row with the greatest ``order_cols`` (lexicographic) per ``key``.
 
-    Ties on every ordering column are broken by the remaining columns, so the result is
-    deterministic under task retry.
+    Ties on every ordering column are broken by a hash of the row, so the result is
+    deterministic under task retry and the ordering stays a few bytes wide.
     """
-    rest = [c for c in df.columns if c != key and c not in order_cols]
     payload = F.struct(*[F.col(c) for c in df.columns if c != key])
-    ordering = F.struct(*[F.col(c) for c in list(order_cols) + rest])
+    ordering = F.struct(*[F.col(c) for c in order_cols], F.xxhash64(*df.columns))
     return (df.groupBy(key)
             .agg(F.max_by(payload, ordering).alias("_r"))
             .select(key, *[F.col("_r." + c).alias(c) for c in df.columns if c != key])
@@ -33,27 +32,30 @@ def latest_per_key(df: DataFrame, key: str, order_cols: Sequence[str]) -> DataFr
 
 def append_unique(store: DataFrame, batch: DataFrame, key: str = "link") -> DataFrame:
     """SNK-1: each batch row with status 'inserted' or 'duplicate' (key already stored or
-    repeated earlier in the batch by a smaller ``id``)."""
+    repeated earlier in the batch by a smaller ``id``).  Exactly one row per new key is inserted:
+    null ids come last, and rows with equal ids count in scan order."""
     known = store.select(F.col(key).alias("_kkey")).distinct().withColumn("_known", F.lit(True))
-    first = batch.groupBy(F.col(key).alias("_fkey")).agg(F.min("id").alias("_first_id"))
+    batch = batch.withColumn("_row", F.struct(F.col("id").isNull().alias("a"), F.col("id").alias("b"),
+                                              F.monotonically_increasing_id().alias("c")))
+    first = batch.groupBy(F.col(key).alias("_fkey")).agg(F.min("_row").alias("_first"))
     # null-safe joins: a batch row with a null key is kept and labelled, never dropped
     j = (batch.join(known, F.col(key).eqNullSafe(F.col("_kkey")), "left")
          .join(first, F.col(key).eqNullSafe(F.col("_fkey")), "inner"))
-    dup = F.coalesce(F.col("_known"), F.lit(False)) | (F.col("id") != F.col("_first_id"))
-    return j.select(*batch.columns, F.when(dup, F.lit("duplicate")).otherwise(F.lit("inserted")).alias("status"))
+    dup = F.coalesce(F.col("_known"), F.lit(False)) | ~F.col("_row").eqNullSafe(F.col("_first"))
+    return j.select(*[c for c in batch.columns if c != "_row"], F.when(dup, F.lit("duplicate")).otherwise(F.lit("inserted")).alias("status"))
 
 
 def upsert(store: DataFrame, updates: DataFrame, key: str = "link", order_cols: Sequence[str] = ("crawled_at",),
            id_col: str = "id") -> DataFrame:
     """SNK-3 + JOIN-5: replace every field of a stored row by its latest update (nulls too),
-    keep the stored id; new keys are inserted with their own id."""
-    latest = latest_per_key(updates, key, list(order_cols))
-    old_ids = store.select(key, F.col(id_col).alias("_old_id"))
-    merged = (latest.join(old_ids, key, "left")
-              .withColumn(id_col, F.coalesce(F.col("_old_id"), F.col(id_col)))
-              .drop("_old_id"))
-    untouched = store.join(latest.select(key), key, "left_anti")
-    return untouched.unionByName(merged.select(*store.columns))
+    keep the stored id; new keys are inserted with their own id.  One full outer join: the
+    store and the updates are each read once."""
+    latest = latest_per_key(updates, key, list(order_cols)).select(*store.columns)
+    new = latest.select(F.col(key).alias("_key"), F.struct(*store.columns).alias("_new"))
+    hit = F.col("_new").isNotNull()
+    return (store.join(new, F.col(key) == F.col("_key"), "full_outer")
+            .select(*[(F.coalesce(F.col(id_col), F.col("_new." + id_col)) if c == id_col
+                       else F.when(hit, F.col("_new." + c)).otherwise(F.col(c))).alias(c) for c in store.columns]))
 
 
 def write_snapshot(df: DataFrame, root: str, partition_by: str = "source",
@@ -61,12 +63,14 @@ def write_snapshot(df: DataFrame, root: str, partition_by: str = "source",
     """SNK-2/SNK-9: write a new snapshot directory under ``root`` and return its path.
 
     Layout replaces the reference's secondary indexes: partition pruning on ``source`` and
-    parquet min/max skipping on the sorted columns.  Writing a new directory each time makes
-    the job safe to retry and never overwrites a path that is being read.
+    parquet min/max skipping on the sorted columns.  Rows are rebalanced by source: small
+    sources share no more tasks than they need and a hot source is split over several
+    (``REBALANCE``, which Spark sizes at run time).  Writing a new directory each time makes the
+    job safe to retry and never overwrites a path that is being read.
     """
     path = os.path.join(root, "data", "snapshot-" + uuid.uuid4().hex)
     cols = [c for c in sort_within if c in df.columns]
-    out = df.repartition(partition_by) if partition_by in df.columns else df
+    out = df.hint("rebalance", F.col(partition_by)) if partition_by in df.columns else df
     if cols:
         out = out.sortWithinPartitions(*cols)
     writer = out.write.mode("errorifexists")
@@ -95,8 +99,10 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, sort: bool
     Later joins on ``key`` read the table with its hash layout, so only the other, smaller side
     is shuffled: the page snapshots for JOIN-7 (frontier ⋈ snapshots, which carries ``html``) and
     the listing store for JOIN-2/3 (candidates ⋈ known links).  ``buckets`` should match the
-    shuffle partitions of the joins that read it."""
-    w = df.write.mode("overwrite").bucketBy(buckets, key)
+    shuffle partitions of the joins that read it.  An existing table is never replaced (it may
+    be being read): use a new name per version."""
+    # by the same hash as the buckets, so each task writes one file
+    w = df.repartition(buckets, key).write.mode("errorifexists").bucketBy(buckets, key)
     if sort:
         w = w.sortBy(key)
     w.saveAsTable(table)

@@ -1,7 +1,7 @@
 """Structured Streaming jobs (STR-1…6, SRC-6, SNK-8, UDF-4).
 
 * ``ingest``   page files → rule-driven parse → typed listing, appended to a parquet sink
-* ``dedup``    listing links seen once per watermark, then an anti join with the store
+* ``dedup``    links not seen before: anti joins with the store and with the job's own output
 * ``progress`` per-source running state (complete mode, written per micro-batch)
 * ``route``    one cached micro-batch fanned out to several sinks by event type
 
@@ -19,13 +19,14 @@ from typing import Callable, Dict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import enrich as EN
 from ..operators import extract as EX
 from ..operators import listing as LS
 from ..operators import stats as S
 from ..operators import store as ST
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, path_exists
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
@@ -65,7 +66,7 @@ def ingest(spark: SparkSession, pages_path: str, rules: EX.RuleSet, source_col,
            crawled_at, root: str) -> str:
     """Page snapshots as they arrive → typed listing rows appended under ``root/listing``."""
     pages = file_stream(spark, pages_path).select("page_id", "url", "html").withColumn("source", source_col)
-    raw = EX.parse_detail_pages(pages, rules).withColumn("crawled_at", crawled_at)
+    raw = EX.parse_detail_pages(pages, rules, phone=False).withColumn("crawled_at", crawled_at)
     typed = LS.normalise(raw)
     out = os.path.join(root, "listing")
     w = (typed.writeStream.format("parquet").option("path", out)
@@ -79,59 +80,68 @@ def ingest_enrich_upsert(spark: SparkSession, pages_path: str, rules: EX.RuleSet
                          enricher, root: str, max_files_per_trigger: int | None = None) -> str:
     """The reference's main flow as a stream: each micro-batch of page snapshots is parsed,
     typed, enriched in batches (the end of a micro-batch is the final flush, STR-2) and upserted
-    by link into the listing store.  The store is a series of snapshots ``store/batch=<id>``:
-    batch N reads snapshot N-1 and writes N, so a replayed batch rewrites the same snapshot."""
+    by link into the listing store.  The store is cut by link hash: a batch reads and rewrites
+    only the buckets it touches, as ``store/batch=<id>/bucket=<b>``, and a bucket's newest folder
+    is its content (``current_store``).  A replayed batch rewrites the same folder."""
     pages = (file_stream(spark, pages_path, max_files_per_trigger)
              .select("page_id", "url", "html").withColumn("source", source_col))
     store = os.path.join(root, "store")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        raw = EX.parse_detail_pages(batch, rules).withColumn("crawled_at", crawled_at)
-        filled = EN.enrich(LS.normalise(raw), enricher).drop("enriched")
-        prev = _previous_state(spark, store, batch_id)
-        new = ST.upsert(prev, filled, key="link") if prev is not None else filled
-        new.write.mode("overwrite").parquet(os.path.join(store, f"batch={batch_id}"))
+        raw = EX.parse_detail_pages(batch, rules, phone=False).withColumn("crawled_at", crawled_at)
+        updates = (EN.enrich(LS.normalise(raw), enricher).drop("enriched")
+                   .withColumn("bucket", _bucket("link")).persist())
+        try:
+            prev = current_store(spark, store, batch_id)
+            if prev is None:
+                new = ST.latest_per_key(updates, "link", ["crawled_at"])
+            else:
+                new = ST.upsert(prev.filter(F.col("bucket").isin(_touched(updates))), updates, key="link")
+            new.write.mode("overwrite").partitionBy("bucket").parquet(os.path.join(store, f"batch={batch_id}"))
+        finally:
+            updates.unpersist()
 
     _run(pages.writeStream.foreachBatch(write).option("checkpointLocation", os.path.join(root, "_ckpt")))
     return store
 
 
 # ---------------------------------------------------------------- STR-3 dedup
-def dedup_links(stream: DataFrame, store: DataFrame, root: str, key: str = "link",
-                event_time: str = "ts", delay: str = "30 days") -> str:
-    """Each link once per watermark window (``dropDuplicatesWithinWatermark``); links older than
-    the window are caught by an anti join with the store inside ``foreachBatch``.  State is
-    bounded by the watermark delay."""
-    d = (stream.withColumn("_et", F.col(event_time).cast("timestamp"))
-         .withWatermark("_et", delay).dropDuplicatesWithinWatermark([key]))
-    known = store.select(key).distinct()
-    out = os.path.join(root, "new_links")
+#: Folders that a keyed stream output is cut into by the key's hash.
+KEY_BUCKETS = 64
 
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.select(key).join(known, key, "left_anti").write.mode("overwrite").parquet(
-            os.path.join(out, f"batch={batch_id}"))
 
-    _run(d.writeStream.foreachBatch(write).option("checkpointLocation", os.path.join(root, "_ckpt")))
-    return out
+def _bucket(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+
 
+def _touched(df: DataFrame) -> list:
+    """The key buckets a micro-batch touches, at most ``KEY_BUCKETS``."""
+    return [r["bucket"] for r in df.select("bucket").distinct().collect()]
 
-def dedup_links_exact(stream: DataFrame, store: DataFrame, root: str, key: str = "link") -> str:
+
+def dedup_links(stream: DataFrame, store: DataFrame, root: str, key: str = "link") -> str:
     """STR-3 without a state store: each micro-batch is deduplicated with ``dropDuplicates``
     (combined map-side, so a link repeated by a third of the batch is not one hot task), then
     links already in the store or emitted by an earlier micro-batch are removed by anti joins.
-    Exact over any time span; ``batch=<id>`` outputs make a replay rewrite the same batch."""
+
+    Exact over any time span: a link that first arrives late is kept, one that comes again after
+    any pause is not.  The output is cut by link hash (``batch=<id>/bucket=<b>``), and a
+    micro-batch reads only the buckets it touches.  A replayed batch rewrites the same folder."""
     out = os.path.join(root, "new_links")
     spark = stream.sparkSession
     known = store.select(key).distinct()
 
     def write(df: DataFrame, batch_id: int) -> None:
-        fresh = df.select(key).dropDuplicates([key]).join(known, key, "left_anti")
+        fresh = (df.select(key).dropDuplicates([key]).join(known, key, "left_anti")
+                 .withColumn("bucket", _bucket(key)).persist())
         try:
-            earlier = spark.read.parquet(out).filter(F.col("batch") < batch_id).select(key)
-            fresh = fresh.join(earlier, key, "left_anti")
-        except Exception:  # noqa: BLE001 - nothing emitted yet
-            pass
-        fresh.write.mode("overwrite").parquet(os.path.join(out, f"batch={batch_id}"))
+            new = fresh
+            if path_exists(spark, out):
+                earlier = read_all_batches(spark, out, fresh.schema).filter((F.col("batch") < batch_id) & F.col("bucket").isin(_touched(fresh)))
+                new = fresh.join(earlier.select(F.col(key).alias("_k")), F.col(key).eqNullSafe(F.col("_k")), "left_anti")
+            new.write.mode("overwrite").partitionBy("bucket").parquet(os.path.join(out, f"batch={batch_id}"))
+        finally:
+            fresh.unpersist()
 
     _run(stream.writeStream.foreachBatch(write).option("checkpointLocation", os.path.join(root, "_ckpt")))
     return out
@@ -221,25 +231,42 @@ def progress_fold(feed: DataFrame, root: str) -> str:
     return state
 
 
-def _previous_state(spark: SparkSession, state: str, batch_id: int):
-    """The state table written by the newest earlier micro-batch, or None before the first."""
-    try:
-        all_batches = spark.read.parquet(state)
-    except Exception:  # noqa: BLE001 - no state written yet
+def current_store(spark: SparkSession, store: str, before: int | None = None):
+    """The store's rows, each bucket from its newest batch (earlier than ``before``), or None
+    if nothing is stored.  Finding the newest folders reads partition values, not rows."""
+    if not path_exists(spark, store):
         return None
-    older = all_batches.filter(F.col("batch") < batch_id)
-    newest = older.agg(F.max("batch")).first()[0]
-    if newest is None:
+    rows = read_all_batches(spark, store, T.StructType(LS.LISTING_SCHEMA.fields + [T.StructField("bucket", T.IntegerType())]))
+    if before is not None:
+        rows = rows.filter(F.col("batch") < before)
+    newest = rows.select("bucket", "batch").distinct().groupBy("bucket").agg(F.max("batch").alias("batch"))
+    live = newest.collect()                                 # at most KEY_BUCKETS rows
+    if not live:
         return None
-    return older.filter(F.col("batch") == newest).drop("batch")
+    mine = F.lit(False)
+    for r in live:                                          # partition filters: prunes folders
+        mine = mine | ((F.col("bucket") == r["bucket"]) & (F.col("batch") == r["batch"]))
+    return rows.filter(mine).drop("batch")
+
+
+def _batches(spark: SparkSession, out: str) -> list:
+    """The batch ids under a sink folder, by listing it."""
+    if not path_exists(spark, out):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
+    names = [f.getPath().getName() for f in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch="))
+
+
+def _previous_state(spark: SparkSession, state: str, batch_id: int):
+    """The state table written by the newest earlier micro-batch, or None before the first."""
+    earlier = [b for b in _batches(spark, state) if b < batch_id]
+    return spark.read.parquet(os.path.join(state, f"batch={earlier[-1]}")) if earlier else None
 
 
 def latest_batch(spark: SparkSession, out: str) -> DataFrame:
-    """The output of the newest micro-batch of a complete-mode sink (``batch`` is a partition
-    column, so the filter prunes to one directory)."""
-    all_batches = spark.read.parquet(out)
-    newest = all_batches.agg(F.max("batch")).first()[0]
-    return all_batches.filter(F.col("batch") == newest).drop("batch")
+    """The output of the newest micro-batch of a complete-mode sink."""
+    return spark.read.parquet(os.path.join(out, f"batch={_batches(spark, out)[-1]}"))
 
 
 # ---------------------------------------------------------------- STR-5 / SNK-8 / UDF-4 routing
@@ -266,13 +293,17 @@ def default_routes() -> Dict[str, Callable[[DataFrame], DataFrame]]:
     return {
         "listings": lambda b: b.filter(F.col("event") == "property_enriched"),
         "sessions": lambda b: b.filter(F.col("event") == "crawl_completed"),
-        "log": lambda b: b.filter(~F.col("event").isin("property_enriched", "crawl_completed"))
+        # null-safe: an event without a type is logged too, never lost
+        "log": lambda b: b.filter(~F.coalesce(F.col("event").isin("property_enriched", "crawl_completed"), F.lit(False)))
                           .groupBy("source", "event").count(),
     }
 
 
-def read_all_batches(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.parquet(out)
+def read_all_batches(spark: SparkSession, out: str, schema: T.StructType | None = None) -> DataFrame:
+    """All rows of a sink with their ``batch``; with a ``schema`` also when every batch was empty."""
+    if schema is None:
+        return spark.read.parquet(out)
+    return spark.read.schema(T.StructType(schema.fields + [T.StructField("batch", T.LongType())])).parquet(out)
 
 
 def event_feed(spark: SparkSession, events_path: str) -> DataFrame:
