@@ -24,7 +24,7 @@ from ..operators import store as ST
 from ..sources import registry as R
 from ..streaming import jobs as J
 from ..sources import views as V
-from ..session import ensure_checkpoint_dir
+from ..session import stage
 from ..sources.tables import named_table, read_pages, read_table, register_tables, table_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -226,8 +226,9 @@ def q_url_page_join(spark, sf_dir):
     pages = read_pages(spark, sf_dir)
     frontier = FR.page_urls(
         pages.select(F.col("page_id").cast("string").alias("name"), F.array("url").alias("search_urls")), 2, 20)
-    return (FR.frontier_with_pages(frontier.select("url", "page"), pages)
-            .select("url", "page", "page_id", F.length("html").cast("bigint").alias("html_chars")))
+    sized = pages.select("url", "page_id", F.length("html").cast("bigint").alias("html_chars"))
+    return (FR.frontier_with_pages(frontier.select("url", "page"), sized, ("page_id", "html_chars"))
+            .select("url", "page", "page_id", "html_chars"))
 
 
 def _updates(spark, sf_dir):
@@ -277,19 +278,27 @@ def q_union_sources(spark, sf_dir):
     return out
 
 
-def _feed(spark, sf_dir):
+def _feed(spark, sf_dir, names=S.EVENT_NAMES):
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
-    return S.crawl_events(ev)
+    return S.crawl_events(ev, names)
 
 
 @query("session_stats")
 def q_session_stats(spark, sf_dir):
-    return S.session_stats(_feed(spark, sf_dir))
+    return S.session_stats(_feed(spark, sf_dir, S.OUTCOME_NAMES))
+
+
+@query("session_append")
+def q_session_append(spark, sf_dir):
+    """SNK-4: completed sessions appended to the statistics table, read back."""
+    path = J.run_dir(spark, "sessions")
+    S.append_sessions(S.session_stats(_feed(spark, sf_dir, S.OUTCOME_NAMES)), path)
+    return spark.read.parquet(path)
 
 
 @query("recent_sessions")
 def q_recent_sessions(spark, sf_dir):
-    return S.recent_sessions(S.completed_sessions(S.session_stats(_feed(spark, sf_dir))), 10)
+    return S.recent_sessions(S.completed_sessions(S.session_stats(_feed(spark, sf_dir, S.OUTCOME_NAMES))), 10)
 
 
 @query("progress_by_source")
@@ -498,6 +507,14 @@ def q_stream_dedup(spark, sf_dir):
     return J.read_all_batches(spark, out).select("link")
 
 
+def _in_three_files(spark, sf_dir, name, root):
+    """The table as three files by row hash, so a stream over it takes three micro-batches."""
+    path = root + "-input"
+    (read_table(spark, sf_dir, name).withColumn("_part", F.pmod(F.xxhash64(*read_table(spark, sf_dir, name).columns), F.lit(3)))
+     .repartition(3, "_part").drop("_part").write.parquet(path))
+    return path
+
+
 @query("stream_progress")
 def q_stream_progress(spark, sf_dir):
     root = J.run_dir(spark, "progress")
@@ -524,15 +541,13 @@ def q_stream_route(spark, sf_dir):
 @query("crawl_stats")
 def q_crawl_stats(spark, sf_dir):
     """Result pages → links → known-link anti join → detail snapshots → parse → type → validate
-    → per-source statistics.  Derived from ``pages``: a page's detail snapshot is keyed by its
-    first nav link (one snapshot per link: the smallest page id), the store knows every second
-    nav link."""
+    → per-source statistics.  Derived from ``pages``: every page is a detail snapshot of its
+    first nav link (the newest per link is parsed), the store knows every second nav link."""
     pages = read_pages(spark, sf_dir).withColumn("source", F.lit("generic"))
     rules = _generic_ruleset()
-    ensure_checkpoint_dir(spark)
-    parsed = EX.parse_list_pages(pages, rules).checkpoint(eager=True)     # parsed once, read three times
+    parsed = stage(EX.parse_list_pages(pages, rules), "crawl-parsed")     # parsed once, read three times
     nav = parsed.select("page_id", "pos", L.absolute_url(F.col("href"), F.col("url")).alias("link"))
-    first = (nav.filter(F.col("pos") == 1).groupBy("link").agg(F.min("page_id").alias("page_id")))
+    first = nav.filter(F.col("pos") == 1).select("page_id", "link")
     details = (pages.join(first, "page_id", "inner")
                .select("page_id", F.col("link").alias("url"), "source", "html"))
     store = nav.filter(F.col("pos") == 2).select("link")
@@ -541,6 +556,53 @@ def q_crawl_stats(spark, sf_dir):
                                "not_fetched_items", "total_items", "status")
 
 
+@query("crawl_failures")
+def q_crawl_failures(spark, sf_dir):
+    """Pages that cannot be parsed fail alone: every page again as a broken copy."""
+    pages = read_pages(spark, sf_dir)
+    broken = pages.select("page_id", F.concat("url", F.lit("#broken")).alias("url"), F.concat(F.lit("<![x]>"), "html").alias("html"))
+    both = pages.unionByName(broken).withColumn("source", F.lit("generic"))
+    parsed = EX.parse_detail_pages(both, _generic_ruleset(), keep_errors=True)
+    outcomes = parsed.select("source", F.when(F.col("parse_error").isNull(), "success").otherwise("failed").alias("outcome"))
+    total = both.groupBy(F.col("source").alias("_source")).agg(F.count(F.lit(1)).alias("total_pages"))
+    return CR.outcome_stats(outcomes, total)
+
+
+@query("ruled_sources")
+def q_ruled_sources(spark, sf_dir):
+    """UDF-2: the sources that have rules, of those that the pages come from."""
+    rules = EX.RuleSet()
+    for src in RULED_SOURCES:
+        rules = rules.register(src, EX.generic_rules(src))
+    seen = _pages_with_source(spark, sf_dir).select("source").distinct()
+    return EX.supported_sources(rules.to_df(spark)).join(seen, "source", "left_semi")
+
+
+@query("progress_of_source")
+def q_progress_of_source(spark, sf_dir):
+    """AGG-7: progress of one source."""
+    return S.progress_for(_feed(spark, sf_dir), "src7")
+
+
+@query("successful_snapshots")
+def q_successful_snapshots(spark, sf_dir):
+    """FLT-1: snapshots with a non-empty title count as fetched."""
+    pages = read_pages(spark, sf_dir).withColumn("success", F.lower("html").contains("<h1"))
+    return LS.successful(pages).select("page_id", F.length("html").cast("bigint").alias("html_chars"))
+
+
+@query("store_snapshot")
+def q_store_snapshot(spark, sf_dir):
+    """SNK-2/SNK-9: the listing store written as a snapshot and read back through its pointer,
+    with the uniqueness check."""
+    root = J.run_dir(spark, "snapshot")
+    ST.write_snapshot(V.listing_view(spark, sf_dir), root, sort_within=("price",))
+    stored = ST.current_snapshot(spark, root)
+    twice = ST.duplicate_keys(stored).agg(F.count(F.lit(1)).alias("duplicate_links"))
+    return (stored.groupBy("source").agg(F.count(F.lit(1)).alias("listings"), F.sum("price").alias("price"))
+            .crossJoin(F.broadcast(twice)))
+
+
 @query("stream_progress_fold")
 def q_stream_progress_fold(spark, sf_dir):
     root = J.run_dir(spark, "progress-fold")
@@ -553,14 +615,15 @@ def q_stream_enrich_upsert(spark, sf_dir):
     root = J.run_dir(spark, "enrich-upsert")
     out = J.ingest_enrich_upsert(spark, table_path(sf_dir, "pages"), _generic_ruleset(), F.lit("generic"), _now(),
                                  EN.rule_based_enricher(), root)
-    return J.latest_batch(spark, out).select("id", "link", "title", "type", "legal", "amenityLocation", "source")
+    return J.current_store(spark, out).select("id", "link", "title", "type", "legal", "amenityLocation", "source")
 
 
 @query("stream_dedup_exact")
 def q_stream_dedup_exact(spark, sf_dir):
     root = J.run_dir(spark, "dedup-exact")
-    stream = _event_links(J.file_stream(spark, table_path(sf_dir, "events")))
+    # every link comes again in later micro-batches
+    stream = _event_links(J.file_stream(spark, _in_three_files(spark, sf_dir, "events", root), 1))
     store = _event_links(read_table(spark, sf_dir, "events", ["event_id", "ts", "props"])).filter(
         F.regexp_extract("link", "([0-9]+)$", 1).cast("int") < 10)
-    out = J.dedup_links_exact(stream, store, root)
+    out = J.dedup_links(stream, store, root)
     return J.read_all_batches(spark, out).select("link")

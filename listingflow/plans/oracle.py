@@ -26,6 +26,12 @@ def with_views(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({duck_view_sql(n)})" for n in names) + "\n"
 
 
+def _entity(name: str) -> str:
+    """Lookup in the table of named references, as one string: chr(1) name chr(2) characters."""
+    table = D.q("".join(f"\x01{n}\x02{c}" for n, c in sorted(L.NAMED_ENTITIES.items())) + "\x01")
+    return f"NULLIF(split_part(split_part({table}, chr(1) || {name} || chr(2), 2), chr(1), 1), '')"
+
+
 def _decode_token_sql(t: str) -> str:
     n = (f"(CASE WHEN regexp_matches({t}, '^&#[xX]') "
          f"THEN TRY_CAST('0x' || regexp_extract({t}, '^&#[xX]([0-9a-fA-F]+)', 1) AS BIGINT) "
@@ -37,18 +43,15 @@ def _decode_token_sql(t: str) -> str:
     numeric = (f"CASE WHEN {n} IN ({keys}) THEN (CASE {n} {table} END) "
                f"WHEN {n} IS NULL OR {n} > 1114111 OR ({n} BETWEEN 55296 AND 57343) THEN {D.q(chr(0xFFFD))} "
                f"WHEN {invalid} THEN '' ELSE chr(CAST({n} AS INTEGER)) END")
-    named = " ".join(f"WHEN regexp_matches({t}, {D.q('^&' + name + ';?$')}) THEN {D.q(char)}"
-                     for name, char in L.NAMED_ENTITIES)
+    prefix = f"regexp_extract({t}, {D.q(L.LEGACY_PREFIX)}, 1)"
+    named = (f"COALESCE({_entity(f'substr({t}, 2)')}, CASE WHEN {prefix} <> '' THEN {_entity(prefix)} || substr({t}, length({prefix}) + 2) END, {t})")
     return (f"CASE WHEN regexp_matches({t}, {D.q('^' + L.NUMERIC_REF + '$')}) THEN {numeric} "
-            f"{named} ELSE {t} END")
+            f"WHEN starts_with({t}, '&') AND length({t}) > 2 THEN {named} ELSE {t} END")
 
 
 def decode_entities(s: str) -> str:
     tokens = f"regexp_extract_all({s}, {D.q(L.ENTITY_TOKEN)}, 0)"
-    named = s
-    for name, char in L.NAMED_ENTITIES:
-        named = f"regexp_replace({named}, {D.q('&' + name + ';?')}, {D.q(char)}, 'g')"
-    return (f"CASE WHEN NOT contains({s}, '&') THEN {s} WHEN NOT contains({s}, '&#') THEN {named} "
+    return (f"CASE WHEN NOT contains({s}, '&') THEN {s} "
             f"ELSE array_to_string(list_transform({tokens}, lambda tok: {_decode_token_sql('tok')}), '') END")
 
 
@@ -65,9 +68,12 @@ def remove_dot_segments(url: str) -> str:
     tail = f"substr({url}, length({head}) + 1)"
     auth = f"regexp_extract({head}, {D.q(L.AUTHORITY)}, 1)"
     path = f"substr({head}, length({auth}) + 1)"
-    for pattern, repl in L.DOT_RULES:
-        path = f"regexp_replace({path}, {D.q(pattern)}, {D.q(repl)}, 'g')"
-    return f"({auth} || {path} || {tail})"
+    # every segment as a list of one, folded into the list of those kept
+    kept = (f"list_reduce(list_transform(string_split({path}, '/')[2:], lambda s: [s]), "
+            "lambda acc, x: CASE WHEN x[1] = '..' THEN acc[:greatest(len(acc) - 1, 0)] WHEN x[1] = '.' THEN acc "
+            "ELSE list_concat(acc, x) END, CAST([] AS VARCHAR[]))")
+    closing = f"CASE WHEN regexp_matches({path}, {D.q('/[.][.]?$')}) THEN [''] ELSE CAST([] AS VARCHAR[]) END"
+    return f"({auth} || '/' || array_to_string(list_concat({kept}, {closing}), '/') || {tail})"
 
 
 def absolute_url(href: str, base: str) -> str:
@@ -82,7 +88,7 @@ def absolute_url(href: str, base: str) -> str:
             f"WHEN starts_with({href}, '#') THEN regexp_replace({base}, {D.q('#.*$')}, '') || {href} "
             f"WHEN {has_path} THEN {base_dir} || {href} "
             f"ELSE {origin} || '/' || {href} END")
-    return (f"CASE WHEN starts_with({href}, 'http') THEN {href} "
+    return (f"CASE WHEN starts_with({href}, 'http') OR regexp_matches({href}, {D.q(L.SCHEME)}) THEN {href} "
             f"WHEN contains({joined}, '/.') THEN {remove_dot_segments(joined)} ELSE {joined} END")
 
 
@@ -248,7 +254,7 @@ oracle("union_sources", " UNION ALL ".join(
 
 _FEED = """
 feed AS (
-  SELECT event_id, ts, 'src' || CAST(user_id AS VARCHAR) AS source,
+  SELECT event_id, ts, event_type, 'src' || CAST(user_id AS VARCHAR) AS source,
          'src' || CAST(user_id AS VARCHAR) || '/' || strftime(ts, '%Y-%m-%d') AS session_id,
          CASE event_type WHEN 'signup' THEN 'crawl_started' WHEN 'view' THEN 'property_extracted'
               WHEN 'click' THEN 'property_enriched' WHEN 'purchase' THEN 'crawl_completed'
@@ -257,13 +263,12 @@ feed AS (
 _SESS = "WITH " + _FEED + """,
 g AS (
   SELECT source, session_id, min(ts) AS start_time,
-         max(CASE WHEN event IN ('crawl_completed', 'crawl_failed') THEN ts END) AS end_time,
-         CAST(count_if(event = 'crawl_started') AS BIGINT) AS total_pages,
-         CAST(count_if(event = 'property_extracted') AS BIGINT) AS successful_items,
-         CAST(count_if(event = 'crawl_failed') AS BIGINT) AS failed_items,
-         CAST(count_if(event = 'property_enriched') AS BIGINT) AS duplicate_items,
-         max(CAST(event = 'crawl_completed' AS INTEGER)) AS _done,
-         max(CAST(event = 'crawl_failed' AS INTEGER)) AS _failed
+         max(CASE WHEN event_type = 'purchase' THEN ts END) AS end_time,
+         CAST(count_if(event_type = 'signup') AS BIGINT) AS total_pages,
+         CAST(count_if(event_type = 'view') AS BIGINT) AS successful_items,
+         CAST(count_if(event_type = 'error') AS BIGINT) AS failed_items,
+         CAST(count_if(event_type = 'click') AS BIGINT) AS duplicate_items,
+         max(CAST(event_type = 'purchase' AS INTEGER)) AS _done, 0 AS _failed
   FROM feed GROUP BY source, session_id),
 sess AS (
   SELECT session_id, source, start_time, end_time, total_pages,
@@ -274,6 +279,7 @@ sess AS (
   FROM g)
 """
 oracle("session_stats", _SESS + "SELECT * FROM sess")
+oracle("session_append", _SESS + "SELECT * FROM sess WHERE status = 'completed'")
 oracle("recent_sessions", _SESS + """SELECT * FROM sess WHERE status = 'completed'
 ORDER BY start_time DESC, source, session_id LIMIT 10""")
 oracle("progress_by_source", "WITH " + _FEED + """,
@@ -548,7 +554,7 @@ WITH r AS (
          {_article} AS desc_raw
   FROM pages)
 SELECT sha256(url) AS id, NULLIF({D.clean_text('title_raw')}, '') AS title,
-       NULLIF({D.clean_text('address_raw')}, '') AS address, {D.extract_city('address_raw')} AS city,
+       NULLIF({D.clean_text('address_raw')}, '') AS address, {D.extract_city(D.clean_text('address_raw'))} AS city,
        NULLIF({D.clean_text('seller_raw')}, '') AS seller, url AS link, 'generic' AS source,
        md5(NULLIF({D.clean_text('desc_raw')}, '')) AS description_md5
 FROM r""")
@@ -592,15 +598,16 @@ snap AS (SELECT DISTINCT link FROM nav WHERE pos = 1),
 o AS (
   SELECT c.link,
          CASE WHEN k.link IS NOT NULL THEN 'duplicate'
-              WHEN s.link IS NOT NULL THEN 'success' ELSE 'not_fetched' END AS outcome
+              WHEN s.link IS NOT NULL AND starts_with(c.link, 'http') THEN 'success'
+              WHEN s.link IS NOT NULL THEN 'failed' ELSE 'not_fetched' END AS outcome
   FROM cand c LEFT JOIN known k ON c.link = k.link LEFT JOIN snap s ON c.link = s.link)
 SELECT 'generic' AS source,
        (SELECT CAST(count(*) AS BIGINT) FROM pages) AS total_pages,
        CAST(count_if(outcome = 'success') AS BIGINT) AS successful_items,
-       CAST(0 AS BIGINT) AS failed_items,
+       CAST(count_if(outcome = 'failed') AS BIGINT) AS failed_items,
        CAST(count_if(outcome = 'duplicate') AS BIGINT) AS duplicate_items,
        CAST(count_if(outcome = 'not_fetched') AS BIGINT) AS not_fetched_items,
-       CAST(count_if(outcome IN ('success', 'duplicate')) AS BIGINT) AS total_items,
+       CAST(count_if(outcome IN ('success', 'failed', 'duplicate')) AS BIGINT) AS total_items,
        'completed' AS status
 FROM o""")
 
@@ -641,3 +648,22 @@ SELECT id, link, title, {D.classify_type("concat_ws(' ', title, description)")}
 FROM t""")
 
 ORACLES["stream_dedup_exact"] = ORACLES["stream_dedup"]
+
+oracle("crawl_failures", """
+SELECT 'generic' AS source, 2 * count(*) AS total_pages, count(*) AS successful_items, count(*) AS failed_items,
+       CAST(0 AS BIGINT) AS duplicate_items, CAST(0 AS BIGINT) AS not_fetched_items, 2 * count(*) AS total_items, 'completed' AS status
+FROM pages""")
+
+oracle("ruled_sources", """
+SELECT DISTINCT regexp_extract(url, '^[a-z]+://(?:[^/]*[.])?([a-z0-9-]+[.][a-z]+)(?:[/:?#]|$)', 1) AS source FROM pages
+WHERE regexp_extract(url, '^[a-z]+://(?:[^/]*[.])?([a-z0-9-]+[.][a-z]+)(?:[/:?#]|$)', 1) IN ('example.com', 'example.org')""")
+
+ORACLES["progress_of_source"] = "SELECT * FROM (" + ORACLES["progress_by_source"] + ") p WHERE source = 'src7'"
+
+oracle("successful_snapshots", """
+SELECT page_id, CAST(length(html) AS BIGINT) AS html_chars FROM pages WHERE contains(lower(html), '<h1')""")
+
+oracle("store_snapshot", with_views("v_listing") + """
+SELECT source, count(*) AS listings, sum(price) AS price,
+       (SELECT count(*) FROM (SELECT link FROM v_listing GROUP BY link HAVING count(*) > 1) d) AS duplicate_links
+FROM v_listing GROUP BY source""")

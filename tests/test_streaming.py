@@ -78,7 +78,7 @@ def test_enrich_upsert_stream_over_two_batches(spark, tmp_path):
                                  F.lit(dt.datetime(2024, 6, 15)).cast("timestamp_ntz"), EN.rule_based_enricher(),
                                  J.run_dir(spark, "test-upsert"), max_files_per_trigger=1)
     assert spark.read.parquet(out).select("batch").distinct().count() == 2
-    store = {r["link"][-1]: r for r in J.latest_batch(spark, out).collect()}
+    store = {r["link"][-1]: r for r in J.current_store(spark, out).collect()}
     assert sorted(store) == ["1", "2"]
     assert store["1"]["price"] == 13e9 and store["2"]["price"] == 12.5e9   # the later page replaced the fields
     assert store["1"]["type"] == "nhà phố"                                 # filled by the enricher
@@ -90,7 +90,7 @@ def test_exact_dedup_across_batches(spark, tmp_path):
     stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(folder)
               .select("event_id", "ts", link))
     store = ev.select(link).filter(F.regexp_extract("link", "([0-9]+)$", 1).cast("int") < 10)
-    out = J.dedup_links_exact(stream, store, J.run_dir(spark, "test-dedup-exact"))
+    out = J.dedup_links(stream, store, J.run_dir(spark, "test-dedup-exact"))
     # three micro-batches ran; a batch that finds no new link writes an empty directory
     assert sorted(d for d in os.listdir(out) if d.startswith("batch=")) == ["batch=0", "batch=1", "batch=2"]
     got = [r[0] for r in spark.read.parquet(out).select("link").collect()]
@@ -107,9 +107,55 @@ def test_restart_on_same_checkpoint_changes_nothing(spark, tmp_path):
     def run():
         stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(folder)
                   .select("event_id", "ts", link))
-        out = J.dedup_links_exact(stream, store, root)
+        out = J.dedup_links(stream, store, root)
         return sorted(r[0] for r in spark.read.parquet(out).select("link").collect())
 
     first = run()
     second = run()                                  # same checkpoint: no batch is replayed twice
     assert first == second and len(first) == len(set(first))
+
+
+def _links_in_files(spark, tmp_path, *batches):
+    folder = str(tmp_path / "links")
+    for i, links in enumerate(batches):
+        spark.createDataFrame([(link,) for link in links], "link string").coalesce(1).write.parquet(os.path.join(folder, f"part{i}"))
+    return (spark.readStream.schema("link string").option("maxFilesPerTrigger", 1).parquet(os.path.join(folder, "part*")))
+
+
+def test_late_and_repeated_links(spark, tmp_path):
+    """No watermark: a link is emitted once however late it comes or comes again."""
+    store = spark.createDataFrame([("known",)], "link string")
+    stream = _links_in_files(spark, tmp_path, ["a", "b", "known"], ["a", "c", "d"], ["late", "a", "d"], ["known", "a"])
+    out = J.dedup_links(stream, store, J.run_dir(spark, "test-late"))
+    assert sorted(r[0] for r in spark.read.parquet(out).select("link").collect()) == ["a", "b", "c", "d", "late"]
+    assert all(d.startswith("bucket=") for b in os.listdir(out) if b.startswith("batch=")
+               for d in os.listdir(os.path.join(out, b)) if not d.startswith(("_", ".")))
+
+
+def test_first_batch_without_a_new_link(spark, tmp_path):
+    store = spark.createDataFrame([("known",)], "link string")
+    stream = _links_in_files(spark, tmp_path, ["known"], ["x", "known"])
+    out = J.dedup_links(stream, store, J.run_dir(spark, "test-none"))
+    assert [r[0] for r in spark.read.parquet(out).select("link").collect()] == ["x"]
+
+
+def test_first_micro_batch_is_deduplicated(spark, tmp_path):
+    import datetime as dt
+    from listingflow.operators import enrich as EN
+    from listingflow.operators import extract as EX
+    from test_extract import BATDONGSAN
+    folder = str(tmp_path / "pages")
+    rows = [(1, "https://batdongsan.com.vn/tin/1", BATDONGSAN), (2, "https://batdongsan.com.vn/tin/1", BATDONGSAN),
+            (3, "https://batdongsan.com.vn/tin/3", "<![broken]>")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(os.path.join(folder, "part0"))
+    out = J.ingest_enrich_upsert(spark, os.path.join(folder, "part*"), EX.RuleSet(EX.site_rules()), F.lit("batdongsan.com.vn"),
+                                 F.lit(dt.datetime(2024, 6, 15)).cast("timestamp_ntz"), EN.rule_based_enricher(), J.run_dir(spark, "test-first"))
+    assert [r["link"] for r in J.current_store(spark, out).collect()] == ["https://batdongsan.com.vn/tin/1"]
+
+
+def test_events_without_a_type_are_logged(spark, tmp_path):
+    folder = str(tmp_path / "events")
+    spark.createDataFrame([(1, "s", None), (2, "s", "crawl_completed"), (3, None, "crawl_started")], "event_id long, source string, event string").write.parquet(folder)
+    outs = J.route(spark.readStream.schema("event_id long, source string, event string").parquet(folder), J.default_routes(), J.run_dir(spark, "test-route"))
+    log = {(r["source"], r["event"]): r["count"] for r in spark.read.parquet(outs["log"]).collect()}
+    assert log == {("s", None): 1, (None, "crawl_started"): 1}

@@ -223,7 +223,8 @@ def test_entities_match_html_parser(spark):
                "&am", "A&nbsp;B", "it&#39;s", "&#x27;x", "dash &#8211; em&#8212;", "&#128512;", "&#x1F600",
                "&#0;", "&#13;", "&#128;&#x9F;", "&#1;x", "&#xD800;", "&#1114112;", "&#99999999999999999999;",
                "&#65535;", "&#xFDD0;", "&#38;lt;", "&amp;#39;", "&#", "&#x;", "&#abc", "plain", "",
-               "&#x41&#66;C", "&quotient;"]
+               "&#x41&#66;C", "&quotient;", "nh&agrave; &ndash; b&aacute;n", "&notin; &notit; &NotEqualTilde;x", "&eacutex", "&zzz; &;", "a&b&c",
+               "&ampersand &AMP&LT;", "&CounterClockwiseContourIntegral;"]
     got = [g[0] for g in eval_rows(spark, "s string", [(s,) for s in samples], decode_entities(F.col("s")))]
     assert got == [H.parse(s).text() for s in samples]                  # as the HTML parser decodes them
     con = duckdb.connect()
@@ -240,7 +241,9 @@ def test_absolute_url_matches_urljoin(spark):
              ("https://x.com/a/b/c", "../../d"), ("https://x.com/a/b/c", "../../../../d"),
              ("https://x.com/a/b/c", "./d/./e"), ("https://x.com/a/b/", ".."), ("https://x.com/a/b/c", "g/.."),
              ("https://x.com/a/b/c", "/x/../y"), ("https://x.com/a/b/c?q=1", "../d?x=../y"),
-             ("https://x.com/a/b/c", "..g"), ("https://x.com/a/b/c", "g../h")]
+             ("https://x.com/a/b/c", "..g"), ("https://x.com/a/b/c", "g../h"),
+             ("https://x.vn/a/b/c/d/e/f/g/h/i", "../" * 8 + "z"), ("https://x.vn/a/b/c/d/e/f/g/h/i", "../" * 30 + "z"),
+             ("https://x.vn/a/b", "mailto:me@x.vn"), ("https://x.vn/a/b", "javascript:void(0)"), ("https://x.vn/a/b", "tel:+84-1")]
     got = eval_rows(spark, "b string, h string", cases, absolute_url(F.col("h"), F.col("b")))
     assert [g[0] for g in got] == [urljoin(b, h) if not h.startswith("http") else h for b, h in cases]
 
