@@ -6,6 +6,7 @@ Words are byte strings throughout: ``bytes.split()`` cuts exactly at ``[\\x20\\x
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -51,12 +52,14 @@ def stage(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stage(spark: SparkSession, *paths: str) -> None:
-    """Delete staged folders that no later step reads."""
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(hadoop).delete(p, True)
+def stage_and_release(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+    """``stage``, then have Spark's cleaner see that the job's large shuffle files are done with
+    (it removes them when the driver collects garbage, by default every 30 minutes)."""
+    out = stage(df, name, compression)
+    del df
+    gc.collect()
+    out.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 def binaries(column: pa.Array) -> list:
@@ -75,8 +78,8 @@ def partition_id() -> int:
     return context.partitionId() if context else 0
 
 
-def squeeze(data) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data if isinstance(data, bytes) else np.ascontiguousarray(data).tobytes())
+def squeeze(data, level: int = 1) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(data if isinstance(data, bytes) else np.ascontiguousarray(data).tobytes())
 
 
 def unsqueeze(data: bytes, dtype=None):
@@ -107,7 +110,7 @@ class Ids(dict):
 class Hashes(dict):
     """Word -> 64-bit hash, remembered; forgets everything when it has grown large."""
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __missing__(self, word):
         if len(self) > self.LIMIT:

@@ -8,14 +8,18 @@ words are equal (pigeonhole); even if each side leaves out any ``x`` of its word
 that the fewest shingles fell into, an equal one is left on both sides.  ``U`` is the upper end
 of a size band; a set joins in its own band and in the next if a partner may lie there.
 
-1. Every set sends its words, keyed by band, place and value.  Inside a block of documents, sets
-   with an equal key are tied to the smallest at once, and one row per key leaves the block.
-2. Keys meet by hash bucket; the sets of a key are tied to its smallest.  Ties are a star per
-   key, never all pairs.
+1. Every set sends its words, keyed by band, place and value.  Where very many sets of one block
+   of documents share a key, sets close to a leader (by bit sketch) are tied to it and stay; the
+   leader goes on with its cluster's radius as slack, so by the triangle inequality whatever links
+   with one of them is still tied to the leader.
+2. Keys meet by hash bucket; those of more than one set go on, joined with the sets' bit sketches
+   (each shingle flips one bit, so their Hamming distance, too, is at most the symmetric
+   difference).  Under each key, sets whose sizes and Hamming distance allow a link are tied; sets
+   that are connected already are not compared again, so a group of near copies costs a star.
+   The bit sketches keep a passage that many documents share from tying all of them.
 3. Connected components of the ties hold every link inside.  Each component's sets come together
-   once and are verified: sizes, Hamming distance of a bit sketch (each shingle flips one of 2048
-   bits), then the exact intersection; sets already connected are not compared again.  A
-   component too large for one task is cut into chunks, and every pair of chunks is a task.
+   once and are verified by their exact intersections.  A component too large for one task is cut
+   into chunks, and every pair of chunks is a task.
 4. Components of the verified links give the answer.
 
 Equal sets are one node throughout, so exact copies cost one row.  Nothing is capped: where keys
@@ -34,14 +38,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_blocks, mix, shuffle_partitions, squeeze, squeeze_sorted, stage, table, unsqueeze, unsqueeze_sorted, window_hashes, word_hashes, U64
+from .common import in_blocks, mix, shuffle_partitions, squeeze, squeeze_sorted, stage, stage_and_release, table, unsqueeze, unsqueeze_sorted, window_hashes, word_hashes, U64
 from .components import components
 
 SHINGLE_WORDS, SIMILARITY = 5, 80
 BAND_RATIO = 1.5
-#: Shingles of one verification task; a larger component becomes several chunks.
-CHUNK_SHINGLES = 4_000_000
-SKETCH_BITS = 2048
+#: Shingles and sets of one verification task; a larger component becomes several chunks.
+CHUNK_SHINGLES, CHUNK_SETS = 4_000_000, 10_000
+#: Bits per shingle of the sketches compared before sets are.
+VERIFY_BITS = 16
+SENT_BITS = 2
+#: A key that so many sets of one block share is thinned to leaders, at most so many with followers.
+HOT_IN_BLOCK, LEADERS = 256, 16
 #: Bits of the filter that keeps sets without any tie out of the verification shuffle.
 FILTER_BITS = 24
 
@@ -87,76 +95,204 @@ def sketch_keys(shingles: np.ndarray, similarity: int, lows: np.ndarray) -> list
     return out
 
 
+def bit_sketch(shingles: np.ndarray, per_shingle: int = SENT_BITS) -> bytes:
+    """Parity sketch of about so many bits per shingle: shingle ``s`` flips bit ``s mod size``."""
+    bits = max(64, 1 << (len(shingles) * per_shingle // 2).bit_length())
+    flips = np.bincount((shingles & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of the smallest size: the parities of halves add up (and no distance grows)."""
+    words = min(len(s) for s in sketches) // 8
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(s, U64).reshape(-1, words), axis=0) for s in sketches])
+
+
+def distances(rows: np.ndarray, row: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(rows ^ row).sum(axis=1, dtype=np.int64)
+
+
+def connect(sizes: np.ndarray, sketches: list[bytes], similarity: int, link=None, chunk: np.ndarray | None = None,
+            slack: np.ndarray | None = None) -> np.ndarray:
+    """Labels of connected sets: two link if their sizes and the Hamming distance of their sketches
+    (less their slack) allow it and, where given, ``link(i, j)`` says so.  Sets with one label are
+    not compared.
+
+    ``chunk``: compare only sets of different chunks.
+    """
+    n = len(sizes)
+    rows = folded(sketches)
+    slack = np.zeros(n, np.int64) if slack is None else slack
+    label = np.arange(n)
+    for i in range(n):
+        others = label != label[i]
+        if not others.any():
+            if chunk is None:
+                break
+            continue
+        others[:i + 1] = False
+        if chunk is not None:
+            others &= chunk != chunk[i]
+        alike = 100 * np.minimum(sizes, sizes[i]) >= similarity * np.maximum(sizes, sizes[i])
+        at = np.flatnonzero(others & (alike | (slack + slack[i] > 0)))
+        apart = distances(rows[at], rows[i]) - slack[at] - slack[i]
+        for j in at[(100 + similarity) * apart <= (100 - similarity) * (sizes[at] + sizes[i])].tolist():
+            if label[j] != label[i] and (link is None or link(i, j)):
+                label[label == label[j]] = label[i]
+    return label
+
+
+def stars(nodes: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """(node, smallest node with its label) of all other nodes."""
+    order = np.lexsort((nodes, label))
+    nodes, label = nodes[order], label[order]
+    first = np.concatenate(([True], label[1:] != label[:-1]))
+    least = nodes[np.flatnonzero(first)][np.cumsum(first) - 1]
+    return list(zip(nodes[~first].tolist(), least[~first].tolist()))
+
+
 def describe(size: int):
-    """Task function: documents -> set size and node."""
+    """Task function: documents -> set size, node and bit sketch."""
     def run(batches):
         for rows, texts in in_blocks(batches, "text"):
             sets = [shingle_set(t, size) for t in texts]
             nodes = [int(node_of(s).view(np.int64)) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([pa.concat_arrays(rows.column("doc_id").chunks), pa.array([len(s) for s in sets], pa.int64()),
-                                              pa.array(nodes, pa.int64())], names=["doc_id", "n_shingles", "node"])
+                                              pa.array(nodes, pa.int64()), pa.array([bit_sketch(s) if len(s) else None for s in sets], pa.binary())],
+                                             names=["doc_id", "n_shingles", "node", "sketch"])
     return run
 
 
-def tie(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Smallest node per key, and (node, smallest) ties of the others."""
+def by_key(keys: np.ndarray, nodes: np.ndarray, slack: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (key, node) rows in order with their largest slack, and how many rows their key has."""
     order = np.lexsort((nodes, keys))
     keys, nodes = keys[order], nodes[order]
-    first = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.empty(0, bool)
-    least = nodes[np.flatnonzero(first)][np.cumsum(first) - 1] if len(keys) else nodes
-    loose = nodes != least
-    pairs = np.unique(np.stack([nodes[loose], least[loose]], axis=1), axis=0)
-    return keys[first], nodes[first], pairs[:, 0], pairs[:, 1]
+    new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1]))) if len(keys) else np.empty(0, bool)
+    slack = np.maximum.reduceat(slack[order], np.flatnonzero(new)) if len(keys) else slack
+    keys, nodes = keys[new], nodes[new]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
+    many = np.diff(np.append(first, len(keys)))
+    return keys, nodes, slack, np.repeat(many, many)
+
+
+def thin(nodes: np.ndarray, sizes: np.ndarray, sketches: list[bytes], similarity: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Slack per node, -1 for those that stay behind a leader; and their ties (node, leader)."""
+    rows, slack, ties = folded(sketches), np.zeros(len(nodes), np.int64), []
+    left = np.arange(len(nodes))
+    for _ in range(LEADERS):
+        if len(left) < 2:
+            break
+        i = left[0]
+        apart = distances(rows[left], rows[i])
+        near = 2 * (100 + similarity) * apart <= (100 - similarity) * (sizes[left] + sizes[i])
+        near[0] = True
+        behind = left[near][1:]
+        if len(behind):
+            # the radius, and what a larger follower's own bound has more than the leader's
+            larger = max(0, int(sizes[behind].max() - sizes[i]))
+            slack[i] = apart[near].max() + -(-(100 - similarity) * larger // (100 + similarity))
+            slack[behind] = -1
+            ties += [(int(x), int(nodes[i])) for x in nodes[behind]]
+        left = left[~near]
+    return slack, ties
 
 
 def send_keys(size: int, similarity: int, buckets: int):
-    """Task function: documents -> per bucket one row of keys with their smallest node, and ties."""
+    """Task function: documents -> per bucket one row of keys with their nodes, and ties of hot keys."""
     def run(batches):
         lows = bands(similarity)
         for rows, texts in in_blocks(batches, "text"):
-            known, keys, nodes = set(), [], []
+            known, keys, nodes = {}, [], []
             for text in texts:
                 s = shingle_set(text, size)
                 node = node_of(s) if len(s) else None
                 if node is None or int(node) in known:
                     continue
-                known.add(int(node))
+                known[int(node)] = s
                 for k in sketch_keys(s, similarity, lows):
                     keys.append(k)
                     nodes.append(np.full(len(k), node, U64))
             if not keys:
                 continue
-            keys, nodes, a, b = tie(np.concatenate(keys), np.concatenate(nodes))
+            keys, nodes = np.concatenate(keys), np.concatenate(nodes)
+            keys, nodes, slack, many = by_key(keys, nodes, np.zeros(len(keys), np.int64))
+            ties, sketches = set(), {}
+            at = 0
+            hot = np.flatnonzero(many >= HOT_IN_BLOCK)
+            while at < len(hot):
+                part = slice(hot[at], hot[at] + many[hot[at]])
+                names = nodes[part].tolist()
+                for name in names:
+                    if name not in sketches:
+                        sketches[name] = bit_sketch(known[name])
+                slack[part], more = thin(nodes[part], np.array([len(known[n]) for n in names], np.int64), [sketches[n] for n in names], similarity)
+                ties.update(more)
+                at += many[hot[at]]
+            keys, nodes, slack = keys[slack >= 0], nodes[slack >= 0], slack[slack >= 0]
             bucket = (keys % U64(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             used, begin = np.unique(bucket[order], return_index=True)
             out = []
             for number, part in zip(used.tolist(), np.split(order, begin[1:])):
                 names, index = np.unique(nodes[part], return_inverse=True)
-                out.append({"bucket": number, "keys": squeeze_sorted(keys[part]), "names": names.tobytes(), "index": squeeze(index.astype(np.uint32))})
-            if len(a):
-                out[0] |= {"a": a.tobytes(), "b": b.tobytes()}
+                out.append({"bucket": number, "keys": squeeze_sorted(keys[part]), "names": names.tobytes(), "index": squeeze(index.astype(np.uint32)), "slack": squeeze(slack[part].astype(np.uint32))})
+            if ties:
+                out[0] |= {"a": np.array([a for a, _ in ties], U64).tobytes(), "b": np.array([b for _, b in ties], U64).tobytes()}
             yield pa.RecordBatch.from_pylist(out, schema=_KEY_ROWS)
     return run
 
 
-_KEY_ROWS = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("names", pa.binary()), ("index", pa.binary()), ("a", pa.binary()), ("b", pa.binary())])
+_KEY_ROWS = pa.schema([("bucket", pa.int32())] + [(c, pa.binary()) for c in ("keys", "names", "index", "slack", "a", "b")])
 
 
-def tie_buckets(batches):
-    """Task function: key rows of some buckets -> ties."""
-    keys, nodes, a, b = [], [], [], []
+def meet(batches):
+    """Task function: key rows of some buckets -> (key, node) of keys with more than one node; ties
+    made inside blocks come through as (a, b)."""
+    keys, nodes, slack, a, b = [], [], [], [], []
     for batch in batches:
         for row in batch.to_pylist():
+            slack.append(unsqueeze(row["slack"], np.uint32).astype(np.int64))
             keys.append(unsqueeze_sorted(row["keys"], np.uint64))
             nodes.append(np.frombuffer(row["names"], U64)[unsqueeze(row["index"], np.uint32)])
             if row["a"]:
                 a.append(np.frombuffer(row["a"], U64))
                 b.append(np.frombuffer(row["b"], U64))
     if keys:
-        _, _, x, y = tie(np.concatenate(keys), np.concatenate(nodes))
-        a, b = np.concatenate([*a, x]), np.concatenate([*b, y])
-        yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+        keys, nodes, slack, many = by_key(np.concatenate(keys), np.concatenate(nodes), np.concatenate(slack))
+        keys, nodes, slack = keys[many > 1], nodes[many > 1], slack[many > 1]
+        none = pa.nulls(len(keys), pa.int64()), pa.nulls(sum(map(len, a)), pa.int64())
+        a, b = (pa.array(np.concatenate([np.empty(0, U64), *x]).view(np.int64)) for x in (a, b))
+        yield pa.RecordBatch.from_arrays([*(pa.concat_arrays([pa.array(x.view(np.int64)), none[1]]) for x in (keys, nodes, slack)),
+                                          *(pa.concat_arrays([none[0], x]) for x in (a, b))], names=["key", "node", "slack", "a", "b"])
+
+
+def tie_keys(similarity: int):
+    """Task function: nodes with size and sketch, sorted by key -> ties that sizes and sketches allow."""
+    def run(batches):
+        # near copies share many keys: equal groups are compared once
+        current, group, ties, seen = None, {}, set(), set()
+
+        def close():
+            same = frozenset((n, s) for n, (_, _, s) in group.items())
+            if len(group) > 1 and same not in seen:
+                seen.add(same)
+                sizes, sketches, slack = zip(*group.values())
+                label = connect(np.array(sizes, np.int64), list(sketches), similarity, slack=np.array(slack, np.int64))
+                ties.update(stars(np.array(list(group), np.int64), label))
+
+        for batch in batches:
+            for key, node, slack, size, sketch in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "slack", "size", "sketch"))):
+                if key != current:
+                    close()
+                    current, group = key, {}
+                group[node] = (size, sketch, slack)
+            if len(ties) > 100_000 or len(seen) > 100_000:
+                yield _links(list(ties))
+                ties.clear()
+                seen.clear()
+        close()
+        yield _links(list(ties))
+    return run
 
 
 def send_sets(size: int, wanted):
@@ -177,46 +313,18 @@ def send_sets(size: int, wanted):
     return run
 
 
-def bit_sketch(shingles: np.ndarray) -> np.ndarray:
-    flips = np.bincount((shingles & U64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(flips.astype(np.uint8)).view(U64)
-
-
 def verify(nodes: np.ndarray, sets: list[np.ndarray], chunk: np.ndarray | None, similarity: int) -> list[tuple[int, int]]:
     """Links that connect every linked pair of the sets, as (node, smallest connected node).
 
     ``chunk``: compare only sets of different chunks.
     """
-    n = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
-    sketches = np.stack([bit_sketch(s) for s in sets]) if n > 8 else None
-    label = np.arange(n)
-    for i in range(n):
-        others = label != label[i]
-        if not others.any():
-            if chunk is None:
-                break
-            continue
-        others[:i + 1] = False
-        if chunk is not None:
-            others &= chunk != chunk[i]
-        others &= (100 * np.minimum(sizes, sizes[i]) >= similarity * np.maximum(sizes, sizes[i]))
-        at = np.flatnonzero(others)
-        if sketches is not None and len(at):
-            apart = np.bitwise_count(sketches[at] ^ sketches[i]).sum(axis=1)
-            at = at[(100 + similarity) * apart.astype(np.int64) <= (100 - similarity) * (sizes[at] + sizes[i])]
-        for j in at.tolist():
-            if label[j] == label[i]:
-                continue
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * both >= similarity * (sizes[i] + sizes[j] - both):
-                label[label == label[j]] = label[i]
-    out = []
-    for name in np.unique(label).tolist():
-        members = nodes[label == name]
-        least = int(members.min())
-        out.extend((int(m), least) for m in members.tolist() if m != least)
-    return out
+
+    def exact(i: int, j: int) -> bool:
+        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        return 100 * both >= similarity * (sizes[i] + sizes[j] - both)
+    # finer sketches than those sent around: few pairs pass them that do not link
+    return stars(nodes, connect(sizes, [bit_sketch(s, VERIFY_BITS) for s in sets], similarity, exact, chunk))
 
 
 def verify_groups(similarity: int):
@@ -260,10 +368,13 @@ def link_documents(docs: DataFrame, size: int = SHINGLE_WORDS, similarity: int =
     docs = docs.select(docs[id].alias("doc_id"), docs[text].alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     buckets = shuffle_partitions(spark)
-    members = stage(docs.mapInArrow(describe(size), f"doc_id {kind}, n_shingles long, node long"), "jaccard-members")
-    ties = (docs.select("text").mapInArrow(send_keys(size, similarity, buckets), "bucket int, keys binary, names binary, index binary, a binary, b binary")
-            .repartition(buckets, "bucket").mapInArrow(tie_buckets, "a long, b long"))
-    tied = stage(components(ties), "jaccard-tied")
+    members = stage(docs.mapInArrow(describe(size), f"doc_id {kind}, n_shingles long, node long, sketch binary"), "jaccard-members")
+    met = stage_and_release(docs.select("text").mapInArrow(send_keys(size, similarity, buckets), "bucket int, keys binary, names binary, index binary, slack binary, a binary, b binary")
+                .repartition(buckets, "bucket").mapInArrow(meet, "key long, node long, slack long, a long, b long"), "jaccard-keys")
+    about = members.filter("node is not null").groupBy("node").agg(F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
+    ties = (met.filter("node is not null").select("key", "node", "slack").join(about, "node")
+            .repartition(buckets, "key").sortWithinPartitions("key").mapInArrow(tie_keys(similarity), "a long, b long"))
+    tied = stage(components(ties.union(met.filter("a is not null").select("a", "b"))), "jaccard-tied")
     groups = tied.union(tied.select("root", "root").distinct())
 
     place = F.shiftrightunsigned("node", 64 - FILTER_BITS)
@@ -273,16 +384,17 @@ def link_documents(docs: DataFrame, size: int = SHINGLE_WORDS, similarity: int =
     bits[[r["word"] for r in words]] = [r["bits"] for r in words]
     wanted = spark.sparkContext.broadcast(bits.view(U64).tolist())
     sets = docs.select("text").mapInArrow(send_sets(size, wanted), "node long, size long, shingles binary").join(groups, "node")
-    sets = stage(sets, "jaccard-sets")
+    sets = stage_and_release(sets, "jaccard-sets")
     parts = (sets.select("node", "root", "size").distinct().groupBy("root")
-             .agg(F.ceil(F.sum("size") / chunk_shingles).cast("int").alias("parts"), F.count("*").alias("n")).filter("n > 1"))
+             .agg(F.ceil(F.greatest(F.sum("size") / chunk_shingles, F.count("*") / CHUNK_SETS)).cast("int").alias("parts"), F.count("*").alias("n"))
+             .filter("n > 1"))
     spread = (sets.join(parts, "root").withColumn("chunk", F.pmod(F.xxhash64("node"), "parts").cast("int"))
               .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
               .select("root", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "shingles"))
     links = (spread.repartition(buckets, "root", "i", "j").sortWithinPartitions("root", "i", "j")
              .mapInArrow(verify_groups(similarity), "a long, b long"))
     linked = components(links)
-    named = members.join(linked, "node", "left").withColumn("group", F.coalesce("root", "node"))
+    named = members.drop("sketch").join(linked, "node", "left").withColumn("group", F.coalesce("root", "node"))
     least = named.filter("group is not null").groupBy("group").agg(F.min("doc_id").alias("least"))
     return (named.join(least, "group", "left")
             .select("doc_id", "n_shingles", F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")))

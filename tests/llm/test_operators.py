@@ -269,6 +269,40 @@ def test_jaccard_join(spark, docs, rows, size, similarity):
     same(jaccard_join.link_documents(docs, size, similarity, chunk_shingles=300).collect(), want)
 
 
+def test_jaccard_join_with_hot_keys(spark, docs, rows, monkeypatch):
+    from listingflow.llm.common import in_blocks
+    import pyarrow as pa
+    # two sets under a key are hot here; the task function is run as it is on the executors
+    monkeypatch.setattr(jaccard_join, "HOT_IN_BLOCK", 2)
+    texts = pa.RecordBatch.from_arrays([pa.array([t for _, t, *_ in rows], pa.string())], names=["text"])
+    sent = list(jaccard_join.send_keys(4, 85, 3)(iter([texts.slice(0, 30), texts.slice(30)])))
+    met = list(jaccard_join.meet(iter(sent)))
+    got = pa.Table.from_batches(met).to_pylist()
+    assert any(r["a"] is not None for r in got) and list(in_blocks(iter([texts]), "text"))
+    about = {}
+    for _, t, *_ in rows:
+        s = jaccard_join.shingle_set((t or "").encode(), 4)
+        if len(s):
+            about[int(jaccard_join.node_of(s).view(np.int64))] = (len(s), jaccard_join.bit_sketch(s), ref.shingles(t, 4))
+    keyed = sorted((r for r in got if r["node"] is not None), key=lambda r: r["key"])
+    batch = pa.RecordBatch.from_pylist([{"key": r["key"], "node": r["node"], "slack": r["slack"], "size": about[r["node"]][0], "sketch": about[r["node"]][1]} for r in keyed]) if keyed else None
+    ties = [(r["a"], r["b"]) for r in got if r["a"] is not None]
+    ties += [(t["a"], t["b"]) for b in jaccard_join.tie_keys(85)(iter([batch] if batch else [])) for t in b.to_pylist()]
+    label = {n: n for n in about}
+
+    def find(n):
+        while label[n] != n:
+            n = label[n]
+        return n
+    for a, b in ties:
+        label[find(a)] = find(b)
+    for a in about:
+        for b in about:
+            x, y = about[a][2], about[b][2]
+            if 100 * len(x & y) >= 85 * len(x | y):
+                assert find(a) == find(b)
+
+
 def test_jaccard_join_near_the_bound(spark):
     rng = random.Random(11)
     rows = []
