@@ -16,8 +16,8 @@ not fit a task, so suffixes are split by variable-length prefixes into groups of
    every block with one bit per path.
 4. Blocks take their answers back and remove the covered words; text never moves beyond its block.
 
-A path is known by the 64-bit hash of its 20 words within its group (groups are spread over the
-shuffle's buckets, which grow with the data and add their bits).
+A path is known by a 56-bit hash of its 20 words within its bucket (groups are spread over the
+shuffle's buckets by another hash, and the buckets' number grows with the data and adds its bits).
 
 Edge cases: null, empty or short texts have no window and stay; a null id is later than all
 others; of rows with one id the order is that of their blocks, so exactly one is the original;
@@ -34,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_blocks, mix, partition_id, shuffle_partitions, squeeze, squeeze_sorted, stage, table, unsqueeze, unsqueeze_sorted, window_hashes, word_hashes, U64
+from .common import in_blocks, mix, partition_id, shuffle_partitions, squeeze, squeeze_sorted, stage, stage_and_release, table, unsqueeze, unsqueeze_sorted, window_hashes, word_hashes, U64
 
 WINDOW_WORDS = 20
 PREFIX_WORDS = (2, 5, 10)
 CELLS = 4096
 #: Suffixes that a group may hold before a longer prefix splits it.
 GROUP_SUFFIXES = 1_000_000
+#: Text of a block: all its suffixes are in memory at once.
+BLOCK_BYTES = 4 << 20
 _WORD = re.compile(rb"[^ \t-\r]+")
 _LAST = np.iinfo(np.int64).max
 
@@ -55,7 +57,7 @@ def suffixes(texts: list[bytes], window: int) -> tuple[list[list[bytes]], np.nda
         n = len(words) - window + 1
         if n > 0:
             hashes = word_hashes(words)
-            paths.append(window_hashes(hashes, window))
+            paths.append(window_hashes(hashes, window) >> U64(8))
             for k, length in enumerate(PREFIX_WORDS):
                 prefixes[k].append(window_hashes(hashes, min(length, window))[:n])
             owner.append(np.full(n, number, np.int64))
@@ -70,7 +72,7 @@ def cells(hashes: np.ndarray) -> np.ndarray:
 def gather(window: int, order: str):
     """Task function: documents -> blocks in document order, with suffixes counted per prefix."""
     def run(batches):
-        for number, (rows, texts) in enumerate(in_blocks(batches, "text")):
+        for number, (rows, texts) in enumerate(in_blocks(batches, "text", BLOCK_BYTES)):
             ids = np.array([_LAST if i is None else i for i in rows.column(order).to_pylist()], np.int64)
             sort = np.argsort(ids, kind="stable")
             texts = [texts[i] for i in sort]
@@ -84,7 +86,7 @@ def gather(window: int, order: str):
             yield pa.RecordBatch.from_arrays([
                 pa.array([(partition_id() << 32) + number], pa.int64()), pa.array([squeeze(ids[sort])], pa.binary()),
                 pa.array([squeeze(np.array([-1 if n else len(t) for t, n in zip(texts, null)], np.int64))], pa.binary()),
-                pa.array([squeeze(b"".join(texts))], pa.binary()), pa.array([squeeze(sink.getvalue().to_pybytes())], pa.binary()),
+                pa.array([squeeze(b"".join(texts), 9)], pa.binary()), pa.array([squeeze(sink.getvalue().to_pybytes())], pa.binary()),
                 pa.array([counts.tolist()], pa.list_(pa.int64())),
             ], names=["block", "ids", "lengths", "texts", "rest", "counts"])
     return run
@@ -244,15 +246,17 @@ def answered_blocks(docs: DataFrame, window: int, most: int) -> tuple[DataFrame,
     """Blocks of ``docs`` (columns ``doc_id``, ``text`` and others) with the groups' answers."""
     spark = docs.sparkSession
     buckets = shuffle_partitions(spark)
-    ordered = docs.withColumn("__order", F.col("doc_id").cast("long"))
-    blocks = stage(ordered.mapInArrow(gather(window, "__order"), "block long, ids binary, lengths binary, texts binary, rest binary, counts array<long>"), "repeat-blocks", "uncompressed")
+    order = "order" + "_" * (1 + max(map(len, docs.columns)))  # a name that no column has
+    ordered = docs.withColumn(order, F.col("doc_id").cast("long"))
+    blocks = stage(ordered.mapInArrow(gather(window, order), "block long, ids binary, lengths binary, texts binary, rest binary, counts array<long>"), "repeat-blocks", "uncompressed")
     sums = blocks.select(F.posexplode("counts").alias("cell", "n")).groupBy("cell").agg(F.sum("n").alias("n")).collect()  # 12,288 rows
     counts = np.zeros(len(PREFIX_WORDS) * CELLS, np.int64)
     counts[[r["cell"] for r in sums]] = [r["n"] for r in sums]
     groups = spark.sparkContext.broadcast(Groups(counts, buckets, most))
-    answers = (blocks.select("block", "ids", "lengths", "texts").mapInArrow(send_suffixes(window, groups), "block long, bucket int, paths binary, docs binary, index binary")
-               .repartition(buckets, "bucket").mapInArrow(answer_groups, "block long, bucket int, bits binary")
-               .groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers")))
+    answers = stage_and_release(
+        blocks.select("block", "ids", "lengths", "texts").mapInArrow(send_suffixes(window, groups), "block long, bucket int, paths binary, docs binary, index binary")
+        .repartition(buckets, "bucket").mapInArrow(answer_groups, "block long, bucket int, bits binary")
+        .groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers")), "repeat-answers")
     return blocks.select("block", "lengths", "texts", "rest").join(answers, "block", "left"), groups
 
 
