@@ -195,6 +195,7 @@ def pack(docs: DataFrame, path: str, weights: dict | None = None, size: int = SE
     first = (sums.join(F.broadcast(queues), sums["source"].eqNullSafe(queues["name"]), "left")
              .select("task", F.col("source").alias("name"), F.coalesce("number", F.lit(len(names))).alias("queue"), "n")
              .withColumn("earlier", F.sum("n").over(Window.partitionBy("queue").orderBy("task", "name")) - F.col("n")))
+    first = stage(first, "packing-first")  # its size is known when the join is planned
     placed = (tokens.join(first.select(F.col("task").alias("of"), "name", "queue", "earlier"),
                           (F.col("task") == F.col("of")) & F.col("source").eqNullSafe(F.col("name")))
               .select("doc_id", "source", "queue", (F.col("earlier") + F.col("position")).alias("first"), "doc_tokens", "width", "ids"))

@@ -102,6 +102,7 @@ def shard_documents(docs: DataFrame, weights: list[float] | None = None, id: str
                                                     "number long, task long"), "sharding")
     counts = placed.groupBy("task", "shard").agg(F.count("*").alias("n"))
     first = counts.select("task", "shard", (F.sum("n").over(Window.partitionBy("shard").orderBy("task")) - F.col("n")).alias("first"))
+    first = stage(first, "sharding-first")  # its size is known when the join is planned
     return (placed.join(first, ["task", "shard"])
             .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
                     (F.col("first") + F.col("number")).alias("slot"), "grown_shard"))

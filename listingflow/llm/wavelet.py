@@ -235,6 +235,7 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     sizes = docs.groupBy("task", "number").agg(F.sum("n_tokens").alias("n"))
     # one row per shard of millions of ids
     before = sizes.select("task", "number", (F.sum("n").over(Window.orderBy("task", "number")) - F.col("n")).alias("before"))
+    before = stage(before, "wavelet-before")  # its size is known when the join is planned
     return (docs.join(before, ["task", "number"])
             .select("doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32"))
 
