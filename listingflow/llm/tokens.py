@@ -3,9 +3,11 @@
 A public tokenizer treats the chunks between safe cuts independently, so a worker keeps each
 chunk's ids and builds a text's ids by concatenation.  Safe cuts:
 
-* ``word`` tokenizers drop white space: every run of ASCII white space is a cut;
+* ``word`` tokenizers drop white space and case: every run of ASCII white space is a cut;
 * ``byte`` tokenizers glue one space to the following word: a cut lies before each white-space
-  run as their own pattern splits it.
+  run as their own pattern splits it;
+* both end a run of letters or digits at punctuation: a cut lies between an ASCII letter or digit
+  and an ASCII punctuation mark (not the other way round: ``'s`` is one piece).
 
 A text that holds one of the tokenizer's special strings, or (``byte``) white space beyond ASCII,
 is one chunk of its own: the library then sees it whole.
@@ -20,7 +22,11 @@ from itertools import chain
 
 import numpy as np
 
-_CHUNKS = re.compile(rb" ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
+#: A run up to white space; else up to punctuation after an ASCII letter or digit; else the rest.
+_RUN = (rb"(?:[A-Za-z0-9\x80-\xff]+(?![^ \t-\r])|[A-Za-z0-9\x80-\xff]*[A-Za-z0-9](?=[!-/:-@\[-`{-~])"
+        rb"|[!-/:-@\[-`{-~]+(?![^ \t-\r])|[!-/:-@\[-`{-~]+[A-Za-z0-9\x80-\xff]*[A-Za-z0-9](?=[!-/:-@\[-`{-~])|[^ \t-\r]+)")
+_WORDS = re.compile(_RUN)
+_CHUNKS = re.compile(rb" ?" + _RUN + rb"|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
 #: White space beyond ASCII, in UTF-8 (fixed values of the Unicode property White_Space).
 _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
@@ -29,7 +35,7 @@ class Encoder:
     """Ids of byte-string texts, equal to ``encode(text, add_special_tokens=False).ids``."""
 
     #: Distinct chunks kept before the memory is dropped and filled anew.
-    LIMIT = 400_000
+    LIMIT = 1_000_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -47,14 +53,15 @@ class Encoder:
     def chunks(self, text: bytes) -> list[bytes]:
         if any(s in text for s in self.special) or self.keeps_space and not text.isascii() and _WIDE_SPACE.search(text):
             return [text]
-        return _CHUNKS.findall(text) if self.keeps_space else text.split()
+        return _CHUNKS.findall(text) if self.keeps_space else _WORDS.findall(text.lower())
 
     def pieces(self, words: list[bytes]) -> list[list[int]]:
         """The library's ids of each chunk."""
         return [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
 
     def _learn(self, words: list[bytes]) -> None:
-        new = list(dict.fromkeys(w for w in words if w not in self.known))
+        known = self.known
+        new = list({w for w in words if w not in known})
         for i in range(0, len(new), 5000):
             part = new[i:i + 5000]
             for word, ids in zip(part, self.pieces(part)):
