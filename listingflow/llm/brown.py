@@ -97,7 +97,8 @@ def gather(buckets: int):
 def count_words(most: int):
     """Task function: the words of some buckets -> total counts in the order sent, and a summary."""
     schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("counts", pa.binary()),
-                        ("top", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))), ("shapes", pa.list_(pa.int64())), ("total", pa.int64())])
+                        ("top", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))), ("sizes", pa.list_(pa.int64())),
+                        ("shapes", pa.list_(pa.int64())), ("total", pa.int64())])
 
     def run(batches):
         ids, rows, numbers, counts = Ids(), [], [], []
@@ -115,11 +116,20 @@ def count_words(most: int):
         words = list(ids)
         seen = np.flatnonzero(totals)
         shapes = np.bincount([shape_of(words[i]) for i in seen.tolist()], minlength=SHAPES)
+        sizes = np.bincount(np.frexp(totals[seen].astype(np.float64))[1], minlength=64)  # words per length of their count in bits
         best = heapq.nsmallest(most, seen.tolist(), key=lambda i: (-totals[i], words[i]))
-        yield pa.RecordBatch.from_pylist([{"top": [{"word": words[i], "n": int(totals[i])} for i in best], "shapes": shapes.tolist(), "total": int(totals.sum())}], schema=schema)
+        yield pa.RecordBatch.from_pylist([{"top": [{"word": words[i], "n": int(totals[i])} for i in best], "sizes": sizes.tolist(), "shapes": shapes.tolist(), "total": int(totals.sum())}], schema=schema)
     return run
 
 
+def summed(rows: DataFrame, column: str, size: int) -> np.ndarray:
+    """Sum of an array column, entry by entry."""
+    out = np.zeros(size, np.int64)
+    for r in rows.select(F.posexplode(column).alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).collect():
+        out[r["i"]] = r["n"]
+    return out
+
+
 class Units:
     """Word -> unit: 0 the end token, then clustered words, then shapes."""
 
@@ -369,13 +379,14 @@ def score_documents(docs: DataFrame, clustered_words: int = CLUSTERED_WORDS, k:
     blocks = stage(docs.mapInArrow(gather(buckets), f"block long, doc_ids array<{kind}>, held_out array<boolean>, lengths array<long>, codes binary, order binary, "
                                                     "lists array<struct<bucket:int,lengths:binary,words:binary,counts:binary>>"), "brown-blocks", "uncompressed")
     counted = stage(blocks.select("block", F.explode("lists").alias("part")).select("block", "part.*").repartition(buckets, "bucket")
-                    .mapInArrow(count_words(clustered_words), "block long, bucket int, counts binary, top array<struct<word:binary,n:bigint>>, shapes array<long>, total long"),
+                    .mapInArrow(count_words(clustered_words), "block long, bucket int, counts binary, top array<struct<word:binary,n:bigint>>, sizes array<long>, shapes array<long>, total long"),
                     "brown-counts", "uncompressed")
     summary = counted.filter("block is null")
-    top = [(bytes(r["word"]), r["n"]) for r in summary.select(F.explode("top").alias("t")).select("t.*").orderBy(F.desc("n"), "word").limit(clustered_words).collect()]
-    shapes = np.zeros(SHAPES, np.int64)
-    for r in summary.select(F.posexplode("shapes").alias("shape", "n")).groupBy("shape").agg(F.sum("n").alias("n")).collect():
-        shapes[r["shape"]] = r["n"]
+    shapes, sizes = summed(summary, "shapes", SHAPES), summed(summary, "sizes", 64)
+    # the most frequent words have counts of at least this many bits
+    bits = max((k for k in range(64) if sizes[k:].sum() >= clustered_words), default=0)
+    frequent = summary.select(F.explode(F.filter("top", lambda t: t["n"] >= 1 << max(0, bits - 1))).alias("t")).select("t.*")
+    top = [(bytes(r["word"]), r["n"]) for r in frequent.orderBy(F.desc("n"), "word").limit(clustered_words).collect()]
     total = summary.agg(F.sum("total")).first()[0] or 0
     trained = blocks.select(F.sum(F.size(F.filter("held_out", lambda h: ~h)))).first()[0] or 0
 
