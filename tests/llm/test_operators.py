@@ -234,6 +234,35 @@ def test_exchange_gain_is_the_change_of_information():
         assert b == 1 + int(np.argmax(tried)) and gain == pytest.approx(max(tried))
 
 
+def test_best_classes_of_many_units_are_those_of_each():
+    rng = np.random.default_rng(6)
+    n, k = 40, 5
+    grams = rng.integers(0, 9, (n, n)) * (rng.random((n, n)) < 0.2).astype(float)
+    classes = np.concatenate(([0], 1 + rng.integers(0, k - 1, n - 1)))
+    member = np.eye(k)[classes]
+    pairs, right, left = member.T @ grams @ member, grams @ member, grams.T @ member
+    b, gain = brown.best_classes(pairs, classes[1:], right[1:], left[1:], grams.diagonal()[1:])
+    want = [brown.best_class(pairs, classes[u], right[u], left[u], grams[u, u]) for u in range(1, n)]
+    assert b.tolist() == [w for w, _ in want] and np.allclose(gain, [g for _, g in want])
+
+
+def test_brown_clusters_every_word_above_the_floor(spark, monkeypatch):
+    made = []
+    init = brown.Model.__init__
+    monkeypatch.setattr(brown.Model, "__init__", lambda self, *a: (init(self, *a), made.append((self, a)))[0])
+    # 6,000 words of one shape, in two kinds that never stand at the same place, and one word seen once
+    lines = [f"a {i:05d}x b {i:05d}y" for i in range(3000)] * 2 + ["a once b"]
+    held = next(i for i in range(10 ** 6) if brown.held_out(i))
+    train = [i for i in range(10 ** 6, 10 ** 6 + 9000) if not brown.held_out(i)]
+    docs = spark.createDataFrame([*zip(train, lines), (held, "a unseen b 00007y")], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in brown.score_documents(docs, k=6).collect()}
+    m = made[-1][0]
+    assert len(m.classes) == brown.FIRST_WORD + 6002  # the vocabulary, not a fixed number, sets the units
+    assert m.distinct == 6004 and m.tokens == 4 * 6000 + 3 + 6001
+    assert got[held].held_out and got[held].n_known == 4
+    assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
+
+
 # ------------------------------------------------------------------ 4 token counts
 def test_token_counts(spark, docs, rows, no_docs):
     library = Tokenizer.from_file(WORDS)
