@@ -11,13 +11,14 @@ not fit a task, so suffixes are split by variable-length prefixes into groups of
    and to its whole 20-word path if none does.  Suffixes with equal 20-word paths thus share a
    group.  Of a block's suffixes only the first on each path leaves for its group, so a passage
    that a third of all rows repeat is one row per block.
-3. In a group the suffixes are sorted by path, so the leaves below each deep node are neighbours;
-   the smallest in document order is the original, the others are repeats.  The groups answer
-   every block with one bit per path.
-4. Blocks take their answers back and remove the covered words; text never moves beyond its block.
+3. In a group the suffixes are sorted by path, so the leaves below each deep node are neighbours.
+   The groups answer every block with one bit per path: whether it has leaves in other blocks too.
+4. For these paths only, blocks send a second hash of the 20 words and the document.  Among equal words the smallest in document order is the original, the others are
+   repeats; the answer is again one bit per path.
+5. Blocks take their answers back and remove the covered words; text never moves beyond its block.
 
-A path is known by a 56-bit hash of its 20 words within its bucket (groups are spread over the
-shuffle's buckets by another hash, and the buckets' number grows with the data and adds its bits).
+A path is found by a 64-bit hash of its 20 words, and suffixes are equal only if the second hash
+(64 bits, from other word hashes and another factor) is equal too; so also within a block.
 
 Edge cases: null, empty or short texts have no window and stay; a null id is later than all
 others; of rows with one id the order is that of their blocks, so exactly one is the original;
@@ -31,10 +32,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_blocks, mix, partition_id, shuffle_partitions, squeeze, squeeze_sorted, stage, stage_and_release, table, unsqueeze, unsqueeze_sorted, window_hashes, word_hashes, U64
+from .common import in_blocks, mix, partition_id, shuffle_partitions, squeeze, squeeze_sorted, stage, stage_and_release, table, unsqueeze, unsqueeze_sorted, U64, _ODD
 
 WINDOW_WORDS = 20
 PREFIX_WORDS = (2, 5, 10)
@@ -45,24 +47,57 @@ GROUP_SUFFIXES = 1_000_000
 BLOCK_BYTES = 4 << 20
 _WORD = re.compile(rb"[^ \t-\r]+")
 _LAST = np.iinfo(np.int64).max
+#: Factor of the second hash.
+_OTHER = U64(0xD6E8FEB86659FD93)
 
 
-def suffixes(texts: list[bytes], window: int) -> tuple[list[list[bytes]], np.ndarray, list[np.ndarray], np.ndarray]:
-    """Words per text; per suffix of at least a window: path hash, prefix hashes, and its text."""
-    cut, paths, owner = [], [], []
-    prefixes: list[list[np.ndarray]] = [[] for _ in PREFIX_WORDS]
+class Pairs(dict):
+    """Word -> two independent 64-bit hashes as 16 bytes, remembered; forgets everything when it has grown large."""
+
+    LIMIT = 200_000
+
+    def __missing__(self, word):
+        if len(self) > self.LIMIT:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word).to_bytes(8, "little") + xxhash.xxh3_64_intdigest(word, seed=1).to_bytes(8, "little")
+        return value
+
+
+_PAIRS = Pairs()
+
+
+def run_hashes(hashes: np.ndarray, lengths: tuple[int, ...], factor: np.uint64, n: int) -> list[np.ndarray]:
+    """Hashes of the first ``n`` runs of each length (rising), as ``window_hashes`` in one pass."""
+    out, done = hashes[:n].copy(), 1
+    found = []
+    for length in lengths:
+        for i in range(done, length):
+            out *= factor
+            out += hashes[i:n + i]
+        done = max(done, length)
+        found.append(mix(out))
+    return found
+
+
+def suffixes(texts: list[bytes], window: int, whole: bool = True) -> tuple[list[list[bytes]], np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+    """Words per text; per suffix of at least a window: path hash, second hash (both only if
+    ``whole``), prefix hashes, and its text."""
+    cut, owner = [], []
+    prefixes = tuple(min(length, window) for length in PREFIX_WORDS)
+    parts: list[list[np.ndarray]] = [[] for _ in range(len(prefixes) + 2)]
     for number, text in enumerate(texts):
         words = text.split()
         cut.append(words)
         n = len(words) - window + 1
         if n > 0:
-            hashes = word_hashes(words)
-            paths.append(window_hashes(hashes, window) >> U64(8))
-            for k, length in enumerate(PREFIX_WORDS):
-                prefixes[k].append(window_hashes(hashes, min(length, window))[:n])
+            one, two = np.ascontiguousarray(np.frombuffer(b"".join(map(_PAIRS.__getitem__, words)), "<u8").reshape(-1, 2).T)
+            found = run_hashes(one, (*prefixes, window) if whole else prefixes, _ODD, n)
+            for part, values in zip(parts, found + (run_hashes(two, (window,), _OTHER, n) if whole else [])):
+                part.append(values)
             owner.append(np.full(n, number, np.int64))
     empty = np.empty(0, U64)
-    return cut, np.concatenate(paths or [empty]), [np.concatenate(p or [empty]) for p in prefixes], np.concatenate(owner or [np.empty(0, np.int64)])
+    *prefix, paths, checks = (np.concatenate(p or [empty]) for p in parts)
+    return cut, paths, checks, prefix, np.concatenate(owner or [np.empty(0, np.int64)])
 
 
 def cells(hashes: np.ndarray) -> np.ndarray:
@@ -76,7 +111,7 @@ def gather(window: int, order: str):
             ids = np.array([_LAST if i is None else i for i in rows.column(order).to_pylist()], np.int64)
             sort = np.argsort(ids, kind="stable")
             texts = [texts[i] for i in sort]
-            _, _, prefixes, _ = suffixes(texts, window)
+            _, _, _, prefixes, _ = suffixes(texts, window, False)
             counts = np.concatenate([np.bincount(cells(p), minlength=CELLS) for p in prefixes])
             rest = rows.take(pa.array(sort)).drop_columns(["text"])
             null = rows.column("text").is_null().take(pa.array(sort)).to_pylist()
@@ -117,81 +152,141 @@ class Groups:
         return (group % U64(self.buckets)).astype(np.int32)
 
 
-def first_paths(paths: np.ndarray, bucket: np.ndarray):
-    """The block's first suffix on each path, sorted by (bucket, path); suffix -> its path's place."""
+def first_paths(paths: np.ndarray, checks: np.ndarray, bucket: np.ndarray):
+    """The block's first suffix on each path, sorted by (bucket, path); suffix -> its path's place.
+
+    ``checks``: second hashes, which tell unequal words with one path hash apart.
+    """
     known, first, place = np.unique(paths, return_index=True, return_inverse=True)
+    if (checks != checks[first[place]]).any():
+        _, first, place = np.unique(np.rec.fromarrays([paths, checks]), return_index=True, return_inverse=True)
+        known = paths[first]
     order = np.argsort(bucket[first], kind="stable")
     rank = np.empty_like(order)
     rank[order] = np.arange(len(order))
     return known[order], first[order], bucket[first][order], rank[place]
 
 
+def by_bucket(bucket: np.ndarray):
+    """``(bucket, begin, end)`` of each run of a sorted array."""
+    used, begin = np.unique(bucket, return_index=True)
+    return zip(used.tolist(), begin.tolist(), [*begin[1:].tolist(), len(bucket)])
+
+
+def block_paths(texts: list[bytes], window: int, groups: Groups):
+    """Words, owners and second hashes of a block's suffixes, and ``first_paths`` (None without suffixes)."""
+    cut, paths, checks, prefixes, owner = suffixes(texts, window)
+    return cut, owner, checks, first_paths(paths, checks, groups.bucket(paths, prefixes)) if len(paths) else None
+
+
 def send_suffixes(window: int, groups):
-    """Task function: blocks -> per bucket the first suffix on each path, with its document."""
+    """Task function: blocks -> per bucket the paths of the block."""
+    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("paths", pa.binary())])
+
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
+                found = block_paths(open_block(row)[0], window, groups.value)[3]
+                if found:
+                    known, _, bucket, _ = found
+                    yield pa.RecordBatch.from_pylist([{"block": row["block"], "bucket": number, "paths": squeeze_sorted(known[a:b])} for number, a, b in by_bucket(bucket)], schema=schema)
+    return run
+
+
+def deep_paths(paths: np.ndarray) -> np.ndarray:
+    """For each path whether it is there more than once."""
+    order = np.argsort(paths, kind="stable")
+    same = np.diff(paths[order]) == 0
+    out = np.empty(len(paths), bool)
+    out[order] = np.concatenate((same, [False])) | np.concatenate(([False], same))  # below a node with more than one leaf
+    return out
+
+
+def answer_deep(batches):
+    """Task function: the paths of some buckets -> one bit per path, in the order sent: whether it is deep."""
+    rows, paths = [], []
+    for batch in batches:
+        for row in batch.to_pylist():
+            paths.append(unsqueeze_sorted(row["paths"], np.uint64))
+            rows.append((row["block"], row["bucket"]))
+    if not rows:
+        return
+    deep = deep_paths(np.concatenate(paths))
+    ends = np.cumsum([len(p) for p in paths]).tolist()
+    yield pa.RecordBatch.from_arrays([
+        pa.array([b for b, _ in rows], pa.int64()), pa.array([b for _, b in rows], pa.int32()),
+        pa.array([squeeze(np.packbits(deep[a:b])) for a, b in zip([0, *ends], ends)], pa.binary())], names=["block", "bucket", "bits"])
+
+
+def send_deep(window: int, groups):
+    """Task function: blocks with the bits of their paths -> per bucket the deep ones with second hash and document."""
+    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("n", pa.int64()), ("deep", pa.binary()), ("paths", pa.binary()),
+                        ("checks", pa.binary()), ("docs", pa.binary()), ("index", pa.binary())])
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                bits = {a["bucket"]: a["bits"] for a in row["answers"]}
                 texts, _ = open_block(row)
-                _, paths, prefixes, owner = suffixes(texts, window)
-                if not len(paths):
-                    continue
-                known, first, bucket, _ = first_paths(paths, groups.value.bucket(paths, prefixes))
+                _, owner, checks, (known, first, bucket, _) = block_paths(texts, window, groups.value)
                 ids = unsqueeze(row["ids"], np.int64)
-                used, begin = np.unique(bucket, return_index=True)
                 out = []
-                for number, a, b in zip(used.tolist(), begin.tolist(), [*begin[1:].tolist(), len(bucket)]):
-                    docs, index = np.unique(owner[first[a:b]], return_inverse=True)
-                    out.append({"block": row["block"], "bucket": number, "paths": squeeze_sorted(known[a:b]), "docs": squeeze(ids[docs]),
+                for number, a, b in by_bucket(bucket):
+                    at = a + np.flatnonzero(np.unpackbits(unsqueeze(bits[number], np.uint8), count=b - a))
+                    if not len(at):
+                        continue
+                    docs, index = np.unique(owner[first[at]], return_inverse=True)
+                    out.append({"block": row["block"], "bucket": number, "n": b - a, "deep": bits[number], "paths": squeeze_sorted(known[at]),
+                                "checks": squeeze(checks[first[at]]), "docs": squeeze(ids[docs]),
                                 "index": squeeze(np.ascontiguousarray(index.astype("<u4").view(np.uint8).reshape(-1, 4).T))})
-                yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("paths", pa.binary()),
-                                                                        ("docs", pa.binary()), ("index", pa.binary())]))
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
     return run
 
 
-def originals(paths: np.ndarray, docs: np.ndarray, blocks: np.ndarray) -> np.ndarray:
-    """For each sorted-in suffix whether it is the first in document order on its path."""
-    order = np.argsort(paths, kind="stable")
-    ordered = paths[order]
-    same = ordered[1:] == ordered[:-1]
-    deep = np.concatenate((same, [False])) | np.concatenate(([False], same))  # below a node with more than one leaf
+def originals(paths: np.ndarray, checks: np.ndarray, docs: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    """For each suffix whether it is the first in document order of those with its words."""
     out = np.ones(len(paths), bool)
-    leaves = order[deep]
-    leaves = leaves[np.lexsort((blocks[leaves], docs[leaves], paths[leaves]))]
-    node = paths[leaves]
-    out[leaves[1:][node[1:] == node[:-1]]] = False
+    order = np.lexsort((blocks, docs, checks, paths))
+    out[order[1:]] = (np.diff(paths[order]) != 0) | (np.diff(checks[order]) != 0)
     return out
 
 
 def answer_groups(batches):
-    """Task function: the suffixes of some buckets -> one bit per suffix, in the order sent."""
-    rows, paths, docs = [], [], []
+    """Task function: the deep paths of some buckets -> one bit per path of the bucket: whether it stays."""
+    rows, paths, checks, docs = [], [], [], []
     for batch in batches:
         for row in batch.to_pylist():
             paths.append(unsqueeze_sorted(row["paths"], np.uint64))
+            checks.append(unsqueeze(row["checks"], np.uint64))
             index = np.ascontiguousarray(unsqueeze(row["index"], np.uint8).reshape(4, -1).T).view("<u4").ravel()
             docs.append(unsqueeze(row["docs"], np.int64)[index])
-            rows.append((row["block"], row["bucket"]))
+            rows.append((row["block"], row["bucket"], row["n"], row["deep"]))
     if not rows:
         return
     sizes = [len(p) for p in paths]
-    kept = originals(np.concatenate(paths), np.concatenate(docs), np.repeat(np.array([b for b, _ in rows], np.int64), sizes))
-    ends = np.cumsum(sizes).tolist()
-    yield pa.RecordBatch.from_arrays([
-        pa.array([b for b, _ in rows], pa.int64()), pa.array([b for _, b in rows], pa.int32()),
-        pa.array([squeeze(np.packbits(kept[a:b])) for a, b in zip([0, *ends], ends)], pa.binary())], names=["block", "bucket", "bits"])
+    kept = originals(np.concatenate(paths), np.concatenate(checks), np.concatenate(docs), np.repeat(np.array([r[0] for r in rows], np.int64), sizes))
+    bits, end = [], 0
+    for (_, _, n, deep), size in zip(rows, sizes):
+        whole = np.ones(n, bool)
+        whole[np.flatnonzero(np.unpackbits(unsqueeze(deep, np.uint8), count=n))] = kept[end:end + size]
+        bits.append(squeeze(np.packbits(whole)))
+        end += size
+    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array(bits, pa.binary())],
+                                     names=["block", "bucket", "bits"])
 
 
 def removed_words(texts: list[bytes], answers: list[dict], window: int, groups: Groups):
     """Per text its words and a mask of those to remove."""
-    cut, paths, prefixes, owner = suffixes(texts, window)
+    cut, owner, _, found = block_paths(texts, window, groups)
     masks = [np.zeros(len(w), bool) for w in cut]
-    if len(paths):
-        known, first, bucket, place = first_paths(paths, groups.bucket(paths, prefixes))
-        counts = np.unique(bucket, return_counts=True)
-        size = dict(zip(counts[0].tolist(), counts[1].tolist()))
-        bits = [np.unpackbits(unsqueeze(a["bits"], np.uint8), count=size[a["bucket"]]) for a in sorted(answers, key=lambda a: a["bucket"])]
-        original = np.concatenate(bits).astype(bool)
-        repeat = ~(original[place] & (first[place] == np.arange(len(paths))))
+    if found:
+        known, first, bucket, place = found
+        original = np.ones(len(known), bool)
+        bits = {a["bucket"]: a["bits"] for a in answers}  # none for a bucket without deep paths
+        for number, a, b in by_bucket(bucket):
+            if number in bits:
+                original[a:b] = np.unpackbits(unsqueeze(bits[number], np.uint8), count=b - a)
+        repeat = ~(original[place] & (first[place] == np.arange(len(place))))
         begin = np.searchsorted(owner, np.arange(len(texts) + 1))
         for i, mask in enumerate(masks):
             own = repeat[begin[i]:begin[i + 1]]
@@ -253,10 +348,16 @@ def answered_blocks(docs: DataFrame, window: int, most: int) -> tuple[DataFrame,
     counts = np.zeros(len(PREFIX_WORDS) * CELLS, np.int64)
     counts[[r["cell"] for r in sums]] = [r["n"] for r in sums]
     groups = spark.sparkContext.broadcast(Groups(counts, buckets, most))
-    answers = stage_and_release(
-        blocks.select("block", "ids", "lengths", "texts").mapInArrow(send_suffixes(window, groups), "block long, bucket int, paths binary, docs binary, index binary")
-        .repartition(buckets, "bucket").mapInArrow(answer_groups, "block long, bucket int, bits binary")
-        .groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers")), "repeat-answers")
+    texts = blocks.select("block", "ids", "lengths", "texts")
+
+    def by_block(rows):
+        return rows.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))
+    deep = stage_and_release(by_block(
+        texts.mapInArrow(send_suffixes(window, groups), "block long, bucket int, paths binary")
+        .repartition(buckets, "bucket").mapInArrow(answer_deep, "block long, bucket int, bits binary")), "repeat-deep")
+    answers = stage_and_release(by_block(
+        texts.join(deep, "block").mapInArrow(send_deep(window, groups), "block long, bucket int, n long, deep binary, paths binary, checks binary, docs binary, index binary")
+        .repartition(buckets, "bucket").mapInArrow(answer_groups, "block long, bucket int, bits binary")), "repeat-answers")
     return blocks.select("block", "lengths", "texts", "rest").join(answers, "block", "left"), groups
 
 

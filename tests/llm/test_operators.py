@@ -472,6 +472,21 @@ def test_repeats_with_tied_ids_leave_one_original(spark, docs, rows, no_docs):
     assert substring.repeated_words(no_docs).count() == 0
 
 
+#: Two runs of 20 words that are unequal and have one 64-bit window hash.
+TWINS = [" ".join([f"p{i}" for i in range(16)] + [f"w{i}" for i in end]) for end in ((871, 1435, 532, 692), (760, 349, 1545, 1599))]
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+@pytest.mark.parametrize("most", [1, 1_000_000])
+def test_equal_hashes_of_unequal_words_are_no_repeat(spark, parts, most):
+    from listingflow.llm.common import window_hashes, word_hashes
+    a, b = (window_hashes(word_hashes(t.encode().split()), 20) for t in TWINS)
+    assert a == b and TWINS[0] != TWINS[1]
+    rows = [(1, TWINS[0]), (2, TWINS[1]), (3, "x " + TWINS[1] + " y"), (4, TWINS[0] + " " + TWINS[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts, "doc_id")
+    same(substring.repeated_words(docs, most=most).collect(), ref.repeats(rows))
+
+
 def test_remove_repeats_keeps_rows_and_columns(spark, docs, rows):
     out = substring.remove_repeats(docs)
     assert out.columns == docs.columns
