@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from listingflow.session import ensure_checkpoint_dir, ship_package
 
@@ -62,6 +63,12 @@ def stage_and_release(df: DataFrame, name: str, compression: str = "zstd") -> Da
     return out
 
 
+def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` staged with a number of each row's own, and the name of that column (which ``df`` has not)."""
+    row = "row" + "_" * (1 + max(map(len, df.columns)))
+    return stage(df.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
 def binaries(column: pa.Array) -> list:
     """Byte strings (or None) of a string or binary column, without decoding."""
     if pa.types.is_string(column.type):

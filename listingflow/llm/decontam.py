@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_blocks, stage, table, window_hashes, U64
+from .common import in_blocks, numbered, stage, table, window_hashes, U64
 
 WINDOW_WORDS = 10
 MOST_BROADCAST_BYTES = 16 << 20
@@ -106,20 +106,23 @@ def _spark_words(column: str):
     return F.regexp_extract_all(lower, F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"), F.lit(1))
 
 
-def hits_by_join(docs: DataFrame, benchmark: DataFrame, length: int) -> DataFrame:
-    """The same result for a benchmark of any size: windows of both sides meet in a join."""
+def hits_by_join(docs: DataFrame, benchmark: DataFrame, length: int, row: str | None = None) -> DataFrame:
+    """The same result for a benchmark of any size: windows of both sides meet in a join.
+
+    ``row``: a column of ``docs`` with a number of each row's own, returned as well.
+    """
     items = (benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), _spark_words("text").alias("words"))
              .filter("size(words) > 0").withColumn("size", F.least(F.size("words"), F.lit(length))))
     windows = items.select("item", "size", F.explode(F.expr("transform(sequence(1, size(words) - size + 1), i -> concat_ws(' ', slice(words, i, size)))")).alias("window")).distinct()
     sizes = F.array(*(F.lit(n) for n in range(1, length + 1)))
-    rows = stage(docs.select("doc_id", _spark_words("text").alias("words"), F.monotonically_increasing_id().alias("row")), "decontam-rows")
+    rows = stage(docs.select("doc_id", _spark_words("text").alias("words"), (F.col(row) if row else F.monotonically_increasing_id()).alias("row")), "decontam-rows")
     starts = (rows.select("row", "words", F.explode(sizes).alias("size")).filter("size(words) >= size")
               .selectExpr("row", "size", "posexplode(transform(sequence(1, size(words) - size + 1), i -> concat_ws(' ', slice(words, i, size)))) as (start, window)"))
     hits = starts.join(windows, ["size", "window"])
     covered = hits.select("row", F.explode(F.expr("sequence(start, start + size - 1)")).alias("at")).groupBy("row").agg(F.countDistinct("at").alias("n_hit"))
     found = hits.groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items"))
     return (rows.select("row", "doc_id", F.size("words").cast("long").alias("n_words")).join(covered, "row", "left").join(found, "row", "left")
-            .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+            .select(*([F.col("row").alias(row)] if row else []), "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
                     F.sha2(F.coalesce(F.concat_ws(",", "items"), F.lit("")), 256).alias("items_sha256")))
 
@@ -143,8 +146,9 @@ def _collect(benchmark: DataFrame, length: int) -> TestNgrams:
 def clean_documents(docs: DataFrame, benchmark: DataFrame, length: int = WINDOW_WORDS, most_bytes: int = MOST_BROADCAST_BYTES) -> DataFrame:
     """The documents, all columns, without those that hold a benchmark window."""
     if (benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > most_bytes:
-        dirty = hits_by_join(docs, benchmark, length).filter("n_hit > 0").select("doc_id").distinct()
-        return docs.join(dirty, "doc_id", "left_anti")
+        rows, row = numbered(docs, "decontam-input")
+        dirty = hits_by_join(rows, benchmark, length, row).filter("n_hit > 0").select(row)
+        return rows.join(dirty, row, "left_anti").select(*docs.columns)
     grams = docs.sparkSession.sparkContext.broadcast(_collect(benchmark, length))
 
     def run(batches):

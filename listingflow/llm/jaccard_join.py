@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_blocks, mix, shuffle_partitions, squeeze, squeeze_sorted, stage, stage_and_release, table, unsqueeze, unsqueeze_sorted, window_hashes, word_hashes, U64
+from .common import in_blocks, mix, numbered, shuffle_partitions, squeeze, squeeze_sorted, stage, stage_and_release, table, unsqueeze, unsqueeze_sorted, window_hashes, word_hashes, U64
 from .components import components
 
 SHINGLE_WORDS, SIMILARITY = 5, 80
@@ -405,9 +405,12 @@ def query(spark, sf_dir):
 
 
 def pipeline_stage(spark, docs, sf_dir):
-    """Of each group of near duplicates the document with the smallest id stays."""
-    found = stage(link_documents(docs), "near-duplicates")
-    return docs.join(found.filter("doc_id != component_id").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near duplicates one document stays, with the smallest id (a null id is the last)."""
+    rows, row = numbered(docs, "jaccard-input")
+    found = stage(link_documents(rows, id=row).select(F.col("doc_id").alias(row), "component_id"), "near-duplicates")
+    best = (found.join(rows.select(row, "doc_id"), row).groupBy("component_id")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row)).alias("best")).select(F.col(f"best.{row}").alias(row)))
+    return rows.join(found.select(row).join(best, row, "left_anti"), row, "left_anti").select(*docs.columns)
 
 
 ORACLE = r"""

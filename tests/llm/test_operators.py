@@ -290,7 +290,32 @@ def test_decontamination(spark, docs, rows, no_docs):
     assert not any(r.contaminated for r in decontam.mark_benchmark(docs, items.limit(0)).collect())
 
 
+def test_clean_documents_judges_each_row_whatever_its_id(spark):
+    rows = [(None, "so zebra goes"), (None, "plain words"), (5, "a zebra"), (5, "no stripes"), (6, "nothing here"), (6, "nothing here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    items = spark.createDataFrame([(i, t) for i, t in ITEMS], "item_id long, text string")
+    want = [(d, t) for d, t in rows if "zebra" not in t]
+    for most in (1, decontam.MOST_BROADCAST_BYTES):
+        clean = decontam.clean_documents(docs, items, most_bytes=most)
+        assert clean.columns == docs.columns
+        same(clean.collect(), want)
+
+
+def test_clean_documents_by_join_on_awkward_rows(docs, spark):
+    items = spark.createDataFrame([(i, t) for i, t in ITEMS], "item_id long, text string")
+    same(decontam.clean_documents(docs, items, most_bytes=1).collect(), decontam.clean_documents(docs, items).collect())
+
+
 # ------------------------------------------------------------------ 6 Jaccard join
+def test_near_duplicates_stage_keeps_one_row_of_each_group(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (2, a + " end"), (2, b), (None, a), (None, None), (None, ""), (4, c), (4, c), (None, b + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = jaccard_join.pipeline_stage(spark, docs, SF)
+    assert out.columns == docs.columns
+    same(out.collect(), [(1, a), (2, b), (None, None), (None, ""), (4, c)])
+
+
 @pytest.mark.parametrize("size, similarity", [(4, 85), (5, 80), (2, 60)])
 def test_jaccard_join(spark, docs, rows, size, similarity):
     want = ref.component_ids([(d, t) for d, t, *_ in rows], size, similarity)
