@@ -39,8 +39,6 @@ from .tokens import encoder
 
 SEQUENCE_TOKENS = 4096
 END_ID = 2
-#: Queues of their own; the documents of all further (smaller) sources wait in one more queue.
-MOST_QUEUES = 1000
 
 
 class Schedule:
@@ -148,9 +146,10 @@ def tokenise(path: str, end_id: int):
     return run
 
 
-def cut(schedule: Schedule):
+def cut(shared):
     """Task function: placed documents -> pieces."""
     def run(batches):
+        schedule = shared.value
         for batch in batches:
             rows, values = [], [[], [], [], [], []]
             starts, lengths, crcs, sequences, offsets = values
@@ -185,21 +184,18 @@ def pack(docs: DataFrame, path: str, weights: dict | None = None, size: int = SE
     tokens = stage(docs.mapInArrow(tokenise(path, end_id), "task long, source string, "
                                    f"doc_id {kind}, position long, doc_tokens long, width int, ids binary"), "packing-ids")
     sums = tokens.groupBy("task", "source").agg(F.sum("doc_tokens").alias("n"))
-    largest = sums.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "source").limit(MOST_QUEUES).collect()
-    whole = tokens.agg(F.sum("doc_tokens")).first()[0] or 0
-    names = sorted((r["source"] for r in largest), key=lambda s: (s is None, s))
-    own = {r["source"]: r["n"] for r in largest}
-    totals = [own[s] for s in names] + [whole - sum(own.values())]
-    schedule = Schedule(totals, weights and [int(weights.get(s, 0)) for s in names] + [0], size)
+    own = {r["source"]: r["n"] for r in sums.groupBy("source").agg(F.sum("n").alias("n")).collect()}  # a row per source
+    names = sorted(own, key=lambda s: (s is None, s))
+    schedule = Schedule([own[s] for s in names], weights and [int(weights.get(s, 0)) for s in names], size)
     queues = tokens.sparkSession.createDataFrame([(s, i) for i, s in enumerate(names)], "name string, number int")
-    first = (sums.join(F.broadcast(queues), sums["source"].eqNullSafe(queues["name"]), "left")
-             .select("task", F.col("source").alias("name"), F.coalesce("number", F.lit(len(names))).alias("queue"), "n")
-             .withColumn("earlier", F.sum("n").over(Window.partitionBy("queue").orderBy("task", "name")) - F.col("n")))
+    first = (sums.join(queues, sums["source"].eqNullSafe(queues["name"]))
+             .select("task", "name", F.col("number").alias("queue"), "n")
+             .withColumn("earlier", F.sum("n").over(Window.partitionBy("queue").orderBy("task")) - F.col("n")))
     first = stage(first, "packing-first")  # its size is known when the join is planned
     placed = (tokens.join(first.select(F.col("task").alias("of"), "name", "queue", "earlier"),
                           (F.col("task") == F.col("of")) & F.col("source").eqNullSafe(F.col("name")))
               .select("doc_id", "source", "queue", (F.col("earlier") + F.col("position")).alias("first"), "doc_tokens", "width", "ids"))
-    return placed.mapInArrow(cut(schedule), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
+    return placed.mapInArrow(cut(tokens.sparkSession.sparkContext.broadcast(schedule)), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                                             "sequence_id long, offset long, source string")
 
 

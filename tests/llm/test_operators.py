@@ -168,6 +168,14 @@ def test_packing(spark, docs, rows, no_docs):
     assert packing.pack(no_docs, WORDS).count() == 0
 
 
+def test_every_source_is_a_queue_of_its_own(spark):
+    rows = [(i, "one two three", f"s{i:04d}") for i in range(1050)] + [(1050, "a", "zz")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = packing.pack(docs, WORDS, weights={"zz": 1, "s0000": 1}, size=64).collect()
+    assert sum(r.length for r in got if r.source == "zz") == max(r.doc_tokens for r in got if r.source == "zz")
+    assert {r.sequence_id for r in got if r.source in ("zz", "s0000")} == {0}  # the smallest source has its target too
+
+
 def test_schedule_carries_deficits():
     totals = [100_000, 3, 41_234, 999]
     s = packing.Schedule(totals, size=512)
