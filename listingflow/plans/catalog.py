@@ -271,7 +271,9 @@ def q_total_count(spark, sf_dir):
 @query("union_sources")
 def q_union_sources(spark, sf_dir):
     docs = _docs(spark, sf_dir, ("doc_id", "lang", "source"))
-    parts = [docs.filter(F.col("lang") == lang) for lang in ("en", "de", "fr", "es")]
+    langs = ("en", "de", "fr", "es")
+    parts = [docs.filter(F.col("lang") == lang) for lang in langs]
+    parts.append(docs.filter(F.col("lang").isNull() | ~F.col("lang").isin(*langs)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

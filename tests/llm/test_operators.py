@@ -528,6 +528,13 @@ def test_remove_repeats_keeps_rows_and_columns(spark, docs, rows):
     assert got[11].text != next(r for r in rows if r[0] == 11)[1] and got[11].words == "x"
 
 
+def test_union_sources_keeps_every_language(spark, tmp_path):
+    from listingflow.plans.catalog import QUERIES
+    rows = [(1, "en", "a"), (2, "it", "a"), (3, None, "b"), (4, "es", None)]
+    spark.createDataFrame(rows, "doc_id long, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    same(QUERIES["union_sources"](spark, str(tmp_path)).collect(), rows)
+
+
 # ------------------------------------------------------------------ pipeline
 def test_pipeline(spark):
     import corpus_pipeline
