@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import brown, decontam, jaccard_join, packing, quality, sharding, substring, token_counts, warc, wavelet
+from . import brown, decontam, jaccard_join, packing, quality, sharding, substring, token_counts, warc, wavelet, whitening
 
 QUERIES = {
     "op1_warc_segments": warc.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_hash_tree_sharding": sharding.query,
     "op9_wavelet_ids": wavelet.query,
     "op10_repeated_substrings": substring.query,
+    "op13_choleskyqr_whitening": whitening.query,
 }
 
 #: Tokenizers, trained models and file formats of our own have no SQL form: those are tested
