@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import brown, decontam, jaccard_join, packing, pii, quality, sharding, substring, token_counts, warc, wavelet, whitening
+from . import brown, decontam, jaccard_join, lexical, packing, pii, quality, sharding, substring, token_counts, warc, wavelet, whitening
 
 QUERIES = {
     "op1_warc_segments": warc.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_hash_tree_sharding": sharding.query,
     "op9_wavelet_ids": wavelet.query,
     "op10_repeated_substrings": substring.query,
+    "op11_geometric_blocks": lexical.query,
     "op12_bilstm_crf_pii": pii.query,
     "op13_choleskyqr_whitening": whitening.query,
 }
@@ -26,4 +27,5 @@ ORACLES = {
     "op5_benchmark_decontamination": decontam.ORACLE,
     "op6_parity_sketch_join": jaccard_join.ORACLE,
     "op10_repeated_substrings": substring.ORACLE,
+    "op11_geometric_blocks": lexical.ORACLE,
 }
