@@ -5,12 +5,15 @@ counts every document's terms, and Spark sums what the weights need (documents,
 per term).  ``build_index`` cuts the documents into shards; within a shard every term's posting
 list is cut into blocks of documents that lie close together (each posting goes to the nearest of
 evenly spaced documents of the list, by a random projection of the weighed terms), and a block
-keeps the coordinatewise maximum of its documents' impacts.  Index rows are a table of their own.
-
-``search`` bounds a block's best score by the item's weights times that maximum.  Blocks are read
-best bound first until enough documents are known, then all others whose bound reaches the score
-that the last of the best needs; blocks below it are skipped.  Bounds are exact integers below 2^53,
-so no document is lost, ties included.  The needed score starts from a search of a few shards (the
+keeps the coordinatewise maximum of its documents' impacts (one byte each, rounded up).  Index rows
+are a table of their own.
+
+``search`` takes an item's terms from the heaviest on.  A block of a term's list is bounded by the
+weights times its maximum over that term and the lighter ones alone: its documents that hold a
+heavier term stand in that term's list, where the bound counts them in full.  Blocks are read best
+bound first until enough documents are known, then all others whose bound reaches the score
+that the last of the best needs; blocks below it are skipped.  Bounds and scores are exact integers
+below 2^53, and a bound is never below a score, so no document is lost, ties included.  The needed score starts from a search of a few shards (the
 best 50 of any part bound those of the whole from below), so most blocks of the others are skipped.
 
 Items are taken in groups of about ``MOST_ITEM_BYTES`` of text, by a hash of their row; a group's
@@ -42,7 +45,9 @@ BEST = 50
 #: Items of one group hold about this much text.
 MOST_ITEM_BYTES = 256 << 10
 #: Documents of a shard, as many as fit a matrix of that size with a column per term.
-SHARD_DOCUMENTS, SHARD_BYTES = 4096, 64 << 20
+SHARD_DOCUMENTS, SHARD_BYTES = 4096, 32 << 20
+#: Impacts are below 10^6; a block's maximum is kept in 255 steps, rounded up, so that it still bounds.
+STEP = -(-1_000_000 // 255)
 #: Shards that one task builds, documents of a block on average, coordinates of the projection.
 TASK_SHARDS, BLOCK_DOCUMENTS, PROJECTION = 4, 48, 24
 #: Shards that the first needed scores come from.
@@ -112,6 +117,7 @@ class Shard:
         turn = np.random.default_rng(self.n_terms).normal(size=(self.n_terms, PROJECTION)).astype(np.float32)
         near = full @ (turn * weights[:, None].astype(np.float32))
         near /= np.maximum(np.linalg.norm(near, axis=1, keepdims=True), 1e-30)
+        full = np.ceil(full / STEP).astype(np.uint8)
         doc = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.lengths)
         order = np.argsort(self.term, kind="stable")
         edges = np.searchsorted(self.term[order], np.arange(self.n_terms + 1))
@@ -133,9 +139,9 @@ class Shard:
         self.members = np.concatenate(members) if members else np.zeros(0, np.int32)
         self.sizes = np.concatenate(sizes).astype(np.int32) if sizes else np.zeros(0, np.int32)
         self.block_terms = np.concatenate(terms) if terms else np.zeros(0, np.int32)
-        self.tops = np.concatenate(tops) if tops else np.zeros((0, self.n_terms), np.float32)
+        self.tops = np.concatenate(tops) if tops else np.zeros((0, self.n_terms), np.uint8)
 
-    FIELDS = (("ids", np.int64), ("term", np.int32), ("impact", np.float32), ("lengths", np.int32), ("members", np.int32), ("sizes", np.int32), ("block_terms", np.int32), ("tops", np.float32))
+    FIELDS = (("ids", np.int64), ("term", np.int32), ("impact", np.float32), ("lengths", np.int32), ("members", np.int32), ("sizes", np.int32), ("block_terms", np.int32), ("tops", np.uint8))
 
     def pack(self) -> dict[str, bytes]:
         return {name: squeeze(np.ascontiguousarray(getattr(self, name), kind)) for name, kind in self.FIELDS}
@@ -194,10 +200,11 @@ def build_index(rows: DataFrame, weights: np.ndarray, n_docs: int, n_words: int)
 
 # ------------------------------------------------------------------ search
 class Query:
-    """An item's terms and weights, and the score that a document needs."""
+    """An item's terms from the heaviest on, their weights, and the score that a document needs."""
 
     def __init__(self, number: int, terms: np.ndarray, weights: np.ndarray, needed: int = 1):
-        self.number, self.terms, self.weights, self.needed = number, terms, weights.astype(np.float64), needed
+        order = np.argsort(-weights, kind="stable")
+        self.number, self.terms, self.weights, self.needed = number, terms[order], weights[order].astype(np.float64), needed
 
 
 def best_of(scores: np.ndarray, ids: np.ndarray, most: int) -> np.ndarray:
@@ -208,7 +215,10 @@ def best_of(scores: np.ndarray, ids: np.ndarray, most: int) -> np.ndarray:
 def search_shard(shard: Shard, full: np.ndarray, query: Query, known: tuple[np.ndarray, np.ndarray], most: int) -> tuple[tuple[np.ndarray, np.ndarray], int]:
     """The item's best ``(scores, ids)`` among those known and the shard's; and how many blocks were read."""
     mine = np.flatnonzero(np.isin(shard.block_terms, query.terms))
-    bounds = shard.tops[np.ix_(mine, query.terms)].astype(np.float64) @ query.weights
+    place = np.zeros(shard.n_terms, np.int64)
+    place[query.terms] = np.arange(len(query.terms))
+    most_each = shard.tops[np.ix_(mine, query.terms)] * (query.weights * STEP)
+    bounds = np.cumsum(most_each[:, ::-1], axis=1)[np.arange(len(mine)), len(query.terms) - 1 - place[shard.block_terms[mine]]]
     ends = np.cumsum(shard.sizes)
     scores, ids = known
     needed = max(query.needed, scores[-1] if len(scores) == most else 0)

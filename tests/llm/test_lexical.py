@@ -85,7 +85,8 @@ def test_blocks_cover_every_list_and_bound_every_document():
         listed = np.concatenate([shard.members[ends[b] - shard.sizes[b]:ends[b]] for b in blocks] or [np.zeros(0, int)])
         assert sorted(listed) == (np.flatnonzero(full[:, t]).tolist() if weights[t] else [])
         for b in blocks:
-            assert (shard.tops[b] == full[shard.members[ends[b] - shard.sizes[b]:ends[b]]].max(axis=0)).all()
+            top = full[shard.members[ends[b] - shard.sizes[b]:ends[b]]].max(axis=0).astype(np.int64)
+            assert (shard.tops[b] == -(-top // lexical.STEP)).all()
     again = lexical.Shard.unpack(shard.pack(), shard.n_terms)
     assert all((getattr(again, f) == getattr(shard, f)).all() for f, _ in lexical.Shard.FIELDS)
 
@@ -104,7 +105,7 @@ def test_search_is_exact_and_skips_blocks():
             (got, ids), blocks = lexical.search_shard(shard, full, lexical.Query(number, terms, weights[terms], needed), (np.zeros(0), np.zeros(0, np.int64)), 10)
             assert [(-int(s), i) for s, i in zip(got, ids.tolist())] == want
         read, there = read + blocks, there + int(np.isin(shard.block_terms, terms).sum())
-    assert read < 0.75 * there
+    assert read < 0.5 * there
 
 
 def test_near_documents_share_blocks():
@@ -116,4 +117,4 @@ def test_near_documents_share_blocks():
     for b in range(len(shard.sizes)):
         listed = np.flatnonzero(full[:, shard.block_terms[b]])
         by_chance.append(full[rng.choice(listed, shard.sizes[b], replace=False)].max(axis=0).astype(bool).sum())
-    assert alike < 0.9 * np.mean(by_chance) and ends[-1] == len(shard.members)
+    assert alike < 0.95 * np.mean(by_chance) and ends[-1] == len(shard.members)
