@@ -2,18 +2,18 @@
 
 The documents are weighed for the terms that the items hold (``vectors``): one pass over the texts
 counts every document's terms, and Spark sums what the weights need (documents, terms, documents
-per term).  ``build_index`` cuts the documents into shards; within a shard every term's posting
-list is cut into blocks of documents that lie close together (each posting goes to the nearest of
+per term).  Every task cuts its documents into shards; within a shard every term's posting list
+is cut into blocks of documents that lie close together (each posting goes to the nearest of
 evenly spaced documents of the list, by a random projection of the weighed terms), and a block
-keeps the coordinatewise maximum of its documents' impacts (one byte each, rounded up).  Index rows
-are a table of their own.
+keeps the coordinatewise maximum of its documents' impacts (one byte each, rounded up).  A shard's
+blocks stay in its task's memory until all items are answered.
 
 ``search`` takes an item's terms from the heaviest on.  A block of a term's list is bounded by the
 weights times its maximum over that term and the lighter ones alone: its documents that hold a
 heavier term stand in that term's list, where the bound counts them in full.  Blocks are read best
 bound first until enough documents are known, then all others whose bound reaches the score
 that the last of the best needs; blocks below it are skipped.  Bounds and scores are exact integers
-below 2^53, and a bound is never below a score, so no document is lost, ties included.  The needed score starts from a search of a few shards (the
+below 2^53, and a bound is never below a score, so no document is lost, ties included.  The needed score starts from a search of a few documents (the
 best 50 of any part bound those of the whole from below), so most blocks of the others are skipped.
 
 Items are taken in groups of about ``MOST_ITEM_BYTES`` of text, by a hash of their row; a group's
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from listingflow.session import ship_package
 
-from .common import in_blocks, partition_id, ragged, squeeze, stage, table, unsqueeze
+from .common import in_blocks, ragged, stage, table
 from .decontam import words_of
 
 BEST = 50
@@ -49,9 +49,9 @@ SHARD_DOCUMENTS, SHARD_BYTES = 4096, 32 << 20
 #: Impacts are below 10^6; a block's maximum is kept in 255 steps, rounded up, so that it still bounds.
 STEP = -(-1_000_000 // 255)
 #: Shards that one task builds, documents of a block on average, coordinates of the projection.
-TASK_SHARDS, BLOCK_DOCUMENTS, PROJECTION = 4, 48, 24
-#: Shards that the first needed scores come from.
-FIRST_SHARDS = 4
+TASK_SHARDS, BLOCK_DOCUMENTS, PROJECTION = 4, 32, 24
+#: About so many documents give the first needed scores.
+FIRST_DOCUMENTS = 8192
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -141,61 +141,32 @@ class Shard:
         self.block_terms = np.concatenate(terms) if terms else np.zeros(0, np.int32)
         self.tops = np.concatenate(tops) if tops else np.zeros((0, self.n_terms), np.uint8)
 
-    FIELDS = (("ids", np.int64), ("term", np.int32), ("impact", np.float32), ("lengths", np.int32), ("members", np.int32), ("sizes", np.int32), ("block_terms", np.int32), ("tops", np.uint8))
 
-    def pack(self) -> dict[str, bytes]:
-        return {name: squeeze(np.ascontiguousarray(getattr(self, name), kind)) for name, kind in self.FIELDS}
-
-    @classmethod
-    def unpack(cls, row: dict, n_terms: int) -> Shard:
-        out = cls.__new__(cls)
-        out.n_terms = n_terms
-        for name, kind in cls.FIELDS:
-            setattr(out, name, unsqueeze(row[name], kind))
-        out.tops = out.tops.reshape(-1, n_terms)
-        return out
-
-
-INDEX_SCHEMA = "shard long, documents int, " + ", ".join(f"{name} binary" for name, _ in Shard.FIELDS)
-
-
-def build_index(rows: DataFrame, weights: np.ndarray, n_docs: int, n_words: int) -> DataFrame:
-    """The index table over ``vectors``' rows: one row per shard, staged."""
-    n_terms = len(weights)
-    most = max(64, min(SHARD_DOCUMENTS, SHARD_BYTES // (4 * max(1, n_terms))))
-    # neighbours share a task, so that shards are full however the rows are cut; nothing is shuffled
-    tasks = max(1, -(-n_docs // (most * TASK_SHARDS)))
-
-    def run(batches):
-        number = partition_id() << 32
-        parts: list = []
-
-        def close():
-            nonlocal number, parts
-            ids, n, term, tf, lengths = (np.concatenate([p[i] for p in parts]) for i in range(5))
-            m = 50 + (50 * n * n_docs) // n_words
-            impact = (1_000_000_000 * tf) // (1000 * tf + 20 * np.repeat(m, lengths))
-            shard = Shard(ids, term, impact.astype(np.float32), lengths, n_terms)
-            shard.cluster(weights)
-            out = pa.RecordBatch.from_pylist([{"shard": number, "documents": len(ids), **shard.pack()}], schema=pa.schema(
-                [("shard", pa.int64()), ("documents", pa.int32()), *((name, pa.binary()) for name, _ in Shard.FIELDS)]))
-            number, parts = number + 1, []
-            return out
-        held = 0
-        for batch in batches:
-            begin = 0
-            while begin < batch.num_rows:
-                part = batch.slice(begin, most - held)
-                lengths = part.column("term").value_lengths().to_numpy(zero_copy_only=False)
-                parts.append((part.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False), part.column("n").to_numpy(), part.column("term").flatten().to_numpy(),
-                              part.column("tf").flatten().to_numpy().astype(np.int64), lengths))
-                begin, held = begin + part.num_rows, held + part.num_rows
-                if held == most:
-                    yield close()
-                    held = 0
-        if held:
-            yield close()
-    return stage(rows.coalesce(tasks).mapInArrow(run, INDEX_SCHEMA), "lexical-index")
+def shards_of(batches, weights: np.ndarray, n_docs: int, n_words: int, most: int) -> Iterator[Shard]:
+    """A task's ``vectors`` rows as indexed shards of at most ``most`` documents."""
+    parts: list = []
+    held = 0
+
+    def close():
+        ids, n, term, tf, lengths = (np.concatenate([p[i] for p in parts]) for i in range(5))
+        m = 50 + (50 * n * n_docs) // n_words
+        impact = (1_000_000_000 * tf) // (1000 * tf + 20 * np.repeat(m, lengths))
+        shard = Shard(ids, term, impact.astype(np.float32), lengths, len(weights))
+        shard.cluster(weights)
+        return shard
+    for batch in batches:
+        begin = 0
+        while begin < batch.num_rows:
+            part = batch.slice(begin, most - held)
+            lengths = part.column("term").value_lengths().to_numpy(zero_copy_only=False)
+            parts.append((part.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False), part.column("n").to_numpy(), part.column("term").flatten().to_numpy(),
+                          part.column("tf").flatten().to_numpy().astype(np.int64), lengths))
+            begin, held = begin + part.num_rows, held + part.num_rows
+            if held == most:
+                yield close()
+                parts, held = [], 0
+    if held:
+        yield close()
 
 
 # ------------------------------------------------------------------ search
@@ -246,25 +217,29 @@ def search_shard(shard: Shard, full: np.ndarray, query: Query, known: tuple[np.n
     return (scores, ids), read
 
 
-def search(index: DataFrame, queries: list[Query], n_terms: int, most: int = BEST) -> DataFrame:
-    """``item, doc_id, score, blocks_read``: each task's best documents that reach what the queries need."""
-    shared = index.sparkSession.sparkContext.broadcast(queries)
+def search(rows: DataFrame, queries: list[Query], weights: np.ndarray, n_docs: int, n_words: int, most: int = BEST, n_rows: int | None = None) -> DataFrame:
+    """``item, doc_id, score``: each task's best documents that reach what the queries need.
+
+    A task indexes its ``vectors`` rows (about ``n_rows`` of the ``n_docs``) shard by shard and
+    answers all queries on each.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((queries, weights))
+    size = max(64, min(SHARD_DOCUMENTS, SHARD_BYTES // (4 * max(1, len(weights)))))
+    # neighbours share a task, so that shards are full however the rows are cut; nothing is shuffled
+    tasks = max(1, -(-(n_rows or n_docs) // (size * TASK_SHARDS)))
 
     def run(batches):
-        best = {q.number: (np.zeros(0), np.zeros(0, np.int64)) for q in shared.value}
-        read = 0
-        for batch in batches:
-            for i in range(batch.num_rows):
-                shard = Shard.unpack(batch.slice(i, 1).to_pylist()[0], n_terms)
-                full = shard.matrix()
-                for q in shared.value:
-                    best[q.number], blocks = search_shard(shard, full, q, best[q.number], most)
-                    read += blocks
+        queries, weights = shared.value
+        best = {q.number: (np.zeros(0), np.zeros(0, np.int64)) for q in queries}
+        for shard in shards_of(batches, weights, n_docs, n_words, size):
+            full = shard.matrix()
+            for q in queries:
+                best[q.number], _ = search_shard(shard, full, q, best[q.number], most)
         for number, (scores, ids) in best.items():
             if len(scores):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), number, np.int64)), pa.array(ids, mask=ids == NO_ID),
-                                                  pa.array(scores.astype(np.int64)), pa.array(np.full(len(ids), read, np.int64))], names=["item", "doc_id", "score", "blocks_read"])
-    return index.mapInArrow(run, "item long, doc_id long, score long, blocks_read long")
+                                                  pa.array(scores.astype(np.int64))], names=["item", "doc_id", "score"])
+    return rows.coalesce(tasks).mapInArrow(run, "item long, doc_id long, score long")
 
 
 def ranked(found: DataFrame, most: int) -> DataFrame:
@@ -303,7 +278,6 @@ def rank_documents(docs: DataFrame, items: DataFrame, most: int = BEST, most_ite
         if not n_docs:
             break
         weights = term_weights(term_documents(rows, len(terms)), n_docs)
-        index = build_index(rows, weights, n_docs, n_words)
         queries = []
         for number, (_, text) in enumerate(group):
             mine = np.array(sorted({terms[w] for w in words_of(text)}), np.int64)
@@ -312,12 +286,12 @@ def rank_documents(docs: DataFrame, items: DataFrame, most: int = BEST, most_ite
                 queries.append(Query(number, mine, weights[mine]))
         if not queries:
             continue
-        shards = [r["shard"] for r in index.select("shard").orderBy(F.xxhash64("shard")).limit(FIRST_SHARDS).collect()]
-        first = ranked(search(index.filter(F.col("shard").isin(shards)), queries, len(terms), most), most)
+        part = rows.filter(F.pmod(F.xxhash64("doc_id", "n"), F.lit(-(-n_docs // FIRST_DOCUMENTS))) == 0)
+        first = ranked(search(part, queries, weights, n_docs, n_words, most, min(n_docs, FIRST_DOCUMENTS)), most)
         needed = {r["item"]: r["score"] for r in first.filter(F.col("rank") == most).select("item", "score").collect()}
         for q in queries:
             q.needed = max(1, needed.get(q.number, 1))
-        found = ranked(search(index, queries, len(terms), most), most)
+        found = ranked(search(rows, queries, weights, n_docs, n_words, most), most)
         names = spark.createDataFrame([(i, item) for i, (item, _) in enumerate(group)], f"item long, item_id {kind.simpleString()}")
         part = stage(found.join(F.broadcast(names), "item").select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score"), "lexical-ranked")
         out = part if out is None else out.union(part)
