@@ -50,8 +50,8 @@ SHARD_DOCUMENTS, SHARD_BYTES = 4096, 32 << 20
 STEP = -(-1_000_000 // 255)
 #: Shards that one task builds, documents of a block on average, coordinates of the projection.
 TASK_SHARDS, BLOCK_DOCUMENTS, PROJECTION = 4, 32, 24
-#: About so many documents give the first needed scores.
-FIRST_DOCUMENTS = 8192
+#: About so many documents, in so many tasks, give the first needed scores.
+FIRST_DOCUMENTS, FIRST_TASKS = 8192, 4
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -217,16 +217,17 @@ def search_shard(shard: Shard, full: np.ndarray, query: Query, known: tuple[np.n
     return (scores, ids), read
 
 
-def search(rows: DataFrame, queries: list[Query], weights: np.ndarray, n_docs: int, n_words: int, most: int = BEST, n_rows: int | None = None) -> DataFrame:
+def shard_size(n_terms: int) -> int:
+    return max(64, min(SHARD_DOCUMENTS, SHARD_BYTES // (4 * max(1, n_terms))))
+
+
+def search(rows: DataFrame, queries: list[Query], weights: np.ndarray, n_docs: int, n_words: int, most: int = BEST) -> DataFrame:
     """``item, doc_id, score``: each task's best documents that reach what the queries need.
 
-    A task indexes its ``vectors`` rows (about ``n_rows`` of the ``n_docs``) shard by shard and
-    answers all queries on each.
+    A task indexes its ``vectors`` rows shard by shard and answers all queries on each.
     """
     shared = rows.sparkSession.sparkContext.broadcast((queries, weights))
-    size = max(64, min(SHARD_DOCUMENTS, SHARD_BYTES // (4 * max(1, len(weights)))))
-    # neighbours share a task, so that shards are full however the rows are cut; nothing is shuffled
-    tasks = max(1, -(-(n_rows or n_docs) // (size * TASK_SHARDS)))
+    size = shard_size(len(weights))
 
     def run(batches):
         queries, weights = shared.value
@@ -239,7 +240,7 @@ def search(rows: DataFrame, queries: list[Query], weights: np.ndarray, n_docs: i
             if len(scores):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), number, np.int64)), pa.array(ids, mask=ids == NO_ID),
                                                   pa.array(scores.astype(np.int64))], names=["item", "doc_id", "score"])
-    return rows.coalesce(tasks).mapInArrow(run, "item long, doc_id long, score long")
+    return rows.mapInArrow(run, "item long, doc_id long, score long")
 
 
 def ranked(found: DataFrame, most: int) -> DataFrame:
@@ -286,12 +287,14 @@ def rank_documents(docs: DataFrame, items: DataFrame, most: int = BEST, most_ite
                 queries.append(Query(number, mine, weights[mine]))
         if not queries:
             continue
-        part = rows.filter(F.pmod(F.xxhash64("doc_id", "n"), F.lit(-(-n_docs // FIRST_DOCUMENTS))) == 0)
-        first = ranked(search(part, queries, weights, n_docs, n_words, most, min(n_docs, FIRST_DOCUMENTS)), most)
+        part = rows.filter(F.pmod(F.xxhash64("doc_id", "n"), F.lit(-(-n_docs // FIRST_DOCUMENTS))) == 0).repartition(FIRST_TASKS)
+        first = ranked(search(part, queries, weights, n_docs, n_words, most), most)
         needed = {r["item"]: r["score"] for r in first.filter(F.col("rank") == most).select("item", "score").collect()}
         for q in queries:
             q.needed = max(1, needed.get(q.number, 1))
-        found = ranked(search(rows, queries, weights, n_docs, n_words, most), most)
+        # neighbours share a task, so that shards are full however the rows are cut; nothing is shuffled
+        tasks = max(1, -(-n_docs // (shard_size(len(terms)) * TASK_SHARDS)))
+        found = ranked(search(rows.coalesce(tasks), queries, weights, n_docs, n_words, most), most)
         names = spark.createDataFrame([(i, item) for i, (item, _) in enumerate(group)], f"item long, item_id {kind.simpleString()}")
         part = stage(found.join(F.broadcast(names), "item").select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score"), "lexical-ranked")
         out = part if out is None else out.union(part)
