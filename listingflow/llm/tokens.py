@@ -10,7 +10,10 @@ chunk's ids and builds a text's ids by concatenation.  Safe cuts:
   and an ASCII punctuation mark (not the other way round: ``'s`` is one piece).
 
 A text that holds one of the tokenizer's special strings, or (``byte``) white space beyond ASCII,
-is one chunk of its own: the library then sees it whole.
+is one chunk of its own: the library then sees it whole.  Chunks of ``word`` tokenizers share their
+ids whatever their case, but A-Z are lowered ahead of the library only where that cannot matter: not
+where a letter could combine with what follows (it composes accents first), and not where lowering
+would spell a special string.
 """
 
 from __future__ import annotations
@@ -30,6 +33,9 @@ _CHUNKS = re.compile(rb" ?" + _RUN + rb"|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
 #: White space beyond ASCII, in UTF-8 (fixed values of the Unicode property White_Space).
 _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
+#: A capital before anything from U+0300 on, where combining marks begin.
+_CAPITAL_MARKED = re.compile(rb"[A-Z][\xcc-\xff]")
+
 
 class Encoder:
     """Ids of byte-string texts, equal to ``encode(text, add_special_tokens=False).ids``."""
@@ -53,7 +59,11 @@ class Encoder:
     def chunks(self, text: bytes) -> list[bytes]:
         if any(s in text for s in self.special) or self.keeps_space and not text.isascii() and _WIDE_SPACE.search(text):
             return [text]
-        return _CHUNKS.findall(text) if self.keeps_space else _WORDS.findall(text.lower())
+        if self.keeps_space:
+            return _CHUNKS.findall(text)
+        low = text.lower()
+        exact = any(s in low for s in self.special) or not text.isascii() and _CAPITAL_MARKED.search(text)
+        return _WORDS.findall(text if exact else low)
 
     def pieces(self, words: list[bytes]) -> list[list[int]]:
         """The library's ids of each chunk."""

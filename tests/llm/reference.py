@@ -33,7 +33,7 @@ def awkward_documents() -> list[tuple]:
         (9, "ONE two  three", "fr", "a", 9), (None, base, "en", "a", 1), (None, None, "en", None, 1), (10, prose(30) + " " + passage, "en", "a", 1),
         (11, passage + " " + prose(25), "en", "b", 1), (12, "w" * 5000, "en", "a", 1), (13, prose(4000), "en", "a", 1), (14, passage + " " + passage, "de", "a", 1),
         (15, "a  b   c \n\n d\t\te  <|endoftext|>  f", "en", "a", 1), (16, "tail  ", "en", "a", 1), (17, "  lead wide 　 x", "en", "a", 1),
-        (-5, prose(80), "en", "d", 1), (18, "same same same same same same same same same same", "en", "a", 1), (19, "\x1c \x85 a\x1fb\x00c", "en", "a", 1),
+        (-5, prose(80), "en", "d", 1), (18, "same same same same same same same same same same", "en", "a", 1), (61, "W\u030a H\u0331 中文<|ENDOFTEXT|> E\u0301 =\u0338", "en", "a", 1), (19, "\x1c \x85 a\x1fb\x00c", "en", "a", 1),
     ]
     for i in range(20, 60):
         words = base.split(" ")

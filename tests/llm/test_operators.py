@@ -61,6 +61,22 @@ def test_encoder_equals_the_library(path, rows, given):
     assert ids.tolist() == [i for w in want for i in w]
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_encoder_equals_the_library_on_20000_fuzzed_texts(path):
+    rng = random.Random(11)
+    pieces = ["W", "H", "a", "E", "The", "word", "9", ".", "'s", "=", "<|", "|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|endoftext|>", "<|STARTOFTEXT|>", "endoftext", " ", "  ", "\n", "\t", "\x00", "\x1c", "\x85",
+              "\u030a", "\u0331", "\u0301", "\u0327", "\u0338", "\u212a", "\u037e", "é", "E\u0301", "中文", "ß", "İ", "\u00a0", "\u3000", "\u200d", "😀", "ﬁ", "Å", "!!", "--", "_", "@"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 9))) for _ in range(20_000)]
+    library = Tokenizer.from_file(path)
+    encoder = tokens.Encoder(path)
+    for begin in range(0, len(texts), 2000):
+        part = texts[begin:begin + 2000]
+        ids, lengths = encoder.encode([t.encode() for t in part])
+        ids, ends = ids.tolist(), np.cumsum(lengths).tolist()
+        for text, a, b, want in zip(part, [0, *ends], ends, library.encode_batch(part, add_special_tokens=False)):
+            assert ids[a:b] == want.ids, repr(text)
+
+
 def test_sorted_numbers_round_trip():
     for n in (0, 1, 1000):
         a = np.sort(np.random.default_rng(1).integers(0, 1 << 63, n, dtype=np.uint64))
