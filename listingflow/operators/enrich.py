@@ -209,34 +209,101 @@ def merge_replies(listing: DataFrame, replies: DataFrame, as_of: str = "crawled_
 
 
 # ------------------------------------------------------------------ enricher hook (ENR-7, UDF-5)
-ENRICHER_SCHEMA = "batch_key string, text string"
+GUARDED_SCHEMA = "batch_hash string, batch_key string, text string, error string"
 
 Enricher = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
+def whole_frames(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same rows in frames that hold whole batches: the last batch of a frame, which the next
+    frame may continue, is carried over."""
+    carry = None
+    for pdf in frames:
+        pdf = pdf if carry is None else pd.concat([carry, pdf], ignore_index=True)
+        if not len(pdf):
+            continue
+        last = (pdf["batch_key"] == pdf["batch_key"].iloc[-1]).to_numpy()
+        first = 0 if last.all() else len(pdf) - int(last[::-1].argmin())
+        if first:
+            yield pdf.iloc[:first].reset_index(drop=True)
+        carry = pdf.iloc[first:]
+    if carry is not None:
+        yield carry.reset_index(drop=True)
+
+
+def guarded(enricher: Enricher) -> Enricher:
+    """ENR-6: ``enricher`` made safe per batch.  Frames of whole batches go to it; if it raises,
+    the replies it has given are kept and the frame's other batches are handed over one by one,
+    and a batch that raises again yields its error in place of a reply.  No batch ends the job."""
+    def replies(outs, hashes):
+        keys = outs["batch_key"]
+        return pd.DataFrame({"batch_hash": keys.map(hashes), "batch_key": keys, "text": outs["text"], "error": None}, dtype=object)
+
+    def fn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in whole_frames(frames):
+            hashes = dict(zip(pdf["batch_key"], pdf["batch_hash"]))
+            pdf = pdf.drop(columns="batch_hash")
+            done: set = set()
+            try:
+                for out in enricher(iter([pdf])):
+                    done.update(out["batch_key"])
+                    yield replies(out, hashes)
+                continue
+            except Exception:
+                rest = pdf[~pdf["batch_key"].isin(done)]
+            for key, part in rest.groupby("batch_key", sort=False):
+                try:
+                    outs = [replies(out, hashes) for out in enricher(iter([part.reset_index(drop=True)]))]
+                except Exception as e:
+                    outs = [pd.DataFrame({"batch_hash": [hashes[key]], "batch_key": [key], "text": [None], "error": [f"{type(e).__name__}: {e}"[:500]]}, dtype=object)]
+                yield from outs
+
+    return fn
+
+
+def batch_records(batched: DataFrame, group: str = "source", request_cols: Sequence[str] = ("title", "description"),
+                  fields: Sequence[str] = P.ENRICH_FIELDS) -> DataFrame:
+    """ENR-3 for an enricher of records: one row per batch, ``(batch_key, batch_hash,
+    batch_missing, records)``.  ``batch_missing`` holds the names that any record of the batch lacks,
+    in field order; ``batch_hash`` identifies what is asked, so an unchanged batch has the same one in
+    every run.  Groups hold at most one batch, so the collect is bounded."""
+    rows = batched.select(group, "batch", F.struct(
+        "pos", F.col("id").cast("string").alias("id"), missing_fields(batched, fields).alias("missing"),
+        *[F.col(c).cast("string").alias(c) for c in request_cols]).alias("r"))
+    g = rows.groupBy(group, "batch").agg(F.array_sort(F.collect_list("r")).alias("records"))
+    joint = F.array_distinct(F.flatten(F.col("records.missing")))
+    key = F.concat_ws("/", F.col(group), F.col("batch").cast("string"))
+    return g.select(key.alias("batch_key"), F.sha2(F.to_json(F.struct(F.col(group).alias("group"), "records")), 256).alias("batch_hash"),
+                    F.array_intersect(F.array(*[F.lit(f) for f in fields]), joint).alias("batch_missing"), "records")
+
+
+def ask(requests: DataFrame, enricher: Enricher) -> DataFrame:
+    """One guarded reply or error per batch of ``batch_records``: ``(batch_hash, batch_key, text, error)``.
+
+    The enricher sees rows ``batch_key, batch_missing, id, missing`` and the request columns; a
+    batch's rows follow each other, so they stay whole (``whole_batches``)."""
+    ship_package(requests.sparkSession)
+    names = [f for f in requests.schema["records"].dataType.elementType.names if f not in ("pos", "missing")]
+    rows = requests.select("batch_hash", "batch_key", F.array_join("batch_missing", ",").alias("batch_missing"), F.explode("records").alias("r"))
+    frames = rows.select("batch_hash", "batch_key", "batch_missing", F.array_join("r.missing", ",").alias("missing"), *[F.col("r." + n).alias(n) for n in names])
+    return frames.mapInPandas(guarded(enricher), GUARDED_SCHEMA)
+
+
 def enrich(listing: DataFrame, enricher: Enricher, group: str = "source",
            size: int = P.ENRICH_BATCH, as_of: str = "crawled_at",
            request_cols: Sequence[str] = ("title", "description"), row_key: str | None = None) -> DataFrame:
     """Run ``enricher`` over batches of records, then merge its replies.
 
     ``enricher`` is a ``mapInPandas`` function: it receives pandas frames with columns
-    ``batch_key, id, missing`` and ``request_cols`` and yields ``(batch_key, text)`` replies
-    whose text holds a JSON array of objects with ``id``.  Every record of a batch is sent with the
-    names of its own missing fields; an enricher answers only what is missing (``whole_batches``
-    gives it the batches whole).
+    ``batch_key, id, missing, batch_missing`` and ``request_cols`` and yields ``(batch_key, text)``
+    replies whose text holds a JSON array of objects with ``id``.  Every record is sent with the names
+    of its own missing fields and with those that its batch lacks together; an enricher answers only
+    what is missing.  A batch for which it raises passes through (``guarded``); ``reply_log`` keeps
+    replies over runs.
     """
-    ship_package(listing.sparkSession)
-    miss = listing.withColumn("_missing", missing_fields(listing))
-    batched = batch_ids(miss, group, ["link", "id"], size, row_key=row_key)   # checkpointed once
+    batched = batch_ids(listing, group, ["link", "id"], size, row_key=row_key)   # checkpointed once
     base = batched.select(*listing.columns)                       # the merge reuses those rows
-    req = batched.select(
-        F.concat_ws("/", F.col(group), F.col("batch").cast("string")).alias("batch_key"),
-        F.col("id").cast("string").alias("id"),
-        F.array_join("_missing", ",").alias("missing"),
-        *[F.col(c).cast("string").alias(c) for c in request_cols])
-    # keep each batch inside one task so the enricher sees whole batches
-    req = req.repartition("batch_key").sortWithinPartitions("batch_key", "id")
-    replies = req.mapInPandas(enricher, ENRICHER_SCHEMA)
+    replies = ask(batch_records(batched, group, request_cols), enricher)
     items = parse_replies(replies, "text", keep=["batch_key"])
     return merge_reply_items(base, items, ["batch_key", "pos"], as_of)
 

@@ -20,6 +20,7 @@ from ..operators import extract as EX
 from ..operators import frontier as FR
 from ..operators import listing as LS
 from ..operators import stats as S
+from ..operators import reply_log as RL
 from ..operators import store as ST
 from ..sources import registry as R
 from ..streaming import jobs as J
@@ -406,6 +407,40 @@ def q_enrich_hook(spark, sf_dir):
     return out.select("id", "type", "legal", "amenityLocation", "enriched")
 
 
+def _failing_enricher():
+    """The rule-based enricher, raising for every third batch of a source."""
+    answer = EN.rule_based_enricher()
+
+    def fn(frames):
+        for pdf in EN.whole_frames(frames):
+            for key, part in pdf.groupby("batch_key", sort=False):
+                if int(key.rsplit("/", 1)[1]) % 3 == 2:
+                    raise RuntimeError("no reply for " + key)
+                yield from answer(iter([part]))
+
+    return fn
+
+
+@query("enrich_partial_failure")
+def q_enrich_partial_failure(spark, sf_dir):
+    out = EN.enrich(_typed(spark, sf_dir), _failing_enricher())
+    return out.select("id", "type", "legal", "amenityLocation", "enriched")
+
+
+@query("enrich_resume")
+def q_enrich_resume(spark, sf_dir):
+    """A run in which every third batch fails, and a second over its log: what each batch was asked."""
+    log = J.run_dir(spark, "reply-log")
+    typed = _typed(spark, sf_dir)
+    first = RL.enrich_logged(typed, _failing_enricher(), log, waves=2)
+    first.write.parquet(log + "-first")
+    lost = RL.failures(stage(RL.read_log(spark, log), "log")).select("batch_key", F.lit(True).alias("failed_first"))
+    second = RL.enrich_logged(typed, EN.rule_based_enricher(), log, waves=2).agg(F.count_if("enriched").alias("enriched")).select("enriched")
+    asked = RL.read_log(spark, log).groupBy("batch_key").agg(F.count(F.lit(1)).alias("asked"), F.count("text").alias("answered"))
+    return (asked.join(lost, "batch_key", "left").crossJoin(F.broadcast(second))          # one row
+            .select("batch_key", "asked", "answered", F.coalesce("failed_first", F.lit(False)).alias("failed_first"), F.col("enriched").alias("listings_enriched")))
+
+
 # ------------------------------------------------------------------ rule-driven extraction
 
 RULED_SOURCES = ("example.com", "example.org")   # sources registered with the generic rules

@@ -471,6 +471,17 @@ SELECT id, {D.classify_type("concat_ws(' ', title, description)")} AS type,
        true AS enriched
 FROM typed""")
 
+oracle("enrich_partial_failure", _BATCHED + f"""
+SELECT id, CASE WHEN batch % 3 = 2 THEN type ELSE {D.classify_type("concat_ws(' ', title, description)")} END AS type,
+       CASE WHEN batch % 3 = 2 THEN legal ELSE {D.clean_text(D.legal_phrase('description'))} END AS legal,
+       CASE WHEN batch % 3 = 2 THEN amenityLocation ELSE {D.clean_text(D.amenities('description'))} END AS amenityLocation,
+       batch % 3 <> 2 AS enriched
+FROM b2""")
+oracle("enrich_resume", _BATCHED + """
+SELECT source || '/' || CAST(batch AS VARCHAR) AS batch_key, CAST(CASE WHEN batch % 3 = 2 THEN 2 ELSE 1 END AS BIGINT) AS asked,
+       CAST(1 AS BIGINT) AS answered, batch % 3 = 2 AS failed_first, (SELECT count(*) FROM b2) AS listings_enriched
+FROM (SELECT DISTINCT source, batch FROM b2) d""")
+
 # ------------------------------------------------------------------ rule-driven extraction
 
 
