@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import links as L
 from ..operators import crawl as CR
+from ..operators import delta_store as DS
 from ..operators import enrich as EN
 from ..operators import extract as EX
 from ..operators import frontier as FR
@@ -664,3 +665,32 @@ def q_stream_dedup_exact(spark, sf_dir):
         F.regexp_extract("link", "([0-9]+)$", 1).cast("int") < 10)
     out = J.dedup_links(stream, store, root)
     return J.read_all_batches(spark, out).select("link")
+
+
+@query("stream_dedup_filter")
+def q_stream_dedup_filter(spark, sf_dir):
+    """Links of ten files, each new one once, by the sketches kept beside the store."""
+    root = J.run_dir(spark, "dedup-filter")
+    path = root + "-input"
+    events = read_table(spark, sf_dir, "events", ["event_id", "ts", "props"])
+    events.withColumn("_part", F.pmod(F.xxhash64("event_id"), F.lit(10))).repartition(10, "_part").drop("_part").write.parquet(path)
+    links = _event_links(events).select("link")
+    known = links.filter(F.regexp_extract("link", "([0-9]+)$", 1).cast("int") < 10)
+    store = DS.DeltaStore(spark, root + "/links", links.schema, order_cols=())
+    store.append(known, "seed", 0)
+    J.dedup_into_store(_event_links(J.file_stream(spark, path, 1)), store, root, compact_every=4)
+    return store.read().join(known.distinct(), "link", "left_anti")
+
+
+@query("upsert_deltas")
+def q_upsert_deltas(spark, sf_dir):
+    """Ten batches into a delta store, the later five with newer rows of a third of the links; one batch comes twice."""
+    v = V.listing_view(spark, sf_dir).select("id", "link", "price", "source", "crawled_at").withColumn("id", F.col("id").cast("long"))
+    newer = (v.filter(F.col("id") % 3 == 0).withColumn("price", F.col("price") + 1).withColumn("crawled_at", F.col("crawled_at") + F.expr("interval 1 day"))
+             .withColumn("id", F.col("id") + 10_000_000))
+    store = DS.DeltaStore(spark, J.run_dir(spark, "upsert-deltas"), v.schema)
+    for batch in [*range(10), 9]:
+        part = (v if batch < 5 else newer).filter(F.pmod(F.xxhash64("link"), F.lit(5)) == batch % 5)
+        if store.append(part, "load", batch) and batch % 4 == 3:
+            store.compact(most_deltas=2, most_rows=2000)
+    return store.read()

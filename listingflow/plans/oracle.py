@@ -678,3 +678,10 @@ oracle("store_snapshot", with_views("v_listing") + """
 SELECT source, count(*) AS listings, sum(price) AS price,
        (SELECT count(*) FROM (SELECT link FROM v_listing GROUP BY link HAVING count(*) > 1) d) AS duplicate_links
 FROM v_listing GROUP BY source""")
+
+ORACLES["stream_dedup_filter"] = ORACLES["stream_dedup"]
+
+oracle("upsert_deltas", with_views("v_listing") + """
+SELECT CAST(id AS BIGINT) AS id, link, CASE WHEN id % 3 = 0 THEN price + 1 ELSE price END AS price, source,
+       CASE WHEN id % 3 = 0 THEN crawled_at + INTERVAL 1 DAY ELSE crawled_at END AS crawled_at
+FROM v_listing""")

@@ -24,8 +24,9 @@ from pyspark.sql import types as T
 from ..operators import enrich as EN
 from ..operators import extract as EX
 from ..operators import listing as LS
+from ..operators import manifest as M
 from ..operators import stats as S
-from ..operators import store as ST
+from ..operators.delta_store import DeltaStore
 from ..session import ensure_checkpoint_dir, path_exists
 
 
@@ -76,33 +77,40 @@ def ingest(spark: SparkSession, pages_path: str, rules: EX.RuleSet, source_col,
 
 
 # ---------------------------------------------------------------- STR-1/2 + ENR + SNK-3
+#: Micro-batches between two compactions of a delta store.
+COMPACT_EVERY = 8
+
+
+def listing_store(spark: SparkSession, root: str) -> DeltaStore:
+    """The listing table of a stream: one row per link."""
+    return DeltaStore(spark, root, LS.LISTING_SCHEMA, key="link", order_cols=("crawled_at",))
+
+
 def ingest_enrich_upsert(spark: SparkSession, pages_path: str, rules: EX.RuleSet, source_col, crawled_at,
-                         enricher, root: str, max_files_per_trigger: int | None = None) -> str:
+                         enricher, root: str, max_files_per_trigger: int | None = None, compact_every: int = COMPACT_EVERY) -> str:
     """The reference's main flow as a stream: each micro-batch of page snapshots is parsed,
     typed, enriched in batches (the end of a micro-batch is the final flush, STR-2) and upserted
-    by link into the listing store.  The store is cut by link hash: a batch reads and rewrites
-    only the buckets it touches, as ``store/batch=<id>/bucket=<b>``, and a bucket's newest folder
-    is its content (``current_store``).  A replayed batch rewrites the same folder."""
+    by link into the listing store, a log of deltas (``operators/delta_store``): a batch writes
+    its own rows and nothing else, once, however often it is replayed."""
     pages = (file_stream(spark, pages_path, max_files_per_trigger)
              .select("page_id", "url", "html").withColumn("source", source_col))
-    store = os.path.join(root, "store")
+    path = os.path.join(root, "store")
+    store = listing_store(spark, path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if M.applied(store.manifest(), "ingest", batch_id):
+            return                                               # replayed after its commit
         raw = EX.parse_detail_pages(batch, rules, phone=False).withColumn("crawled_at", crawled_at)
-        updates = (EN.enrich(LS.normalise(raw), enricher).drop("enriched")
-                   .withColumn("bucket", _bucket("link")).persist())
-        try:
-            prev = current_store(spark, store, batch_id)
-            if prev is None:
-                new = ST.latest_per_key(updates, "link", ["crawled_at"])
-            else:
-                new = ST.upsert(prev.filter(F.col("bucket").isin(_touched(updates))), updates, key="link")
-            new.write.mode("overwrite").partitionBy("bucket").parquet(os.path.join(store, f"batch={batch_id}"))
-        finally:
-            updates.unpersist()
+        if store.append(EN.enrich(LS.normalise(raw), enricher).drop("enriched"), "ingest", batch_id) and (batch_id + 1) % compact_every == 0:
+            store.compact()
 
     _run(pages.writeStream.foreachBatch(write).option("checkpointLocation", os.path.join(root, "_ckpt")))
-    return store
+    return path
+
+
+def current_store(spark: SparkSession, store: str) -> DataFrame:
+    """The rows of a listing store."""
+    return listing_store(spark, store).read()
 
 
 # ---------------------------------------------------------------- STR-3 dedup
@@ -147,6 +155,20 @@ def dedup_links(stream: DataFrame, store: DataFrame, root: str, key: str = "link
     return out
 
 
+def dedup_into_store(stream: DataFrame, store: DeltaStore, root: str, job: str = "dedup", compact_every: int = COMPACT_EVERY) -> None:
+    """STR-3 over a stored membership filter: each micro-batch's keys go to the store's sketches, the
+    possible hits to an exact anti join with the buckets they fall into, and what is new is appended
+    to the store, where the next micro-batch finds it.  The links of a run are the store's."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        if M.applied(store.manifest(), job, batch_id):
+            return
+        store.append(store.unknown(df.select(store.key)), job, batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            store.compact()
+
+    _run(stream.writeStream.foreachBatch(write).option("checkpointLocation", os.path.join(root, "_ckpt")))
+
+
 # ---------------------------------------------------------------- STR-4/6 progress
 def progress(feed: DataFrame, root: str) -> str:
     """Per-source running state in complete mode: status from the latest lifecycle event,
@@ -231,24 +253,6 @@ def progress_fold(feed: DataFrame, root: str) -> str:
     return state
 
 
-def current_store(spark: SparkSession, store: str, before: int | None = None):
-    """The store's rows, each bucket from its newest batch (earlier than ``before``), or None
-    if nothing is stored.  Finding the newest folders reads partition values, not rows."""
-    if not path_exists(spark, store):
-        return None
-    rows = read_all_batches(spark, store, T.StructType(LS.LISTING_SCHEMA.fields + [T.StructField("bucket", T.IntegerType())]))
-    if before is not None:
-        rows = rows.filter(F.col("batch") < before)
-    newest = rows.select("bucket", "batch").distinct().groupBy("bucket").agg(F.max("batch").alias("batch"))
-    live = newest.collect()                                 # at most KEY_BUCKETS rows
-    if not live:
-        return None
-    mine = F.lit(False)
-    for r in live:                                          # partition filters: prunes folders
-        mine = mine | ((F.col("bucket") == r["bucket"]) & (F.col("batch") == r["batch"]))
-    return rows.filter(mine).drop("batch")
-
-
 def _batches(spark: SparkSession, out: str) -> list:
     """The batch ids under a sink folder, by listing it."""
     if not path_exists(spark, out):
@@ -287,6 +291,20 @@ def route(feed: DataFrame, routes: Dict[str, Callable[[DataFrame], DataFrame]],
     return outs
 
 
+def route_committed(feed: DataFrame, routes: Dict[str, Callable[[DataFrame], DataFrame]], root: str, job: str = "route") -> None:
+    """``route`` with one commit for all sinks of a micro-batch: a reader (``manifest.read_sink``, or
+    ``manifest.read_keyed`` for a sink that is upserted by key) sees all of them or none, and a
+    replayed micro-batch adds nothing."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.persist()
+        try:
+            M.append_once({name: select(df) for name, select in routes.items()}, root, job, batch_id)
+        finally:
+            df.unpersist()
+
+    _run(feed.writeStream.foreachBatch(write).option("checkpointLocation", os.path.join(root, "_ckpt")))
+
+
 def default_routes() -> Dict[str, Callable[[DataFrame], DataFrame]]:
     """The reference's observer wiring: enriched listings → store, completed sessions →
     statistics, everything else → log counts."""
