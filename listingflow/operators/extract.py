@@ -36,9 +36,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import html as H
+from ..functions import postprocess as PP
 from ..session import ship_package
 
-Rule = namedtuple("Rule", "source page_kind field priority kind selector attr")
+Rule = namedtuple("Rule", "source page_kind field priority kind selector attr postprocess", defaults=[None])
 
 RULE_SCHEMA = T.StructType([
     T.StructField("source", T.StringType(), False),
@@ -48,6 +49,7 @@ RULE_SCHEMA = T.StructType([
     T.StructField("kind", T.StringType(), False),
     T.StructField("selector", T.StringType(), True),
     T.StructField("attr", T.StringType(), True),
+    T.StructField("postprocess", T.StringType(), True),
 ])
 
 DETAIL_FIELDS = ["title", "address", "seller", "description", "price_text", "area_text", "bedroom_text",
@@ -173,10 +175,17 @@ SITE_LISTS = [
     ("muaban.net", "div.sc-c7upxc-3.cBJHnx", "a[href]", [("css", "h3", "link")], False),
 ]
 
+# What a site does to a field's text once it is found (PRJ-13: the site gives 0 for "unknown").
+SITE_POSTPROCESS = {
+    **{("bds123.vn", f): "clean_text" for f in ("title", "address", "seller", "description")},
+    **{("bds123.vn", f): "zero_as_null" for f in ("price_text", "area_text", "frontage_text", "bedroom_text", "bathroom_text")},
+}
+
 
 def site_rules() -> List[Rule]:
     """The rule rows of the six supported sites."""
     rules: List[Rule] = []
+    after = SITE_POSTPROCESS
     for src, fields in SITE_CSS.items():
         for field, sels in fields.items():
             rules += [Rule(src, "detail", field, i + 1, "css", s, None) for i, s in enumerate(sels)]
@@ -197,7 +206,7 @@ def site_rules() -> List[Rule]:
         rules += [Rule(src, "list", "title", i + 1, k, s, scope) for i, (k, s, scope) in enumerate(titles)]
         if req:
             rules.append(Rule(src, "list", "require_title", 1, "flag", None, "true"))
-    return rules
+    return [r._replace(postprocess=after.get((r.source, r.field))) if r.page_kind == "detail" else r for r in rules]
 
 
 def generic_rules(source: str) -> List[Rule]:
@@ -223,14 +232,15 @@ class RuleSet:
 
     REQUIRED_DETAIL = {"title", "link"}
 
-    def __init__(self, rules: Iterable[Rule] = ()):
+    def __init__(self, rules: Iterable[Rule] = (), postprocessors: Dict[str, PP.Processor] | None = None):
         self.rules: List[Rule] = []
+        self.postprocessors = {**PP.POSTPROCESSORS, **(postprocessors or {})}
         for r in rules:
             self._check(r)
             self.rules.append(r)
 
-    @staticmethod
-    def _check(r: Rule) -> None:
+    def _check(self, r: Rule) -> None:
+        PP.check(r.postprocess, self.postprocessors)
         if r.kind not in KINDS:
             raise ValueError(f"unknown rule kind {r.kind!r}")
         if r.kind in ("css", "attr", "parent_text", "spec_block", "item", "link") and r.selector not in (None, "&"):
@@ -243,7 +253,11 @@ class RuleSet:
         missing = self.REQUIRED_DETAIL - fields
         if missing:
             raise ValueError(f"rules for {source} lack required fields {sorted(missing)}")
-        return RuleSet(self.rules + new)
+        return RuleSet(self.rules + new, self.postprocessors)
+
+    def with_postprocessor(self, name: str, fn: PP.Processor) -> "RuleSet":
+        """UDF-3: add a named post-processor that rules registered from now on may use."""
+        return RuleSet(self.rules, {**self.postprocessors, name: fn})
 
     def sources(self) -> List[str]:
         return sorted({r.source for r in self.rules})
@@ -406,7 +420,23 @@ def parse_detail_pages(pages: DataFrame, rules: RuleSet, keep_errors: bool = Fal
         _parser(rules.by_source(), "detail", phone), DETAIL_SCHEMA)
     if not keep_errors:
         parsed = parsed.filter(F.col("parse_error").isNull()).drop("parse_error")
-    return resolve_specs(parsed, rules)
+    return postprocess(resolve_specs(parsed, rules), rules)
+
+
+def postprocess(parsed: DataFrame, rules: RuleSet) -> DataFrame:
+    """UDF-3: each source's named post-processors on its fields, in one native projection."""
+    per_field: Dict[str, Dict[str, str]] = defaultdict(dict)
+    for r in rules.rules:
+        if r.page_kind == "detail" and r.postprocess and r.field in parsed.columns:
+            if per_field[r.field].setdefault(r.source, r.postprocess) != r.postprocess:
+                raise ValueError(f"rules for {r.source}.{r.field} name different post-processors")
+    out = {}
+    for field, by_source in per_field.items():
+        expr = F.col(field)
+        for source, names in by_source.items():
+            expr = F.when(F.col("source") == source, PP.compiled(F.col(field), names, rules.postprocessors)).otherwise(expr)
+        out[field] = expr
+    return parsed.withColumns(out) if out else parsed
 
 
 def parse_list_pages(pages: DataFrame, rules: RuleSet) -> DataFrame:

@@ -465,6 +465,30 @@ def q_page_text_rules(spark, sf_dir):
                     F.md5("description").alias("article_md5"), F.md5("phone_text").alias("page_text_md5"))
 
 
+@query("rule_postprocess")
+def q_rule_postprocess(spark, sf_dir):
+    """Two custom rules: a registered post-processor on the title, a chain on the advertisement."""
+    rules = EX.RuleSet().with_postprocessor("initials", lambda c: F.regexp_replace(c, "([A-Za-z])[a-z]*", "$1"))
+    rules = rules.register("generic", [r._replace(postprocess={"title": "initials", "address": "clean_text|digits"}.get(r.field)) for r in EX.generic_rules("generic")])
+    pages = read_pages(spark, sf_dir).withColumn("source", F.lit("generic"))
+    return EX.parse_detail_pages(pages, rules, phone=False).select("page_id", "title", F.col("address").alias("ad_text"))
+
+
+@query("zero_dropping_source")
+def q_zero_dropping_source(spark, sf_dir):
+    """PRJ-13: listings of a site that writes 0 for what it does not know, through its own rules."""
+    raw = (V.text_view(spark, sf_dir).withColumn("source", F.lit("bds123.vn"))
+           .withColumn("price_text", F.when(F.col("id") % 5 == 0, F.lit("0 triệu")).otherwise(F.col("price_text")))
+           .withColumn("area_text", F.when(F.col("id") % 7 == 0, F.lit("0,0 m²")).otherwise(F.col("area_text"))))
+    typed = LS.normalise(EX.postprocess(raw.withColumn("crawled_at", F.col("as_of")), EX.RuleSet(EX.site_rules())))
+    return typed.select("id", "price", "area", F.col("unit_price").isNull().alias("no_unit_price"))
+
+
+@query("enrichable_fields")
+def q_enrichable_fields(spark, sf_dir):
+    return LS.project(_typed(spark, sf_dir), ["title", "price", "area", "bedroom", "bathroom", "frontage", "legal", "city", "type"])
+
+
 @query("rule_dispatch")
 def q_rule_dispatch(spark, sf_dir):
     rules = EX.RuleSet()

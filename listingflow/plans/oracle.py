@@ -518,6 +518,20 @@ SELECT page_id,
        md5({_page_text('html')}) AS page_text_md5
 FROM pages""")
 
+oracle("rule_postprocess", f"""
+SELECT page_id,
+       CASE WHEN regexp_matches(html, {D.q('(?is)<h1[^>]*>')}) THEN NULLIF(regexp_replace({_h1_text}, '([A-Za-z])[a-z]*', '\\1', 'g'), '') END AS title,
+       CASE WHEN regexp_matches(html, {D.q('(?is)<div class="ad">')}) THEN NULLIF(regexp_replace({_ad}, '[^0-9]', '', 'g'), '') END AS ad_text
+FROM pages""")
+
+oracle("zero_dropping_source", with_views("v_text") + f""",
+z AS (SELECT id, CASE WHEN id % 5 = 0 THEN NULL ELSE NULLIF({D.extract_price('price_text')}, 0) END AS price,
+             CASE WHEN id % 7 = 0 THEN NULL ELSE NULLIF({D.extract_area('area_text')}, 0) END AS area FROM v_text)
+SELECT CAST(id AS VARCHAR) AS id, price, area, price IS NULL OR area IS NULL OR {D.unit_price('price', 'area')} IS NULL OR {D.unit_price('price', 'area')} = 0 AS no_unit_price
+FROM z""")
+
+oracle("enrichable_fields", _TYPED + "SELECT id, title, price, area, bedroom, bathroom, frontage, legal, city, type FROM typed")
+
 oracle("rule_dispatch", f"""
 WITH p AS (
   SELECT page_id, html,

@@ -209,3 +209,27 @@ def test_selector_subset():
     assert H.select_one(doc, "table") is None
     with pytest.raises(ValueError):
         H.compile_selector("li:first-of-type")
+
+
+def test_postprocessors_run_by_name_and_unknown_names_are_refused(spark):
+    rules = EX.generic_rules("x")
+    with pytest.raises(ValueError, match="unknown post-processor 'shout'"):
+        EX.RuleSet().register("x", [r._replace(postprocess="clean_text|shout") for r in rules])
+    named = EX.RuleSet().with_postprocessor("shout", lambda c: F.concat(c, F.lit("!")))
+    named = named.register("x", [r._replace(postprocess="clean_text|shout" if r.field == "title" else None) for r in rules])
+    named = named.register("y", EX.generic_rules("y"))
+    pages = spark.createDataFrame([(1, "u", s, "<h1> Nhà  đẹp </h1><article>a</article>") for s in "xy"] + [(2, "u", "x", "<p>none</p>")], "page_id long, url string, source string, html string")
+    got = {(r["source"], r["page_id"]): r["title"] for r in EX.parse_detail_pages(pages, named).collect()}
+    assert got[("x", 1)].endswith("!") and not got[("y", 1)].endswith("!") and got[("x", 2)] is None
+    both = EX.RuleSet([r._replace(postprocess="lower" if r.priority == 1 else "upper") for r in rules if r.field == "title"])
+    with pytest.raises(ValueError, match="different post-processors"):
+        EX.postprocess(spark.createDataFrame([("x", "t")], "source string, title string"), both)
+    assert [tuple(r) for r in named.to_df(spark).filter("postprocess is not null").select("field", "postprocess").distinct().collect()] == [("title", "clean_text|shout")]
+
+
+def test_a_site_that_writes_zero_for_unknown(spark):
+    texts = ["0", "0 triệu", "0,0 m²", "Thỏa thuận", "10 m", "05", "", None]
+    raw = spark.createDataFrame([(i, t, s) for i, t in enumerate(texts) for s in ("bds123.vn", "mogi.vn")], "i int, price_text string, source string")
+    got = {(r["i"], r["source"]): r["price_text"] for r in EX.postprocess(raw, EX.RuleSet(EX.site_rules())).collect()}
+    assert [got[(i, "bds123.vn")] for i in range(8)] == [None, None, None, "Thỏa thuận", "10 m", "05", None, None]
+    assert [got[(i, "mogi.vn")] for i in range(8)] == texts
