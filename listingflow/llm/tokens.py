@@ -37,6 +37,19 @@ _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\x
 _CAPITAL_MARKED = re.compile(rb"[A-Z][\xcc-\xff]")
 
 
+class Known(dict):
+    """Chunk -> its number; a chunk not seen before gets the next one and waits in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word):
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class Encoder:
     """Ids of byte-string texts, equal to ``encode(text, add_special_tokens=False).ids``."""
 
@@ -53,7 +66,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = Known()
         self.flat, self.starts, self.lengths = array("I"), array("q"), array("q")
 
     def chunks(self, text: bytes) -> list[bytes]:
@@ -69,13 +82,11 @@ class Encoder:
         """The library's ids of each chunk."""
         return [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
 
-    def _learn(self, words: list[bytes]) -> None:
-        known = self.known
-        new = list({w for w in words if w not in known})
+    def _learn(self) -> None:
+        """Encode the chunks that wait, in the order of their numbers."""
+        new, self.known.new = self.known.new, []
         for i in range(0, len(new), 5000):
-            part = new[i:i + 5000]
-            for word, ids in zip(part, self.pieces(part)):
-                self.known[word] = len(self.starts)
+            for ids in self.pieces(new[i:i + 5000]):
                 self.starts.append(len(self.flat))
                 self.lengths.append(len(ids))
                 self.flat.extend(ids)
@@ -86,17 +97,17 @@ class Encoder:
             self.forget()
         cut = [self.chunks(t) for t in texts]
         words = list(chain.from_iterable(cut))
-        known = self.known
         try:
-            codes = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            self._learn(words)
-            codes = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        lengths = np.array(self.lengths, np.int64)[codes]
-        starts = np.array(self.starts, np.int64)[codes]
+            codes = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            self._learn()
+        except BaseException:
+            self.forget()  # numbers without ids must not stay
+            raise
+        lengths = np.frombuffer(self.lengths, np.int64)[codes] if words else np.zeros(0, np.int64)
+        starts = np.frombuffer(self.starts, np.int64)[codes] if words else lengths
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        ids = np.array(self.flat, np.uint32)[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+        ids = (np.frombuffer(self.flat, np.uint32) if total else np.zeros(0, np.uint32))[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
         per_text = np.array([len(c) for c in cut], np.int64)
         bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(per_text)))]
         return ids, np.diff(bounds)
