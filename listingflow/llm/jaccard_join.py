@@ -10,8 +10,8 @@ of a size band; a set joins in its own band and in the next if a partner may lie
 
 1. Every set sends its words, keyed by band, place and value.  Where very many sets of one block
    of documents share a key, sets close to a leader (by bit sketch) are tied to it and stay; the
-   leader goes on with its cluster's radius as slack, so by the triangle inequality whatever links
-   with one of them is still tied to the leader.
+   leader goes on with its cluster's exact radius as slack, so by the triangle inequality whatever
+   links with one of them is still tied to the leader.
 2. Keys meet by hash bucket; those of more than one set go on, joined with the sets' bit sketches
    (each shingle flips one bit, so their Hamming distance, too, is at most the symmetric
    difference).  Under each key, sets whose sizes and Hamming distance allow a link are tied; sets
@@ -175,8 +175,17 @@ def by_key(keys: np.ndarray, nodes: np.ndarray, slack: np.ndarray) -> tuple[np.n
     return keys, nodes, slack, np.repeat(many, many)
 
 
-def thin(nodes: np.ndarray, sizes: np.ndarray, sketches: list[bytes], similarity: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Slack per node, -1 for those that stay behind a leader; and their ties (node, leader)."""
+def thin(nodes: np.ndarray, known: dict[int, np.ndarray], sketches: list[bytes], similarity: int,
+         measured: dict[tuple[int, int], int]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Slack per node, -1 for those that stay behind a leader; and their ties (node, leader).
+
+    Sketches only choose the followers.  The radius comes from the sets themselves: a set that links
+    with follower ``f`` differs from ``f`` by at most ``c`` times both sizes, so from the leader by at
+    most that plus ``|f ^ leader|``, however wide the sketches are that the two are compared by later.
+    ``measured`` keeps these differences, for near copies share many keys.
+    """
+    names = nodes.tolist()
+    sizes = np.array([len(known[n]) for n in names], np.int64)
     rows, slack, ties = folded(sketches), np.zeros(len(nodes), np.int64), []
     left = np.arange(len(nodes))
     for _ in range(LEADERS):
@@ -188,15 +197,26 @@ def thin(nodes: np.ndarray, sizes: np.ndarray, sketches: list[bytes], similarity
         near[0] = True
         behind = left[near][1:]
         if len(behind):
-            # the radius, and what a larger follower's own bound has more than the leader's
-            larger = max(0, int(sizes[behind].max() - sizes[i]))
-            slack[i] = apart[near].max() + -(-(100 - similarity) * larger // (100 + similarity))
+            leader, radius = names[i], 0
+            for j in behind.tolist():
+                pair = (leader, names[j])
+                if pair not in measured:
+                    measured[pair] = differing(known[leader], known[names[j]])
+                # and what a larger follower's own bound has more than the leader's
+                radius = max(radius, measured[pair] - (100 - similarity) * int(sizes[i] - sizes[j]) // (100 + similarity))
+            slack[i] = radius
             slack[behind] = -1
-            ties += [(int(x), int(nodes[i])) for x in nodes[behind]]
+            ties += [(names[j], leader) for j in behind.tolist()]
         left = left[~near]
     return slack, ties
 
 
+def differing(a: np.ndarray, b: np.ndarray) -> int:
+    """Elements that only one of two sorted sets holds."""
+    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+    return len(a) + len(b) - 2 * int(np.count_nonzero(a[at] == b))
+
+
 def send_keys(size: int, similarity: int, buckets: int):
     """Task function: documents -> per bucket one row of keys with their nodes, and ties of hot keys."""
     def run(batches):
@@ -216,7 +236,7 @@ def send_keys(size: int, similarity: int, buckets: int):
                 continue
             keys, nodes = np.concatenate(keys), np.concatenate(nodes)
             keys, nodes, slack, many = by_key(keys, nodes, np.zeros(len(keys), np.int64))
-            ties, sketches = set(), {}
+            ties, sketches, measured = set(), {}, {}
             at = 0
             hot = np.flatnonzero(many >= HOT_IN_BLOCK)
             while at < len(hot):
@@ -225,7 +245,7 @@ def send_keys(size: int, similarity: int, buckets: int):
                 for name in names:
                     if name not in sketches:
                         sketches[name] = bit_sketch(known[name])
-                slack[part], more = thin(nodes[part], np.array([len(known[n]) for n in names], np.int64), [sketches[n] for n in names], similarity)
+                slack[part], more = thin(nodes[part], known, [sketches[n] for n in names], similarity, measured)
                 ties.update(more)
                 at += many[hot[at]]
             keys, nodes, slack = keys[slack >= 0], nodes[slack >= 0], slack[slack >= 0]

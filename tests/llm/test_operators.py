@@ -381,6 +381,48 @@ def test_jaccard_join_with_hot_keys(spark, docs, rows, monkeypatch):
                 assert find(a) == find(b)
 
 
+def test_a_leader_is_tied_to_whatever_links_with_a_follower():
+    # sizes straddle 64 and 128, where sketches double their width
+    rng, followed = np.random.default_rng(5), 0
+    for trial in range(60):
+        n = (66, 130)[trial % 2]
+        base = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+
+        def near():
+            kept = base[rng.permutation(n)[:n - rng.integers(0, n // 10)]]
+            return np.unique(np.concatenate((kept, rng.integers(0, 1 << 64, rng.integers(0, n // 12), dtype=np.uint64))))
+        known = {int(jaccard_join.node_of(s)): s for s in (near() for _ in range(40))}
+        nodes = np.array(list(known), np.uint64)
+        slack, ties = jaccard_join.thin(nodes, known, [jaccard_join.bit_sketch(known[n]) for n in known], 85, {})
+        radius = dict(zip(nodes.tolist(), slack.tolist()))
+        assert {a for a, _ in ties} == {n for n, r in radius.items() if r < 0} and all(radius[b] > 0 for _, b in ties)
+        for other in (near() for _ in range(40)):
+            for follower, leader in ties:
+                f, lead = known[follower], known[leader]
+                both = len(np.intersect1d(f, other))
+                if 100 * both >= 85 * (len(f) + len(other) - both):
+                    followed += 1
+                    label = jaccard_join.connect(np.array([len(lead), len(other)]), [jaccard_join.bit_sketch(lead), jaccard_join.bit_sketch(other)],
+                                                 85, slack=np.array([radius[leader], 0]))
+                    assert label[0] == label[1]
+    assert followed > 1000
+
+
+def test_jaccard_join_of_hot_keys_whose_sizes_straddle_a_power_of_two(spark):
+    rng = random.Random(23)
+    base = [f"w{i}" for i in range(68)]
+    rows = []
+    for i in range(640):
+        words = list(base)
+        for _ in range(rng.randrange(0, 4)):
+            words[rng.randrange(len(words))] = f"e{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(words[rng.randrange(0, 4):len(words) - rng.randrange(0, 4)] + [f"t{i}_{k}" for k in range(rng.randrange(0, 5))])))
+    want = ref.component_ids(rows, 4, 85)
+    assert min(n for _, n, _ in want) < 64 < max(n for _, n, _ in want) and 1 < len({c for *_, c in want}) < 640
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)  # 256 sets of a block under a key make it hot
+    same(jaccard_join.link_documents(docs, 4, 85).collect(), want)
+
+
 def test_jaccard_join_near_the_bound(spark):
     rng = random.Random(11)
     rows = []
