@@ -152,6 +152,64 @@ def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     return mix(out)
 
 
+def run_hashes(hashes: np.ndarray, lengths: Iterable[int], factor: np.uint64 = _ODD) -> list[np.ndarray]:
+    """``window_hashes`` of several lengths, each put together from shorter runs (20 words in five steps).
+
+    Entry ``i`` is the run from word ``i``; the arrays get shorter as the runs get longer, down to none.
+    """
+    known = {1: hashes}
+
+    def run(length: int) -> np.ndarray:
+        if length not in known:
+            head = max(k for k in known if k < length)
+            tail = run(length - head)
+            n = max(0, len(hashes) - length + 1)
+            known[length] = known[head][:n] * U64(pow(int(factor), length - head, 1 << 64)) + tail[head:head + n]
+        return known[length]
+    return [mix(run(length)) for length in lengths]
+
+
+class Words:
+    """Where the words ``[^\\x20\\x09-\\x0D]+`` of several texts lie, found for all texts at once."""
+
+    #: Longer words (in bytes) are hashed one by one.
+    LONG = 64
+
+    def __init__(self, texts: list[bytes]):
+        self.raw = b" ".join((b"", *texts, bytes(8)))  # a space before and behind each text; eight bytes can be read from any place
+        self.bytes = np.frombuffer(self.raw, np.uint8)
+        held = self.bytes[:-8]
+        space = (held == 32) | (held - np.uint8(9) <= 4)
+        self.starts = np.flatnonzero(space[:-1] > space[1:]) + 1
+        self.lengths = np.flatnonzero(space[:-1] < space[1:]) + 1 - self.starts
+        begins = np.cumsum([1, *(len(t) + 1 for t in texts)])
+        #: Words per text.
+        self.counts = np.diff(np.searchsorted(self.starts, begins))
+
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word, eight bytes at a step; equal words have equal hashes."""
+        factor = U64(_SEEDS[seed])
+        out = mix(self.lengths.astype(U64) + factor)
+        lanes = np.lib.stride_tricks.as_strided(self.bytes, (len(self.bytes) - 7, 8), (1, 1))
+        short = self.lengths <= self.LONG
+        at = np.flatnonzero(short)
+        places, left = self.starts[at], self.lengths[at]
+        while len(at):
+            lane = lanes[places].view("<u8").ravel() & _MASKS[np.minimum(left, 8)]
+            out[at] = mix((out[at] ^ lane) * factor)
+            more = left > 8
+            at, places, left = at[more], places[more] + 8, left[more] - 8
+        for i in np.flatnonzero(~short).tolist():
+            out[i] = xxhash.xxh3_64_intdigest(self.raw[self.starts[i]:self.starts[i] + self.lengths[i]], seed=seed)
+        return out
+
+
+#: Odd factors of the word hashes.
+_SEEDS = (0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F)
+#: The lowest 0 to 8 bytes of a number.
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
+
+
 def in_blocks(batches: Iterable[pa.RecordBatch], text: str, most_bytes: int = BLOCK_BYTES) -> Iterator[tuple[pa.Table, list[bytes]]]:
     """Regroup a task's batches into blocks of whole rows with about ``most_bytes`` of text.
 

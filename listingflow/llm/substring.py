@@ -13,8 +13,9 @@ not fit a task, so suffixes are split by variable-length prefixes into groups of
    that a third of all rows repeat is one row per block.
 3. In a group the suffixes are sorted by path, so the leaves below each deep node are neighbours.
    The groups answer every block with one bit per path: whether it has leaves in other blocks too.
-4. For these paths only, blocks send a second hash of the 20 words and the document.  Among equal words the smallest in document order is the original, the others are
-   repeats; the answer is again one bit per path.
+4. For these paths only, blocks send a second hash of the 20 words and the document.  Among equal
+   words the smallest in document order is the original, the others are repeats; the answer is
+   again one bit per path.
 5. Blocks take their answers back and remove the covered words; text never moves beyond its block.
 
 A path is found by a 64-bit hash of its 20 words, and suffixes are equal only if the second hash
@@ -32,11 +33,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_blocks, mix, partition_id, shuffle_partitions, squeeze, squeeze_sorted, stage, stage_and_release, table, unsqueeze, unsqueeze_sorted, U64, _ODD
+from .common import (in_blocks, mix, partition_id, run_hashes, shuffle_partitions, squeeze, squeeze_sorted, stage, stage_and_release, table, unsqueeze,
+                     unsqueeze_sorted, Words, U64)
 
 WINDOW_WORDS = 20
 PREFIX_WORDS = (2, 5, 10)
@@ -51,53 +52,18 @@ _LAST = np.iinfo(np.int64).max
 _OTHER = U64(0xD6E8FEB86659FD93)
 
 
-class Pairs(dict):
-    """Word -> two independent 64-bit hashes as 16 bytes, remembered; forgets everything when it has grown large."""
-
-    LIMIT = 200_000
-
-    def __missing__(self, word):
-        if len(self) > self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word).to_bytes(8, "little") + xxhash.xxh3_64_intdigest(word, seed=1).to_bytes(8, "little")
-        return value
-
-
-_PAIRS = Pairs()
-
-
-def run_hashes(hashes: np.ndarray, lengths: tuple[int, ...], factor: np.uint64, n: int) -> list[np.ndarray]:
-    """Hashes of the first ``n`` runs of each length (rising), as ``window_hashes`` in one pass."""
-    out, done = hashes[:n].copy(), 1
-    found = []
-    for length in lengths:
-        for i in range(done, length):
-            out *= factor
-            out += hashes[i:n + i]
-        done = max(done, length)
-        found.append(mix(out))
-    return found
-
-
-def suffixes(texts: list[bytes], window: int, whole: bool = True) -> tuple[list[list[bytes]], np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
-    """Words per text; per suffix of at least a window: path hash, second hash (both only if
-    ``whole``), prefix hashes, and its text."""
-    cut, owner = [], []
-    prefixes = tuple(min(length, window) for length in PREFIX_WORDS)
-    parts: list[list[np.ndarray]] = [[] for _ in range(len(prefixes) + 2)]
-    for number, text in enumerate(texts):
-        words = text.split()
-        cut.append(words)
-        n = len(words) - window + 1
-        if n > 0:
-            one, two = np.ascontiguousarray(np.frombuffer(b"".join(map(_PAIRS.__getitem__, words)), "<u8").reshape(-1, 2).T)
-            found = run_hashes(one, (*prefixes, window) if whole else prefixes, _ODD, n)
-            for part, values in zip(parts, found + (run_hashes(two, (window,), _OTHER, n) if whole else [])):
-                part.append(values)
-            owner.append(np.full(n, number, np.int64))
-    empty = np.empty(0, U64)
-    *prefix, paths, checks = (np.concatenate(p or [empty]) for p in parts)
-    return cut, paths, checks, prefix, np.concatenate(owner or [np.empty(0, np.int64)])
+def suffixes(texts: list[bytes], window: int, whole: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Words per text; place (among all words) of each suffix of at least a window; its path hash and
+    second hash (both only if ``whole``), and its prefix hashes."""
+    words = Words(texts)
+    prefixes = [min(length, window) for length in PREFIX_WORDS]
+    counts = words.counts
+    left = np.repeat(np.cumsum(counts), counts) - np.arange(len(words.starts))
+    at = np.flatnonzero(left >= window)
+    if not whole:
+        return counts, at, None, None, [h[at] for h in run_hashes(words.hashes(), prefixes)]
+    *prefix, paths = (h[at] for h in run_hashes(words.hashes(), [*prefixes, window]))
+    return counts, at, paths, run_hashes(words.hashes(1), [window], _OTHER)[0][at], prefix
 
 
 def cells(hashes: np.ndarray) -> np.ndarray:
@@ -111,7 +77,7 @@ def gather(window: int, order: str):
             ids = np.array([_LAST if i is None else i for i in rows.column(order).to_pylist()], np.int64)
             sort = np.argsort(ids, kind="stable")
             texts = [texts[i] for i in sort]
-            _, _, _, prefixes, _ = suffixes(texts, window, False)
+            *_, prefixes = suffixes(texts, window, False)
             counts = np.concatenate([np.bincount(cells(p), minlength=CELLS) for p in prefixes])
             rest = rows.take(pa.array(sort)).drop_columns(["text"])
             null = rows.column("text").is_null().take(pa.array(sort)).to_pylist()
@@ -121,7 +87,7 @@ def gather(window: int, order: str):
             yield pa.RecordBatch.from_arrays([
                 pa.array([(partition_id() << 32) + number], pa.int64()), pa.array([squeeze(ids[sort])], pa.binary()),
                 pa.array([squeeze(np.array([-1 if n else len(t) for t, n in zip(texts, null)], np.int64))], pa.binary()),
-                pa.array([squeeze(b"".join(texts), 9)], pa.binary()), pa.array([squeeze(sink.getvalue().to_pybytes())], pa.binary()),
+                pa.array([squeeze(b"".join(texts), 5)], pa.binary()), pa.array([squeeze(sink.getvalue().to_pybytes())], pa.binary()),
                 pa.array([counts.tolist()], pa.list_(pa.int64())),
             ], names=["block", "ids", "lengths", "texts", "rest", "counts"])
     return run
@@ -157,14 +123,22 @@ def first_paths(paths: np.ndarray, checks: np.ndarray, bucket: np.ndarray):
 
     ``checks``: second hashes, which tell unequal words with one path hash apart.
     """
-    known, first, place = np.unique(paths, return_index=True, return_inverse=True)
-    if (checks != checks[first[place]]).any():
-        _, first, place = np.unique(np.rec.fromarrays([paths, checks]), return_index=True, return_inverse=True)
-        known = paths[first]
-    order = np.argsort(bucket[first], kind="stable")
+    order = np.argsort(paths)
+    new = np.diff(paths[order], prepend=U64(0)) != 0
+    new[0] = True
+    if (~new[1:] & (np.diff(checks[order]) != 0)).any():
+        order = np.lexsort((checks, paths))
+        new = (np.diff(paths[order], prepend=U64(0)) != 0) | (np.diff(checks[order], prepend=U64(0)) != 0)
+        new[0] = True
+    first = np.minimum.reduceat(order, np.flatnonzero(new))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    number = bucket[first]
+    order = np.argsort(number.astype(np.uint16) if not len(number) or number.max() < 1 << 16 else number, kind="stable")  # short keys sort in linear time
     rank = np.empty_like(order)
     rank[order] = np.arange(len(order))
-    return known[order], first[order], bucket[first][order], rank[place]
+    first = first[order]
+    return paths[first], first, number[order], rank[place]
 
 
 def by_bucket(bucket: np.ndarray):
@@ -174,9 +148,9 @@ def by_bucket(bucket: np.ndarray):
 
 
 def block_paths(texts: list[bytes], window: int, groups: Groups):
-    """Words, owners and second hashes of a block's suffixes, and ``first_paths`` (None without suffixes)."""
-    cut, paths, checks, prefixes, owner = suffixes(texts, window)
-    return cut, owner, checks, first_paths(paths, checks, groups.bucket(paths, prefixes)) if len(paths) else None
+    """Words per text, places and second hashes of a block's suffixes, and ``first_paths`` (None without suffixes)."""
+    counts, at, paths, checks, prefixes = suffixes(texts, window)
+    return counts, at, checks, first_paths(paths, checks, groups.bucket(paths, prefixes)) if len(paths) else None
 
 
 def send_suffixes(window: int, groups):
@@ -228,7 +202,8 @@ def send_deep(window: int, groups):
             for row in batch.to_pylist():
                 bits = {a["bucket"]: a["bits"] for a in row["answers"]}
                 texts, _ = open_block(row)
-                _, owner, checks, (known, first, bucket, _) = block_paths(texts, window, groups.value)
+                counts, places, checks, (known, first, bucket, _) = block_paths(texts, window, groups.value)
+                owner = np.repeat(np.arange(len(texts)), counts)[places]
                 ids = unsqueeze(row["ids"], np.int64)
                 out = []
                 for number, a, b in by_bucket(bucket):
@@ -275,10 +250,10 @@ def answer_groups(batches):
                                      names=["block", "bucket", "bits"])
 
 
-def removed_words(texts: list[bytes], answers: list[dict], window: int, groups: Groups):
-    """Per text its words and a mask of those to remove."""
-    cut, owner, _, found = block_paths(texts, window, groups)
-    masks = [np.zeros(len(w), bool) for w in cut]
+def removed_words(texts: list[bytes], answers: list[dict], window: int, groups: Groups) -> list[np.ndarray]:
+    """Per text a mask of its words: those to remove."""
+    counts, at, _, found = block_paths(texts, window, groups)
+    change = np.zeros(int(counts.sum()) + 1, np.int64)
     if found:
         known, first, bucket, place = found
         original = np.ones(len(known), bool)
@@ -286,16 +261,16 @@ def removed_words(texts: list[bytes], answers: list[dict], window: int, groups:
         for number, a, b in by_bucket(bucket):
             if number in bits:
                 original[a:b] = np.unpackbits(unsqueeze(bits[number], np.uint8), count=b - a)
-        repeat = ~(original[place] & (first[place] == np.arange(len(place))))
-        begin = np.searchsorted(owner, np.arange(len(texts) + 1))
-        for i, mask in enumerate(masks):
-            own = repeat[begin[i]:begin[i + 1]]
-            if own.any():
-                change = np.zeros(len(mask) + 1, np.int64)
-                change[:len(own)] += own
-                change[window:] -= own
-                mask |= np.cumsum(change)[:-1] > 0
-    return cut, masks
+        repeat = at[~(original[place] & (first[place] == np.arange(len(place))))]
+        change[repeat] += 1
+        change[repeat + window] -= 1
+    return np.split(np.cumsum(change)[:-1] > 0, np.cumsum(counts)[:-1])
+
+
+def kept_words(text: bytes, mask: np.ndarray) -> bytes:
+    """The words that are not masked, joined by one space."""
+    words = text.split()
+    return b" ".join([w for w, gone in zip(words, mask.tolist()) if not gone] if mask.any() else words)
 
 
 def kept_text(text: bytes, mask: np.ndarray) -> bytes:
@@ -314,11 +289,11 @@ def cut_digests(window: int, groups, id: str):
         for batch in batches:
             for row in batch.to_pylist():
                 texts, _ = open_block(row)
-                cut, masks = removed_words(texts, row["answers"] or [], window, groups.value)
+                masks = removed_words(texts, row["answers"] or [], window, groups.value)
                 rest = pa.ipc.open_stream(unsqueeze(row["rest"])).read_all()
-                digests = [hashlib.sha256(b" ".join([w for w, gone in zip(c, m.tolist()) if not gone])).hexdigest() for c, m in zip(cut, masks)]
+                digests = [hashlib.sha256(kept_words(t, m)).hexdigest() for t, m in zip(texts, masks)]
                 yield pa.RecordBatch.from_arrays([
-                    rest.column(id).combine_chunks() if rest.num_rows else pa.array([], rest.schema.field(id).type), pa.array([len(c) for c in cut], pa.int64()),
+                    rest.column(id).combine_chunks() if rest.num_rows else pa.array([], rest.schema.field(id).type), pa.array([len(m) for m in masks], pa.int64()),
                     pa.array([int(m.sum()) for m in masks], pa.int64()), pa.array(digests, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
     return run
 
@@ -329,7 +304,7 @@ def cut_documents(window: int, groups, columns: list[str]):
         for batch in batches:
             for row in batch.to_pylist():
                 texts, lengths = open_block(row)
-                _, masks = removed_words(texts, row["answers"] or [], window, groups.value)
+                masks = removed_words(texts, row["answers"] or [], window, groups.value)
                 rest = pa.ipc.open_stream(unsqueeze(row["rest"])).read_all()
                 new = [None if n < 0 else kept_text(t, m) if m.any() else t for t, m, n in zip(texts, masks, lengths.tolist())]
                 whole = rest.append_column("text", pa.array([None if t is None else t.decode() for t in new], pa.string()))
