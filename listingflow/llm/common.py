@@ -158,15 +158,19 @@ def run_hashes(hashes: np.ndarray, lengths: Iterable[int], factor: np.uint64 = _
     Entry ``i`` is the run from word ``i``; the arrays get shorter as the runs get longer, down to none.
     """
     known = {1: hashes}
-
-    def run(length: int) -> np.ndarray:
-        if length not in known:
-            head = max(k for k in known if k < length)
-            tail = run(length - head)
-            n = max(0, len(hashes) - length + 1)
-            known[length] = known[head][:n] * U64(pow(int(factor), length - head, 1 << 64)) + tail[head:head + n]
-        return known[length]
-    return [mix(run(length)) for length in lengths]
+    for wanted in lengths:
+        open_ = [wanted]  # a loop: a function that calls itself would keep all arrays until garbage is collected
+        while open_:
+            length = open_[-1]
+            head = max(k for k in known if k <= length)
+            if head == length:
+                open_.pop()
+            elif length - head in known:
+                n = max(0, len(hashes) - length + 1)
+                known[length] = known[head][:n] * U64(pow(int(factor), length - head, 1 << 64)) + known[length - head][head:head + n]
+            else:
+                open_.append(length - head)
+    return [mix(known[length]) for length in lengths]
 
 
 class Words:
@@ -174,6 +178,8 @@ class Words:
 
     #: Longer words (in bytes) are hashed one by one.
     LONG = 64
+    #: Words hashed at a time, so that what is computed on the way stays small.
+    SEGMENT = 1 << 16
 
     def __init__(self, texts: list[bytes]):
         self.raw = b" ".join((b"", *texts, bytes(8)))  # a space before and behind each text; eight bytes can be read from any place
@@ -186,24 +192,41 @@ class Words:
         #: Words per text.
         self.counts = np.diff(np.searchsorted(self.starts, begins))
 
-    def hashes(self, seed: int = 0) -> np.ndarray:
-        """A 64-bit hash of each word, eight bytes at a step; equal words have equal hashes."""
+    def hashes(self, seed: int = 0, begin: int = 0, end: int | None = None) -> np.ndarray:
+        """A 64-bit hash of each word (from ``begin`` to ``end``), eight bytes at a step; equal words
+        have equal hashes."""
         factor = U64(_SEEDS[seed])
-        out = mix(self.lengths.astype(U64) + factor)
+        starts, lengths = self.starts[begin:end], self.lengths[begin:end]
+        out = mix(lengths.astype(U64) + factor)
         lanes = np.lib.stride_tricks.as_strided(self.bytes, (len(self.bytes) - 7, 8), (1, 1))
-        short = self.lengths <= self.LONG
+        short = lengths <= self.LONG
         at = np.flatnonzero(short)
-        places, left = self.starts[at], self.lengths[at]
+        places, left = starts[at], lengths[at]
         while len(at):
             lane = lanes[places].view("<u8").ravel() & _MASKS[np.minimum(left, 8)]
             out[at] = mix((out[at] ^ lane) * factor)
             more = left > 8
             at, places, left = at[more], places[more] + 8, left[more] - 8
         for i in np.flatnonzero(~short).tolist():
-            out[i] = xxhash.xxh3_64_intdigest(self.raw[self.starts[i]:self.starts[i] + self.lengths[i]], seed=seed)
+            out[i] = xxhash.xxh3_64_intdigest(self.raw[starts[i]:starts[i] + lengths[i]], seed=seed)
         return out
 
 
+    def windows(self, lengths: list[int], seed: int = 0, factor: np.uint64 = _ODD, within: int = 1) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The words from which at least ``within`` words follow in their text (themselves included), and
+        the hashes of the runs of each length (at most ``within``) from there."""
+        places, found = [np.empty(0, np.int64)], [[np.empty(0, U64)] for _ in lengths]
+        ends, last = np.cumsum(self.counts), len(self.starts)
+        for begin in range(0, last, self.SEGMENT):
+            here = np.arange(begin, min(begin + self.SEGMENT, last))
+            here = here[ends[np.searchsorted(ends, here, side="right")] - here >= within]
+            hashes = self.hashes(seed, begin, begin + self.SEGMENT + within - 1)
+            for out, values in zip(found, run_hashes(hashes, lengths, factor)):
+                out.append(values[here - begin])
+            places.append(here)
+        return np.concatenate(places), [np.concatenate(out) for out in found]
+
+
 #: Odd factors of the word hashes.
 _SEEDS = (0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F)
 #: The lowest 0 to 8 bytes of a number.

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (in_blocks, mix, partition_id, run_hashes, shuffle_partitions, squeeze, squeeze_sorted, stage, stage_and_release, table, unsqueeze,
+from .common import (in_blocks, mix, partition_id, shuffle_partitions, squeeze, squeeze_sorted, stage, stage_and_release, table, unsqueeze,
                      unsqueeze_sorted, Words, U64)
 
 WINDOW_WORDS = 20
@@ -57,13 +57,11 @@ def suffixes(texts: list[bytes], window: int, whole: bool = True) -> tuple[np.nd
     second hash (both only if ``whole``), and its prefix hashes."""
     words = Words(texts)
     prefixes = [min(length, window) for length in PREFIX_WORDS]
-    counts = words.counts
-    left = np.repeat(np.cumsum(counts), counts) - np.arange(len(words.starts))
-    at = np.flatnonzero(left >= window)
     if not whole:
-        return counts, at, None, None, [h[at] for h in run_hashes(words.hashes(), prefixes)]
-    *prefix, paths = (h[at] for h in run_hashes(words.hashes(), [*prefixes, window]))
-    return counts, at, paths, run_hashes(words.hashes(1), [window], _OTHER)[0][at], prefix
+        at, found = words.windows(prefixes, within=window)
+        return words.counts, at, None, None, found
+    at, (*prefix, paths) = words.windows([*prefixes, window], within=window)
+    return words.counts, at, paths, words.windows([window], 1, _OTHER, window)[1][0], prefix
 
 
 def cells(hashes: np.ndarray) -> np.ndarray:

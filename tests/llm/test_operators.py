@@ -398,6 +398,19 @@ def test_words_of_many_texts_at_once():
             assert got.tolist() == common.window_hashes(hashes, length).tolist()
 
 
+@pytest.mark.parametrize("segment", [1, 7, 1 << 16])
+def test_windows_of_many_texts_by_segments(monkeypatch, segment):
+    monkeypatch.setattr(common.Words, "SEGMENT", segment)
+    rng = random.Random(4)
+    for texts in ([], [b""], [" ".join(rng.choice("abc") for _ in range(rng.randrange(30))).encode() for _ in range(40)]):
+        whole = [common.Words([t]).hashes() for t in texts]
+        at, (two, five) = common.Words(texts).windows([2, 5], within=5)
+        starts = np.cumsum([0] + [len(t.split()) for t in texts])
+        assert at.tolist() == [s + i for s, h in zip(starts.tolist(), whole) for i in range(len(h) - 4)]
+        assert two.tolist() == [x for h in whole for x in common.window_hashes(h, 2)[:max(0, len(h) - 4)].tolist()]
+        assert five.tolist() == [x for h in whole for x in common.window_hashes(h, 5).tolist()]
+
+
 def test_a_leader_is_tied_to_whatever_links_with_a_follower():
     # sizes straddle 64 and 128, where sketches double their width
     rng, followed = np.random.default_rng(5), 0
