@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_blocks, mix, numbered, shuffle_partitions, squeeze, squeeze_sorted, stage, stage_and_release, table, unsqueeze, unsqueeze_sorted, window_hashes, word_hashes, U64
+from .common import in_blocks, mix, numbered, shuffle_partitions, squeeze, squeeze_sorted, stage, stage_and_release, table, unsqueeze, unsqueeze_sorted, window_hashes, Words, U64
 from .components import components
 
 SHINGLE_WORDS, SIMILARITY = 5, 80
@@ -54,11 +54,17 @@ HOT_IN_BLOCK, LEADERS = 256, 16
 FILTER_BITS = 24
 
 
-def shingle_set(text: bytes, size: int) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text."""
-    words = text.lower().split()
-    hashes = window_hashes(word_hashes(words), min(size, len(words))) if words else np.empty(0, U64)
-    return np.unique(hashes)
+def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text."""
+    words = Words([t.lower() for t in texts])
+    at, (runs,) = words.windows([size], within=size)
+    ends = np.cumsum(words.counts)
+    begin = np.searchsorted(at, ends - words.counts).tolist()
+    out = []
+    for n, end, a, b in zip(words.counts.tolist(), ends.tolist(), begin, [*begin[1:], len(at)]):
+        # a text of fewer words is one shingle
+        out.append(np.unique(runs[a:b] if n >= size else window_hashes(words.hashes(0, end - n, end), n) if n else np.empty(0, U64)))
+    return out
 
 
 def node_of(shingles: np.ndarray) -> np.uint64:
@@ -155,7 +161,7 @@ def describe(size: int):
     """Task function: documents -> set size, node and bit sketch."""
     def run(batches):
         for rows, texts in in_blocks(batches, "text"):
-            sets = [shingle_set(t, size) for t in texts]
+            sets = shingle_sets(texts, size)
             nodes = [int(node_of(s).view(np.int64)) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([pa.concat_arrays(rows.column("doc_id").chunks), pa.array([len(s) for s in sets], pa.int64()),
                                               pa.array(nodes, pa.int64()), pa.array([bit_sketch(s) if len(s) else None for s in sets], pa.binary())],
@@ -223,8 +229,7 @@ def send_keys(size: int, similarity: int, buckets: int):
         lows = bands(similarity)
         for rows, texts in in_blocks(batches, "text"):
             known, keys, nodes = {}, [], []
-            for text in texts:
-                s = shingle_set(text, size)
+            for s in shingle_sets(texts, size):
                 node = node_of(s) if len(s) else None
                 if node is None or int(node) in known:
                     continue
@@ -321,8 +326,7 @@ def send_sets(size: int, wanted):
         bits = wanted.value
         for _, texts in in_blocks(batches, "text"):
             out: dict[int, bytes] = {}
-            for text in texts:
-                s = shingle_set(text, size)
+            for s in shingle_sets(texts, size):
                 if len(s):
                     node = int(node_of(s).view(np.int64))
                     place = (node >> (64 - FILTER_BITS)) & ((1 << FILTER_BITS) - 1)

@@ -359,7 +359,7 @@ def test_jaccard_join_with_hot_keys(spark, docs, rows, monkeypatch):
     assert any(r["a"] is not None for r in got) and list(in_blocks(iter([texts]), "text"))
     about = {}
     for _, t, *_ in rows:
-        s = jaccard_join.shingle_set((t or "").encode(), 4)
+        s, = jaccard_join.shingle_sets([(t or "").encode()], 4)
         if len(s):
             about[int(jaccard_join.node_of(s).view(np.int64))] = (len(s), jaccard_join.bit_sketch(s), ref.shingles(t, 4))
     keyed = sorted((r for r in got if r["node"] is not None), key=lambda r: r["key"])
@@ -411,6 +411,15 @@ def test_windows_of_many_texts_by_segments(monkeypatch, segment):
         assert five.tolist() == [x for h in whole for x in common.window_hashes(h, 5).tolist()]
 
 
+def test_shingle_sets_of_many_texts():
+    texts = [b"", b" ", b"a B c D", b"A b C d", b"a b c", b"A b  c ", b"a", b"a b c d a b c d a", b"d a b c"]
+    sets = jaccard_join.shingle_sets(texts, 4)
+    assert [len(s) for s in sets] == [len(ref.shingles(t.decode(), 4)) for t in texts]
+    assert [set(s.tolist()) for s in sets] == [set(jaccard_join.shingle_sets([t], 4)[0].tolist()) for t in texts]
+    assert sets[2].tolist() == sets[3].tolist() and sets[4].tolist() == sets[5].tolist() and set(sets[8].tolist()) < set(sets[7].tolist())
+    assert len(jaccard_join.shingle_sets([], 4)) == 0
+
+
 def test_a_leader_is_tied_to_whatever_links_with_a_follower():
     # sizes straddle 64 and 128, where sketches double their width
     rng, followed = np.random.default_rng(5), 0
