@@ -78,6 +78,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether a single file is at ``path``: not a folder, whatever its name ends in."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, so tasks can import it."""
     context = spark.sparkContext

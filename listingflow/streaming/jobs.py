@@ -27,7 +27,7 @@ from ..operators import listing as LS
 from ..operators import manifest as M
 from ..operators import stats as S
 from ..operators.delta_store import DeltaStore
-from ..session import ensure_checkpoint_dir, path_exists
+from ..session import ensure_checkpoint_dir, is_file, path_exists
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
@@ -40,7 +40,7 @@ def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if not path.endswith("/") and os.path.splitext(path)[1]:
+    if is_file(spark, path):                                     # a folder may be named like a file
         # a single file: watch its folder, keep only files with that exact name
         return reader.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path))
     return reader.parquet(path)

@@ -159,3 +159,19 @@ def test_events_without_a_type_are_logged(spark, tmp_path):
     outs = J.route(spark.readStream.schema("event_id long, source string, event string").parquet(folder), J.default_routes(), J.run_dir(spark, "test-route"))
     log = {(r["source"], r["event"]): r["count"] for r in spark.read.parquet(outs["log"]).collect()}
     assert log == {("s", None): 1, (None, "crawl_started"): 1}
+
+
+def test_a_table_in_several_files_is_streamed_whole(spark, tmp_path):
+    """A table may be a folder of files that is named like a file."""
+    path = str(tmp_path / "events.parquet")
+    spark.read.parquet(SF + "/events.parquet").repartition(3).write.parquet(path)
+    stream = J.file_stream(spark, path)
+    out = J.route(stream, {"all": lambda b: b.select("event_id")}, J.run_dir(spark, "test-folder"))["all"]
+    assert J.read_all_batches(spark, out).count() == spark.read.parquet(SF + "/events.parquet").count() > 0
+
+
+def test_ingest_of_pages_in_a_folder(spark, tmp_path):
+    from listingflow.plans.catalog import QUERIES
+    (spark.read.parquet(SF + "/pages.parquet").repartition(3).write.parquet(str(tmp_path / "pages.parquet")))
+    got, one = (sorted(map(tuple, QUERIES["stream_ingest"](spark, d).collect())) for d in (str(tmp_path), SF))
+    assert got == one and len(got) > 0
