@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import pickle
 import re
+from bisect import bisect_left
 from collections.abc import Iterable
 
 import numpy as np
@@ -281,19 +282,23 @@ def runs(labels: np.ndarray, margin: np.ndarray) -> list[tuple[int, int, int, fl
 def reconcile(found: list[tuple[int, int, int, float, bool, bool]]) -> list[tuple[int, int, int]]:
     """One set of spans from those of all windows: ``(start, kind, end, margin, cut at the left, cut at the right)``."""
     joined: list[list] = []
+    open_: dict[int, list[list]] = {}  # per kind, those that a later span may still touch
     for a, k, b, m, left, right in sorted(found):
-        last = next((j for j in reversed(joined[-4:]) if j[1] == k and a <= j[2] and (left or j[5] or (a >= j[0] and b <= j[2]))), None)
+        reach = open_[k] = [j for j in open_.get(k, ()) if a <= j[2]]
+        last = next((j for j in reversed(reach) if left or j[5] or b <= j[2]), None)
         if last is None:
             joined.append([a, k, b, m, left, right])
+            reach.append(joined[-1])
         elif b > last[2]:
             last[2], last[3], last[5] = b, max(last[3], m), right
         else:
             last[3] = max(last[3], m)
-    taken: list[tuple[int, int, int]] = []
+    taken: list[tuple[int, int, int]] = []  # sorted; none overlaps another, so only the neighbours can be met
     for a, k, b, m, *_ in sorted(joined, key=lambda j: (-j[3], j[0], j[1])):
-        if not any(a < y and x < b for x, _, y in taken[-64:]):
-            taken.append((a, k, b))
-    return sorted(taken)
+        at = bisect_left(taken, (a,))
+        if (not at or taken[at - 1][2] <= a) and (at == len(taken) or b <= taken[at][0]):
+            taken.insert(at, (a, k, b))
+    return taken
 
 
 _AT = re.compile(r"\s*(?:@|[(\[{]\s*at\s*[)\]}])\s*", re.I)

@@ -108,6 +108,16 @@ def model(spark):
     return pii.train(table(spark, SF, "documents", "doc_id", "text").union(table(spark, "/root/testdata/sf0.1", "documents", "doc_id", "text")))
 
 
+def test_all_spans_of_a_text_are_reconciled():
+    # the strongest of 200 is met by the weakest; a long span is met again behind four others
+    many = [(20 * i, 0, 20 * i + 10, 1000.0 - i, False, False) for i in range(200)]
+    assert pii.reconcile([*many, (5, 1, 12, 0.5, False, False)]) == [(a, k, b) for a, k, b, *_ in many]
+    short = [(11 + 2 * i, 1 + i % 2, 12 + 2 * i, 1.0, False, False) for i in range(6)]
+    assert pii.reconcile([(10, 0, 60, 9.0, False, False), *short, (40, 0, 60, 2.0, True, False)]) == [(10, 0, 60)]
+    pieces = [(10, 0, 40, 1.0, False, True), *((11 + i, 1, 12 + i, 0.5, False, False) for i in range(5)), (30, 0, 80, 2.0, True, False)]
+    assert pii.reconcile(pieces) == [(10, 0, 80)]
+
+
 def test_held_out_spans_are_found_and_other_numbers_left_alone(model):
     rng = np.random.default_rng(99)
     base = {0: "carol.day@mail9.example.org", 1: "", 2: "", 3: ""}
