@@ -1,6 +1,6 @@
 """Rule-driven extraction from stored pages (PRJ-3, PRJ-5…10, PRJ-16, JOIN-6, UDF-1…3).
 
-The only Python stage of the library.  ``mapInPandas`` parses each page once, evaluates the
+The only Python stage of the library.  ``mapInArrow`` parses each page once, evaluates the
 CSS-like rules of the page's source and emits *raw strings* plus the label/value entries of
 spec blocks; everything after it (spec-map lookups, typing, validation) is native Spark.  The
 ``html`` column is dropped by the parse, so it never reaches a shuffle.
@@ -30,10 +30,12 @@ import re
 from collections import defaultdict, namedtuple
 from typing import Dict, Iterable, Iterator, List, Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import html as H
 from ..functions import postprocess as PP
@@ -366,35 +368,54 @@ def _links(doc: H.Node, rules: Sequence[Rule]):
     return out
 
 
+#: Pages parsed at once inside a task hold about this much HTML (one larger page alone).
+PART_BYTES = 1 << 20
+
+
+def by_bytes(batch: pa.RecordBatch, column: str, most_bytes: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices (views, nothing is copied) with about ``most_bytes`` of ``column``: what a
+    task makes of a slice stays small however many rows Spark hands over at once."""
+    sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_pylist()
+    begin = held = 0
+    for i, size in enumerate(sizes):
+        if i > begin and held + size > most_bytes:
+            yield batch.slice(begin, i - begin)
+            begin, held = i, 0
+        held += size
+    if begin < len(sizes):
+        yield batch.slice(begin)
+
+
 def _parser(rules_by_source: Dict[str, List[Rule]], page_kind: str, phone: bool = True):
     if not phone:
         rules_by_source = {s: [r for r in rs if r.field != "phone_text"] for s, rs in rules_by_source.items()}
 
-    def fn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            rows = []
-            for page_id, url, source, html in zip(pdf["page_id"], pdf["url"], pdf["source"], pdf["html"]):
-                rules = rules_by_source.get(source)
-                if rules is None:
-                    continue
-                row = {"page_id": page_id, "url": url, "source": source, "parse_error": None}
-                values, entries, links = {}, [], []
-                try:                          # a page that cannot be parsed fails alone
-                    doc = H.parse(html)
+    schema = to_arrow_schema(DETAIL_SCHEMA if page_kind == "detail" else LIST_SCHEMA)
+
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in by_bytes(batch, "html"):
+                rows = []
+                for page_id, url, source, html in zip(*(part[c].to_pylist() for c in ("page_id", "url", "source", "html"))):
+                    rules = rules_by_source.get(source)
+                    if rules is None:
+                        continue
+                    row = {"page_id": page_id, "url": url, "source": source, "parse_error": None}
+                    values, entries, links = {}, [], []
+                    try:                          # a page that cannot be parsed fails alone
+                        doc = H.parse(html)
+                        if page_kind == "detail":
+                            values, entries = _detail(doc, url, rules)
+                        else:
+                            links = _links(doc, rules)
+                    except Exception as e:  # noqa: BLE001 - whatever the page provokes is its own outcome
+                        row["parse_error"] = f"{type(e).__name__}: {e}"[:200]
                     if page_kind == "detail":
-                        values, entries = _detail(doc, url, rules)
+                        rows.append({**row, **{f: values.get(f) for f in DETAIL_FIELDS},
+                                     "spec_entries": [{"map": m, "k": k, "v": v} for m, k, v in entries]})
                     else:
-                        links = _links(doc, rules)
-                except Exception as e:  # noqa: BLE001 - whatever the page provokes is its own outcome
-                    row["parse_error"] = f"{type(e).__name__}: {e}"[:200]
-                if page_kind == "detail":
-                    rows.append({**row, **{f: values.get(f) for f in DETAIL_FIELDS},
-                                 "spec_entries": [{"map": m, "k": k, "v": v} for m, k, v in entries]})
-                else:
-                    rows.append({**row, "links": [{"url": u, "title": t} for u, t in links]})
-            cols = (["page_id", "url", "source"] + DETAIL_FIELDS + ["spec_entries", "parse_error"] if page_kind == "detail"
-                    else ["page_id", "url", "source", "links", "parse_error"])
-            yield pd.DataFrame(rows, columns=cols)
+                        rows.append({**row, "links": [{"url": u, "title": t} for u, t in links]})
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
     return fn
 
 
@@ -416,7 +437,7 @@ def parse_detail_pages(pages: DataFrame, rules: RuleSet, keep_errors: bool = Fal
     null fields and its ``parse_error``, otherwise it is left out.  Without ``phone`` the text that
     phone numbers are looked for in (the whole page) is not sent back."""
     ship_package(pages.sparkSession)
-    parsed = pages.select("page_id", "url", "source", "html").mapInPandas(
+    parsed = pages.select("page_id", "url", "source", "html").mapInArrow(
         _parser(rules.by_source(), "detail", phone), DETAIL_SCHEMA)
     if not keep_errors:
         parsed = parsed.filter(F.col("parse_error").isNull()).drop("parse_error")
@@ -443,7 +464,7 @@ def parse_list_pages(pages: DataFrame, rules: RuleSet) -> DataFrame:
     """PRJ-3 with site rules: one row per link ``(page_id, source, pos, href, title)``; a page
     that cannot be parsed gives no link."""
     ship_package(pages.sparkSession)
-    parsed = pages.select("page_id", "url", "source", "html").mapInPandas(
+    parsed = pages.select("page_id", "url", "source", "html").mapInArrow(
         _parser(rules.by_source(), "list"), LIST_SCHEMA)
     return parsed.select("page_id", "url", "source", F.posexplode("links").alias("pos0", "l")).select(
         "page_id", "url", "source", (F.col("pos0") + 1).alias("pos"),

@@ -233,3 +233,18 @@ def test_a_site_that_writes_zero_for_unknown(spark):
     got = {(r["i"], r["source"]): r["price_text"] for r in EX.postprocess(raw, EX.RuleSet(EX.site_rules())).collect()}
     assert [got[(i, "bds123.vn")] for i in range(8)] == [None, None, None, "Thỏa thuận", "10 m", "05", None, None]
     assert [got[(i, "mogi.vn")] for i in range(8)] == texts
+
+
+def test_pages_are_parsed_in_parts_of_bounded_size():
+    """However many pages come in one batch, a task holds the output of about one part at a time."""
+    import pyarrow as pa
+
+    html = ["<h1>" + "x" * n + "</h1>" for n in (10, EX.PART_BYTES, 400_000, 400_000, 400_000, 5)] + [None]
+    batch = pa.RecordBatch.from_pylist([{"page_id": i, "url": f"u{i}", "source": "s" if i != 5 else None, "html": h} for i, h in enumerate(html)],
+                                       pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("source", pa.string()), ("html", pa.string())]))
+    assert [p.num_rows for p in EX.by_bytes(batch, "html")] == [1, 1, 2, 3]
+    assert list(EX.by_bytes(batch.slice(0, 0), "html")) == []
+    out = list(EX._parser({"s": EX.generic_rules("s")}, "detail")(iter([batch])))
+    assert [o.num_rows for o in out] == [1, 1, 2, 2]
+    rows = [r for o in out for r in o.to_pylist()]
+    assert [r["page_id"] for r in rows] == [0, 1, 2, 3, 4, 6] and [len(r["title"] or "") for r in rows][:2] == [10, EX.PART_BYTES]
