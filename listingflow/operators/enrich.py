@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 from typing import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -222,7 +223,8 @@ def whole_frames(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pdf = pdf if carry is None else pd.concat([carry, pdf], ignore_index=True)
         if not len(pdf):
             continue
-        last = (pdf["batch_key"] == pdf["batch_key"].iloc[-1]).to_numpy()
+        keys = pdf["batch_key"].to_numpy()
+        last = keys == keys[-1]
         first = 0 if last.all() else len(pdf) - int(last[::-1].argmin())
         if first:
             yield pdf.iloc[:first].reset_index(drop=True)
@@ -231,32 +233,47 @@ def whole_frames(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield carry.reset_index(drop=True)
 
 
+def batch_parts(pdf: pd.DataFrame) -> Iterator[tuple]:
+    """``(batch_key, rows)`` of the batches of a frame whose batches' rows follow each other."""
+    keys = pdf["batch_key"].to_numpy()
+    cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield keys[a], pdf.iloc[a:b]
+
+
 def guarded(enricher: Enricher) -> Enricher:
     """ENR-6: ``enricher`` made safe per batch.  Frames of whole batches go to it; if it raises,
     the replies it has given are kept and the frame's other batches are handed over one by one,
     and a batch that raises again yields its error in place of a reply.  No batch ends the job."""
-    def replies(outs, hashes):
-        keys = outs["batch_key"]
-        return pd.DataFrame({"batch_hash": keys.map(hashes), "batch_key": keys, "text": outs["text"], "error": None}, dtype=object)
-
     def fn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in whole_frames(frames):
             hashes = dict(zip(pdf["batch_key"], pdf["batch_hash"]))
             pdf = pdf.drop(columns="batch_hash")
-            done: set = set()
+            keys, texts, errors = [], [], []       # one frame of replies per frame: a frame costs more than its rows
+
+            def keep(outs):
+                for out in outs:
+                    keys.extend(out["batch_key"])
+                    texts.extend(out["text"])
+                errors.extend([None] * (len(keys) - len(errors)))
+
             try:
                 for out in enricher(iter([pdf])):
-                    done.update(out["batch_key"])
-                    yield replies(out, hashes)
-                continue
+                    keep([out])
             except Exception:
-                rest = pdf[~pdf["batch_key"].isin(done)]
-            for key, part in rest.groupby("batch_key", sort=False):
-                try:
-                    outs = [replies(out, hashes) for out in enricher(iter([part.reset_index(drop=True)]))]
-                except Exception as e:
-                    outs = [pd.DataFrame({"batch_hash": [hashes[key]], "batch_key": [key], "text": [None], "error": [f"{type(e).__name__}: {e}"[:500]]}, dtype=object)]
-                yield from outs
+                done = set(keys)
+                for key, part in batch_parts(pdf):
+                    if key in done:
+                        continue
+                    try:
+                        keep(list(enricher(iter([part.reset_index(drop=True)]))))
+                    except Exception as e:
+                        keys.append(key)
+                        texts.append(None)
+                        errors.append(f"{type(e).__name__}: {e}"[:500])
+            if keys:
+                yield pd.DataFrame({"batch_hash": [hashes.get(k) for k in keys], "batch_key": keys, "text": texts, "error": errors}, dtype=object)
 
     return fn
 

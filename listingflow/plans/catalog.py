@@ -414,7 +414,7 @@ def _failing_enricher():
 
     def fn(frames):
         for pdf in EN.whole_frames(frames):
-            for key, part in pdf.groupby("batch_key", sort=False):
+            for key, part in EN.batch_parts(pdf):
                 if int(key.rsplit("/", 1)[1]) % 3 == 2:
                     raise RuntimeError("no reply for " + key)
                 yield from answer(iter([part]))
