@@ -36,6 +36,8 @@ KEY_BITS, WORDS = 12, 4
 #: A bucket is rewritten when it has so many deltas, or deltas of this share of its base.
 MOST_DELTAS, MOST_DELTA_SHARE = 8, 0.5
 MOST_ROWS = 2_000_000
+#: With more buckets than this, a segment is written by as many tasks as a shuffle has.
+MANY_LEAVES = 32
 
 
 class DeltaStore:
@@ -82,10 +84,17 @@ class DeltaStore:
         return [os.path.join(self.root, kind, s["name"], f"bucket={leaf}") for leaf in leaves for s in m["segments"].get(leaf, [])]
 
     # ------------------------------------------------------------------ writing
+    def _dealt(self, rows: DataFrame, m: dict) -> DataFrame:
+        """The rows of a bucket together.  Few buckets are dealt by their size; of many, the files cost more
+        than the bytes, so their writing is spread over all tasks however little they hold."""
+        if len(m["leaves"]) <= MANY_LEAVES:
+            return rows.hint("rebalance", F.col("bucket"))
+        return rows.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), "bucket")
+
     def _write_segment(self, rows: DataFrame, m: dict, name: str) -> dict[str, dict]:
         """Write rows (with ``_seq``) and their sketch; what was written per leaf."""
         data, sketch = os.path.join(self.root, "data", name), os.path.join(self.root, "sketch", name)
-        rows.withColumn("bucket", self._leaf(m)).hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(data)
+        self._dealt(rows.withColumn("bucket", self._leaf(m)), m).write.partitionBy("bucket").parquet(data)
         sizes = {n[7:]: b for n, b in M.child_sizes(self.spark, data).items() if n.startswith("bucket=")}
         if not sizes:
             return {}
@@ -94,8 +103,8 @@ class DeltaStore:
         for leaf, n in counts.items():
             if not m["segments"].get(leaf):                              # a first segment settles the sketch's size
                 m["leaves"][leaf] = [*m["leaves"][leaf][:2], max(1, -(-2 * n * KEY_BITS // (64 * WORDS)))]
-        (self._with_place(keys.select(self.key), m).groupBy("bucket", "block").agg(*[F.bit_or(mask).alias(f"w{i}") for i, mask in enumerate(self._masks())])
-         .hint("rebalance", F.col("bucket")).withColumn("leaf", F.col("bucket")).write.partitionBy("bucket").parquet(sketch))
+        words = self._with_place(keys.select(self.key), m).groupBy("bucket", "block").agg(*[F.bit_or(mask).alias(f"w{i}") for i, mask in enumerate(self._masks())])
+        self._dealt(words, m).withColumn("leaf", F.col("bucket")).write.partitionBy("bucket").parquet(sketch)
         return {leaf: {"name": name, "bytes": b, "rows": counts[leaf]} for leaf, b in sizes.items()}
 
     def append(self, updates: DataFrame, job: str, batch_id: int) -> bool:

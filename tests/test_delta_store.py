@@ -197,3 +197,14 @@ def test_sinks_of_a_micro_batch_are_committed_together(spark, tmp_path):
     assert got == {"a": 4, "b": 2} and M.read_sink(spark, root, "sessions").count() == 1
     run(routes)
     assert M.read_sink(spark, root, "listings").count() == 4
+
+
+def test_many_buckets_are_written_by_several_tasks(spark):
+    """The files of a bucket come from one task, those of many small buckets not all from the same one."""
+    store = store_of(spark, "ds-spread", depth=6)
+    store.append(rows(spark, [(str(i), f"l{i}", 1.0, None, 1) for i in range(500)]), "job", 0)
+    files = [(f.split("/")[-2], f.split("/")[-1].split("-")[1]) for kind in ("data", "sketch")
+             for f in spark.read.option("recursiveFileLookup", "true").parquet(os.path.join(store.root, kind)).inputFiles()]
+    assert len(files) == 2 * len({b for b, _ in files}) and len({b for b, _ in files}) > 32
+    assert len({task for _, task in files}) > 2
+    assert store.read().count() == 500
