@@ -173,6 +173,11 @@ def run_hashes(hashes: np.ndarray, lengths: Iterable[int], factor: np.uint64 = _
     return [mix(known[length]) for length in lengths]
 
 
+def eights(raw) -> np.ndarray:
+    """The eight bytes from every place of ``raw`` on, as numbers (nothing is copied)."""
+    return np.ndarray(max(0, len(raw) - 7), "<u8", raw, strides=(1,))
+
+
 class Words:
     """Where the words ``[^\\x20\\x09-\\x0D]+`` of several texts lie, found for all texts at once."""
 
@@ -198,12 +203,12 @@ class Words:
         factor = U64(_SEEDS[seed])
         starts, lengths = self.starts[begin:end], self.lengths[begin:end]
         out = mix(lengths.astype(U64) + factor)
-        lanes = np.lib.stride_tricks.as_strided(self.bytes, (len(self.bytes) - 7, 8), (1, 1))
+        lanes = eights(self.raw)
         short = lengths <= self.LONG
         at = np.flatnonzero(short)
         places, left = starts[at], lengths[at]
         while len(at):
-            lane = lanes[places].view("<u8").ravel() & _MASKS[np.minimum(left, 8)]
+            lane = lanes[places] & BYTE_MASKS[np.minimum(left, 8)]
             out[at] = mix((out[at] ^ lane) * factor)
             more = left > 8
             at, places, left = at[more], places[more] + 8, left[more] - 8
@@ -230,7 +235,7 @@ class Words:
 #: Odd factors of the word hashes.
 _SEEDS = (0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F)
 #: The lowest 0 to 8 bytes of a number.
-_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
+BYTE_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 
 
 def in_blocks(batches: Iterable[pa.RecordBatch], text: str, most_bytes: int = BLOCK_BYTES) -> Iterator[tuple[pa.Table, list[bytes]]]:
