@@ -17,7 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
-from .regex import STRIP, WS
+from .regex import STRIP, WS, needed
 
 
 def _c(x) -> Column:
@@ -48,6 +48,19 @@ def _extract(s: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(s, pattern, group), F.lit(""))
 
 
+def _found(s: Column, pattern: str, group: int = 1) -> Column:
+    """First match's group, '' or null when there is no match.  Most texts lack the words that a
+    pattern needs; a search for those costs a small part of the regex."""
+    out = F.regexp_extract(s, pattern, group)
+    conds = [functools.reduce(Column.__or__, [s.contains(w) for w in words]) for words in needed(pattern)]
+    return F.when(functools.reduce(Column.__and__, conds), out) if conds else out
+
+
+def _number(s: Column, pattern: str, group: int, typ: str) -> Column:
+    """The number in the first match's group, null when there is none ('' is no number)."""
+    return _found(s, pattern, group).try_cast(typ)
+
+
 def py_strip(x) -> Column:
     """Python ``str.strip()``: remove leading/trailing whitespace of any kind."""
     return F.regexp_replace(_c(x), STRIP, "")
@@ -66,9 +79,9 @@ def clean_text(x) -> Column:
 def _price_fallback(t: Column) -> Column:
     cands = []
     for pattern, mult, groups in P.PRICE_FALLBACK:
-        g1 = _extract(t, pattern, 1).try_cast("double")
+        g1 = _number(t, pattern, 1, "double")
         if groups == 2:
-            g2 = _extract(t, pattern, 2).try_cast("double")
+            g2 = _number(t, pattern, 2, "double")
             # same division as "b/10 if b < 10 else b/100", with b read in always-evaluated
             # positions so its code is generated once
             val = g1 + g2 / F.when(g2 < 10, F.lit(10.0)).otherwise(F.lit(100.0))
@@ -83,7 +96,7 @@ def price_key(x) -> Column:
     """The text extract_price works on: lower-cased, ',' read as '.' (null for null/empty)."""
     s = _c(x)
     return F.when(s.isNull() | (s == ""), F.lit(None).cast("string")).otherwise(
-        F.regexp_replace(F.lower(s), ",", "."))
+        F.replace(F.lower(s), F.lit(","), F.lit(".")))
 
 
 @by_name
@@ -93,12 +106,20 @@ def extract_price(x) -> Column:
 
 
 @by_name
-def price_from_key(key) -> Column:
+def price_sum_key(key) -> Column:
+    """The sum of a ``price_key``'s unit parts, which ``price_from_key`` reads more than once."""
     t = _c(key)
     total = None
     for pattern, mult in P.PRICE_SUM_PARTS:
-        part = F.coalesce(_extract(t, pattern, 1).try_cast("double") * F.lit(mult), F.lit(0.0))
+        part = F.coalesce(_number(t, pattern, 1, "double") * F.lit(mult), F.lit(0.0))
         total = part if total is None else total + part
+    return total
+
+
+@by_name
+def price_from_key(key, sum_key=None) -> Column:
+    t = _c(key)
+    total = price_sum_key(t) if sum_key is None else _c(sum_key)
     out = F.when(total > 0, total).otherwise(_price_fallback(t))
     return F.when(t.isNull(), F.lit(None).cast("double")).otherwise(out)
 
@@ -112,7 +133,7 @@ def extract_area(x) -> Column:
 @by_name
 def area_from_key(key) -> Column:
     t = _c(key)
-    return F.coalesce(*[_extract(t, p, 1).try_cast("double") for p in P.AREA_PATTERNS])
+    return F.coalesce(*[_number(t, p, 1, "double") for p in P.AREA_PATTERNS])
 
 
 @by_name
@@ -145,7 +166,7 @@ def lower_key(x) -> Column:
 def _count_from_key(key, patterns) -> Column:
     t = _c(key)
     stripped = py_strip(t)
-    cands = [_extract(t, p, 1).try_cast("int") for p in patterns]
+    cands = [_number(t, p, 1, "int") for p in patterns]
     cands.append(F.when(stripped.rlike("^[0-9]+$"), stripped.try_cast("int")))
     return F.coalesce(*cands)
 
@@ -189,7 +210,7 @@ def date_abs_key(key) -> Column:
     cands = []
     for pattern, order in P.DATE_PATTERNS:
         sep = "/" if "/" in pattern else "-"
-        whole = F.regexp_extract(t, pattern, 0)
+        whole = _found(t, pattern, 0)
         cands.append(F.try_to_timestamp(whole, F.lit(_DATE_FORMATS[order].format(sep=sep))))
     return F.coalesce(*cands).cast("timestamp_ntz")
 
@@ -205,7 +226,7 @@ def date_rel_key(key) -> Column:
     t = _c(key)
     # a count that would leave the calendar reads as no date at all
     def ago(pattern, unit_days):
-        n = _extract(t, pattern, 1).try_cast("bigint")
+        n = _number(t, pattern, 1, "bigint")
         return F.when(n <= MOST_DAYS_AGO * unit_days, n.try_cast("int"))
 
     days, hours, minutes = ago(P.DATE_DAYS_AGO, 1), ago(P.DATE_HOURS_AGO, 24), ago(P.DATE_MINUTES_AGO, 24 * 60)
@@ -268,14 +289,14 @@ def format_date(x) -> Column:
 def frontage_key(x) -> Column:
     """Stripped, lower-cased text with ',' as '.', the input of extract_frontage."""
     c = _c(x)
-    return F.regexp_replace(F.lower(py_strip(c.cast("string"))), ",", ".")
+    return F.replace(F.lower(py_strip(c.cast("string"))), F.lit(","), F.lit("."))
 
 
 @by_name
 def frontage_from_key(key) -> Column:
     t = _c(key)
     plain = F.when(t.rlike(P.FRONTAGE_NUMBER), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
-    return F.coalesce(plain, _extract(t, P.FRONTAGE_METRES, 1).try_cast("double"))
+    return F.coalesce(plain, _number(t, P.FRONTAGE_METRES, 1, "double"))
 
 
 @by_name
@@ -300,9 +321,10 @@ def extract_city(x) -> Column:
 
 
 @by_name
-def city_from_key(key) -> Column:
+def city_from_key(key, low_key=None) -> Column:
+    """``low_key``: the key in lower case, which every name is looked for in."""
     part = _c(key)
-    low = F.lower(part)
+    low = F.lower(part) if low_key is None else _c(low_key)
     chain = None
     for key, value in P.CITY_MAPPING:
         cond = low.contains(key.lower())

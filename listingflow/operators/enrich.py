@@ -22,6 +22,7 @@ from ..functions import patterns as P
 from ..functions import text as X
 from ..session import ship_package
 from .batching import batch_ids
+from .listing import split_methods
 
 DEFAULT_TEMPLATE = (
     "Fill in the missing fields of each listing below from its description.\n"
@@ -152,37 +153,30 @@ def _values(listing: DataFrame, cols):
     return out
 
 
-def _value_names(cols):
-    return [n for c in cols for n in (["_va_" + c, "_vr_" + c] if c == "postedDate" else ["_v_" + c])]
-
-
 def merge_reply_items(listing: DataFrame, items: DataFrame, order: Sequence[str] = (), as_of: str = "crawled_at",
                       fields: Sequence[str] = P.ENRICH_FIELDS) -> DataFrame:
     """ENR-5/6 + JOIN-4 + AGG-8 on parsed reply objects ``(item_id, *order, item)``.
 
-    The last object per id wins (``max_by`` over ``order``, combined map-side).  Reply values
-    are normalised on the reply side, in two code-generation stages split by that
-    aggregation's shuffle (the price before it, the other fields after it), so the listing side
-    only evaluates a cheap CASE per field after the left join.  A present key replaces the
+    The last object per id wins (``max_by`` over ``order``, combined map-side).  Its values alone
+    are then normalised, on the reply side and in methods small enough for the JVM to compile
+    (``split_methods``), so the listing side only evaluates a cheap CASE per field after the left
+    join.  A present key replaces the
     field (a JSON null clears it), an absent key keeps it, the unit price is recomputed when
     still empty, and ``enriched`` marks replied rows.  Row-wise: one bad value cannot abort a
     batch (fixes Q10).  A relative posted date is applied to the listing's ``as_of``."""
     merge_cols = [c for c in listing.columns if c in fields]
     m = F.col("item")
     ordering = F.struct(*[F.col(c) for c in order]) if order else F.struct(F.lit(0))
-    keyed = items.select(
-        "item_id", ordering.alias("_ord"),
-        *[F.map_contains_key(m, c).alias("_p_" + c) for c in merge_cols],
-        *[_value_rule(c)[0](F.element_at(m, F.lit(c))).alias("_k_" + c) for c in merge_cols])
-    first = [c for c in merge_cols if c == "price"]
-    rest = [c for c in merge_cols if c not in first]
+    latest = (items.select("item_id", ordering.alias("_ord"), "item").groupBy("item_id")
+              .agg(F.max_by("item", "_ord").alias("item")))
     flags = ["_p_" + c for c in merge_cols]
-    carried = flags + _value_names(first) + ["_k_" + c for c in rest]
-    stage1 = keyed.select("item_id", "_ord", *flags, *_values(listing, first), *[F.col("_k_" + c) for c in rest])
-    latest = (stage1.groupBy("item_id")
-              .agg(F.max_by(F.struct(*carried), F.col("_ord")).alias("_r"))
-              .select(F.col("item_id").alias("_rid"), *[F.col("_r." + n).alias(n) for n in carried]))
-    typed = latest.select("_rid", *flags, *_value_names(first), *_values(listing, rest))
+    # a split column in both projections keeps them out of the whole stage's one method
+    keyed = latest.select(
+        F.col("item_id").alias("_rid"),
+        *[split_methods(F.map_contains_key(m, c)).alias("_p_" + c) for c in merge_cols[:1]],
+        *[F.map_contains_key(m, c).alias("_p_" + c) for c in merge_cols[1:]],
+        *[_value_rule(c)[0](F.element_at(m, F.lit(c))).alias("_k_" + c) for c in merge_cols])
+    typed = keyed.select("_rid", *[split_methods(F.col(f)).alias(f) for f in flags[:1]], *flags[1:], *_values(listing, merge_cols))
     j = listing.join(typed, F.col("id").cast("string") == F.col("_rid"), "left")
     out = []
     for c in listing.columns:
@@ -228,9 +222,10 @@ def whole_frames(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first = 0 if last.all() else len(pdf) - int(last[::-1].argmin())
         if first:
             yield pdf.iloc[:first].reset_index(drop=True)
-        carry = pdf.iloc[first:]
+        carry = pdf.iloc[first:] if first else pdf
     if carry is not None:
-        yield carry.reset_index(drop=True)
+        fresh = type(carry.index) is pd.RangeIndex and (carry.index.start, carry.index.step) == (0, 1)
+        yield carry if fresh else carry.reset_index(drop=True)
 
 
 def batch_parts(pdf: pd.DataFrame) -> Iterator[tuple]:
@@ -239,7 +234,7 @@ def batch_parts(pdf: pd.DataFrame) -> Iterator[tuple]:
     cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
     for a, b in zip(cuts, cuts[1:]):
         if a < b:
-            yield keys[a], pdf.iloc[a:b]
+            yield keys[a], pdf if b - a == len(keys) else pdf.iloc[a:b]
 
 
 def guarded(enricher: Enricher) -> Enricher:
@@ -287,7 +282,7 @@ def batch_records(batched: DataFrame, group: str = "source", request_cols: Seque
     rows = batched.select(group, "batch", F.struct(
         "pos", F.col("id").cast("string").alias("id"), missing_fields(batched, fields).alias("missing"),
         *[F.col(c).cast("string").alias(c) for c in request_cols]).alias("r"))
-    g = rows.groupBy(group, "batch").agg(F.array_sort(F.collect_list("r")).alias("records"))
+    g = rows.groupBy(group, "batch").agg(F.sort_array(F.collect_list("r")).alias("records"))
     joint = F.array_distinct(F.flatten(F.col("records.missing")))
     key = F.concat_ws("/", F.col(group), F.col("batch").cast("string"))
     return g.select(key.alias("batch_key"), F.sha2(F.to_json(F.struct(F.col(group).alias("group"), "records")), 256).alias("batch_hash"),
@@ -350,7 +345,9 @@ def whole_batches(frames: Iterator[pd.DataFrame], size: int) -> Iterator[tuple]:
     end of the input (STR-2), never where a frame happens to end."""
     key, rows = None, []
     for pdf in frames:
-        for row in pdf.to_dict("records"):
+        names = pdf.columns.tolist()
+        for values in pdf.to_numpy(dtype=object).tolist():        # to_dict costs a small frame ten times as much
+            row = dict(zip(names, values))
             if rows and (row["batch_key"] != key or len(rows) >= size):
                 yield key, rows
                 rows = []
@@ -360,6 +357,13 @@ def whole_batches(frames: Iterator[pd.DataFrame], size: int) -> Iterator[tuple]:
         yield key, rows
 
 
+def reply_frame(keys: list, texts: list) -> pd.DataFrame:
+    """``(batch_key, text)`` rows: one block of objects, which costs a frame of a few rows far less than two columns."""
+    block = np.empty((len(keys), 2), dtype=object)
+    block[:, 0], block[:, 1] = keys, texts
+    return pd.DataFrame(block, columns=["batch_key", "text"], dtype=object)
+
+
 def rule_based_enricher(batch_size: int = P.ENRICH_BATCH) -> Enricher:
     """A deterministic enricher with no network: property type from keywords (ENR-8), legal
     phrase (ENR-9) and amenity phrases (ENR-10), asked only for the missing fields."""
@@ -396,8 +400,8 @@ def rule_based_enricher(batch_size: int = P.ENRICH_BATCH) -> Enricher:
             keys.append(key)
             texts.append("```json\n" + json.dumps([answer(r) for r in rows], ensure_ascii=False) + "\n```")
             if len(keys) == 500:
-                yield pd.DataFrame({"batch_key": keys, "text": texts})
+                yield reply_frame(keys, texts)
                 keys, texts = [], []
-        yield pd.DataFrame({"batch_key": keys, "text": texts}, dtype=object)
+        yield reply_frame(keys, texts)
 
     return fn

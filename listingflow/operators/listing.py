@@ -88,9 +88,9 @@ def normalise(raw: DataFrame, keep_phone: bool = False, keep: Tuple[str, ...] =
     """PRJ-6 output → typed listing (SCL-1…9, PRJ-12…15).  ``crawled_at`` is the ``as_of``
     for relative dates.  Empty strings become null, as in the reference's field assignment.
 
-    Three projections: per-field keys (lower-cased / cleaned text), then the typed fields from
-    the keys, then the unit price.  Each key is read by many expressions of the next step, so
-    Catalyst keeps the steps apart and every step stays a compact whole-stage-codegen method.
+    Four projections: per-field keys (lower-cased / cleaned text), the keys that are made of
+    these, then the typed fields from the keys, then the unit price.  Each key is read by many
+    expressions of the next step, so Catalyst keeps the steps apart, and a key is made once a row.
     ``keep`` names further columns to carry through.
     """
     g = lambda n: _col_or_null(raw, n)
@@ -101,7 +101,6 @@ def normalise(raw: DataFrame, keep_phone: bool = False, keep: Tuple[str, ...] =
         _col_or_null(raw, "crawled_at", "timestamp_ntz").alias("crawled_at"),
         *[F.nullif(X.clean_text(g(c)), F.lit("")).alias(c)
           for c in ("title", "address", "seller", "description", "legal_text")],
-        X.city_key(X.clean_text(g("address"))).alias("_city"),
         X.price_key(g("price_text")).alias("_price"),
         X.price_key(g("area_text")).alias("_area"),
         X.lower_key(g("bedroom_text")).alias("_rooms"),
@@ -111,11 +110,17 @@ def normalise(raw: DataFrame, keep_phone: bool = False, keep: Tuple[str, ...] =
         (X.extract_phone(g("phone_text")) if keep_phone else F.lit(None).cast("string")).alias("numberPhone"),
         *keep,
     )
+    keys = keys.select(
+        "id", split_methods(F.col("link")).alias("link"), "source", "crawled_at", "title", "address", "seller", "description", "legal_text",
+        X.city_key("address").alias("_city"), F.lower(X.city_key("address")).alias("_city_low"),
+        "_price", X.price_sum_key("_price").alias("_price_sum"),
+        "_area", "_rooms", "_baths", "_front", "_date", "numberPhone", *keep,
+    )
     typed = keys.select(
         "id", "title", "address",
-        X.city_from_key("_city").alias("city"),
+        X.city_from_key("_city", "_city_low").alias("city"),
         "seller", "numberPhone",
-        X.price_from_key("_price").alias("price"),
+        X.price_from_key("_price", "_price_sum").alias("price"),
         X.area_from_key("_area").alias("area"),
         split_methods(F.col("link")).alias("link"),
         X.posted_date_key("_date", "crawled_at").alias("postedDate"),

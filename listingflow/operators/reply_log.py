@@ -68,9 +68,10 @@ def ask_logged(requests: DataFrame, enricher: EN.Enricher, log: str, waves: int
 
 
 def enrich_logged(listing: DataFrame, enricher: EN.Enricher, log: str, group: str = "source", size: int = P.ENRICH_BATCH, as_of: str = "crawled_at",
-                  request_cols: Sequence[str] = ("title", "description"), waves: int = WAVES, row_key: str | None = None) -> DataFrame:
-    """``enrich`` over a reply log: answered batches are merged from the log, the others are asked first."""
-    batched = batch_ids(listing, group, ["link", "id"], size, row_key=row_key)
+                  request_cols: Sequence[str] = ("title", "description"), waves: int = WAVES, row_key: str | None = None, stored: bool = False) -> DataFrame:
+    """``enrich`` over a reply log: answered batches are merged from the log, the others are asked first.
+    A ``stored`` listing is read again where it is needed, not kept in memory."""
+    batched = batch_ids(listing, group, ["link", "id"], size, row_key=row_key, stored=stored)
     base = batched.select(*listing.columns)
     requests = stage(EN.batch_records(batched, group, request_cols), "requests")
     ask_logged(requests, enricher, log, waves)

@@ -432,11 +432,11 @@ def q_enrich_partial_failure(spark, sf_dir):
 def q_enrich_resume(spark, sf_dir):
     """A run in which every third batch fails, and a second over its log: what each batch was asked."""
     log = J.run_dir(spark, "reply-log")
-    typed = _typed(spark, sf_dir)
-    first = RL.enrich_logged(typed, _failing_enricher(), log, waves=2)
+    typed = stage(_typed(spark, sf_dir), "typed")                # both runs are over the same listings: typed once
+    first = RL.enrich_logged(typed, _failing_enricher(), log, waves=2, stored=True)
     first.write.parquet(log + "-first")
     lost = RL.failures(stage(RL.read_log(spark, log), "log")).select("batch_key", F.lit(True).alias("failed_first"))
-    second = RL.enrich_logged(typed, EN.rule_based_enricher(), log, waves=2).agg(F.count_if("enriched").alias("enriched")).select("enriched")
+    second = RL.enrich_logged(typed, EN.rule_based_enricher(), log, waves=2, stored=True).agg(F.count_if("enriched").alias("enriched")).select("enriched")
     asked = RL.read_log(spark, log).groupBy("batch_key").agg(F.count(F.lit(1)).alias("asked"), F.count("text").alias("answered"))
     return (asked.join(lost, "batch_key", "left").crossJoin(F.broadcast(second))          # one row
             .select("batch_key", "asked", "answered", F.coalesce("failed_first", F.lit(False)).alias("failed_first"), F.col("enriched").alias("listings_enriched")))

@@ -72,6 +72,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def storable(df: DataFrame) -> bool:
+    """Whether Parquet holds ``df`` as it is: no type without values of its own, no name twice."""
+    names = [c.lower() for c in df.columns]
+    return len(names) == len(set(names)) and not re.search(r"\b(void|interval)\b", " ".join(t for _, t in df.dtypes))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether anything is at ``path``, on whatever file system it names."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

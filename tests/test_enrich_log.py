@@ -5,8 +5,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from listingflow.operators import batching as B
 from listingflow.operators import enrich as EN
 from listingflow.operators import reply_log as RL
+from listingflow.plans import catalog
 from listingflow.streaming import jobs as J
 
 COLUMNS = "id string, title string, description string, source string, link string, type string, legal string, amenityLocation string, price double"
@@ -130,3 +132,40 @@ def test_empty_listing(spark, listing):
     log = J.run_dir(spark, "test-empty")
     out = RL.enrich_logged(listing.filter("id = 'none'"), EN.rule_based_enricher(), log, waves=1)
     assert out.count() == 0 and RL.read_log(spark, log).count() == 0
+
+
+def test_a_few_offsets_move_no_row(spark, listing):
+    ranked = B.rank_within(listing, "source", ["link", "id"], "rk", num_partitions=5)
+    assert "Exchange hashpartitioning" not in ranked._jdf.queryExecution().explainString(ranked._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    kept = B.rank_within(listing, "source", ["link", "id"], "rk", num_partitions=3, stored=True)
+    want = {r.id: r.n for r in listing.selectExpr("id", "row_number() over (partition by source order by link, id) - 1 as n").collect()}
+    assert {r.id: r.rk for r in ranked.collect()} == {r.id: r.rk for r in kept.collect()} == want
+
+
+def test_rows_that_parquet_cannot_hold_are_ranked(spark, listing):
+    odd = listing.select("id", "source", "link", F.lit(None).alias("nothing"))
+    got = B.rank_within(odd, "source", ["link", "id"], "rk", num_partitions=3)
+    assert got.count() == 95 and got.agg(F.max("rk")).first()[0] == 62 and dict(got.dtypes)["nothing"] == "void"
+
+
+def test_small_frames_are_answered_without_a_record_conversion(monkeypatch):
+    asked = frame(*[k for k in "abcdef" for _ in range(3)]).assign(batch_missing="type", missing="type", title="Villa", description=None)
+    monkeypatch.setattr(pd.DataFrame, "to_dict", lambda *a, **b: pytest.fail("costs a small frame ten times its rows"))
+    out = pd.concat(EN.guarded(EN.rule_based_enricher())(iter([asked])))
+    assert list(out["batch_key"]) == list("abcdef") and out["error"].isna().all()
+    assert '{"id": "2", "type": "biệt thự"}' in out["text"].iloc[0]
+
+
+def test_both_runs_are_over_listings_typed_once(spark, tmp_path, monkeypatch):
+    spark.range(200).selectExpr("id as o_orderkey", "timestamp_ntz'2024-06-15' as o_orderdate").write.parquet(str(tmp_path / "orders.parquet"))
+    plans, run = [], RL.enrich_logged
+
+    def logged(listing, *args, **more):
+        plans.append(listing._jdf.queryExecution().optimizedPlan().toString())
+        return run(listing, *args, **more)
+    monkeypatch.setattr(RL, "enrich_logged", logged)
+    rows = catalog.QUERIES["enrich_resume"](spark, str(tmp_path)).collect()
+    assert len(plans) == 2 and not any("regexp" in p for p in plans)
+    # 200 ids over 6 sources: two of 34 and four of 33, each in four batches, of which the third fails at first
+    assert len(rows) == 24 and {r.listings_enriched for r in rows} == {200} and {r.answered for r in rows} == {1}
+    assert {r.batch_key for r in rows if r.failed_first} == {f"site{s}/2" for s in range(6)} == {r.batch_key for r in rows if r.asked == 2}
