@@ -49,15 +49,16 @@ def _extract(s: Column, pattern: str, group: int = 1) -> Column:
 
 
 def _found(s: Column, pattern: str, group: int = 1) -> Column:
-    """First match's group, '' or null when there is no match.  Most texts lack the words that a
-    pattern needs; a search for those costs a small part of the regex."""
-    out = F.regexp_extract(s, pattern, group)
+    """First match's group, null when there is no match: never '', which a cast to double or a
+    parsed date answers with an exception inside.  Most texts lack the words that a pattern needs;
+    a search for those costs a small part of the regex."""
+    out = F.get(F.regexp_extract_all(s, F.lit(pattern), F.lit(group)), F.lit(0))
     conds = [functools.reduce(Column.__or__, [s.contains(w) for w in words]) for words in needed(pattern)]
     return F.when(functools.reduce(Column.__and__, conds), out) if conds else out
 
 
 def _number(s: Column, pattern: str, group: int, typ: str) -> Column:
-    """The number in the first match's group, null when there is none ('' is no number)."""
+    """The number in the first match's group, null when there is none."""
     return _found(s, pattern, group).try_cast(typ)
 
 
